@@ -69,9 +69,14 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def round3(col: str | Column, places: int = 3) -> Column:
-    """Half-even rounding, as pandas/numpy ``round``."""
-    return F.bround(_c(col), places)
+def round_half_even(col: str | Column, places: int = 3) -> Column:
+    """pandas/numpy ``round``: scale, round half to even, unscale.
+
+    Rounding the scaled double (not its exact decimal value) is what numpy does,
+    so 0.0125 rounds to 0.012 here as there.
+    """
+    scale = float(10 ** places)
+    return F.bround(_c(col).cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
 def standard_scaled(col: str | Column, mean: Column, std_pop: Column) -> Column:
