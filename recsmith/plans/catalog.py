@@ -41,7 +41,7 @@ def oracles() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from recsmith.plans import queries_batch, queries_validation  # noqa: F401
+    from recsmith.plans import queries_batch, queries_monitoring, queries_validation  # noqa: F401
 
 
 # ---- the local chain -------------------------------------------------------
