@@ -49,6 +49,35 @@ def label_encode(df: DataFrame, col: str, out_col: str | None = None, fill: str
     return apply_label_encoder(df, col, fit_label_encoder(df, col, fill), out_col, fill)
 
 
+def fit_label_encoders(df: DataFrame, cols: list[str], fill: str | None = UNKNOWN) -> DataFrame:
+    """P5 for several string columns in one pass: lookup (column, value, code).
+
+    All (column, value) pairs are exploded from one scan, de-duplicated, range
+    sorted and numbered; a value's code is its index minus its column's first index.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                         (F.coalesce(F.col(c).cast("string"), F.lit(fill)) if fill is not None
+                                          else F.col(c).cast("string")).alias("value")) for c in cols]))
+    values = df.select(pairs.alias("p")).select("p.column", "p.value").distinct()
+    if fill is None:
+        values = values.where(F.col("value").isNotNull())
+    idx = with_global_index(values, [F.col("column").asc(), F.col("value").asc()], "_i")
+    first = idx.groupBy(F.col("column").alias("_c")).agg(F.min("_i").alias("_first"))
+    return (idx.join(first, idx.column == first._c)
+               .select("column", "value", (F.col("_i") - F.col("_first")).alias("code")))
+
+
+def apply_label_encoders(df: DataFrame, cols: list[str], lookup: DataFrame, fill: str | None = UNKNOWN,
+                         suffix: str = "_encoded") -> DataFrame:
+    """Attach ``<col>_encoded`` for each column from a combined lookup."""
+    out = df
+    for c in cols:
+        one = lookup.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("code").alias(c + suffix))
+        key = F.coalesce(F.col(c).cast("string"), F.lit(fill)) if fill is not None else F.col(c).cast("string")
+        out = out.withColumn("_k", key).join(one, F.col("_k") == F.col("_v"), "left").drop("_k", "_v")
+    return out
+
+
 def fit_standard_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
     """P6 state: one row of mean and population std per column (NULLs ignored)."""
     aggs = []
@@ -60,24 +89,24 @@ def fit_standard_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
 def standard_scale(df: DataFrame, cols: list[str], suffix: str = "", state: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population std; a constant column gives 0 (as the reference's scaler)."""
     state = state if state is not None else fit_standard_scaler(df, cols)
-    out = df
+    out = df.crossJoin(F.broadcast(state))  # one row of fitted means and stds
     for c in cols:
-        mean = state.select(f"{c}__mean").scalar()
-        std = state.select(f"{c}__std").scalar()
+        mean, std = F.col(f"{c}__mean"), F.col(f"{c}__std")
         out = out.withColumn(c + suffix, F.when(std == 0, F.col(c) - F.col(c))
                                           .otherwise((F.col(c) - mean) / std).cast("double"))
-    return out
+    return out.drop(*[f"{c}__mean" for c in cols], *[f"{c}__std" for c in cols])
 
 
 def min_max_scale(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """(x - min) / (max - min); a constant column gives 0."""
-    out = df
-    for c in cols:
-        lo = df.select(F.min(c)).scalar()
-        hi = df.select(F.max(c)).scalar()
+    bounds = df.agg(*[F.min(c).alias(f"_lo_{i}") for i, c in enumerate(cols)],
+                    *[F.max(c).alias(f"_hi_{i}") for i, c in enumerate(cols)])
+    out = df.crossJoin(F.broadcast(bounds))  # one row
+    for i, c in enumerate(cols):
+        lo, hi = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
         out = out.withColumn(c + suffix, F.when(hi == lo, F.col(c) - F.col(c))
                                           .otherwise((F.col(c) - lo) / (hi - lo)).cast("double"))
-    return out
+    return out.drop(*[f"_lo_{i}" for i in range(len(cols))], *[f"_hi_{i}" for i in range(len(cols))])
 
 
 def fill_missing(df: DataFrame, values: dict) -> DataFrame:

@@ -27,14 +27,15 @@ ITEM_JOIN_COLS = ["genre", "popularity_score", "quality_score", "price"]
 def user_features(users: DataFrame, interactions: DataFrame, items: DataFrame,
                   genres: list[str] | None = None) -> DataFrame:
     """User table + encodings + genre preferences (wide) + A1 statistics + fills + segment."""
-    out = users
-    out = E.label_encode(out, "user_id", "user_id_encoded", fill=None)
-    for c in ("gender", "age_group", "location"):
-        out = E.label_encode(out, c, f"{c}_encoded")
+    out = E.label_encode(users, "user_id", "user_id_encoded", fill=None)
+    cats = ["gender", "age_group", "location"]
+    out = E.apply_label_encoders(out, cats, E.fit_label_encoders(users, cats))
     genres = genres if genres is not None else A.genre_values(items)
     prefs = A.genre_preferences_wide(A.genre_preferences(interactions, items), genres)
-    out = out.join(prefs, "user_id", "left").join(A.user_stats(interactions), "user_id", "left")
-    mean_avg = out.select(F.avg("avg_rating")).scalar()
+    stats = A.user_stats(interactions)
+    out = out.join(prefs, "user_id", "left").join(stats, "user_id", "left")
+    # mean over the users of the table that have statistics (fit on the small stats table)
+    mean_avg = stats.join(users.select("user_id"), "user_id", "left_semi").select(F.avg("avg_rating")).scalar()
     out = (out.withColumn("avg_rating", F.coalesce(F.col("avg_rating"), mean_avg))
               .fillna(0, subset=["rating_std", "total_interactions", "unique_items_interacted",
                                  "interaction_frequency", "user_activity_days"]))
@@ -48,7 +49,7 @@ def item_features(items: DataFrame, interactions: DataFrame) -> DataFrame:
     collide with the catalogue's own ``popularity_score``.
     """
     out = E.label_encode(items, "item_id", "item_id_encoded", fill=None)
-    out = E.label_encode(out, "genre", "genre_encoded")
+    out = E.apply_label_encoders(out, ["genre"], E.fit_label_encoders(items, ["genre"]))
     stats = A.item_stats(interactions)
     scaled = E.min_max_scale(stats, ["total_interactions", "unique_users_interacted"], "_mm")
     stats = scaled.withColumn(
@@ -56,7 +57,7 @@ def item_features(items: DataFrame, interactions: DataFrame) -> DataFrame:
         (F.col("total_interactions_mm") + F.col("unique_users_interacted_mm")) / 2.0
     ).drop("total_interactions_mm", "unique_users_interacted_mm")
     out = out.join(stats, "item_id", "left")
-    mean_avg = out.select(F.avg("avg_rating")).scalar()
+    mean_avg = stats.join(items.select("item_id"), "item_id", "left_semi").select(F.avg("avg_rating")).scalar()
     out = (out.withColumn("avg_rating", F.coalesce(F.col("avg_rating"), mean_avg))
               .fillna(0, subset=["rating_std", "total_interactions", "unique_users_interacted",
                                  "interaction_frequency", "item_activity_days", "interaction_popularity"]))
@@ -96,10 +97,18 @@ def interaction_features(interactions: DataFrame, users: DataFrame, items: DataF
     out = time_since_last(out)
     out = (out.join(users.select("user_id", *USER_JOIN_COLS), "user_id", "left")
               .join(items.select("item_id", *ITEM_JOIN_COLS), "item_id", "left"))
-    for c in USER_JOIN_COLS + ["genre"]:
-        out = E.label_encode(out, c, f"{c}_encoded")
+    cats = USER_JOIN_COLS + ["genre"]
+    # encoders are fit on the joined columns of the interaction rows (as the reference does)
+    base = (interactions.select("user_id", "item_id")
+            .join(users.select("user_id", *USER_JOIN_COLS), "user_id", "left")
+            .join(items.select("item_id", "genre"), "item_id", "left"))
+    out = E.apply_label_encoders(out, cats, E.fit_label_encoders(base, cats))
     out = user_item_affinity(out, users, items)
-    return E.standard_scale(out.withColumn("rating_normalized", F.col("rating")), ["rating_normalized"])
+    # the scaler is fit on the ratings themselves (left joins keep one row per interaction)
+    state = E.fit_standard_scaler(interactions.select(F.col("rating").alias("rating_normalized")),
+                                  ["rating_normalized"])
+    return E.standard_scale(out.withColumn("rating_normalized", F.col("rating")), ["rating_normalized"],
+                            state=state)
 
 
 def ranking_features(interactions: DataFrame, users: DataFrame | None = None,
@@ -112,11 +121,13 @@ def ranking_features(interactions: DataFrame, users: DataFrame | None = None,
         out = out.join(items, "item_id", "left")
     for name, expr in C.time_parts("timestamp").items():
         out = out.withColumn(name, expr)
+    us = A.ranking_entity_stats(interactions, "user_id", "item_id", "user")
+    its = A.ranking_entity_stats(interactions, "item_id", "user_id", "item")
     out = out.join(A.pair_stats(interactions), ["user_id", "item_id"], "left")
-    out = out.join(A.ranking_entity_stats(interactions, "user_id", "item_id", "user"), "user_id", "left")
-    out = out.join(A.ranking_entity_stats(interactions, "item_id", "user_id", "item"), "item_id", "left")
-    max_u = out.select(F.max("user_total_interactions")).scalar()
-    max_i = out.select(F.max("item_total_interactions")).scalar()
+    out = out.join(us, "user_id", "left").join(its, "item_id", "left")
+    # every interaction row carries its user's and item's statistics: maxima over the stats tables
+    max_u = us.select(F.max("user_total_interactions")).scalar()
+    max_i = its.select(F.max("item_total_interactions")).scalar()
     out = (out.withColumn("user_popularity", F.col("user_total_interactions") / max_u)
               .withColumn("item_popularity", F.col("item_total_interactions") / max_i)
               .withColumn("user_quality", F.col("user_avg_rating") / 5.0)
@@ -151,10 +162,10 @@ def feature_columns(df: DataFrame, target: str = "rating") -> tuple[list[str], l
 def model_matrix(df: DataFrame, target: str = "rating") -> tuple[DataFrame, list[str]]:
     """Label-encode categoricals, then standard-scale every input (encoded ones too)."""
     cat, num = feature_columns(df, target)
-    out = df
+    # the reference encodes ``astype(str)``: a missing value becomes the text 'nan'
+    out = E.apply_label_encoders(df, cat, E.fit_label_encoders(df, cat, fill="nan"), fill="nan", suffix="__code")
     for c in cat:
-        # the reference encodes ``astype(str)``: a missing value becomes the text 'nan'
-        out = E.label_encode(out, c, c + "__code", fill="nan").drop(c).withColumnRenamed(c + "__code", c)
+        out = out.drop(c).withColumnRenamed(c + "__code", c)
     inputs = cat + num
     out = out.select(*[F.col(c).cast("double").alias(c) for c in inputs],
                      *[c for c in out.columns if c not in inputs])

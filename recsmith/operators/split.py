@@ -63,28 +63,50 @@ def temporal_split(interactions: DataFrame, test_ratio: float = 0.2, min_test: i
     test size is 0 every row is train (the reference would return an empty train).
     Ties on time are broken by all other columns, so the split is deterministic.
     """
-    order = sort_key(interactions, time_col, tiebreak)
-    indexed = with_global_index(interactions, order, "_idx", "_n", num_partitions)
-    test_size = F.greatest(F.floor(F.col("_n").cast("double") * F.lit(float(test_ratio))),
-                           F.lit(min_test).cast("long"))
-    test_size = F.least(test_size, F.col("_n"))
-    flagged = indexed.withColumn("_is_test", F.col("_idx") >= F.col("_n") - test_size)
-    train = flagged.where(~F.col("_is_test")).drop("_idx", "_n", "_is_test")
-    test = flagged.where(F.col("_is_test")).drop("_idx", "_n", "_is_test")
-    return train, test
+    flagged = flag_temporal_split(interactions, test_ratio, min_test, time_col, tiebreak, num_partitions)
+    return (flagged.where(~F.col("is_test")).drop("is_test"),
+            flagged.where(F.col("is_test")).drop("is_test"))
 
 
 def flag_temporal_split(interactions: DataFrame, test_ratio: float = 0.2, min_test: int = 0,
                         time_col: str = "timestamp", tiebreak: list[str] | None = None,
-                        num_partitions: int | None = None) -> DataFrame:
-    """Same as ``temporal_split`` but one table with ``is_test`` and the time rank ``seq``."""
+                        num_partitions: int | None = None, accuracy: int = 10_000) -> DataFrame:
+    """The time split as one table with ``is_test``; the whole table is never sorted.
+
+    1. A percentile sketch (bounded memory, map-side) brackets the cut time with
+       two times whose rank error is at most n/accuracy, and one exact counting
+       pass checks that the cut lies between them.
+    2. Rows after the bracket are test and rows before it train, where they lie.
+    3. Only the rows inside the bracket (about 4n/accuracy, plus ties) are ranked
+       exactly by the global index on the full sort key.
+    If the check fails (never expected) the whole table is ranked instead.
+    Rows without time sort last, as pandas sorts.
+    """
     order = sort_key(interactions, time_col, tiebreak)
-    indexed = with_global_index(interactions, order, "seq", "_n", num_partitions)
-    test_size = F.greatest(F.floor(F.col("_n").cast("double") * F.lit(float(test_ratio))),
-                           F.lit(min_test).cast("long"))
-    test_size = F.least(test_size, F.col("_n"))
-    return (indexed.withColumn("is_test", F.col("seq") >= F.col("_n") - test_size)
-                   .drop("_n"))
+    key = F.coalesce(F.unix_micros(F.col(time_col).cast("timestamp")), F.lit(2 ** 63 - 1))
+    keyed = interactions.withColumn("_key", key)
+    n = keyed.count()
+    test_size = min(max(int(n * float(test_ratio)), int(min_test)), n)
+    if test_size == 0 or n == 0:
+        return interactions.withColumn("is_test", F.lit(False))
+    if test_size == n:
+        return interactions.withColumn("is_test", F.lit(True))
+    q = 1.0 - test_size / n
+    eps = 2.0 / accuracy
+    lo_hi = keyed.agg(F.percentile_approx("_key", [max(0.0, q - eps), min(1.0, q + eps)], accuracy)).first()[0]
+    t_lo, t_hi = int(lo_hi[0]), int(lo_hi[1])
+    c = keyed.agg(F.count(F.when(F.col("_key") > t_hi, 1)).alias("above"),
+                  F.count(F.when(F.col("_key") >= t_lo, 1)).alias("from_lo")).first()
+    if not (c["above"] <= test_size <= c["from_lo"]):
+        indexed = with_global_index(interactions, order, "_idx", None, num_partitions)
+        return indexed.withColumn("is_test", F.col("_idx") >= n - test_size).drop("_idx")
+    in_band = (F.col("_key") >= t_lo) & (F.col("_key") <= t_hi)
+    outside = keyed.where(~in_band).withColumn("is_test", F.col("_key") > t_hi).drop("_key")
+    band = keyed.where(in_band).drop("_key")
+    k_band = test_size - c["above"]
+    ranked = with_global_index(band, order, "_idx", "_n", num_partitions)
+    band_flag = ranked.withColumn("is_test", F.col("_idx") >= F.col("_n") - k_band).drop("_idx", "_n")
+    return outside.unionByName(band_flag)
 
 
 def hash_split(df: DataFrame, key_cols: list[str], train_fraction: float = 0.8,

@@ -35,8 +35,8 @@ def prepare(users: DataFrame, items: DataFrame, interactions: DataFrame,
             test_ratio: float = TEST_RATIO, min_test: int = 1) -> ChainInputs:
     # The split table is read by every later step: write it once.
     flagged = materialize(split.flag_temporal_split(interactions, test_ratio, min_test=min_test))
-    train = flagged.where(~F.col("is_test")).drop("seq", "is_test")
-    test = flagged.where(F.col("is_test")).drop("seq", "is_test")
+    train = flagged.where(~F.col("is_test")).drop("is_test")
+    test = flagged.where(F.col("is_test")).drop("is_test")
     scores = materialize(recommend.base_scores(items, train))
     history = recommend.user_history(train)
     targets = test.select("user_id").distinct()
