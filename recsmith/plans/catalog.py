@@ -41,7 +41,8 @@ def oracles() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from recsmith.plans import queries_batch, queries_monitoring, queries_validation  # noqa: F401
+    from recsmith.plans import (queries_batch, queries_models, queries_monitoring,  # noqa: F401
+                                queries_validation)
 
 
 # ---- the local chain -------------------------------------------------------
