@@ -366,3 +366,22 @@ def q_item_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 for a batch of ids: catalogue rows of every recommended item (semi join)."""
     c = local_chain.prepare_fixture(spark, sf_dir)
     return S.item_details(c.items, local_chain.recommendations(c, 10).select("item_id"))
+
+
+@register("table_summary", oracle("""
+SELECT 'users' AS "table", count(*) AS rows, CAST(7 AS BIGINT) AS columns FROM users
+UNION ALL SELECT 'items', count(*), CAST(7 AS BIGINT) FROM items
+UNION ALL SELECT 'interactions', count(*), CAST(7 AS BIGINT) FROM interactions"""))
+def q_table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns of each table."""
+    return A.table_summary(fixtures.tables(spark, sf_dir))
+
+
+@register("sampled_users_top_k")
+def q_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 + W6: the reference's inference run: 100 sampled test users (seeded hash order), top-10 each.
+
+    The limit is the sampling operator itself."""
+    c = local_chain.prepare_fixture(spark, sf_dir)
+    sample = R.sample_users(c.targets, 100)
+    return R.top_k_unseen(c.users, c.items, c.scores, c.history, sample, 10)
