@@ -85,16 +85,20 @@ def flag_temporal_split(interactions: DataFrame, test_ratio: float = 0.2, min_te
     order = sort_key(interactions, time_col, tiebreak)
     key = F.coalesce(F.unix_micros(F.col(time_col).cast("timestamp")), F.lit(2 ** 63 - 1))
     keyed = interactions.withColumn("_key", key)
-    n = keyed.count()
+    # One pass for the row count and the bracket: the cut fraction is 1 - ratio up to 1/n,
+    # far inside the bracket's width; the exact check below guards every other case.
+    q = 1.0 - float(test_ratio)
+    eps = 2.0 / accuracy
+    first = keyed.agg(F.count(F.lit(1)).alias("n"),
+                      F.percentile_approx("_key", [max(0.0, q - eps), min(1.0, q + eps)], accuracy)
+                       .alias("b")).first()
+    n = first["n"]
     test_size = min(max(int(n * float(test_ratio)), int(min_test)), n)
     if test_size == 0 or n == 0:
         return interactions.withColumn("is_test", F.lit(False))
     if test_size == n:
         return interactions.withColumn("is_test", F.lit(True))
-    q = 1.0 - test_size / n
-    eps = 2.0 / accuracy
-    lo_hi = keyed.agg(F.percentile_approx("_key", [max(0.0, q - eps), min(1.0, q + eps)], accuracy)).first()[0]
-    t_lo, t_hi = int(lo_hi[0]), int(lo_hi[1])
+    t_lo, t_hi = int(first["b"][0]), int(first["b"][1])
     c = keyed.agg(F.count(F.when(F.col("_key") > t_hi, 1)).alias("above"),
                   F.count(F.when(F.col("_key") >= t_lo, 1)).alias("from_lo")).first()
     if not (c["above"] <= test_size <= c["from_lo"]):

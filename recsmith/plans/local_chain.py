@@ -46,7 +46,8 @@ def prepare(users: DataFrame, items: DataFrame, interactions: DataFrame,
 def prepare_fixture(spark: SparkSession, sf_dir: str, test_ratio: float = TEST_RATIO,
                     min_test: int = 1) -> ChainInputs:
     t = fixtures.tables(spark, sf_dir)
-    return prepare(t["users"], t["items"], t["interactions"], test_ratio, min_test)
+    # the mapped interactions stand for a stored table: write the mapping (a join) once
+    return prepare(t["users"], t["items"], materialize(t["interactions"]), test_ratio, min_test)
 
 
 def recommendations(c: ChainInputs, k: int = DEFAULT_K, keep: bool = False) -> DataFrame:

@@ -62,7 +62,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def materialize(df):
-    """Cut lineage of a table read by several later steps: reliable checkpoint
-    into the shared ``spark.checkpoint.dir`` (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage of a table read by several later steps.
+
+    The table is written as Parquet under the shared ``spark.checkpoint.dir``
+    (never a machine-local folder on a cluster, never a local checkpoint) and read
+    back, so later scans get column pruning and filter pushdown and a lost
+    executor does not recompute the lineage.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
