@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from recsmith.functions import columns as C
 from recsmith.operators import aggregates as A
 from recsmith.operators import encoders as E
-from recsmith.operators.split import sort_key
+from recsmith.operators.sequence import previous_value
 
 # Affinity weights and its value for unknown users or items.
 AFFINITY_GENRE = 0.5
@@ -69,11 +69,12 @@ def time_since_last(interactions: DataFrame, time_col: str = "timestamp") -> Dat
 
     Ties on time are ordered by all other columns, so the result is deterministic.
     """
-    order = sort_key(interactions, time_col)
-    w = Window.partitionBy("user_id").orderBy(*order)
-    prev = F.lag(time_col).over(w)
-    secs = (F.unix_micros(F.col(time_col).cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))) / 1e6
-    return interactions.withColumn("time_since_last", F.coalesce(secs, F.lit(0.0)))
+    others = [c for c in interactions.columns if c not in (time_col, "user_id")]
+    order = [F.col(time_col).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in others]
+    # range-partitioned previous row: a user with a huge history spans many tasks
+    out = previous_value(interactions, "user_id", order, time_col, "_prev_ts")
+    secs = (F.unix_micros(F.col(time_col).cast("timestamp")) - F.unix_micros(F.col("_prev_ts").cast("timestamp"))) / 1e6
+    return out.withColumn("time_since_last", F.coalesce(secs, F.lit(0.0))).drop("_prev_ts")
 
 
 def user_item_affinity(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:

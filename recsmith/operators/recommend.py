@@ -71,22 +71,21 @@ def _join_on(left: DataFrame, right: DataFrame, keys: list[str], null_safe: list
 def _genre_lists(scored: DataFrame, num_partitions: int | None) -> DataFrame:
     """Per genre and bonus flag, every item's position by (score desc, item_id desc).
 
-    Positions come from a range-partitioned global index, so a genre holding a
-    large share of the catalogue is spread over many tasks.
+    Both flags are ranked by one range-partitioned global index over
+    (flag, genre, score desc, item desc), so a genre holding a large share of
+    the catalogue is spread over many tasks and the catalogue is shuffled once.
     """
-    out = []
-    for flag, score in ((False, F.col("base_score")),
-                        (True, F.col("base_score") + F.lit(GENRE_BONUS))):
-        s = scored.select("genre", "item_id", score.alias("score"))
-        order = [F.col("genre").asc_nulls_first(), F.col("score").desc(), F.col("item_id").desc()]
-        idx = with_global_index(s, order, "_gidx", num_partitions=num_partitions)
-        start = idx.groupBy("genre").agg(F.min("_gidx").alias("_start"))
-        ranked = (_join_on(idx, start, ["genre"], ["genre"])
-                  .select("genre", "item_id", "score",
-                          (F.col("_gidx") - F.col("_start") + 1).alias("pos"),
-                          F.lit(flag).alias("preferred")))
-        out.append(ranked)
-    return out[0].unionByName(out[1])
+    both = (scored.select("genre", "item_id", F.col("base_score").alias("score"), F.lit(False).alias("preferred"))
+                  .unionByName(scored.select("genre", "item_id",
+                                             (F.col("base_score") + F.lit(GENRE_BONUS)).alias("score"),
+                                             F.lit(True).alias("preferred"))))
+    order = [F.col("preferred").asc(), F.col("genre").asc_nulls_first(), F.col("score").desc(),
+             F.col("item_id").desc()]
+    idx = with_global_index(both, order, "_gidx", num_partitions=num_partitions)
+    start = idx.groupBy("preferred", "genre").agg(F.min("_gidx").alias("_start"))
+    return (_join_on(idx, start, ["preferred", "genre"], ["genre"])
+            .select("genre", "item_id", "score", (F.col("_gidx") - F.col("_start") + 1).alias("pos"),
+                    "preferred"))
 
 
 def _users_by_genres(targets: DataFrame, genres: DataFrame, n_genres: int,
@@ -137,8 +136,11 @@ def top_k_unseen(users: DataFrame, items: DataFrame, scores: DataFrame, history:
         "user_id", "genre", "preferred",
         F.explode(F.sequence(F.lit(1).cast("long"), need.cast("long"))).alias("pos"))
 
-    # Only positions some user can reach are kept on the list side (depth has one row per genre).
-    depth = pairs.groupBy("genre").agg(F.max(F.lit(k) + F.col("seen")).alias("depth"))
+    # Only positions some user can reach are kept on the list side: k + the largest
+    # number of seen items of the genre (one row per genre, checked count above).
+    depth = _join_on(genres.select("genre"), seen.groupBy("genre").agg(F.max("seen").alias("_max_seen")),
+                     ["genre"], ["genre"], "left") \
+        .select("genre", (F.lit(k) + F.coalesce(F.col("_max_seen"), F.lit(0))).alias("depth"))
     lists = _join_on(_genre_lists(scored, nparts), F.broadcast(depth), ["genre"], ["genre"])
     lists = lists.where(F.col("pos") <= F.col("depth")).select("genre", "preferred", "pos", "item_id", "score")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsmith.session import shuffle_partitions
+from recsmith.session import materialize, shuffle_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -31,14 +31,16 @@ def with_global_index(df: DataFrame, order: list[Column], index_col: str = "row_
                       total_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based position of every row in ``order`` (and optionally the row total).
 
-    Two scans of the range-partitioned data (one for the per-partition counts)
-    and no single-partition step over the rows.  The partition count is fixed so
-    AQE keeps the range partitions as they are.
+    One range shuffle, one write of the numbered rows, two scans of that copy
+    (one for the per-partition counts) and no single-partition step over the rows.
     """
     n = num_partitions or shuffle_partitions(df.sparkSession)
-    staged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS)))
+    # Range bounds come from sampling, which Spark may redo differently on another
+    # evaluation; the numbered rows are therefore written once and both the counts
+    # and the positions are read from that one copy.
+    staged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                           .withColumn("_mid", F.monotonically_increasing_id()))
+    staged = staged.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
     per_part = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # per_part holds at most n rows: an unpartitioned window over it is cheap.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

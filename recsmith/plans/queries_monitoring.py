@@ -87,7 +87,7 @@ def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SESSIONS_CTE = """
 s0 AS (SELECT user_id, ts, event_type,
          CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
-                OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
+                OR ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
               THEN 1 ELSE 0 END AS new_session
        FROM events),
 s1 AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s0),

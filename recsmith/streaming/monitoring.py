@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from recsmith.operators import sequence
 from recsmith.operators.split import with_global_index
 
 EVENT_SCHEMA = T.StructType([
@@ -145,14 +146,28 @@ def sustained_alerts(flags: DataFrame, flag_col: str, window_seconds: int = 60,
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Per user session windows (``session_window``): start, end, events, purchases."""
-    e = _with_event_time(events)
-    s = e.groupBy("user_id", F.session_window("ts", gap)).agg(
-        F.count(F.lit(1)).alias("n_events"),
+    """Per user sessions (``session_window`` semantics): start, end, events, purchases.
+
+    Session starts come from the range-partitioned sequence operator, so one very
+    active user is spread over many tasks; the per-session totals are then an
+    ordinary grouped aggregate with map-side partial counts.
+    """
+    gap_seconds = int(interval_seconds(gap))
+    e = _with_event_time(events).select("user_id", "ts", "event_type")
+    s = sequence.sessions(e, "user_id", "ts", gap_seconds)
+    agg = s.groupBy("user_id", "session_start").agg(
+        F.max("ts").alias("_last"), F.count(F.lit(1)).alias("n_events"),
         F.count(F.when(F.col("event_type") == "purchase", 1)).alias("n_purchases"))
-    return s.select("user_id", F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("session_window.end").cast("timestamp_ntz").alias("session_end"),
-                    "n_events", "n_purchases")
+    return agg.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                      (F.col("_last") + F.make_interval(secs=F.lit(gap_seconds))).cast("timestamp_ntz")
+                      .alias("session_end"), "n_events", "n_purchases")
+
+
+def interval_seconds(text: str) -> int:
+    """'30 minutes' -> 1800 (units: second(s), minute(s), hour(s), day(s))."""
+    n, unit = text.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * mult
 
 
 def engagement(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
