@@ -206,8 +206,11 @@ def other_users_items(test: DataFrame, n: int = 10, time_col: str = "timestamp")
                       .groupBy("item_id")
                       .agg(F.min_by("user_id", "s").alias("u1"), F.min("s").alias("s1"),
                            F.max(F.when(F.col("_r") == 2, F.col("s"))).alias("s2")))
-    ordered = with_global_index(firsts, [F.col("s1")], "_p").withColumn("item_pos", F.col("_p") + 1)
     owned = firsts.groupBy(F.col("u1").alias("user_id")).agg(F.count(F.lit(1)).alias("n_owned"))
+    # only positions some user can reach: n + the largest number of owned items
+    reach = owned.select(F.lit(n) + F.coalesce(F.max("n_owned"), F.lit(0))).scalar()
+    ordered = (with_global_index(firsts, [F.col("s1")], "_p").withColumn("item_pos", F.col("_p") + 1)
+                 .where(F.col("item_pos") <= reach))
     users = test.select("user_id").distinct()
     slots = (users.join(owned, "user_id", "left")
                   .select("user_id", F.explode(F.sequence(F.lit(1).cast("long"),
