@@ -92,3 +92,52 @@ def q_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = local_chain.recommendations(c, 10)
     per = ME.per_user_table(recs, c.test, c.items, (10,))
     return MO.variant_metrics(per, MO.assign_variants(c.targets))
+
+
+_W10_RECS = """
+recs AS (
+  SELECT user_id, rank, item_id FROM (
+    SELECT t.user_id, iu.item_id,
+      CAST(row_number() OVER (PARTITION BY t.user_id ORDER BY min(iu.s)) AS BIGINT) AS rank
+    FROM (SELECT DISTINCT user_id FROM test) t
+    JOIN (SELECT item_id, user_id, min(seq) AS s FROM split WHERE is_test GROUP BY item_id, user_id) iu
+      ON iu.user_id <> t.user_id
+    GROUP BY t.user_id, iu.item_id) WHERE rank <= 10)"""
+
+
+def _placeholder_sql() -> str:
+    from recsmith.plans import oracle_sql as osql
+    ctes = ",".join([osql.split_ctes(0.2, 0), _W10_RECS, osql.metric_ctes((5, 10, 20))])
+    return oracle(osql.metric_union((5, 10, 20)), ctes)
+
+
+@register("placeholder_evaluation", _placeholder_sql())
+def q_placeholder_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training-pipeline evaluation: E1-E9 of the placeholder lists (W10) on the evaluator's split."""
+    from recsmith.operators import recommend as R
+    from recsmith.session import materialize
+    c = local_chain.prepare_fixture(spark, sf_dir, min_test=0)
+    recs = materialize(R.other_users_items(c.test, 10))
+    return ME.evaluation_suite(recs, c.test, c.items)
+
+
+def _comparison_sql() -> str:
+    from recsmith.plans import oracle_sql as osql
+    a = oracle(osql.metric_union((5, 10, 20)), osql.chain(20, osql.metric_ctes((5, 10, 20))))
+    b = _placeholder_sql()
+    # metrics without K have k NULL: join null-safely on k
+    return (f"SELECT coalesce(a.metric, b.metric) AS metric, coalesce(a.k, b.k) AS k, "
+            f"a.value AS genre_popularity, b.value AS other_users FROM ({a}) a "
+            f"FULL OUTER JOIN ({b}) b ON a.metric = b.metric AND a.k IS NOT DISTINCT FROM b.k")
+
+
+@register("model_comparison", _comparison_sql())
+def q_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric suites of two recommenders side by side (one column per version)."""
+    from recsmith.operators import recommend as R
+    from recsmith.session import materialize
+    c = local_chain.prepare_fixture(spark, sf_dir)
+    ours = ME.evaluation_suite(local_chain.recommendations(c, 20, keep=True), c.test, c.items)
+    c0 = local_chain.prepare_fixture(spark, sf_dir, min_test=0)
+    other = ME.evaluation_suite(materialize(R.other_users_items(c0.test, 10)), c0.test, c0.items)
+    return MO.compare_versions({"genre_popularity": ours, "other_users": other})
