@@ -113,8 +113,13 @@ def interaction_features(interactions: DataFrame, users: DataFrame, items: DataF
 
 
 def ranking_features(interactions: DataFrame, users: DataFrame | None = None,
-                     items: DataFrame | None = None) -> DataFrame:
-    """Features of the rating regressor: J2 joins, time parts, A6-A8 with J8, P12 ratios, zero fill."""
+                     items: DataFrame | None = None, history: DataFrame | None = None) -> DataFrame:
+    """Features of the rating regressor: J2 joins, time parts, A6-A8 with J8, P12 ratios, zero fill.
+
+    Statistics come from ``history`` (default: the rows themselves, as the
+    reference computes them), so candidate pairs can be featurized the same way.
+    """
+    history = interactions if history is None else history
     out = interactions
     if users is not None:
         out = out.join(users, "user_id", "left")
@@ -122,9 +127,9 @@ def ranking_features(interactions: DataFrame, users: DataFrame | None = None,
         out = out.join(items, "item_id", "left")
     for name, expr in C.time_parts("timestamp").items():
         out = out.withColumn(name, expr)
-    us = A.ranking_entity_stats(interactions, "user_id", "item_id", "user")
-    its = A.ranking_entity_stats(interactions, "item_id", "user_id", "item")
-    out = out.join(A.pair_stats(interactions), ["user_id", "item_id"], "left")
+    us = A.ranking_entity_stats(history, "user_id", "item_id", "user")
+    its = A.ranking_entity_stats(history, "item_id", "user_id", "item")
+    out = out.join(A.pair_stats(history), ["user_id", "item_id"], "left")
     out = out.join(us, "user_id", "left").join(its, "item_id", "left")
     # every interaction row carries its user's and item's statistics: maxima over the stats tables
     max_u = us.select(F.max("user_total_interactions")).scalar()
@@ -160,14 +165,26 @@ def feature_columns(df: DataFrame, target: str = "rating") -> tuple[list[str], l
     return cat, num
 
 
-def model_matrix(df: DataFrame, target: str = "rating") -> tuple[DataFrame, list[str]]:
-    """Label-encode categoricals, then standard-scale every input (encoded ones too)."""
-    cat, num = feature_columns(df, target)
-    # the reference encodes ``astype(str)``: a missing value becomes the text 'nan'
-    out = E.apply_label_encoders(df, cat, E.fit_label_encoders(df, cat, fill="nan"), fill="nan", suffix="__code")
-    for c in cat:
-        out = out.drop(c).withColumnRenamed(c + "__code", c)
+def model_matrix(df: DataFrame, target: str = "rating", fitted: dict | None = None):
+    """Label-encode categoricals, then standard-scale every input (encoded ones too).
+
+    Returns (matrix, inputs, fitted); pass ``fitted`` back to transform new rows
+    with the training encoders and scaler.
+    """
+    if fitted is None:
+        cat, num = feature_columns(df, target)
+        # the reference encodes ``astype(str)``: a missing value becomes the text 'nan'
+        lookup = E.fit_label_encoders(df, cat, fill="nan") if cat else None
+    else:
+        cat, num, lookup = fitted["cat"], fitted["num"], fitted["lookup"]
+    out = df
+    if cat:
+        out = E.apply_label_encoders(out, cat, lookup, fill="nan", suffix="__code")
+        for c in cat:
+            out = out.drop(c).withColumnRenamed(c + "__code", c)
     inputs = cat + num
     out = out.select(*[F.col(c).cast("double").alias(c) for c in inputs],
                      *[c for c in out.columns if c not in inputs])
-    return E.standard_scale(out, inputs), inputs
+    state = fitted["scaler"] if fitted is not None else E.fit_standard_scaler(out, inputs)
+    fitted = {"cat": cat, "num": num, "lookup": lookup, "scaler": state}
+    return E.standard_scale(out, inputs, state=state), inputs, fitted

@@ -32,15 +32,19 @@ INT_MAX = 2 ** 31 - 1
 
 
 def _int_ids(df: DataFrame) -> DataFrame:
-    """ALS needs int ids: fail loudly rather than wrap larger ones."""
-    return df.withColumn("user_id", F.col("user_id").cast("long")).withColumn("item_id", F.col("item_id").cast("long"))
+    """ALS keys are 32-bit: ids beyond that raise at run time (never wrapped or dropped)."""
+    out = df
+    for c in ("user_id", "item_id"):
+        v = F.col(c).cast("long")
+        out = out.withColumn(c, F.when(v.isNull() | (v <= INT_MAX), v).otherwise(
+            F.raise_error(F.concat(F.lit(f"{c} beyond 32 bits: "), v.cast("string"))).cast("long")))
+    return out
 
 
 def train_als(interactions: DataFrame, rank: int = EMBEDDING_DIM, max_iter: int = 10, reg: float = 0.1,
               implicit: bool = False, seed: int = SEED) -> ALSModel:
     """M1: explicit (rating) or implicit (retrieval) collaborative factors."""
     data = _int_ids(interactions).where(F.col("rating").isNotNull())
-    data = data.where((F.col("user_id") <= INT_MAX) & (F.col("item_id") <= INT_MAX))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=implicit, userCol="user_id",
               itemCol="item_id", ratingCol="rating", coldStartStrategy="drop", seed=seed, nonnegative=False)
     return als.fit(data)
@@ -95,14 +99,16 @@ def top_k_unseen_factors(model: ALSModel, history: DataFrame, k: int = 10, users
 
 
 def ranking_matrix(interactions: DataFrame, users: DataFrame | None, items: DataFrame | None,
-                   validation_fraction: float = 0.2, seed: int = SEED) -> tuple[DataFrame, list[str]]:
-    """P17 + W4: scaled feature vector per interaction, with a stable validation flag."""
+                   validation_fraction: float = 0.2, seed: int = SEED):
+    """P17 + W4: scaled feature vector per interaction, with a stable validation flag.
+
+    Returns (matrix, inputs, fitted): ``fitted`` holds the encoders and scaler."""
     feats = FE.ranking_features(interactions, users, items)
-    matrix, inputs = FE.model_matrix(feats)
+    matrix, inputs, fitted = FE.model_matrix(feats)
     bucket = F.pmod(F.xxhash64("user_id", "item_id", "session_id", "timestamp", F.lit(seed)), F.lit(10000))
     matrix = matrix.withColumn("is_validation", bucket >= int((1 - validation_fraction) * 10000))
     assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(matrix)
-    return assembled, inputs
+    return assembled, inputs, fitted
 
 
 def train_gbt(matrix: DataFrame, trees: int = GBT_TREES, depth: int = GBT_DEPTH, tol: float = 0.01,
@@ -134,28 +140,22 @@ def save_model(model, path: str, metadata: dict) -> None:
          .write.mode("overwrite").json(f"{path}/metadata")
 
 
-def hybrid_top_k(als: ALSModel, gbt, history: DataFrame, interactions: DataFrame, users: DataFrame,
-                 items: DataFrame, inputs: list[str], k: int = 10, candidates: int = 50) -> DataFrame:
+def hybrid_top_k(als: ALSModel, gbt, fitted: dict, history: DataFrame, interactions: DataFrame,
+                 users: DataFrame | None, items: DataFrame | None, inputs: list[str], k: int = 10,
+                 candidates: int = 50) -> DataFrame:
     """Retrieve ``candidates`` unseen items per user with the factors, then re-rank
-    them with the boosted regressor on their features."""
+    them with the boosted regressor.  Candidate pairs are featurized by the training
+    feature function (statistics from ``interactions``) and transformed with the
+    training encoders and scaler (``fitted``)."""
     cands = top_k_unseen_factors(als, history, candidates).select("user_id", "item_id")
-    # candidate rows take the statistics of the user and item from the interactions
-    base = cands.withColumn("rating", F.lit(None).cast("double")) \
-                .withColumn("timestamp", F.lit(None).cast(interactions.schema["timestamp"].dataType))
-    for c in interactions.columns:
-        if c not in base.columns:
-            base = base.withColumn(c, F.lit(None).cast(interactions.schema[c].dataType))
-    us = A.ranking_entity_stats(interactions, "user_id", "item_id", "user")
-    its = A.ranking_entity_stats(interactions, "item_id", "user_id", "item")
-    feats = (base.join(users, "user_id", "left").join(items, "item_id", "left")
-                 .join(us, "user_id", "left").join(its, "item_id", "left"))
-    for c in inputs:
-        if c not in feats.columns:
-            feats = feats.withColumn(c, F.lit(0.0))
-    feats = feats.select("user_id", "item_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                                                   for c in inputs])
+    rows = cands
+    for f in interactions.schema.fields:
+        if f.name not in rows.columns:
+            rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+    feats = FE.ranking_features(rows.select(*interactions.columns), users, items, history=interactions)
+    matrix, _, _ = FE.model_matrix(feats, fitted=fitted)
     scored = gbt.transform(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
-                           .transform(feats))
+                           .transform(matrix))
     w = Window.partitionBy("user_id").orderBy(F.col("prediction").desc(), F.col("item_id").desc())
     return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                   .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id",

@@ -80,7 +80,7 @@ def q_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 + M5 + M6 + P17: boosted rating regressor (100 trees, depth 6, early stop on the
     validation rows); MSE, RMSE, MAE on the validation rows."""
     t = fixtures.tables(spark, sf_dir)
-    matrix, _ = MO.ranking_matrix(t["interactions"], t["users"], t["items"])
+    matrix, _, _ = MO.ranking_matrix(t["interactions"], t["users"], t["items"])
     model = MO.train_gbt(matrix)
     return MO.rmse(model, matrix.where(F.col("is_validation")))
 
@@ -141,3 +141,15 @@ def q_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     c0 = local_chain.prepare_fixture(spark, sf_dir, min_test=0)
     other = ME.evaluation_suite(materialize(R.other_users_items(c0.test, 10)), c0.test, c0.items)
     return MO.compare_versions({"genre_popularity": ours, "other_users": other})
+
+
+@register("hybrid_top_k")
+def q_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ALS retrieval of 50 unseen candidates per test user, re-ranked by the boosted
+    regressor trained on the train rows; top 10 per user."""
+    c = local_chain.prepare_fixture(spark, sf_dir)
+    als = MO.train_als(c.train, rank=MO.EMBEDDING_DIM, max_iter=10)
+    matrix, inputs, fitted = MO.ranking_matrix(c.train, c.users, c.items)
+    gbt = MO.train_gbt(matrix)
+    out = MO.hybrid_top_k(als, gbt, fitted, c.history, c.train, c.users, c.items, inputs, k=10, candidates=50)
+    return out.join(c.targets, "user_id", "left_semi")
