@@ -53,9 +53,19 @@ def genre_preferences(interactions: DataFrame, items: DataFrame) -> DataFrame:
                  F.count("rating").alias("genre_interaction_count")))
 
 
-def genre_values(items: DataFrame) -> list[str]:
-    """Pivot values: the distinct genres (a small categorical domain), sorted."""
-    return sorted(r[0] for r in items.select("genre").where(F.col("genre").isNotNull()).distinct().collect())
+MAX_PIVOT_VALUES = 10_000
+
+
+def genre_values(items: DataFrame, limit: int = MAX_PIVOT_VALUES) -> list[str]:
+    """Pivot values: the distinct genres (a small categorical domain), sorted.
+
+    The count is checked before the values are read: a pivot into more columns
+    than ``limit`` is refused rather than pulled through the driver."""
+    genres = items.select("genre").where(F.col("genre").isNotNull()).distinct()
+    n = genres.count()
+    if n > limit:
+        raise ValueError(f"{n} genres: too many to pivot into columns (limit {limit}); use the long form")
+    return sorted(r[0] for r in genres.collect())
 
 
 def genre_preferences_wide(prefs: DataFrame, genres: list[str]) -> DataFrame:

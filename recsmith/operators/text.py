@@ -51,30 +51,33 @@ def tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 100,
 
 
 def tfidf_vectors(long: DataFrame, id_col: str, size: int) -> DataFrame:
-    """Long TF-IDF to one ML SparseVector per document (entries sorted by column)."""
-    from pyspark.ml.functions import array_to_vector  # noqa: F401  (vector UDT registration)
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    """Long TF-IDF to one dense ML vector per document (``size`` = vocabulary size, small).
 
-    @F.udf(VectorUDT())
-    def to_vec(cols, vals):
-        pairs = sorted(zip(cols, vals))
-        return SparseVector(size, [c for c, _ in pairs], [v for _, v in pairs])
-
-    grouped = long.groupBy(id_col).agg(F.collect_list("col").alias("c"), F.collect_list("weight").alias("v"))
-    return grouped.select(id_col, to_vec("c", "v").alias("features"))
+    Built with JVM expressions: the (col, weight) pairs become a map, the map a
+    fixed-length array, the array a vector."""
+    from pyspark.ml.functions import array_to_vector
+    grouped = long.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("col", "weight"))).alias("_m"))
+    dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long")),
+                        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
+    return grouped.select(id_col, array_to_vector(dense).alias("features"))
 
 
 def truncated_svd(long: DataFrame, id_col: str, size: int, k: int = 20) -> tuple[DataFrame, list[float]]:
     """Rank-k SVD of the (uncentred) TF-IDF matrix; returns (id, svd_0..svd_{k-1}) = U·S
-    and the singular values.  The right factor V (size x k) comes from Spark's
-    distributed SVD; the projection A·V is a join with V and a grouped sum."""
+    and the singular values.  One distributed pass builds the Gramian AᵀA
+    (size x size, bounded by the vocabulary); its eigenvectors are the right
+    factor V; the projection A·V is a join with V and a grouped sum."""
+    import numpy as np
     from pyspark.mllib.linalg import Vectors as MLlibVectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
     vecs = tfidf_vectors(long, id_col, size)
     rows = vecs.select("features").rdd.map(lambda r: MLlibVectors.fromML(r[0]))
-    svd = RowMatrix(rows).computeSVD(min(k, size), computeU=False)
-    v = svd.V.toArray()  # size x k, bounded by the vocabulary size
+    gram = RowMatrix(rows).computeGramianMatrix().toArray()
+    evals, evecs = np.linalg.eigh(gram)
+    top = np.argsort(evals)[::-1][:min(k, size)]
+    v = evecs[:, top]  # size x k
+    sing = np.sqrt(np.clip(evals[top], 0.0, None))
     spark = long.sparkSession
     v_long = spark.createDataFrame([(int(i), int(j), float(v[i, j])) for i in range(v.shape[0])
                                     for j in range(v.shape[1])], "col long, comp int, v double")
@@ -82,4 +85,4 @@ def truncated_svd(long: DataFrame, id_col: str, size: int, k: int = 20) -> tuple
                 .groupBy(id_col).pivot("comp", list(range(v.shape[1])))
                 .agg(F.sum(F.col("weight") * F.col("v"))))
     out = proj.select(id_col, *[F.coalesce(F.col(str(j)), F.lit(0.0)).alias(f"svd_{j}") for j in range(v.shape[1])])
-    return out, [float(s) for s in svd.s.toArray()]
+    return out, [float(x) for x in sing]

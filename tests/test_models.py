@@ -101,3 +101,43 @@ def test_running_user_stats_upserts(spark):
     last = spark.read.parquet(os.path.join(root, "out", snaps[-1]))
     got = {r.user_id: (r.n_events, r.value_sum) for r in last.collect()}
     assert got == {1: (2, 7.0), 2: (1, 3.0)}
+
+
+def test_importance_and_save(spark):
+    r = _ratings(spark, n=600, seed=7).withColumn("timestamp", F.current_timestamp().cast("timestamp_ntz")) \
+                                      .withColumn("session_id", F.lit(1).cast("long"))
+    matrix, inputs, _ = MO.ranking_matrix(r, None, None)
+    gbt = MO.train_gbt(matrix, trees=3, depth=2)
+    imp = MO.feature_importance(gbt, inputs).collect()
+    assert len(imp) == len(inputs) and [x.importance for x in imp] == sorted((x.importance for x in imp), reverse=True)
+    root = tempfile.mkdtemp(prefix="recsmith-model-")
+    MO.save_model(gbt, root, {"trees": 3, "inputs": inputs})
+    from pyspark.ml.regression import GBTRegressionModel
+    assert GBTRegressionModel.load(os.path.join(root, "model")).getNumTrees == gbt.getNumTrees
+    assert "trees" in spark.read.json(os.path.join(root, "metadata")).first().metadata
+
+
+def test_pivot_refuses_huge_domains(spark):
+    from recsmith.operators import aggregates as A
+    items = spark.range(30).select(F.col("id").cast("string").alias("genre"))
+    with pytest.raises(ValueError):
+        A.genre_values(items, limit=10)
+    assert len(A.genre_values(items, limit=100)) == 30
+
+
+def test_svd_matches_numpy_up_to_sign(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(
+        ["red apple", "green apple pie", "red green", "blue sky pie", "apple sky", "red red blue"])], "id long, t string")
+    long = TX.tfidf(docs, "id", "t", 10, stop_words=[])
+    size = long.select(F.max("col")).first()[0] + 1
+    A = np.zeros((6, size))
+    for r in long.collect():
+        A[r.id, r.col] = r.weight
+    u, s, _ = np.linalg.svd(A, full_matrices=False)
+    out, sing = TX.truncated_svd(long, "id", size, 3)
+    assert sing == pytest.approx(list(s[:3]), abs=1e-9)
+    got = {r.id: [r.svd_0, r.svd_1, r.svd_2] for r in out.collect()}
+    us = u[:, :3] * s[:3]
+    for j in range(3):
+        col = np.array([got[i][j] for i in range(6)])
+        assert min(np.abs(col - us[:, j]).max(), np.abs(col + us[:, j]).max()) < 1e-9
