@@ -43,7 +43,8 @@ def previous_value(df: DataFrame, key: str, order: list[Column], value: str, out
     return fixed.withColumn(out, result).drop("_pid", "_prev_key", "_prev_val", "_first", "_last", "_bk", "_bv")
 
 
-def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions: int | None = None) -> DataFrame:
+def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions: int | None = None,
+             gap_micros_adjust: int = 0) -> DataFrame:
     """Session start of every row: a row opens a session when it is the key's first row or
     ``ts - previous ts > gap``.  Returns ``df`` + ``session_start``.
 
@@ -55,7 +56,7 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions:
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     staged = _staged(df.withColumn("_t", micros), key, [F.col("_t").asc()], num_partitions)
     w = Window.partitionBy("_pid").orderBy(F.col(key).asc_nulls_first(), F.col("_t").asc())
-    gap = gap_seconds * 1_000_000
+    gap = gap_seconds * 1_000_000 + gap_micros_adjust
     prev_k, prev_t = F.lag(key).over(w), F.lag("_t").over(w)
     # as Spark's session_window: an event exactly ``gap`` after the previous one stays in the session
     opens = prev_k.isNull() | (prev_k != F.col(key)) | (F.col("_t") - prev_t > gap)

@@ -160,3 +160,37 @@ SELECT * FROM events WHERE ts >= TIMESTAMP '2025-01-15 00:00:00' - INTERVAL 365
 def q_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retention filter (rows of the last 365 days before 2025-01-15)."""
     return M.retain_recent(_ev(spark, sf_dir), "2025-01-15 00:00:00")
+
+
+_FIRING_HOURS = """
+w AS (SELECT time_bucket(INTERVAL 3600 SECOND, ts) AS window_start,
+        avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) AS error_rate
+      FROM events GROUP BY 1),
+f AS (SELECT window_start, CAST(epoch_us(window_start) // 3600000000 AS BIGINT) AS wno FROM w WHERE error_rate > {thr}),
+r AS (SELECT window_start, wno - (row_number() OVER (ORDER BY wno) - 1) AS run FROM f)"""
+
+
+@register("prediction_error_alerts_hourly", f"""
+WITH {_FIRING_HOURS.format(thr=0.01)}
+SELECT min(window_start) AS alert_start, max(window_start) + INTERVAL 3600 SECOND AS alert_end,
+  count(*) AS n_windows
+FROM r GROUP BY run HAVING count(*) >= 5""")
+def q_pred_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: error rate above 1 % held for 5 consecutive hourly windows."""
+    return M.error_rate_alerts(_ev(spark, sf_dir), 0.01, 3600, 5 * 3600)
+
+
+@register("error_incidents_hourly", f"""
+WITH {_FIRING_HOURS.format(thr=0.05)},
+a AS (SELECT min(window_start) AS s, max(window_start) + INTERVAL 3600 SECOND AS e, count(*) AS n
+      FROM r GROUP BY run HAVING count(*) >= 2),
+o AS (SELECT *, CASE WHEN lag(e) OVER (ORDER BY s) IS NULL
+                       OR epoch_us(s) - epoch_us(lag(e) OVER (ORDER BY s)) >= 10800000000 THEN 1 ELSE 0 END AS opens
+      FROM a),
+i AS (SELECT *, sum(opens) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS inc FROM o)
+SELECT min(s) AS incident_start, max(e) AS incident_end, count(*) AS n_alerts FROM i GROUP BY inc""")
+def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 with auto-close: error alerts (2 firing hours) merged into incidents that close
+    after 3 quiet hours."""
+    flags = M.request_metrics(_ev(spark, sf_dir), "3600 seconds")
+    return M.incidents(flags, "error_alert", 3600, 2 * 3600, 3 * 3600)

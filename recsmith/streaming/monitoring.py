@@ -121,28 +121,64 @@ def active_users(events: DataFrame, window: str = "86400 seconds") -> DataFrame:
     return agg.select(*_window_cols(), "active_users", (F.col("active_users") < ACTIVE_USERS_MIN).alias("alert"))
 
 
+def _firing_runs(flags: DataFrame, flag_col: str, window_seconds: int) -> DataFrame:
+    """Firing windows with their run id (window number minus position among firing windows)
+    and run length.  Positions come from the global index (no single-partition window)."""
+    firing = (flags.where(F.col(flag_col))
+                   .select("window_start",
+                           F.floor(F.unix_micros(F.col("window_start").cast("timestamp")) / (window_seconds * 1_000_000))
+                            .cast("long").alias("wno")))
+    idx = with_global_index(firing, [F.col("wno").asc()], "pos")
+    runs = idx.withColumn("run", F.col("wno") - F.col("pos"))
+    sizes = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n_windows"))
+    return runs.join(sizes, "run")
+
+
 def sustained_alerts(flags: DataFrame, flag_col: str, window_seconds: int = 60,
                      hold_seconds: int = CONDITION_SECONDS) -> DataFrame:
     """Runs of consecutive firing windows lasting at least ``hold_seconds``.
 
     Gaps-and-islands on the window number: a run's id is the window number minus
-    the firing window's position among all firing windows (global index, no
-    single-partition window).  Returns (alert_start, alert_end, n_windows).
+    the firing window's position among all firing windows.  Returns
+    (alert_start, alert_end, n_windows).
     """
     need = max(1, hold_seconds // window_seconds)
-    firing = (flags.where(F.col(flag_col))
-                   .select("window_start",
-                           F.floor(F.unix_micros(F.col("window_start").cast("timestamp")) / (window_seconds * 1_000_000))
-                            .cast("long").alias("wno")))
-    idx = with_global_index(firing, [F.col("wno").asc()], "pos")
-    runs = (idx.withColumn("run", F.col("wno") - F.col("pos"))
-               .groupBy("run").agg(F.min("window_start").alias("alert_start"),
-                                   F.max("window_start").alias("last_window"),
-                                   F.count(F.lit(1)).alias("n_windows")))
-    return (runs.where(F.col("n_windows") >= need)
-                .select("alert_start",
-                        (F.col("last_window") + F.make_interval(secs=F.lit(window_seconds))).alias("alert_end"),
-                        "n_windows"))
+    runs = _firing_runs(flags, flag_col, window_seconds).where(F.col("n_windows") >= need)
+    agg = runs.groupBy("run").agg(F.min("window_start").alias("alert_start"),
+                                  F.max("window_start").alias("last_window"),
+                                  F.max("n_windows").alias("n_windows"))
+    return agg.select("alert_start",
+                      (F.col("last_window") + F.make_interval(secs=F.lit(window_seconds))).alias("alert_end"),
+                      "n_windows")
+
+
+def incidents(flags: DataFrame, flag_col: str, window_seconds: int = 60, hold_seconds: int = CONDITION_SECONDS,
+              auto_close_seconds: int = AUTO_CLOSE_SECONDS) -> DataFrame:
+    """T8 with auto-close: alerts (runs held for ``hold_seconds``) separated by less than
+    ``auto_close_seconds`` of quiet belong to one incident.  Returns
+    (incident_start, incident_end, n_alerts).
+
+    The incidents are sessions over the alerting windows with a gap of
+    auto-close + one window, computed by the range-partitioned session operator.
+    """
+    need = max(1, hold_seconds // window_seconds)
+    wins = (_firing_runs(flags, flag_col, window_seconds).where(F.col("n_windows") >= need)
+            .select(F.lit("alert").alias("_k"), F.col("window_start").cast("timestamp").alias("ws"), "run"))
+    # a new incident iff quiet time (next start - previous end) >= auto-close,
+    # i.e. window starts differ by more than auto-close + window - 1 microsecond
+    s = sequence.sessions(wins, "_k", "ws", auto_close_seconds + window_seconds, gap_micros_adjust=-1)
+    agg = s.groupBy("session_start").agg(F.max("ws").alias("_last"), F.count_distinct("run").alias("n_alerts"))
+    return agg.select(F.col("session_start").cast("timestamp_ntz").alias("incident_start"),
+                      (F.col("_last") + F.make_interval(secs=F.lit(window_seconds))).cast("timestamp_ntz")
+                      .alias("incident_end"), "n_alerts")
+
+
+def error_rate_alerts(events: DataFrame, threshold: float, window_seconds: int = 60,
+                      hold_seconds: int = CONDITION_SECONDS) -> DataFrame:
+    """Error rate above ``threshold`` held for ``hold_seconds`` (T5 uses 0.01)."""
+    flags = request_metrics(events, f"{window_seconds} seconds")
+    flags = flags.withColumn("_firing", F.col("error_rate") > threshold)
+    return sustained_alerts(flags, "_firing", window_seconds, hold_seconds)
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:

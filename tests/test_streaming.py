@@ -78,3 +78,26 @@ def test_stream_active_users(spark):
     q.stop()
     got = {r.window_start: r.active_users for r in spark.sql("SELECT * FROM active_out").collect()}
     assert got[T0] == 2 and got[T0 + dt.timedelta(days=1)] == 1
+
+
+def test_incidents_auto_close(spark):
+    # alert runs (>= 5 firing minutes) at 0-4, 20-26 and 70-74; auto-close 1800 s merges the first two
+    minutes = list(range(0, 5)) + list(range(20, 27)) + list(range(70, 75)) + [90, 91]
+    rows = [_ev(i, 60 * m, "error") for i, m in enumerate(minutes)]
+    flags = M.request_metrics(spark.createDataFrame(rows, M.EVENT_SCHEMA))
+    got = sorted((r.incident_start, r.incident_end, r.n_alerts)
+                 for r in M.incidents(flags, "error_alert", 60, 300, 1800).collect())
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+    assert got == [(m(0), m(27), 2), (m(70), m(75), 1)]
+    # quiet time of exactly auto-close opens a new incident
+    rows = [_ev(i, 60 * x, "error") for i, x in enumerate(list(range(0, 5)) + list(range(35, 40)))]
+    flags = M.request_metrics(spark.createDataFrame(rows, M.EVENT_SCHEMA))
+    assert M.incidents(flags, "error_alert", 60, 300, 1800).count() == 2
+
+
+def test_prediction_error_alerts(spark):
+    rows = [_ev(i, 60 * m, "error" if m % 2 == 0 else "view") for i, m in enumerate(range(12))]
+    rows += [_ev(100 + i, 60 * m + 1, "view") for i, m in enumerate(range(12))]
+    alerts = M.error_rate_alerts(spark.createDataFrame(rows, M.EVENT_SCHEMA), 0.01, 60, 300).collect()
+    # only even minutes have errors: no 5 consecutive firing minutes
+    assert alerts == []
