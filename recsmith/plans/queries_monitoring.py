@@ -194,3 +194,13 @@ def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     after 3 quiet hours."""
     flags = M.request_metrics(_ev(spark, sf_dir), "3600 seconds")
     return M.incidents(flags, "error_alert", 3600, 2 * 3600, 3 * 3600)
+
+
+@register("recommendation_mix_by_location", oracle("""
+SELECT location, genre, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY location) AS share
+FROM recs r LEFT JOIN users u USING (user_id) LEFT JOIN items i USING (item_id)
+GROUP BY location, genre""", osql.chain(10)))
+def q_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genre mix of the top-10 lists by user location."""
+    c = local_chain.prepare_fixture(spark, sf_dir)
+    return M.recommendation_mix(local_chain.recommendations(c, 10), c.users, c.items)

@@ -244,6 +244,15 @@ def most_recommended(recs: DataFrame, items: DataFrame) -> DataFrame:
              .withColumn("share", F.col("times_recommended") / total))
 
 
+def recommendation_mix(recs: DataFrame, users: DataFrame, items: DataFrame, by: str = "location") -> DataFrame:
+    """Genre mix of the recommended items by a user attribute (place by default)."""
+    j = (recs.join(users.select("user_id", by), "user_id", "left")
+             .join(items.select("item_id", "genre"), "item_id", "left"))
+    counts = j.groupBy(by, "genre").agg(F.count(F.lit(1)).alias("n"))
+    totals = j.groupBy(by).agg(F.count(F.lit(1)).alias("_total"))
+    return counts.join(totals, by, "left").select(by, "genre", "n", (F.col("n") / F.col("_total")).alias("share"))
+
+
 def freshness(events: DataFrame, as_of=None, key: str = "event_type") -> DataFrame:
     """Age in seconds of the newest row per key at ``as_of`` (default: newest row overall)."""
     e = _with_event_time(events)
