@@ -24,9 +24,18 @@ def _staged(df: DataFrame, key: str, order: list[Column], num_partitions: int |
                          .withColumn("_pid", F.spark_partition_id()))
 
 
+def _small(df: DataFrame, small_rows: int | None) -> bool:
+    from recsmith.operators.split import SMALL_INDEX_ROWS
+    return df.count() <= (SMALL_INDEX_ROWS if small_rows is None else small_rows)
+
+
 def previous_value(df: DataFrame, key: str, order: list[Column], value: str, out: str,
-                   num_partitions: int | None = None) -> DataFrame:
-    """``out`` = ``value`` of the previous row of the same ``key`` in ``order`` (NULL for the first)."""
+                   num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
+    """``out`` = ``value`` of the previous row of the same ``key`` in ``order`` (NULL for the first).
+
+    Tables up to ``SMALL_INDEX_ROWS`` rows (checked) use a plain per-key window."""
+    if _small(df, small_rows):
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
     staged = _staged(df, key, order, num_partitions)
     w = Window.partitionBy("_pid").orderBy(F.col(key).asc_nulls_first(), *order)
     rows = (staged.withColumn("_prev_key", F.lag(key).over(w))
@@ -44,7 +53,7 @@ def previous_value(df: DataFrame, key: str, order: list[Column], value: str, out
 
 
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions: int | None = None,
-             gap_micros_adjust: int = 0) -> DataFrame:
+             gap_micros_adjust: int = 0, small_rows: int | None = None) -> DataFrame:
     """Session start of every row: a row opens a session when it is the key's first row or
     ``ts - previous ts > gap``.  Returns ``df`` + ``session_start``.
 
@@ -54,9 +63,19 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions:
     table in partition order (bounded by the partition count).
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    gap = gap_seconds * 1_000_000 + gap_micros_adjust
+    if _small(df, small_rows):
+        # checked small table: plain per-key windows
+        w = Window.partitionBy(key).orderBy("_t")
+        t = df.withColumn("_t", micros)
+        prev_t = F.lag("_t").over(w)
+        t = t.withColumn("_open", prev_t.isNull() | (F.col("_t") - prev_t > gap))
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        t = t.withColumn("_s", F.max(F.when(F.col("_open"), F.col("_t"))).over(run))
+        return (t.withColumn("session_start", F.timestamp_micros("_s").cast(df.schema[ts].dataType))
+                 .drop("_t", "_open", "_s"))
     staged = _staged(df.withColumn("_t", micros), key, [F.col("_t").asc()], num_partitions)
     w = Window.partitionBy("_pid").orderBy(F.col(key).asc_nulls_first(), F.col("_t").asc())
-    gap = gap_seconds * 1_000_000 + gap_micros_adjust
     prev_k, prev_t = F.lag(key).over(w), F.lag("_t").over(w)
     # as Spark's session_window: an event exactly ``gap`` after the previous one stays in the session
     opens = prev_k.isNull() | (prev_k != F.col(key)) | (F.col("_t") - prev_t > gap)

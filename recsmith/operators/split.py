@@ -27,13 +27,26 @@ def sort_key(df: DataFrame, time_col: str | None = "timestamp",
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
+# Inputs up to this many rows are numbered by one ordered window (one task, bounded by
+# this check); larger inputs take the range-partitioned path below.
+SMALL_INDEX_ROWS = 1_000_000
+
+
 def with_global_index(df: DataFrame, order: list[Column], index_col: str = "row_idx",
-                      total_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                      total_col: str | None = None, num_partitions: int | None = None,
+                      small_rows: int | None = None, known_rows: int | None = None) -> DataFrame:
     """Add a 0-based position of every row in ``order`` (and optionally the row total).
 
-    One range shuffle, one write of the numbered rows, two scans of that copy
-    (one for the per-partition counts) and no single-partition step over the rows.
+    ``order`` must be total up to identical rows, so positions are a function of the
+    data.  Above ``SMALL_INDEX_ROWS`` rows (checked by a count): one range shuffle,
+    one write of the numbered rows, two scans of that copy (one for the
+    per-partition counts) and no single-partition step over the rows.
     """
+    limit = SMALL_INDEX_ROWS if small_rows is None else small_rows
+    rows = df.count() if known_rows is None else known_rows
+    if rows <= limit:
+        out = df.withColumn(index_col, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
+        return out.withColumn(total_col, F.lit(rows).cast("long")) if total_col else out
     n = num_partitions or shuffle_partitions(df.sparkSession)
     # Range bounds come from sampling, which Spark may redo differently on another
     # evaluation; the numbered rows are therefore written once and both the counts
@@ -110,7 +123,8 @@ def flag_temporal_split(interactions: DataFrame, test_ratio: float = 0.2, min_te
     outside = keyed.where(~in_band).withColumn("is_test", F.col("_key") > t_hi).drop("_key")
     band = keyed.where(in_band).drop("_key")
     k_band = test_size - c["above"]
-    ranked = with_global_index(band, order, "_idx", "_n", num_partitions)
+    ranked = with_global_index(band, order, "_idx", "_n", num_partitions,
+                               known_rows=c["from_lo"] - c["above"])
     band_flag = ranked.withColumn("is_test", F.col("_idx") >= F.col("_n") - k_band).drop("_idx", "_n")
     return outside.unionByName(band_flag)
 

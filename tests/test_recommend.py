@@ -55,3 +55,19 @@ def test_other_users_items_matches_definition(spark):
             want.add((int(u), rank, int(i)))
     got = {tuple(r) for r in R.other_users_items(c.test, 10).collect()}
     assert got == want
+
+
+def test_large_input_path_end_to_end(spark, monkeypatch):
+    """Force the range-partitioned path of every global index and sequence operator."""
+    from recsmith.operators import split
+    monkeypatch.setattr(split, "SMALL_INDEX_ROWS", 0)
+    c = local_chain.prepare_fixture(spark, SF_SMALL)
+    got = R.top_k_unseen(c.users, c.items, c.scores, c.history, c.targets, 10, num_partitions=5)
+    want = R.top_k_unseen_bruteforce(c.users, c.scores, c.history, c.targets, 10)
+    assert sorted(got.collect()) == sorted(want.collect())
+    c0 = local_chain.prepare_fixture(spark, SF_SMALL, min_test=0)
+    pdf = c0.test.toPandas().sort_values(["timestamp", "user_id", "item_id", "interaction_type", "rating",
+                                          "session_id", "line_number"], kind="mergesort")
+    want_w10 = {(int(u), rank, int(i)) for u in pdf.user_id.unique()
+                for rank, i in enumerate(pdf[pdf.user_id != u].item_id.unique()[:10], 1)}
+    assert {tuple(r) for r in R.other_users_items(c0.test, 10).collect()} == want_w10

@@ -25,8 +25,8 @@ def test_previous_value_matches_lag(spark):
     df = spark.createDataFrame(_events(2000, 5), M.EVENT_SCHEMA)
     order = [F.col("ts").asc(), F.col("event_id").asc()]
     want = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("user_id").orderBy(*order)))
-    for parts in (1, 4, 9):
-        got = S.previous_value(df, "user_id", order, "ts", "prev", parts)
+    for parts, small in ((1, 0), (4, 0), (9, 0), (4, None)):
+        got = S.previous_value(df, "user_id", order, "ts", "prev", parts, small_rows=small)
         assert sorted(got.select("event_id", "prev").collect()) == sorted(want.select("event_id", "prev").collect())
 
 
@@ -34,8 +34,8 @@ def test_sessions_match_session_window(spark):
     df = spark.createDataFrame(_events(3000, 6), M.EVENT_SCHEMA)
     want = sorted(tuple(r) for r in M.sessions(df, "30 minutes")
                   .select("user_id", "session_start", "n_events").collect())
-    for parts in (1, 3, 8):
-        s = S.sessions(df, "user_id", "ts", 1800, parts)
+    for parts, small in ((1, 0), (3, 0), (8, 0), (3, None)):
+        s = S.sessions(df, "user_id", "ts", 1800, parts, small_rows=small)
         got = s.groupBy("user_id", "session_start").agg(F.count(F.lit(1)).alias("n")).collect()
         got = sorted((r.user_id, r.session_start, r.n) for r in got)
         assert got == want

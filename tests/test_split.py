@@ -21,8 +21,8 @@ SCHEMA = "user_id long, item_id long, rating double, timestamp timestamp"
 def test_global_index_matches_row_number(spark):
     df = spark.createDataFrame(_rows(300, 1), SCHEMA)
     order = split.sort_key(df, "timestamp")
-    for parts in (1, 3, 7):
-        got = split.with_global_index(df, order, "idx", "n", parts)
+    for parts, small in ((1, 0), (3, 0), (7, 0), (3, None)):
+        got = split.with_global_index(df, order, "idx", "n", parts, small_rows=small)
         want = df.withColumn("idx", F.row_number().over(Window.orderBy(*order)) - 1)
         assert sorted(map(str, got.drop("n").collect())) == sorted(map(str, want.collect()))
         assert {r.n for r in got.select("n").distinct().collect()} == {300}
