@@ -368,3 +368,13 @@ def running_user_stats(stream: DataFrame, out_dir: str, checkpoint: str, trigger
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger_once: bool = False):
+    """S8 / T1-T7 sink: append finished windows (or log rows) to files; exactly-once through
+    the checkpoint.  Windowed aggregates must carry a watermark (append mode)."""
+    writer = (df.writeStream.outputMode("append").format(fmt).option("path", path)
+                .option("checkpointLocation", checkpoint))
+    if trigger_once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -101,3 +101,15 @@ def test_prediction_error_alerts(spark):
     alerts = M.error_rate_alerts(spark.createDataFrame(rows, M.EVENT_SCHEMA), 0.01, 60, 300).collect()
     # only even minutes have errors: no 5 consecutive firing minutes
     assert alerts == []
+
+
+def test_file_sink_appends_closed_windows(spark):
+    root = tempfile.mkdtemp(prefix="recsmith-sink-")
+    _batch(spark, [_ev(1, 5), _ev(2, 65), _ev(3, 400)], root, "b0")
+    stream = M.read_event_stream(spark, os.path.join(root, "in", "*"))
+    q = M.write_stream(M.stream_request_metrics(stream), os.path.join(root, "out"), os.path.join(root, "ck"),
+                       trigger_once=True)
+    q.awaitTermination()
+    got = sorted((r.window_start, r.n_requests) for r in spark.read.parquet(os.path.join(root, "out")).collect())
+    # the watermark (400 s - 2 min) has passed the first two windows only
+    assert got == [(T0, 1), (T0 + dt.timedelta(seconds=60), 1)]
