@@ -7,8 +7,6 @@ per-user aggregates and one global mean; no per-user scans, no driver loops.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

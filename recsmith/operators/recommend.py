@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recsmith.functions.columns import parse_genres
 from recsmith.operators.split import with_global_index

@@ -2,7 +2,6 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from recsmith.functions import columns as C
 from recsmith.operators import aggregates as A

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from recsmith.operators import recommend as R
 from recsmith.plans import local_chain
 from tests.conftest import SF_SMALL
