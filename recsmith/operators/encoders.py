@@ -123,3 +123,22 @@ def fill_missing(df: DataFrame, values: dict) -> DataFrame:
 def save_lookup(lookup: DataFrame, path: str) -> None:
     """Fitted state as a Parquet table."""
     lookup.write.mode("overwrite").parquet(path)
+
+
+def save_fitted(fitted: dict, path: str) -> None:
+    """A fitted feature transform (encoder lookup + scaler state + column lists) as tables."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if fitted.get("lookup") is not None:
+        fitted["lookup"].write.mode("overwrite").parquet(f"{path}/lookup")
+    fitted["scaler"].write.mode("overwrite").parquet(f"{path}/scaler")
+    spark.createDataFrame([(",".join(fitted["cat"]), ",".join(fitted["num"]))], "cat string, num string") \
+         .write.mode("overwrite").json(f"{path}/columns")
+
+
+def load_fitted(spark, path: str) -> dict:
+    cols = spark.read.json(f"{path}/columns").first()
+    cat = [c for c in (cols["cat"] or "").split(",") if c]
+    num = [c for c in (cols["num"] or "").split(",") if c]
+    lookup = spark.read.parquet(f"{path}/lookup") if cat else None
+    return {"cat": cat, "num": num, "lookup": lookup, "scaler": spark.read.parquet(f"{path}/scaler")}

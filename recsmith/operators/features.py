@@ -77,6 +77,12 @@ def time_since_last(interactions: DataFrame, time_col: str = "timestamp") -> Dat
     return out.withColumn("time_since_last", F.coalesce(secs, F.lit(0.0))).drop("_prev_ts")
 
 
+def known_interactions(interactions: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Interactions whose user and item are in the tables (semi joins on the ids only)."""
+    return (interactions.join(users.select("user_id"), "user_id", "left_semi")
+                        .join(items.select("item_id"), "item_id", "left_semi"))
+
+
 def user_item_affinity(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """0.5 * genre match + 0.3 * quality + 0.2 * popularity; 0.5 if user or item unknown."""
     u = users.select("user_id", C.parse_genres("preferred_genres").alias("_pref"), F.lit(True).alias("_u_known"))

@@ -77,6 +77,14 @@ def column_statistics(df: DataFrame) -> DataFrame:
                           "(column, dtype, n_null, n_distinct, min, max, mean, std, min_length, max_length)")
 
 
+def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
+    """V1: the ``n`` most frequent values of a column with counts (a top-k report), ties by value."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("value")) \
+               .agg(F.count(F.lit(1)).alias("count"))
+    return counts.orderBy(F.col("count").desc(), F.col("value").asc()).limit(n) \
+                 .select(F.lit(col).alias("column"), "value", "count")
+
+
 def infer_schema(df: DataFrame, max_domain: int = MAX_DOMAIN_SIZE) -> DataFrame:
     """V2: (column, dtype, required, min, max, domain) from statistics.
 

@@ -385,3 +385,12 @@ def q_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = local_chain.prepare_fixture(spark, sf_dir)
     sample = R.sample_users(c.targets, 100)
     return R.top_k_unseen(c.users, c.items, c.scores, c.history, sample, 10)
+
+
+@register("known_interactions", oracle("""
+SELECT * FROM interactions
+WHERE user_id IN (SELECT user_id FROM users) AND item_id IN (SELECT item_id FROM items)"""))
+def q_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions with a known user and a known item."""
+    t = _t(spark, sf_dir)
+    return FE.known_interactions(t["interactions"], t["users"], t["items"])

@@ -152,3 +152,18 @@ def q_drift_num(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = local_chain.prepare_fixture(spark, sf_dir)
     out = V.numeric_drift(c.train, c.test, "rating")
     return out.withColumn("js_divergence", F.round("js_divergence", 9))
+
+
+@register("interaction_top_values", oracle("""
+SELECT "column", value, count FROM (
+  SELECT 'interaction_type' AS "column", CAST(interaction_type AS VARCHAR) AS value, count(*) AS count,
+    row_number() OVER (ORDER BY count(*) DESC, CAST(interaction_type AS VARCHAR)) AS rn
+  FROM interactions WHERE interaction_type IS NOT NULL GROUP BY interaction_type
+  UNION ALL
+  SELECT 'item_id', CAST(item_id AS VARCHAR), count(*),
+    row_number() OVER (ORDER BY count(*) DESC, CAST(item_id AS VARCHAR))
+  FROM interactions WHERE item_id IS NOT NULL GROUP BY item_id) WHERE rn <= 10"""))
+def q_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1: ten most frequent values of two interaction columns (top-k report)."""
+    i = fixtures.tables(spark, sf_dir)["interactions"]
+    return V.top_values(i, "interaction_type").unionByName(V.top_values(i, "item_id"))

@@ -141,3 +141,15 @@ def test_svd_matches_numpy_up_to_sign(spark):
     for j in range(3):
         col = np.array([got[i][j] for i in range(6)])
         assert min(np.abs(col - us[:, j]).max(), np.abs(col + us[:, j]).max()) < 1e-9
+
+
+def test_fitted_transform_round_trip(spark):
+    from recsmith.operators import encoders as E
+    from recsmith.operators import features as FE
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, 2.0), (None, 5.0, 4.0)], "g string, x double, rating double")
+    m1, inputs, fitted = FE.model_matrix(df)
+    root = tempfile.mkdtemp(prefix="recsmith-fitted-")
+    E.save_fitted(fitted, root)
+    m2, inputs2, _ = FE.model_matrix(df, fitted=E.load_fitted(spark, root))
+    assert inputs == inputs2 == ["g", "x"]
+    assert sorted(m1.select(*inputs).collect()) == sorted(m2.select(*inputs).collect())
