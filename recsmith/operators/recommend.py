@@ -152,25 +152,6 @@ def top_k_unseen(users: DataFrame, items: DataFrame, scores: DataFrame, history:
                  .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", "score"))
 
 
-def top_k_unseen_bruteforce(users: DataFrame, scores: DataFrame, history: DataFrame,
-                            targets: DataFrame, k: int = 10) -> DataFrame:
-    """J7 as written: every target user against the whole catalogue.
-
-    O(users * items).  Kept only as the check for ``top_k_unseen`` on small data.
-    """
-    prefs = (targets.select("user_id").distinct()
-                    .join(users.select("user_id", parse_genres("preferred_genres").alias("pref")),
-                          "user_id", "left"))
-    bonus = F.when(F.coalesce(F.array_contains("pref", F.col("genre")), F.lit(False)),
-                   F.lit(GENRE_BONUS)).otherwise(F.lit(0.0))
-    cands = (prefs.crossJoin(scores.select("item_id", "genre", "base_score"))
-                  .join(history.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_anti")
-                  .select("user_id", "item_id", (F.col("base_score") + bonus).alias("score")))
-    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").desc())
-    return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-                 .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", "score"))
-
-
 def sample_users(candidates: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """A deterministic sample of ``n`` users (order by a seeded hash, then limit).
 
