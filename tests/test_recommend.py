@@ -90,3 +90,9 @@ def test_large_input_path_end_to_end(spark, monkeypatch):
     want_w10 = {(int(u), rank, int(i)) for u in pdf.user_id.unique()
                 for rank, i in enumerate(pdf[pdf.user_id != u].item_id.unique()[:10], 1)}
     assert {tuple(r) for r in R.other_users_items(c0.test, 10).collect()} == want_w10
+
+
+def test_lists_view_keeps_rank_order(spark):
+    recs = spark.createDataFrame([(1, 2, 20), (1, 1, 10), (1, 3, 5), (2, 1, 7)], "user_id long, rank long, item_id long")
+    got = {r.user_id: r["items"] for r in R.recommendations_as_lists(recs).collect()}
+    assert got == {1: [10, 20, 5], 2: [7]}

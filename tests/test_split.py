@@ -71,3 +71,11 @@ def test_hash_split_is_stable(spark):
     a2, _ = split.hash_split(df.repartition(7), ["user_id"], 0.8)
     assert a.count() + b.count() == 1000
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in a2.collect())
+
+
+def test_random_split_is_seeded_and_complete(spark):
+    df = spark.range(2000)
+    a, b = split.random_split(df, 0.8, seed=42)
+    a2, _ = split.random_split(df, 0.8, seed=42)
+    assert a.count() + b.count() == 2000 and 1400 < a.count() < 1800
+    assert sorted(r.id for r in a.collect()) == sorted(r.id for r in a2.collect())
