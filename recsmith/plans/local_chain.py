@@ -33,8 +33,9 @@ class ChainInputs:
 
 def prepare(users: DataFrame, items: DataFrame, interactions: DataFrame,
             test_ratio: float = TEST_RATIO, min_test: int = 1) -> ChainInputs:
-    # The split table is read by every later step: write it once.
-    flagged = materialize(split.flag_temporal_split(interactions, test_ratio, min_test=min_test))
+    # The split is filters on the stored input plus a small ranked band whose positions
+    # are a function of the data: each consumer re-reads it instead of a full rewrite.
+    flagged = split.flag_temporal_split(interactions, test_ratio, min_test=min_test)
     train = flagged.where(~F.col("is_test")).drop("is_test")
     test = flagged.where(F.col("is_test")).drop("is_test")
     scores = materialize(recommend.base_scores(items, train))
