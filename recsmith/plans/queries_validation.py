@@ -167,3 +167,27 @@ def q_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1: ten most frequent values of two interaction columns (top-k report)."""
     i = fixtures.tables(spark, sf_dir)["interactions"]
     return V.top_values(i, "interaction_type").unionByName(V.top_values(i, "item_id"))
+
+
+def _infer_sql() -> str:
+    dtypes = {"item_id": "bigint", "title": "string", "genre": "string", "popularity_score": "double",
+              "quality_score": "double", "price": "double", "language": "string"}
+    parts = []
+    for c, t in dtypes.items():
+        num = t != "string"
+        dom = ("CAST(NULL AS VARCHAR)" if num else
+               f"CASE WHEN count(DISTINCT {c}) <= {V.MAX_DOMAIN_SIZE} "
+               f"THEN array_to_string(list_sort(list_distinct(list({c}))), '|') END")
+        parts.append(f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(*) = count({c}) AS required,
+  {f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"} AS min,
+  {f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"} AS max,
+  {dom} AS domain
+FROM items""")
+    return oracle("\nUNION ALL\n".join(parts))
+
+
+@register("inferred_item_schema", _infer_sql())
+def q_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: schema inferred from the catalogue's statistics; small string domains as sorted '|'-joined lists."""
+    out = V.infer_schema(fixtures.tables(spark, sf_dir)["items"])
+    return out.withColumn("domain", F.array_join("domain", "|"))
