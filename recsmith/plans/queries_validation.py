@@ -191,3 +191,29 @@ def q_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2: schema inferred from the catalogue's statistics; small string domains as sorted '|'-joined lists."""
     out = V.infer_schema(fixtures.tables(spark, sf_dir)["items"])
     return out.withColumn("domain", F.array_join("domain", "|"))
+
+
+def _widen_sql() -> str:
+    dtypes = {"user_id": "bigint", "item_id": "bigint", "interaction_type": "string", "rating": "double",
+              "timestamp": "timestamp_ntz", "session_id": "bigint", "line_number": "int"}
+    parts = []
+    for c, t in dtypes.items():
+        num = t not in ("string", "timestamp_ntz")
+        side = f"""SELECT count(*) = count({c}) AS req,
+  {f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"} AS lo,
+  {f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"} AS hi,
+  {f"count(DISTINCT {c}) <= {V.MAX_DOMAIN_SIZE}" if t == "string" else "false"} AS small,
+  list_distinct(list({c})) AS vals"""
+        parts.append(f"""SELECT '{c}' AS "column", '{t}' AS dtype, o.req AND n.req AS required,
+  least(o.lo, n.lo) AS min, greatest(o.hi, n.hi) AS max,
+  CASE WHEN o.small AND n.small THEN array_to_string(list_sort(list_distinct(o.vals || n.vals)), '|') END AS domain
+FROM ({side} FROM train) o, ({side} FROM test) n""")
+    return oracle("\nUNION ALL\n".join(parts), osql.split_ctes())
+
+
+@register("widened_interaction_schema", _widen_sql())
+def q_widen_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4: schema inferred from the train rows, widened by the test rows of the time split."""
+    c = local_chain.prepare_fixture(spark, sf_dir)
+    out = V.update_schema(V.infer_schema(c.train), c.test)
+    return out.withColumn("domain", F.array_join("domain", "|"))
