@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from recsmith.llm import mixing
+from recsmith.llm import mixing, simhash
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
+    "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
 }
 
