@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from recsmith.llm import mixing, simhash
+from recsmith.llm import bpe, mixing, simhash, token_counts
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
+    "op2_token_counts": token_counts.op2_token_counts,
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
+    "op8_bpe": bpe.op8_bpe,
 }
 
 ORACLES: dict[str, str] = {
