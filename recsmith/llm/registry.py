@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from recsmith.llm import bpe, mixing, simhash, token_counts
+from recsmith.llm import bpe, mixing, quality, simhash, token_counts, toxicity
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op2_token_counts": token_counts.op2_token_counts,
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
+    "op5_quality": quality.op5_quality,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op8_bpe": bpe.op8_bpe,
 }
 
