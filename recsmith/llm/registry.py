@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recsmith.llm import bpe, mixing, quality, simhash, token_counts, toxicity
+from recsmith.llm import bpe, mixing, quality, simhash, token_counts, topk, toxicity
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -12,8 +12,10 @@ QUERIES: dict[str, Query] = {
     "op5_quality": quality.op5_quality,
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_bpe": bpe.op8_bpe,
+    "op9_topk": topk.op9_topk,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.oracle(),
+    "op9_topk": topk.ORACLE,
 }
