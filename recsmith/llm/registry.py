@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recsmith.llm import bpe, mixing, quality, simhash, token_counts, topk, toxicity
+from recsmith.llm import bpe, embedding_dedup, mixing, quality, simhash, token_counts, topk, toxicity
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -11,6 +11,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": mixing.op4_mixing,
     "op5_quality": quality.op5_quality,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_topk": topk.op9_topk,
 }
