@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from recsmith.llm import bpe, embedding_dedup, mixing, quality, simhash, token_counts, topk, toxicity
+from recsmith.llm import bpe, embedding_dedup, mixing, quality, simhash, token_counts, topk, toxicity, warc
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": warc.op1_warc,
     "op2_token_counts": token_counts.op2_token_counts,
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
@@ -17,6 +18,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": warc.ORACLE,
     "op4_mixing": mixing.oracle(),
     "op9_topk": topk.ORACLE,
 }
