@@ -46,7 +46,8 @@ _WS = "\t-\r \x85\xa0  -     　"
 RUNS = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
 #: Below this character the regex module and the tokenizers library classify letters and numbers alike.
 _AGREED = "ɐ"
-CACHE_RUNS = 200_000  # entries of a worker's table of runs; a full table is begun anew
+CACHE_RUNS = 600_000  # runs a worker keeps: a full table becomes the old one, whose entries return when met again
+_TOKEN = -1
 
 
 def default_tokenizer_path() -> str:
@@ -84,11 +85,13 @@ class Automaton:
         for rank, m in enumerate(merges):
             a, b = m.split(" ") if isinstance(m, str) else m
             self._gadget(vocab[a], vocab[b], vocab[a + b], rank)
-        self.arcs: dict[tuple[int, int], bool] = {}
-        self.trie: dict[int, int] = {}
-        self.accept: list[int] = [-1]
+        self.arcs: dict[int, dict[int, bool]] = {i: {} for i in self.born}
+        self.trie: dict = {}  # byte -> next node; at _TOKEN the label's token
         for i in self.born:
-            self._insert(self.label[i], i)
+            node = self.trie
+            for byte in self.label[i]:
+                node = node.setdefault(byte, {})
+            node[_TOKEN] = i
 
     def _gadget(self, a: int, b: int, c: int, rank: int) -> None:
         if c in self.born or a not in self.born or b not in self.born:
@@ -96,22 +99,11 @@ class Automaton:
         self.born[c], self.left[c], self.right[c] = rank, a, b
         self.cut[a, b] = rank
 
-    def _insert(self, label: bytes, token: int) -> None:
-        node = 0
-        for byte in label:
-            key = node << 8 | byte
-            nxt = self.trie.get(key)
-            if nxt is None:
-                nxt = self.trie[key] = len(self.accept)
-                self.accept.append(-1)
-            node = nxt
-        self.accept[node] = token
-
     def follows(self, u: int, v: int) -> bool:
         """Has the state after u an arc labelled v?"""
-        known = self.arcs.get((u, v))
+        known = self.arcs[u].get(v)
         if known is None:
-            known = self.arcs[u, v] = self._read_arc(u, v)
+            known = self.arcs[u][v] = self._read_arc(u, v)
         return known
 
     def _read_arc(self, u: int, v: int) -> bool:
@@ -127,41 +119,47 @@ class Automaton:
                 now, u = born[u], self.right[u]  # the arcs out of u were copied before it
 
     def encode(self, word: bytes) -> list[int]:
-        trie, accept, n = self.trie, self.accept, len(word)
+        trie, arcs, n = self.trie, self.arcs, len(word)
         out: list[int] = []
         ends = [0]
-        tried: list[list[int]] = []  # at each position of the path: the labels not tried yet, longest last
+        untried: list[list[tuple[int, int]]] = []  # by position of the path: (label, its end) not tried yet, longest last
         dead: set[int] = set()
-
-        def labels(pos: int) -> list[int]:
-            node, found = 0, []
-            while pos < n:
-                node = trie.get(node << 8 | word[pos], -1)
-                if node < 0:
-                    break
-                if accept[node] >= 0:
-                    found.append(accept[node])
-                pos += 1
-            return found
-
-        if not n:
-            return out
-        tried.append(labels(0))
-        while ends[-1] < n:
-            options, pos = tried[-1], ends[-1]
+        pos, fresh = 0, True
+        while pos < n:
+            if fresh:
+                node, at, options = trie, pos, []
+                while at < n:
+                    node = node.get(word[at])
+                    if node is None:
+                        break
+                    at += 1
+                    token = node.get(_TOKEN)
+                    if token is not None:
+                        options.append((token, at))
+                untried.append(options)
+            else:
+                options = untried[-1]
+            state = arcs[out[-1]] if out else None
             while options:
-                t = options.pop()
-                end = pos + len(self.label[t])
-                if end not in dead and (not out or self.follows(out[-1], t)):
-                    out.append(t)
-                    ends.append(end)
-                    tried.append(labels(end))
-                    break
+                token, end = options.pop()
+                if end in dead:
+                    continue
+                if state is not None:
+                    arc = state.get(token)
+                    if arc is None:
+                        arc = self.follows(out[-1], token)
+                    if not arc:
+                        continue
+                out.append(token)
+                ends.append(end)
+                pos, fresh = end, True
+                break
             else:
                 if not out:
                     raise ValueError("no accepting path")
                 dead.add(pos)
-                out.pop(), ends.pop(), tried.pop()
+                out.pop(), ends.pop(), untried.pop()
+                pos, fresh = ends[-1], False
         return out
 
     def decode(self, ids) -> bytes:
@@ -188,36 +186,60 @@ class Codec:
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(PATTERN)
         self.spec, self.library = spec, None
-        self.runs: dict[str, tuple[int, ...]] = {}
+        self.runs: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
     def split(self, run: str) -> list[str]:
+        """The words of one run."""
         if max(run) < _AGREED:
+            body = run[1:] if run[0] == " " else run
+            if body.isalpha():
+                return [run]
+            if body[-1:] in (".", ",") and body[:-1].isalpha():
+                return [run[:-1], run[-1]]
             return self.words.findall(run)
         if self.library is None:
             from tokenizers import Tokenizer
             self.library = Tokenizer.from_str(self.spec).pre_tokenizer
         return [run[a:b] for _, (a, b) in self.library.pre_tokenize_str(run)]
 
-    def _run(self, run: str) -> tuple[int, ...]:
-        ids = tuple(i for w in self.split(run) for i in self.automaton.encode(w.encode("utf-8")))
-        if len(self.runs) >= CACHE_RUNS:
-            self.runs.clear()
-        if len(run) <= 256:  # a longer run is rare and would only fill the table
-            self.runs[run] = ids
-        return ids
+    def _run(self, run: str) -> tuple[tuple[int, ...], str, bytes]:
+        """Of one run: its ids, the ids in decimal, and the labels its arcs emit."""
+        known = self.older.get(run)
+        if known is None:
+            encode = self.automaton.encode
+            ids = tuple([i for w in self.split(run) for i in encode(w.encode("utf-8"))])
+            known = ids, ",".join(map(str, ids)), self.automaton.decode(ids)
+        if len(run) <= 64:  # a longer run is rare and would only fill the table
+            if len(self.runs) >= CACHE_RUNS // 2:
+                self.older, self.runs = self.runs, {}
+            self.runs[run] = known
+        return known
 
-    def encode(self, text: str) -> list[int]:
+    def parts(self, text: str) -> list[tuple[tuple[int, ...], str, bytes]]:
+        """The runs and special strings of a text in order, each as its ids, the ids in decimal and its labels."""
+        known, run = self.runs.get, self._run
         if self.cut_special is None or not any(s in text for s in self.special):
-            known = self.runs.get
-            return list(itertools.chain.from_iterable([known(r) or self._run(r) for r in RUNS.findall(text)]))
-        out: list[int] = []
+            out = []
+            for r in RUNS.findall(text):
+                got = known(r)
+                if got is None:
+                    got = run(r)
+                    known = self.runs.get  # the table may have been begun anew
+                out.append(got)
+            return out
+        out = []
         for part in self.cut_special.split(text):
             if part in self.special:
-                out.append(self.special[part])
+                i = self.special[part]
+                out.append(((i,), str(i), self.automaton.label[i]))
             elif part:
-                out.extend(i for r in RUNS.findall(part) for i in self.runs.get(r) or self._run(r))
+                out.extend(self.parts(part))
         return out
 
+    def encode(self, text: str) -> list[int]:
+        return list(itertools.chain.from_iterable([p[0] for p in self.parts(text)]))
+
     def decode(self, ids) -> str:
         return self.automaton.decode(ids).decode("utf-8", errors="replace")
 
@@ -248,9 +270,11 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
         for b in batches:
             rows: list[tuple] = []
             for text in b.column(1).to_pylist():
-                ids = c.encode(text or "")
-                rows.append((len(ids), _sha256(",".join(map(str, ids)).encode()),
-                             _sha256(c.decode(ids).encode("utf-8")), *[ids] * with_ids))
+                parts = c.parts(text or "")
+                labels = b"".join([p[2] for p in parts])  # labels cut inside a character decode as the whole does
+                rows.append((sum([len(p[0]) for p in parts]), _sha256(",".join([p[1] for p in parts]).encode()),
+                             _sha256(labels.decode("utf-8", errors="replace").encode("utf-8")),
+                             *[[i for p in parts for i in p[0]]] * with_ids))
             cols = list(zip(*rows)) or [()] * (len(schema) - 1)
             yield pa.RecordBatch.from_arrays([b.column(0), *map(lambda v, f: pa.array(v, f.type), cols, list(schema)[1:])],
                                              schema=schema)
