@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recsmith.llm import bpe, embedding_dedup, mixing, quality, simhash, token_counts, topk, toxicity, warc
+from recsmith.llm import bpe, embedding_dedup, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_topk": topk.op9_topk,
+    "op10_secrets": secret_scan.op10_secrets,
 }
 
 ORACLES: dict[str, str] = {
