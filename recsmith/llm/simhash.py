@@ -145,9 +145,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     first = Window.partitionBy("_chosen").orderBy(order)
     kept = (docs.join(chosen, F.col("doc_id").cast("long") == F.col("_chosen"))
             .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*cols))
-    blank = docs.where(F.col("doc_id").isNull())
-    blank = fingerprints(blank, shingle, keep=tuple(c for c in cols if c != "doc_id")).join(
-        named.where(F.col("component_id").isNull()), "fp")
-    lone = Window.partitionBy("root").orderBy("fp", F.xxhash64(*[c for c in cols if c != "doc_id"]))
-    blank = blank.withColumn("_nth", F.row_number().over(lone)).where("_nth = 1").select(*cols)
+    whole = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.struct(*cols).alias("_whole"))
+    blank = fingerprints(whole, shingle, keep=("_whole",)).join(named.where(F.col("component_id").isNull()), "fp")
+    lone = Window.partitionBy("root").orderBy("fp", F.xxhash64("_whole"))
+    blank = blank.withColumn("_nth", F.row_number().over(lone)).where("_nth = 1").select("_whole.*")
     return kept.unionByName(blank)

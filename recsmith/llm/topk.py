@@ -123,7 +123,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE) -> DataF
     queries = materialize(rows.where(is_query)).withColumn("bar", F.lit(float("-inf")))
     schema = "query_id long, vec_id long, score long"
 
-    def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def meet(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         right = right.sort_values(["c_norm", "c_id"], ascending=[False, True], kind="stable")

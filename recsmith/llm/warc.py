@@ -155,7 +155,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
                 body = (html or "").encode("utf-8")
                 hexed = hashlib.sha1(body).hexdigest()
                 head = [("WARC-Type", "response"), ("WARC-Record-ID", record_id(name, count)), ("WARC-Date", DATE)]
-                head += [("WARC-Target-URI", re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", url))] * (url is not None)
+                head += [("WARC-Target-URI", re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", url or ""))] * (url is not None)
                 head += [("X-Page-Id", str(page))] * (page is not None)
                 head += [("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", digest_header(hexed))]
                 out.write(z.compress(record(head, _http(len(body)) + body)))
