@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import round_half_even, safe_ratio, whole_days
@@ -53,21 +53,6 @@ def genre_preferences(interactions: DataFrame, items: DataFrame) -> DataFrame:
                  F.count("rating").alias("genre_interaction_count")))
 
 
-MAX_PIVOT_VALUES = 10_000
-
-
-def genre_values(items: DataFrame, limit: int = MAX_PIVOT_VALUES) -> list[str]:
-    """Pivot values: the distinct genres (a small categorical domain), sorted.
-
-    The count is checked before the values are read: a pivot into more columns
-    than ``limit`` is refused rather than pulled through the driver."""
-    genres = items.select("genre").where(F.col("genre").isNotNull()).distinct()
-    n = genres.count()
-    if n > limit:
-        raise ValueError(f"{n} genres: too many to pivot into columns (limit {limit}); use the long form")
-    return sorted(r[0] for r in genres.collect())
-
-
 def genre_preferences_wide(prefs: DataFrame, genres: list[str]) -> DataFrame:
     """A5: one ``genre_pref_<genre>`` column per genre, absent pairs 0."""
     wide = prefs.groupBy("user_id").pivot("genre", genres).agg(F.first("genre_avg_rating"))
@@ -125,32 +110,35 @@ def _indexed_values(df: DataFrame, col: str) -> DataFrame:
     return with_global_index(vals, [F.col("v").asc()], "pos", "n")
 
 
-def _values_at(idx: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Attach v_lo = value at position ``lo`` and v_hi = value at ``lo + 1`` (0-based).
+def at_positions(position: str, value: str, lo: Column) -> tuple[Column, Column]:
+    """Aggregates: the value at position ``lo`` and the one behind it."""
+    p = F.col(position)
+    return F.max(F.when(p == lo, F.col(value))), F.max(F.when(p == lo + 1, F.col(value)))
+
 
-    ``wanted`` has one row per requested quantile, so only those rows of the
-    sorted column are ever joined."""
-    pts = idx.select("pos", "v")
-    lo = pts.select(F.col("pos").alias("lo"), F.col("v").alias("v_lo"))
-    hi = pts.select((F.col("pos") - 1).alias("lo"), F.col("v").alias("v_hi"))
-    return F.broadcast(wanted).join(lo, "lo", "left").join(hi, "lo", "left")
+def between(low: Column, high: Column, frac: Column) -> Column:
+    """Linear interpolation; the last value has none behind it."""
+    return F.when(high.isNull() | (frac == 0), low).otherwise(low + frac * (high - low))
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     """Exact linear-interpolation quantiles ((n-1)·q, as pandas ``describe``).
 
     Values are range-sorted and given global positions; no task holds the whole
-    column.  Returns one row per probability: (q, value).
+    column.  One pass over the positions keeps two values per probability.
+    Returns one row per probability: (q, value).
     """
     idx = _indexed_values(df, col)
-    n = idx.select(F.max("n")).scalar()
-    qs = df.sparkSession.createDataFrame([(float(p),) for p in probs], "q double")
-    wanted = qs.select("q", ((n - 1) * F.col("q")).alias("h")).withColumn("lo", F.floor("h").cast("long"))
-    a = _values_at(idx, wanted)
-    frac = F.col("h") - F.col("lo")
-    val = F.when(F.col("v_hi").isNull() | (frac == 0), F.col("v_lo")) \
-           .otherwise(F.col("v_lo") + frac * (F.col("v_hi") - F.col("v_lo")))
-    return a.select("q", val.alias("value"))
+    aggs = [F.max("n").alias("n")]
+    for k, q in enumerate(probs):
+        low, high = at_positions("pos", "v", F.floor((F.col("n") - 1) * F.lit(float(q))).cast("long"))
+        aggs += [low.alias(f"low{k}"), high.alias(f"high{k}")]
+    rows = []
+    for k, q in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(q))
+        rows.append(F.struct(F.lit(float(q)).alias("q"),
+                             between(F.col(f"low{k}"), F.col(f"high{k}"), h - F.floor(h).cast("long")).alias("value")))
+    return idx.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.q", "r.value")
 
 
 def exclusive_quantile(df: DataFrame, col: str, i: int, cuts: int) -> DataFrame:
@@ -159,16 +147,14 @@ def exclusive_quantile(df: DataFrame, col: str, i: int, cuts: int) -> DataFrame:
     j = i(m+1) // cuts clamped to 1..m-1, delta = i(m+1) - j·cuts,
     value = (x[j-1]·(cuts-delta) + x[j]·delta) / cuts  (1-based x, m values).
     """
-    idx = _indexed_values(df, col)
-    m = idx.select(F.max("n")).scalar()
-    base = df.sparkSession.range(1).select(F.lit(i * 1).cast("long").alias("i"), m.alias("m"))
-    j = F.least(F.greatest(F.floor(F.col("i") * (F.col("m") + 1) / cuts), F.lit(1)), F.col("m") - 1)
-    wanted = base.withColumn("j", j.cast("long")).withColumn(
-        "delta", F.col("i") * (F.col("m") + 1) - F.col("j") * cuts).withColumn("lo", F.col("j") - 1)
-    a = _values_at(idx, wanted)
-    val = F.when(F.col("m") == 1, F.col("v_lo")).otherwise(
-        (F.col("v_lo") * (F.lit(cuts) - F.col("delta")) + F.col("v_hi") * F.col("delta")) / F.lit(cuts))
-    return a.select(val.alias("value"))
+    m, whole = F.col("n"), F.lit(int(i)).cast("long")
+    j = F.least(F.greatest(F.floor(whole * (m + 1) / cuts), F.lit(1)), m - 1).cast("long")
+    low, high = at_positions("pos", "v", j - 1)
+    one = _indexed_values(df, col).agg(F.max("n").alias("n"), low.alias("low"), high.alias("high"), F.min("v").alias("least"))
+    delta = whole * (m + 1) - j * cuts
+    val = F.when(m == 1, F.col("least")).otherwise(
+        (F.col("low") * (F.lit(cuts) - delta) + F.col("high") * delta) / F.lit(cuts))
+    return one.select(val.alias("value"))
 
 
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:

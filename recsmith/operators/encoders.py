@@ -52,15 +52,23 @@ def label_encode(df: DataFrame, col: str, out_col: str | None = None, fill: str
 def fit_label_encoders(df: DataFrame, cols: list[str], fill: str | None = UNKNOWN) -> DataFrame:
     """P5 for several string columns in one pass: lookup (column, value, code).
 
-    All (column, value) pairs are exploded from one scan, de-duplicated, range
-    sorted and numbered; a value's code is its index minus its column's first index.
+    The distinct (column, value) pairs are range sorted and numbered; a value's code is its index minus its
+    column's first index.
     """
+    return number_labels(label_values(df, cols, fill))
+
+
+def label_values(df: DataFrame, cols: list[str], fill: str | None = UNKNOWN) -> DataFrame:
+    """The distinct (column, value) pairs of several columns, in one scan."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
                                          (F.coalesce(F.col(c).cast("string"), F.lit(fill)) if fill is not None
                                           else F.col(c).cast("string")).alias("value")) for c in cols]))
     values = df.select(pairs.alias("p")).select("p.column", "p.value").distinct()
-    if fill is None:
-        values = values.where(F.col("value").isNotNull())
+    return values if fill is not None else values.where(F.col("value").isNotNull())
+
+
+def number_labels(values: DataFrame) -> DataFrame:
+    """Lookup (column, value, code) of distinct (column, value) pairs."""
     idx = with_global_index(values, [F.col("column").asc(), F.col("value").asc()], "_i")
     first = idx.groupBy(F.col("column").alias("_c")).agg(F.min("_i").alias("_first"))
     return (idx.join(first, idx.column == first._c)
@@ -69,15 +77,25 @@ def fit_label_encoders(df: DataFrame, cols: list[str], fill: str | None = UNKNOW
 
 def apply_label_encoders(df: DataFrame, cols: list[str], lookup: DataFrame, fill: str | None = UNKNOWN,
                          suffix: str = "_encoded") -> DataFrame:
-    """Attach ``<col>_encoded`` for each column from a combined lookup."""
+    """Attach ``<col>_encoded`` for each column from a combined lookup; an unseen value raises at run time.
+
+    Meant for dimension tables: a fact table would be shuffled on keys with few values."""
     out = df
     for c in cols:
-        one = lookup.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("code").alias(c + suffix))
+        one = lookup.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
         key = F.coalesce(F.col(c).cast("string"), F.lit(fill)) if fill is not None else F.col(c).cast("string")
-        out = out.withColumn("_k", key).join(one, F.col("_k") == F.col("_v"), "left").drop("_k", "_v")
+        unseen = F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.col("_k"))).cast("long")
+        out = (out.withColumn("_k", key).join(one, F.col("_k") == F.col("_v"), "left")
+               .withColumn(c + suffix, F.when(F.col("_code").isNotNull() | F.col("_k").isNull(), F.col("_code")).otherwise(unseen))
+               .drop("_k", "_v", "_code"))
     return out
 
 
+def code_of(lookup: DataFrame, column: str, value: str):
+    """The code of one value as a scalar (NULL if it was never fitted)."""
+    return lookup.where((F.col("column") == column) & (F.col("value") == value)).select(F.max("code")).scalar()
+
+
 def fit_standard_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
     """P6 state: one row of mean and population std per column (NULLs ignored)."""
     aggs = []

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from recsmith.functions import columns as C
 from recsmith.operators import aggregates as A
 from recsmith.operators import encoders as E
-from recsmith.operators.sequence import previous_value
+from recsmith.operators.sequence import epoch_micros, previous_value
 
 # Affinity weights and its value for unknown users or items.
 AFFINITY_GENRE = 0.5
@@ -20,20 +20,21 @@ AFFINITY_QUALITY = 0.3
 AFFINITY_POPULARITY = 0.2
 AFFINITY_UNKNOWN = 0.5
 
+# The columns that J1 takes from each table.
 USER_JOIN_COLS = ["age_group", "gender", "location", "subscription_type"]
 ITEM_JOIN_COLS = ["genre", "popularity_score", "quality_score", "price"]
 
 
 def user_features(users: DataFrame, interactions: DataFrame, items: DataFrame,
                   genres: list[str] | None = None) -> DataFrame:
-    """User table + encodings + genre preferences (wide) + A1 statistics + fills + segment."""
+    """User table + encodings + preferences for ``genres`` (wide, a given list) + A1 statistics + fills + segment."""
     out = E.label_encode(users, "user_id", "user_id_encoded", fill=None)
     cats = ["gender", "age_group", "location"]
     out = E.apply_label_encoders(out, cats, E.fit_label_encoders(users, cats))
-    genres = genres if genres is not None else A.genre_values(items)
-    prefs = A.genre_preferences_wide(A.genre_preferences(interactions, items), genres)
     stats = A.user_stats(interactions)
-    out = out.join(prefs, "user_id", "left").join(stats, "user_id", "left")
+    if genres:  # the wide form needs the caller's list; A.genre_preferences is the long form for any number of genres
+        out = out.join(A.genre_preferences_wide(A.genre_preferences(interactions, items), genres), "user_id", "left")
+    out = out.join(stats, "user_id", "left")
     # mean over the users of the table that have statistics (fit on the small stats table)
     mean_avg = stats.join(users.select("user_id"), "user_id", "left_semi").select(F.avg("avg_rating")).scalar()
     out = (out.withColumn("avg_rating", F.coalesce(F.col("avg_rating"), mean_avg))
@@ -73,7 +74,7 @@ def time_since_last(interactions: DataFrame, time_col: str = "timestamp") -> Dat
     order = [F.col(time_col).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in others]
     # range-partitioned previous row: a user with a huge history spans many tasks
     out = previous_value(interactions, "user_id", order, time_col, "_prev_ts")
-    secs = (F.unix_micros(F.col(time_col).cast("timestamp")) - F.unix_micros(F.col("_prev_ts").cast("timestamp"))) / 1e6
+    secs = (epoch_micros(out, time_col) - epoch_micros(out, "_prev_ts")) / 1e6
     return out.withColumn("time_since_last", F.coalesce(secs, F.lit(0.0))).drop("_prev_ts")
 
 
@@ -83,34 +84,53 @@ def known_interactions(interactions: DataFrame, users: DataFrame, items: DataFra
                         .join(items.select("item_id"), "item_id", "left_semi"))
 
 
-def user_item_affinity(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+def affinity(pref, genre, quality, popularity, known):
     """0.5 * genre match + 0.3 * quality + 0.2 * popularity; 0.5 if user or item unknown."""
+    aff = (C.genre_match(pref, genre) * AFFINITY_GENRE + F.col(quality) * AFFINITY_QUALITY
+           + F.col(popularity) * AFFINITY_POPULARITY)
+    return F.when(known, aff).otherwise(F.lit(AFFINITY_UNKNOWN))
+
+
+def user_item_affinity(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """P9 for (user_id, item_id) rows."""
     u = users.select("user_id", C.parse_genres("preferred_genres").alias("_pref"), F.lit(True).alias("_u_known"))
     i = items.select("item_id", F.col("genre").alias("_genre"), F.col("quality_score").alias("_q"),
                      F.col("popularity_score").alias("_p"), F.lit(True).alias("_i_known"))
     j = df.join(u, "user_id", "left").join(i, "item_id", "left")
-    aff = (C.genre_match("_pref", "_genre") * AFFINITY_GENRE + F.col("_q") * AFFINITY_QUALITY
-           + F.col("_p") * AFFINITY_POPULARITY)
     known = F.col("_u_known").isNotNull() & F.col("_i_known").isNotNull()
-    return (j.withColumn("user_item_affinity", F.when(known, aff).otherwise(F.lit(AFFINITY_UNKNOWN)))
+    return (j.withColumn("user_item_affinity", affinity("_pref", "_genre", "_q", "_p", known))
              .drop("_pref", "_genre", "_q", "_p", "_u_known", "_i_known"))
 
 
+def _encoded_dimension(interactions: DataFrame, dim: DataFrame, key: str, cats: list[str]):
+    """A dimension's rows that occur in the interactions, and the label values those interactions show."""
+    used = dim.join(interactions.select(key), key, "left_semi")
+    orphan = interactions.join(dim.select(key), key, "left_anti").select(*[F.lit(None).cast("string").alias(c) for c in cats])
+    return used, E.label_values(used, cats).unionByName(E.label_values(orphan, cats)).distinct()
+
+
 def interaction_features(interactions: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Time parts, W1, J1 joins, label encodings, P9 affinity, P6 rating scaling."""
+    """Time parts, W1, J1 joins, label encodings, P9 affinity, P6 rating scaling.
+
+    A category's code depends on the user or item alone, so the dimension tables are encoded (on the values that occur
+    in interactions) before J1, and the interactions are joined once to each."""
     out = interactions
     for name, expr in C.time_parts("timestamp").items():
         out = out.withColumn(name, expr)
     out = time_since_last(out)
-    out = (out.join(users.select("user_id", *USER_JOIN_COLS), "user_id", "left")
-              .join(items.select("item_id", *ITEM_JOIN_COLS), "item_id", "left"))
-    cats = USER_JOIN_COLS + ["genre"]
-    # encoders are fit on the joined columns of the interaction rows (as the reference does)
-    base = (interactions.select("user_id", "item_id")
-            .join(users.select("user_id", *USER_JOIN_COLS), "user_id", "left")
-            .join(items.select("item_id", "genre"), "item_id", "left"))
-    out = E.apply_label_encoders(out, cats, E.fit_label_encoders(base, cats))
-    out = user_item_affinity(out, users, items)
+    used_users, user_values = _encoded_dimension(interactions, users.select(
+        "user_id", *USER_JOIN_COLS, C.parse_genres("preferred_genres").alias("_pref"), F.lit(True).alias("_u_known")),
+        "user_id", USER_JOIN_COLS)
+    used_items, item_values = _encoded_dimension(interactions, items.select(
+        "item_id", *ITEM_JOIN_COLS, F.lit(True).alias("_i_known")), "item_id", ["genre"])
+    lookup = E.number_labels(user_values.unionByName(item_values))
+    out = (out.join(E.apply_label_encoders(used_users, USER_JOIN_COLS, lookup), "user_id", "left")
+              .join(E.apply_label_encoders(used_items, ["genre"], lookup), "item_id", "left"))
+    for c in [*USER_JOIN_COLS, "genre"]:  # rows without a user or item
+        out = out.withColumn(f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), E.code_of(lookup, c, C.UNKNOWN)))
+    known = F.col("_u_known").isNotNull() & F.col("_i_known").isNotNull()
+    out = (out.withColumn("user_item_affinity", affinity("_pref", "genre", "quality_score", "popularity_score", known))
+              .drop("_pref", "_u_known", "_i_known"))
     # the scaler is fit on the ratings themselves (left joins keep one row per interaction)
     state = E.fit_standard_scaler(interactions.select(F.col("rating").alias("rating_normalized")),
                                   ["rating_normalized"])

@@ -1,12 +1,11 @@
 """Scoring and top-K recommendation.
 
-``top_k_unseen`` never forms the user x catalogue product.  The genre bonus is
-the same for every item of a genre, so within a genre all users that prefer it
-see one fixed order (base + bonus) and all others see another (base).  A user's
-best ``k`` unseen items of a genre are therefore among the first
-``k + seen(user, genre)`` items of that genre's list for the user's flag, and
-the answer is the best ``k`` of the union over genres.  Work is
-O(users * genres * k + history) instead of O(users * items).
+``top_k_unseen`` never forms the user x catalogue product, nor users x genres.  The genre bonus is
+the same for every item of a genre, so all users that prefer a genre see its items in one fixed order
+(base + bonus).  Of the other genres a user can only get items that are high in the one global order by
+base score: an unseen item there beats every unseen item below it.  So a user's best ``k`` are among the first
+``k + seen in the genre`` items of each preferred genre and the first ``k + seen at all`` of the global list.
+Work is O(users * (preferences + 1) * k + history) instead of O(users * items).
 """
 
 from __future__ import annotations
@@ -24,8 +23,8 @@ BASE_WEIGHT_POPULARITY = 0.3
 BASE_WEIGHT_QUALITY = 0.2
 GENRE_BONUS = 0.3
 
-# Genre lists longer than this are not broadcast for the user x genre step.
-MAX_BROADCAST_GENRES = 100_000
+# Ranked lists are cut into blocks of so many positions: a user joins the blocks it can reach.
+LIST_BLOCK = 64
 
 
 def base_scores(items: DataFrame, train: DataFrame, rating_col: str = "rating") -> DataFrame:
@@ -52,54 +51,49 @@ def user_history(interactions: DataFrame) -> DataFrame:
     return interactions.select("user_id", "item_id").distinct()
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: list[str], null_safe: list[str] = (),
-             how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where keys in ``null_safe`` also match NULL to NULL.
+def take_from_lists(wants: DataFrame, lists: DataFrame, num_partitions: int, block: int = LIST_BLOCK) -> DataFrame:
+    """wants (user_id, list, need, ..) and lists (list, pos from 1, entry struct): each user's first ``need`` entries.
 
-    Right-side keys are renamed first, so frames derived from one source join
-    without ambiguous attributes.
+    Lists are cut into blocks, so a deep reach is a few block numbers, not an array of positions.  The first
+    blocks are wanted by nearly every user: they are replicated by a salt (half as often with each further
+    block), so no join key holds all users.  Only positions that some user reaches are kept.
     """
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = None
-    for c in keys:
-        e = F.col(c).eqNullSafe(F.col(f"_r_{c}")) if c in null_safe else (F.col(c) == F.col(f"_r_{c}"))
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in keys])
+    def salts(number):
+        return F.greatest(F.floor(F.lit(num_partitions) / F.pow(F.lit(2.0), number)).cast("int"), F.lit(1))
 
+    reach = wants.groupBy(F.col("list").alias("_l")).agg(F.max("need").alias("_reach"))
+    at = F.floor((F.col("pos") - 1) / block).cast("long")
+    blocks = (lists.join(reach, (F.col("list") == F.col("_l")) & (F.col("pos") <= F.col("_reach")))
+              .groupBy(F.col("_l").alias("_list"), at.alias("_block"))
+              .agg(F.collect_list(F.struct("pos", "entry")).alias("_entries"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts(F.col("_block")) - 1))))
+    last = F.floor((F.col("need") - 1) / block).cast("long")
+    asked = (wants.where(F.col("need") > 0).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+             .withColumn("_s", F.pmod(F.xxhash64("user_id"), salts(F.col("_b"))).cast("int")))
+    met = asked.join(blocks, (F.col("list") == F.col("_list")) & (F.col("_b") == F.col("_block")) & (F.col("_s") == F.col("_salt")))
+    return (met.withColumn("_e", F.explode("_entries")).where(F.col("_e.pos") <= F.col("need"))
+            .select(*wants.columns, F.col("_e.pos").alias("pos"), "_e.entry.*"))
 
-def _genre_lists(scored: DataFrame, num_partitions: int | None) -> DataFrame:
-    """Per genre and bonus flag, every item's position by (score desc, item_id desc).
 
-    Both flags are ranked by one range-partitioned global index over
-    (flag, genre, score desc, item desc), so a genre holding a large share of
-    the catalogue is spread over many tasks and the catalogue is shuffled once.
-    """
-    both = (scored.select("genre", "item_id", F.col("base_score").alias("score"), F.lit(False).alias("preferred"))
-                  .unionByName(scored.select("genre", "item_id",
-                                             (F.col("base_score") + F.lit(GENRE_BONUS)).alias("score"),
-                                             F.lit(True).alias("preferred"))))
-    order = [F.col("preferred").asc(), F.col("genre").asc_nulls_first(), F.col("score").desc(),
-             F.col("item_id").desc()]
-    idx = with_global_index(both, order, "_gidx", num_partitions=num_partitions)
-    start = idx.groupBy("preferred", "genre").agg(F.min("_gidx").alias("_start"))
-    return (_join_on(idx, start, ["preferred", "genre"], ["genre"])
-            .select("genre", "item_id", "score", (F.col("_gidx") - F.col("_start") + 1).alias("pos"),
-                    "preferred"))
-
-
-def _users_by_genres(targets: DataFrame, genres: DataFrame, n_genres: int,
-                     num_partitions: int) -> DataFrame:
-    """Every target user paired with every genre.
-
-    The genre table is broadcast only when its row count (checked) is small;
-    otherwise both sides are bucketed and joined by bucket, a shuffled product.
+GLOBAL_LIST = ""  # a genre's list is "=" and its name
+
+
+def _ranked_lists(scored: DataFrame, num_partitions: int | None) -> DataFrame:
+    """(list, pos, entry): the catalogue by base score, and each genre by base + bonus; ties by item_id descending.
+
+    All lists are ranked by one range-partitioned global index, so a genre holding a large share of
+    the catalogue is spread over many tasks.
     """
-    if n_genres <= MAX_BROADCAST_GENRES:
-        return targets.crossJoin(F.broadcast(genres))
-    buckets = num_partitions
-    t = targets.withColumn("_b", F.pmod(F.xxhash64("user_id"), F.lit(buckets)))
-    g = genres.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-    return t.join(g, "_b").drop("_b")
+    entry = F.struct("item_id", "genre", "score")
+    both = (scored.select(F.lit(GLOBAL_LIST).alias("list"), "item_id", "genre", F.col("base_score").alias("score"))
+            .unionByName(scored.where(F.col("genre").isNotNull()).select(
+                F.concat(F.lit("="), F.col("genre")).alias("list"), "item_id", "genre",
+                (F.col("base_score") + F.lit(GENRE_BONUS)).alias("score"))))
+    idx = with_global_index(both, [F.col("list").asc(), F.col("score").desc(), F.col("item_id").desc()], "_gidx",
+                            num_partitions=num_partitions)
+    start = idx.groupBy(F.col("list").alias("_l")).agg(F.min("_gidx").alias("_start"))
+    return (idx.join(start, F.col("list") == F.col("_l"))
+            .select("list", (F.col("_gidx") - F.col("_start") + 1).alias("pos"), entry.alias("entry")))
 
 
 def top_k_unseen(users: DataFrame, items: DataFrame, scores: DataFrame, history: DataFrame,
@@ -109,43 +103,32 @@ def top_k_unseen(users: DataFrame, items: DataFrame, scores: DataFrame, history:
     score = base + 0.3 if the item's genre is in the user's ``preferred_genres``;
     order is score desc, then item_id desc.  Returns (user_id, rank, item_id, score).
     ``items`` is accepted for symmetry; genre and base score come from ``scores``.
+    An item of a preferred genre is taken from that genre's list only.
     """
-    spark = scores.sparkSession
-    nparts = num_partitions or shuffle_partitions(spark)
+    nparts = num_partitions or shuffle_partitions(scores.sparkSession)
     scored = scores.select("item_id", "genre", "base_score")
-    hist = history.select("user_id", "item_id").distinct()
-
-    # Genres (NULL is its own group and never gets the bonus) with their sizes.
-    genres = scored.groupBy("genre").agg(F.count(F.lit(1)).alias("genre_size"))
-    n_genres = genres.count()  # size check before the broadcast below
-
-    prefs = (targets.select("user_id").distinct()
-                    .join(users.select("user_id", parse_genres("preferred_genres").alias("pref")),
-                          "user_id", "left"))
-    pairs = _users_by_genres(prefs, genres, n_genres, nparts)
+    asked = targets.select("user_id").distinct()
+    hist = history.select("user_id", "item_id").distinct().join(asked, "user_id", "left_semi")
 
+    prefs = (asked.join(users.select("user_id", parse_genres("preferred_genres").alias("pref")), "user_id", "left")
+             .select("user_id", F.array_distinct(F.coalesce("pref", F.array().cast("array<string>"))).alias("pref")))
     seen = (hist.join(scored.select("item_id", "genre"), "item_id")
-                .groupBy("user_id", "genre").agg(F.count(F.lit(1)).alias("seen")))
-    pairs = (_join_on(pairs, seen, ["user_id", "genre"], ["genre"], "left")
-             .select("user_id", "genre", "genre_size",
-                     F.coalesce(F.array_contains("pref", F.col("genre")), F.lit(False)).alias("preferred"),
-                     F.coalesce(F.col("seen"), F.lit(0)).alias("seen")))
-    need = F.least(F.lit(k) + F.col("seen"), F.col("genre_size"))
-    slots = pairs.where(need > 0).select(
-        "user_id", "genre", "preferred",
-        F.explode(F.sequence(F.lit(1).cast("long"), need.cast("long"))).alias("pos"))
-
-    # Only positions some user can reach are kept on the list side: k + the largest
-    # number of seen items of the genre (one row per genre, checked count above).
-    depth = _join_on(genres.select("genre"), seen.groupBy("genre").agg(F.max("seen").alias("_max_seen")),
-                     ["genre"], ["genre"], "left") \
-        .select("genre", (F.lit(k) + F.coalesce(F.col("_max_seen"), F.lit(0))).alias("depth"))
-    lists = _join_on(_genre_lists(scored, nparts), F.broadcast(depth), ["genre"], ["genre"])
-    lists = lists.where(F.col("pos") <= F.col("depth")).select("genre", "preferred", "pos", "item_id", "score")
-
-    cands = (_join_on(slots, lists, ["genre", "preferred", "pos"], ["genre"])
+                .groupBy("user_id", "genre").agg(F.count(F.lit(1)).alias("n")))
+    seen_all = seen.groupBy(F.col("user_id").alias("_u")).agg(F.sum("n").alias("seen"))
+    in_genre = seen.where(F.col("genre").isNotNull()).select(F.col("user_id").alias("_u"), F.col("genre").alias("_g"),
+                                                             F.col("n").alias("seen"))
+    need = (F.lit(k) + F.coalesce("seen", F.lit(0))).cast("long")
+    everywhere = (prefs.join(seen_all, F.col("user_id") == F.col("_u"), "left")
+                  .select("user_id", "pref", F.lit(GLOBAL_LIST).alias("list"), need.alias("need")))
+    preferred = (prefs.select("user_id", "pref", F.explode("pref").alias("genre")).where(F.col("genre").isNotNull())
+                 .join(in_genre, (F.col("user_id") == F.col("_u")) & (F.col("genre") == F.col("_g")), "left")
+                 .select("user_id", "pref", F.concat(F.lit("="), F.col("genre")).alias("list"), need.alias("need")))
+    found = take_from_lists(everywhere.unionByName(preferred), _ranked_lists(scored, nparts), nparts)
+    other = F.coalesce(~F.array_contains("pref", F.col("genre")), F.lit(True))
+    cands = (found.where((F.col("list") != GLOBAL_LIST) | other)
              .select("user_id", "item_id", "score")
-             .join(hist, ["user_id", "item_id"], "left_anti"))
+             .join(hist.select(F.col("user_id").alias("_u"), F.col("item_id").alias("_i")),
+                   (F.col("user_id") == F.col("_u")) & (F.col("item_id") == F.col("_i")), "left_anti"))
     w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").desc())
     return (cands.withColumn("rank", F.row_number().over(w))
                  .where(F.col("rank") <= k)
@@ -187,18 +170,18 @@ def other_users_items(test: DataFrame, n: int = 10, time_col: str = "timestamp")
                       .agg(F.min_by("user_id", "s").alias("u1"), F.min("s").alias("s1"),
                            F.max(F.when(F.col("_r") == 2, F.col("s"))).alias("s2")))
     owned = firsts.groupBy(F.col("u1").alias("user_id")).agg(F.count(F.lit(1)).alias("n_owned"))
-    # only positions some user can reach: n + the largest number of owned items
-    reach = owned.select(F.lit(n) + F.coalesce(F.max("n_owned"), F.lit(0))).scalar()
-    ordered = (with_global_index(firsts, [F.col("s1")], "_p").withColumn("item_pos", F.col("_p") + 1)
-                 .where(F.col("item_pos") <= reach))
-    users = test.select("user_id").distinct()
-    slots = (users.join(owned, "user_id", "left")
-                  .select("user_id", F.explode(F.sequence(F.lit(1).cast("long"),
-                          (F.lit(n) + F.coalesce("n_owned", F.lit(0))).cast("long"))).alias("item_pos")))
-    listed = (slots.join(ordered, "item_pos").where(F.col("u1") != F.col("user_id"))
-                   .select("user_id", "item_id", F.col("s1").alias("key")))
+    ordered = (with_global_index(firsts, [F.col("s1")], "_p")
+               .select((F.col("_p") + 1).alias("pos"), F.struct("item_id", "u1", "s1").alias("entry")))
+    users = test.select("user_id").distinct().join(owned, "user_id", "left")
+    # the first n items are the same for everybody who owns none of the list: n rows
+    head = ordered.where(F.col("pos") <= n).select("entry.item_id", F.col("entry.s1").alias("key"))
+    plain = users.where(F.col("n_owned").isNull()).select("user_id").crossJoin(F.broadcast(head))
+    wants = users.where(F.col("n_owned").isNotNull()).select(
+        "user_id", F.lit(GLOBAL_LIST).alias("list"), (F.lit(n) + F.col("n_owned")).cast("long").alias("need"))
+    listed = (take_from_lists(wants, ordered.withColumn("list", F.lit(GLOBAL_LIST)), shuffle_partitions(test.sparkSession))
+              .where(F.col("u1") != F.col("user_id")).select("user_id", "item_id", F.col("s1").alias("key")))
     own = (firsts.where(F.col("s2").isNotNull())
                  .select(F.col("u1").alias("user_id"), "item_id", F.col("s2").alias("key")))
     w = Window.partitionBy("user_id").orderBy("key")
-    return (listed.unionByName(own).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return (listed.unionByName(plain).unionByName(own).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
                   .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id"))

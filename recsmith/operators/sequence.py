@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recsmith.session import materialize, shuffle_partitions
 
@@ -24,26 +25,38 @@ def _staged(df: DataFrame, key: str, order: list[Column], num_partitions: int |
                          .withColumn("_pid", F.spark_partition_id()))
 
 
-def _small(df: DataFrame, small_rows: int | None) -> bool:
-    from recsmith.operators.split import SMALL_INDEX_ROWS
-    return df.count() <= (SMALL_INDEX_ROWS if small_rows is None else small_rows)
+def epoch_micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds of a time column as it stands: a zone-free time is not read in the session zone, whose clock
+    changes would bend the order."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        span = F.col(ts) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        part = lambda unit: F.extract(F.lit(unit), span)
+        seconds = (part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")
+        return seconds.cast("long") * 60_000_000 + (part("SECOND") * 1_000_000).cast("long")
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def micros_time(df: DataFrame, ts: str, micros: Column) -> Column:
+    """The inverse of ``epoch_micros``, in the column's type."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+            secs=(micros.cast("decimal(24,6)") / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(24,6)"))
+    return F.timestamp_micros(micros).cast(df.schema[ts].dataType)
 
 
 def previous_value(df: DataFrame, key: str, order: list[Column], value: str, out: str,
-                   num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None) -> DataFrame:
     """``out`` = ``value`` of the previous row of the same ``key`` in ``order`` (NULL for the first).
 
-    Tables up to ``SMALL_INDEX_ROWS`` rows (checked) use a plain per-key window."""
-    if _small(df, small_rows):
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
+    Rows with a NULL key have no previous row, as a grouped ``diff`` leaves them out."""
     staged = _staged(df, key, order, num_partitions)
     w = Window.partitionBy("_pid").orderBy(F.col(key).asc_nulls_first(), *order)
     rows = (staged.withColumn("_prev_key", F.lag(key).over(w))
                   .withColumn("_prev_val", F.lag(value).over(w))
                   .withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
                   .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
-    # each partition's last row, moved to the next partition (one row per partition)
-    prev_last = rows.where("_last").select((F.col("_pid") + 1).alias("_pid"), F.col(key).alias("_bk"),
+    # each partition's last row, moved to the next one that has rows (one row per partition)
+    prev_last = rows.where("_last").select(F.lead("_pid").over(Window.orderBy("_pid")).alias("_pid"), F.col(key).alias("_bk"),
                                            F.col(value).alias("_bv"))
     fixed = rows.join(F.broadcast(prev_last), "_pid", "left")
     from_prev = F.col("_first") & (F.col("_bk") == F.col(key))
@@ -53,27 +66,18 @@ def previous_value(df: DataFrame, key: str, order: list[Column], value: str, out
 
 
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions: int | None = None,
-             gap_micros_adjust: int = 0, small_rows: int | None = None) -> DataFrame:
+             gap_micros_adjust: int = 0) -> DataFrame:
     """Session start of every row: a row opens a session when it is the key's first row or
-    ``ts - previous ts > gap``.  Returns ``df`` + ``session_start``.
+    ``ts - previous ts > gap``.  Returns ``df`` + ``session_start``, without the rows whose key or time is NULL.
 
     Within a partition the start is the running maximum of (key, ts) over opening
     rows.  A partition whose first session continues from the previous partition
     takes that session's start; the chain is resolved over the per-partition
     table in partition order (bounded by the partition count).
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    df = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    micros = epoch_micros(df, ts)
     gap = gap_seconds * 1_000_000 + gap_micros_adjust
-    if _small(df, small_rows):
-        # checked small table: plain per-key windows
-        w = Window.partitionBy(key).orderBy("_t")
-        t = df.withColumn("_t", micros)
-        prev_t = F.lag("_t").over(w)
-        t = t.withColumn("_open", prev_t.isNull() | (F.col("_t") - prev_t > gap))
-        run = w.rowsBetween(Window.unboundedPreceding, 0)
-        t = t.withColumn("_s", F.max(F.when(F.col("_open"), F.col("_t"))).over(run))
-        return (t.withColumn("session_start", F.timestamp_micros("_s").cast(df.schema[ts].dataType))
-                 .drop("_t", "_open", "_s"))
     staged = _staged(df.withColumn("_t", micros), key, [F.col("_t").asc()], num_partitions)
     w = Window.partitionBy("_pid").orderBy(F.col(key).asc_nulls_first(), F.col("_t").asc())
     prev_k, prev_t = F.lag(key).over(w), F.lag("_t").over(w)
@@ -108,5 +112,5 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions:
     out = rows.join(F.broadcast(fix_df), "_pid", "left")
     cont = (F.col(key) == F.col("_fk")) & (F.col("_prov") == F.col("_ft"))
     start = F.when(cont, F.col("_fix")).otherwise(F.col("_prov"))
-    return (out.withColumn("session_start", F.timestamp_micros(start).cast(df.schema[ts].dataType))
+    return (out.withColumn("session_start", micros_time(df, ts, start))
                .drop("_pid", "_t", "_open", "_start", "_prov", "_fk", "_ft", "_fix"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recsmith.session import materialize, shuffle_partitions
 
@@ -27,26 +28,15 @@ def sort_key(df: DataFrame, time_col: str | None = "timestamp",
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-# Inputs up to this many rows are numbered by one ordered window (one task, bounded by
-# this check); larger inputs take the range-partitioned path below.
-SMALL_INDEX_ROWS = 1_000_000
-
-
 def with_global_index(df: DataFrame, order: list[Column], index_col: str = "row_idx",
-                      total_col: str | None = None, num_partitions: int | None = None,
-                      small_rows: int | None = None, known_rows: int | None = None) -> DataFrame:
+                      total_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based position of every row in ``order`` (and optionally the row total).
 
     ``order`` must be total up to identical rows, so positions are a function of the
-    data.  Above ``SMALL_INDEX_ROWS`` rows (checked by a count): one range shuffle,
-    one write of the numbered rows, two scans of that copy (one for the
-    per-partition counts) and no single-partition step over the rows.
+    data.  One range shuffle, one write of the numbered rows, two scans of that copy
+    (one for the per-partition counts) and no single-partition step over the rows,
+    whatever the input size.
     """
-    limit = SMALL_INDEX_ROWS if small_rows is None else small_rows
-    rows = df.count() if known_rows is None else known_rows
-    if rows <= limit:
-        out = df.withColumn(index_col, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
-        return out.withColumn(total_col, F.lit(rows).cast("long")) if total_col else out
     n = num_partitions or shuffle_partitions(df.sparkSession)
     # Range bounds come from sampling, which Spark may redo differently on another
     # evaluation; the numbered rows are therefore written once and both the counts
@@ -83,6 +73,13 @@ def temporal_split(interactions: DataFrame, test_ratio: float = 0.2, min_test: i
             flagged.where(F.col("is_test")).drop("is_test"))
 
 
+def _literal(value: str, dtype: T.DataType) -> Column:
+    """A constant of the column's own type, so that a comparison with the raw column reaches the scan."""
+    if isinstance(dtype, T.TimestampType):  # read as microseconds: text would pass through the session zone
+        return F.timestamp_micros(F.lit(int(value)))
+    return F.lit(value).cast(dtype)
+
+
 def flag_temporal_split(interactions: DataFrame, test_ratio: float = 0.2, min_test: int = 0,
                         time_col: str = "timestamp", tiebreak: list[str] | None = None,
                         num_partitions: int | None = None, accuracy: int = 10_000) -> DataFrame:
@@ -95,36 +92,45 @@ def flag_temporal_split(interactions: DataFrame, test_ratio: float = 0.2, min_te
     3. Only the rows inside the bracket (about 4n/accuracy, plus ties) are ranked
        exactly by the global index on the full sort key.
     If the check fails (never expected) the whole table is ranked instead.
-    Rows without time sort last, as pandas sorts.
+    Rows without time sort last, as pandas sorts.  Times are compared in the column's own type with constants,
+    so both sides of the split are filters that the Parquet scan can use, whatever the session zone.
     """
     order = sort_key(interactions, time_col, tiebreak)
-    key = F.coalesce(F.unix_micros(F.col(time_col).cast("timestamp")), F.lit(2 ** 63 - 1))
-    keyed = interactions.withColumn("_key", key)
-    # One pass for the row count and the bracket: the cut fraction is 1 - ratio up to 1/n,
-    # far inside the bracket's width; the exact check below guards every other case.
-    q = 1.0 - float(test_ratio)
+    t, dtype = F.col(time_col), interactions.schema[time_col].dataType
     eps = 2.0 / accuracy
-    first = keyed.agg(F.count(F.lit(1)).alias("n"),
-                      F.percentile_approx("_key", [max(0.0, q - eps), min(1.0, q + eps)], accuracy)
-                       .alias("b")).first()
-    n = first["n"]
+
+    def bracket(q: float) -> list[Column]:
+        two = F.percentile_approx(t, [min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))], accuracy)
+        shown = (lambda c: F.unix_micros(c).cast("string")) if isinstance(dtype, T.TimestampType) else (lambda c: c.cast("string"))
+        return [shown(two[0]).alias("lo"), shown(two[1]).alias("hi")]
+
+    # One pass for the counts and the bracket: the cut fraction is 1 - ratio up to 1/n,
+    # far inside the bracket's width; the exact check below guards every other case.
+    first = interactions.agg(F.count(F.lit(1)).alias("n"), F.count(t).alias("timed"), *bracket(1.0 - float(test_ratio))).first()
+    n, untimed = first["n"], first["n"] - first["timed"]
     test_size = min(max(int(n * float(test_ratio)), int(min_test)), n)
     if test_size == 0 or n == 0:
         return interactions.withColumn("is_test", F.lit(False))
     if test_size == n:
         return interactions.withColumn("is_test", F.lit(True))
-    t_lo, t_hi = int(first["b"][0]), int(first["b"][1])
-    c = keyed.agg(F.count(F.when(F.col("_key") > t_hi, 1)).alias("above"),
-                  F.count(F.when(F.col("_key") >= t_lo, 1)).alias("from_lo")).first()
-    if not (c["above"] <= test_size <= c["from_lo"]):
-        indexed = with_global_index(interactions, order, "_idx", None, num_partitions)
-        return indexed.withColumn("is_test", F.col("_idx") >= n - test_size).drop("_idx")
-    in_band = (F.col("_key") >= t_lo) & (F.col("_key") <= t_hi)
-    outside = keyed.where(~in_band).withColumn("is_test", F.col("_key") > t_hi).drop("_key")
-    band = keyed.where(in_band).drop("_key")
-    k_band = test_size - c["above"]
-    ranked = with_global_index(band, order, "_idx", "_n", num_partitions,
-                               known_rows=c["from_lo"] - c["above"])
+    if test_size <= untimed:  # the cut lies among the rows without time
+        outside = interactions.where(t.isNotNull()).withColumn("is_test", F.lit(False))
+        band, k_band = interactions.where(t.isNull()), test_size
+    else:
+        if untimed:
+            first = interactions.agg(*bracket(1.0 - (test_size - untimed) / first["timed"])).first()
+        lo, hi = _literal(first["lo"], dtype), _literal(first["hi"], dtype)
+        c = interactions.agg(F.count(F.when(t > hi, 1)).alias("above"), F.count(F.when(t >= lo, 1)).alias("from_lo")).first()
+        if not (c["above"] + untimed <= test_size <= c["from_lo"] + untimed):
+            indexed = with_global_index(interactions, order, "_idx", None, num_partitions)
+            return indexed.withColumn("is_test", F.col("_idx") >= n - test_size).drop("_idx")
+        before = interactions.where(t < lo).withColumn("is_test", F.lit(False))
+        after = interactions.where(t > hi).withColumn("is_test", F.lit(True))
+        outside = before.unionByName(after)
+        if untimed:
+            outside = outside.unionByName(interactions.where(t.isNull()).withColumn("is_test", F.lit(True)))
+        band, k_band = interactions.where((t >= lo) & (t <= hi)), test_size - c["above"] - untimed
+    ranked = with_global_index(band, order, "_idx", "_n", num_partitions)
     band_flag = ranked.withColumn("is_test", F.col("_idx") >= F.col("_n") - k_band).drop("_idx", "_n")
     return outside.unionByName(band_flag)
 

@@ -19,9 +19,10 @@ from recsmith.sources import io
 
 def run_pipeline(spark: SparkSession, users: DataFrame, items: DataFrame, interactions: DataFrame,
                  out_dir: str, k: int = 10, ks=(5, 10, 20), gate: bool = True,
-                 train_models: bool = False) -> dict[str, str]:
+                 train_models: bool = False, genres: list[str] | None = None) -> dict[str, str]:
     """Run every step and write its output under ``out_dir``; returns the paths.
 
+    ``genres`` are the genres whose preference becomes a column of the user features.
     ``gate=True`` stops before any feature work when a validation rule fails (V11).
     """
     out = {}
@@ -34,7 +35,7 @@ def run_pipeline(spark: SparkSession, users: DataFrame, items: DataFrame, intera
         for result in checks.values():
             V.require_valid(result)
 
-    feats = {"user_features": FE.user_features(users, interactions, items),
+    feats = {"user_features": FE.user_features(users, interactions, items, genres),
              "item_features": FE.item_features(items, interactions),
              "interaction_features": FE.interaction_features(interactions, users, items)}
     io.save_features(feats, f"{out_dir}/features")

@@ -126,7 +126,7 @@ FROM (
 def q_user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A4 + A5 + P4 + P5 + P10 + J3: user feature table."""
     t = _t(spark, sf_dir)
-    return FE.user_features(t["users"], t["interactions"], t["items"])
+    return FE.user_features(t["users"], t["interactions"], t["items"], FIXTURE_GENRES)
 
 
 _ORDER_ALL = '"timestamp" NULLS LAST, user_id, item_id, interaction_type, rating, session_id, line_number'

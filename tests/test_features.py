@@ -57,7 +57,7 @@ def test_user_features_fills_and_segments(spark):
                                   "preferred_genres string")
     items = spark.createDataFrame([(10, "A"), (11, "B")], "item_id long, genre string")
     inter = spark.createDataFrame([(1, 10, 4.0, T0), (1, 11, 5.0, T0), (3, 11, 2.0, T0)], INTER)
-    f = {r.user_id: r for r in FE.user_features(users, inter, items).collect()}
+    f = {r.user_id: r for r in FE.user_features(users, inter, items, ["A", "B"]).collect()}
     assert f[2].avg_rating == pytest.approx((4.5 + 2.0) / 2) and f[2].total_interactions == 0
     assert f[2].user_segment == "low_activity" and f[2].genre_pref_A is None
     assert f[1].genre_pref_A == 4.0 and f[1].genre_pref_B == 5.0 and f[3].genre_pref_A == 0.0
@@ -98,3 +98,27 @@ def test_latency_p95_matches_statistics_quantiles(spark):
     assert got.p95_latency_ms == pytest.approx(statistics.quantiles(xs, n=20)[-1])
     few = spark.createDataFrame([(x,) for x in xs[:5]], "latency_ms double")
     assert A.latency_summary(few).first().p95_latency_ms == pytest.approx(statistics.quantiles(xs[:5], n=5)[-1])
+
+
+def test_unseen_labels_raise_in_both_forms(spark):
+    from recsmith.operators import encoders as E
+    seen, new = (spark.createDataFrame([(v,)], "c string") for v in ("a", "b"))
+    with pytest.raises(Exception, match="unseen label in c: b"):
+        E.apply_label_encoder(new, "c", E.fit_label_encoder(seen, "c")).collect()
+    with pytest.raises(Exception, match="unseen label in c: b"):
+        E.apply_label_encoders(new, ["c"], E.fit_label_encoders(seen, ["c"])).collect()
+
+
+def test_interaction_features_of_unknown_users_and_items(spark):
+    users = spark.createDataFrame([(1, "18-24", "M", "US", "free", '["A"]'), (9, "65+", "Z", "ZZ", "premium", None)],
+                                  "user_id long, age_group string, gender string, location string, subscription_type string, "
+                                  "preferred_genres string")
+    items = spark.createDataFrame([(10, "A", 0.5, 0.5, 1.0), (11, "Q", 0.1, 0.1, 2.0)],
+                                  "item_id long, genre string, popularity_score double, quality_score double, price double")
+    inter = spark.createDataFrame([(1, 10, 4.0, T0), (2, 10, 5.0, T0), (1, 99, 3.0, T0), (None, None, None, T0)], INTER)
+    rows = {(r.user_id, r.item_id): r for r in FE.interaction_features(inter, users, items).collect()}
+    assert len(rows) == 4
+    # only values that occur count: the unused user's Z and item's Q have no code
+    assert (rows[1, 10].gender_encoded, rows[2, 10].gender_encoded) == (0, 1)
+    assert (rows[1, 10].genre_encoded, rows[1, 99].genre_encoded, rows[None, None].genre_encoded) == (0, 1, 1)
+    assert rows[2, 10].user_item_affinity == rows[1, 99].user_item_affinity == 0.5 and rows[1, 10].user_item_affinity == 0.75

@@ -76,10 +76,10 @@ def test_other_users_items_matches_definition(spark):
     assert got == want
 
 
-def test_large_input_path_end_to_end(spark, monkeypatch):
-    """Force the range-partitioned path of every global index and sequence operator."""
-    from recsmith.operators import split
-    monkeypatch.setattr(split, "SMALL_INDEX_ROWS", 0)
+def test_small_blocks_and_many_partitions(spark, monkeypatch):
+    """Lists cut into blocks of 3 positions, dealt over other partition counts."""
+    monkeypatch.setattr(R, "LIST_BLOCK", 3)
+    monkeypatch.setattr(R.take_from_lists, "__defaults__", (3,))
     c = local_chain.prepare_fixture(spark, SF_SMALL)
     got = R.top_k_unseen(c.users, c.items, c.scores, c.history, c.targets, 10, num_partitions=5)
     want = bruteforce_top_k(c.users, c.scores, c.history, c.targets, 10)

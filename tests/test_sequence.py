@@ -25,8 +25,8 @@ def test_previous_value_matches_lag(spark):
     df = spark.createDataFrame(_events(2000, 5), M.EVENT_SCHEMA)
     order = [F.col("ts").asc(), F.col("event_id").asc()]
     want = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("user_id").orderBy(*order)))
-    for parts, small in ((1, 0), (4, 0), (9, 0), (4, None)):
-        got = S.previous_value(df, "user_id", order, "ts", "prev", parts, small_rows=small)
+    for parts in (1, 4, 9):
+        got = S.previous_value(df, "user_id", order, "ts", "prev", parts)
         assert sorted(got.select("event_id", "prev").collect()) == sorted(want.select("event_id", "prev").collect())
 
 
@@ -34,8 +34,52 @@ def test_sessions_match_session_window(spark):
     df = spark.createDataFrame(_events(3000, 6), M.EVENT_SCHEMA)
     want = sorted(tuple(r) for r in M.sessions(df, "30 minutes")
                   .select("user_id", "session_start", "n_events").collect())
-    for parts, small in ((1, 0), (3, 0), (8, 0), (3, None)):
-        s = S.sessions(df, "user_id", "ts", 1800, parts, small_rows=small)
+    for parts in (1, 3, 8):
+        s = S.sessions(df, "user_id", "ts", 1800, parts)
         got = s.groupBy("user_id", "session_start").agg(F.count(F.lit(1)).alias("n")).collect()
         got = sorted((r.user_id, r.session_start, r.n) for r in got)
         assert got == want
+
+
+def test_null_keys_and_times(spark):
+    """Rows without key have no previous row; sessions leave out rows without key or time."""
+    rows = [(i, T0 + dt.timedelta(minutes=i), None, "view", 1.0, "{}") for i in range(4)]
+    rows += [(10, None, 5, "view", 1.0, "{}"), (11, T0, 5, "view", 1.0, "{}"), (12, T0 + dt.timedelta(minutes=1), 5, "view", 1.0, "{}")]
+    df = spark.createDataFrame(rows, M.EVENT_SCHEMA)
+    order = [F.col("ts").asc_nulls_last(), F.col("event_id").asc()]
+    for parts in (1, 2, 5):
+        prev = {r.event_id: r.p for r in S.previous_value(df, "user_id", order, "ts", "p", parts).collect()}
+        assert [prev[i] for i in range(4)] == [None] * 4
+        assert prev[11] is None and prev[12] == T0 and prev[10] == T0 + dt.timedelta(minutes=1)
+        got = S.sessions(df, "user_id", "ts", 1800, parts).select("event_id", "session_start").collect()
+        assert sorted((r.event_id, r.session_start) for r in got) == [(11, T0), (12, T0)]
+
+
+def test_zone_free_times_across_a_clock_change(spark):
+    """2024-03-10 02:30 does not exist in New York, but a zone-free time is no moment there."""
+    from recsmith.operators import split
+    start = dt.datetime(2024, 3, 10, 1, 30)
+    rows = [(i, 1, float(i), start + dt.timedelta(minutes=i)) for i in range(90)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(a, b, c, str(d)) for a, b, c, d in rows], "user_id long, item_id long, rating double, t string") \
+                  .withColumn("timestamp", F.col("t").cast("timestamp_ntz")).drop("t")
+        _, test = split.temporal_split(df, 0.4)
+        assert sorted(r.user_id for r in test.collect()) == list(range(54, 90))
+        micros = [r[0] for r in df.orderBy("user_id").select(S.epoch_micros(df, "timestamp")).collect()]
+        assert micros == [int((d - dt.datetime(1970, 1, 1)).total_seconds() * 1e6) for *_, d in rows]
+        one = S.sessions(df.withColumn("k", F.lit(1)), "k", "timestamp", 60, 4).select("session_start").distinct().collect()
+        assert [r[0] for r in one] == [start]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_split_filters_reach_the_scan(spark, tmp_path):
+    from recsmith.operators import split
+    spark.range(5000).select(F.col("id").alias("user_id"), F.col("id").alias("item_id"), F.lit(1.0).alias("rating"),
+                             F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("timestamp")).write.parquet(f"{tmp_path}/t")
+    train, test = split.temporal_split(spark.read.parquet(f"{tmp_path}/t"), 0.2)
+    assert (train.count(), test.count()) == (4000, 1000)
+    plan = test._jdf.queryExecution().toString()
+    assert "GreaterThan(timestamp" in plan
