@@ -6,13 +6,17 @@ over left joins, so each feature table is one plan of shuffles and scans.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions import columns as C
 from recsmith.operators import aggregates as A
 from recsmith.operators import encoders as E
+from recsmith.operators import text as TX
 from recsmith.operators.sequence import epoch_micros, previous_value
+from recsmith.session import materialize
 
 # Affinity weights and its value for unknown users or items.
 AFFINITY_GENRE = 0.5
@@ -43,11 +47,20 @@ def user_features(users: DataFrame, interactions: DataFrame, items: DataFrame,
     return out.withColumn("user_segment", C.user_segment("total_interactions", "avg_rating"))
 
 
-def item_features(items: DataFrame, interactions: DataFrame) -> DataFrame:
+TITLE_TERMS, TITLE_DIMENSIONS = 100, 20
+
+
+def title_vectors(items: DataFrame) -> DataFrame:
+    """P15 + P16: item_id and the title's components svd_0, svd_1, ..; items without terms have zeros."""
+    long = TX.tfidf(items, "item_id", "title", TITLE_TERMS)
+    return TX.truncated_svd(materialize(long), "item_id", TITLE_TERMS, TITLE_DIMENSIONS)[0]
+
+
+def item_features(items: DataFrame, interactions: DataFrame, text: bool = False) -> DataFrame:
     """Item table + encodings + A2 statistics + computed popularity (A3) + fills + segment.
 
     The computed popularity is named ``interaction_popularity`` so it does not
-    collide with the catalogue's own ``popularity_score``.
+    collide with the catalogue's own ``popularity_score``.  ``text`` appends the title components (P15, P16).
     """
     out = E.label_encode(items, "item_id", "item_id_encoded", fill=None)
     out = E.apply_label_encoders(out, ["genre"], E.fit_label_encoders(items, ["genre"]))
@@ -62,7 +75,8 @@ def item_features(items: DataFrame, interactions: DataFrame) -> DataFrame:
     out = (out.withColumn("avg_rating", F.coalesce(F.col("avg_rating"), mean_avg))
               .fillna(0, subset=["rating_std", "total_interactions", "unique_users_interacted",
                                  "interaction_frequency", "item_activity_days", "interaction_popularity"]))
-    return out.withColumn("item_segment", C.item_segment("interaction_popularity", "quality_score"))
+    out = out.withColumn("item_segment", C.item_segment("interaction_popularity", "quality_score"))
+    return out.join(title_vectors(items), "item_id", "left") if text else out
 
 
 def time_since_last(interactions: DataFrame, time_col: str = "timestamp") -> DataFrame:
@@ -191,16 +205,22 @@ def feature_columns(df: DataFrame, target: str = "rating") -> tuple[list[str], l
     return cat, num
 
 
-def model_matrix(df: DataFrame, target: str = "rating", fitted: dict | None = None):
+def model_matrix(df: DataFrame, target: str = "rating", fitted: dict | None = None, also: list[DataFrame] = ()):
     """Label-encode categoricals, then standard-scale every input (encoded ones too).
 
+    Values of the tables ``also`` get codes too, so rows of other users and items can be encoded later.
+
     Returns (matrix, inputs, fitted); pass ``fitted`` back to transform new rows
     with the training encoders and scaler.
     """
     if fitted is None:
         cat, num = feature_columns(df, target)
         # the reference encodes ``astype(str)``: a missing value becomes the text 'nan'
-        lookup = E.fit_label_encoders(df, cat, fill="nan") if cat else None
+        values = [E.label_values(df, cat, fill="nan")] if cat else []
+        for t in also:
+            own = [c for c in cat if c in t.columns]
+            values += [E.label_values(t, own, fill="nan")] if own else []
+        lookup = E.number_labels(reduce(DataFrame.unionByName, values).distinct()) if cat else None
     else:
         cat, num, lookup = fitted["cat"], fitted["num"], fitted["lookup"]
     out = df

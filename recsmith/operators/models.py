@@ -8,6 +8,7 @@ boosted tree ensemble on the ranking features.
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -18,7 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.operators import aggregates as A
+from recsmith.operators import encoders as E
 from recsmith.operators import features as FE
+from recsmith.operators.recommend import top_k_unseen
+from recsmith.session import materialize
 
 # Fixed settings of the reference trainers.
 EMBEDDING_DIM = 64
@@ -31,84 +35,122 @@ SEED = 42
 INT_MAX = 2 ** 31 - 1
 
 
-def _int_ids(df: DataFrame) -> DataFrame:
-    """ALS keys are 32-bit: ids beyond that raise at run time (never wrapped or dropped)."""
-    out = df
-    for c in ("user_id", "item_id"):
-        v = F.col(c).cast("long")
-        out = out.withColumn(c, F.when(v.isNull() | (v <= INT_MAX), v).otherwise(
-            F.raise_error(F.concat(F.lit(f"{c} beyond 32 bits: "), v.cast("string"))).cast("long")))
-    return out
+@dataclass
+class FactorModel:
+    """ALS factors with the lookups from the tables' own ids (any type) to the dense ids of the factors."""
+    als: ALSModel
+    users: DataFrame  # value, code
+    items: DataFrame
+    mean: float  # of the training ratings: the prediction where a user or item is unknown
+
+
+def _dense_ids(ratings: DataFrame, col: str) -> DataFrame:
+    """Codes 0, 1, .. of the distinct ids; more than ALS can hold (32 bits) raise, none is wrapped or dropped."""
+    codes = E.fit_label_encoder(ratings, col, fill=None)
+    return codes.select("value", F.when(F.col("code") <= INT_MAX, F.col("code")).otherwise(
+        F.raise_error(F.lit(f"more than 2^31 values of {col}")).cast("long")).cast("int").alias("code"))
+
+
+def _coded(df: DataFrame, model: FactorModel, how: str = "left") -> DataFrame:
+    """``df`` with the dense ids ``_user`` and ``_item`` (NULL where the model does not know them)."""
+    u = model.users.select(F.col("value").alias("_uv"), F.col("code").alias("_user"))
+    i = model.items.select(F.col("value").alias("_iv"), F.col("code").alias("_item"))
+    return (df.join(u, F.col("user_id") == F.col("_uv"), how).join(i, F.col("item_id") == F.col("_iv"), how)
+            .drop("_uv", "_iv"))
 
 
 def train_als(interactions: DataFrame, rank: int = EMBEDDING_DIM, max_iter: int = 10, reg: float = 0.1,
-              implicit: bool = False, seed: int = SEED) -> ALSModel:
-    """M1: explicit (rating) or implicit (retrieval) collaborative factors."""
-    data = _int_ids(interactions).where(F.col("rating").isNotNull())
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=implicit, userCol="user_id",
-              itemCol="item_id", ratingCol="rating", coldStartStrategy="drop", seed=seed, nonnegative=False)
-    return als.fit(data)
+              implicit: bool = False, seed: int = SEED) -> FactorModel:
+    """M1: explicit (rating) or implicit (retrieval) collaborative factors, for ids of any type."""
+    data = interactions.where(F.col("rating").isNotNull() & F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+    model = FactorModel(None, materialize(_dense_ids(data, "user_id")), materialize(_dense_ids(data, "item_id")),
+                        data.agg(F.avg("rating")).first()[0])
+    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=implicit, userCol="_user",
+              itemCol="_item", ratingCol="rating", coldStartStrategy="nan", seed=seed, nonnegative=False)
+    model.als = als.fit(_coded(data, model, "inner").select("_user", "_item", F.col("rating").cast("float").alias("rating")))
+    return model
+
+
+def predict(model, rows: DataFrame) -> DataFrame:
+    """``rows`` with prediction and is_cold: every row is scored, unknown users and items by the training mean."""
+    if not isinstance(model, FactorModel):
+        return model.transform(rows).withColumn("is_cold", F.lit(False))
+    coded = _coded(rows, model).withColumn("_user", F.coalesce("_user", F.lit(-1))).withColumn("_item", F.coalesce("_item", F.lit(-1)))
+    scored = model.als.transform(coded)
+    cold = F.col("prediction").isNull() | F.isnan("prediction")
+    return (scored.withColumn("is_cold", cold)
+            .withColumn("prediction", F.when(cold, F.lit(model.mean)).otherwise(F.col("prediction").cast("double")))
+            .drop("_user", "_item"))
 
 
 def rmse(model, test: DataFrame, label: str = "rating") -> DataFrame:
-    """M3 / M6: MSE, RMSE, MAE of a model's predictions as one row (plain aggregates)."""
-    pred = model.transform(_int_ids(test) if isinstance(model, ALSModel) else test).where(F.col("prediction").isNotNull())
+    """M3 / M6: MSE, RMSE, MAE of a model's predictions over all rated rows as one row, and how many of them
+    had a user or item the model does not know (scored with the training mean)."""
+    pred = predict(model, test.where(F.col(label).isNotNull()))
     err = F.col("prediction") - F.col(label)
     return pred.agg(F.avg(err * err).alias("mse"), F.sqrt(F.avg(err * err)).alias("rmse"),
-                    F.avg(F.abs(err)).alias("mae"), F.count(F.lit(1)).alias("n"))
+                    F.avg(F.abs(err)).alias("mae"), F.count(F.lit(1)).alias("n"),
+                    F.count(F.when(F.col("is_cold"), 1)).alias("n_cold"))
 
 
-def rmse_evaluator(model: ALSModel, test: DataFrame) -> float:
+def rmse_evaluator(model: FactorModel, test: DataFrame) -> float:
     """M3 with Spark's evaluator (a single number)."""
-    pred = model.transform(_int_ids(test))
-    return RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction").evaluate(pred)
+    return RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction").evaluate(predict(model, test))
 
 
-def top_k_unseen_factors(model: ALSModel, history: DataFrame, k: int = 10, users: DataFrame | None = None,
-                         heavy_quantile: float = 0.95) -> DataFrame:
+def top_k_unseen_factors(model: FactorModel, history: DataFrame, k: int = 10, users: DataFrame | None = None,
+                         fallback: DataFrame | None = None) -> DataFrame:
     """M2 + J6: exact top-k by inner product among items a user has not seen.
 
-    A user needs k + |history| candidates to be sure of k unseen ones.  Users are
-    served in two tiers so light users are not over-fetched to the heaviest
-    user's depth: most users with depth k + (95th percentile of history size),
-    the remaining heavy users with depth k + (their largest history).  Both tiers
-    are exact; the tiering only bounds the work.
+    A user needs k + |history| candidates to be sure of k unseen ones.  Users are served in tiers by doubling
+    depth, so nobody is fetched more than twice as deep as needed and light users do not pay for heavy ones.
+    ``users`` without factors get the lists of ``fallback`` (base scores item_id, genre, base_score: W5 in the order of W6).
     """
-    hist = _int_ids(history).select("user_id", "item_id").distinct()
-    sizes = hist.groupBy("user_id").agg(F.count(F.lit(1)).alias("h"))
-    if users is None:
-        users = model.userFactors.select(F.col("id").alias("user_id"))
-    users = users.select(F.col("user_id").cast("long").alias("user_id")).distinct()
-    tagged = users.join(sizes, "user_id", "left").fillna(0, subset=["h"])
-    cut = tagged.select(F.percentile_approx("h", heavy_quantile, 10000)).first()[0] or 0
+    asked = (model.users.select(F.col("value").alias("user_id")) if users is None else users.select("user_id")).distinct()
+    hist = history.select("user_id", "item_id").distinct().join(asked, "user_id", "left_semi")
+    sizes = hist.groupBy(F.col("user_id").alias("_u")).agg(F.count(F.lit(1)).alias("h"))
+    known = (asked.join(model.users, F.col("user_id") == F.col("value"))
+             .join(sizes, F.col("user_id") == F.col("_u"), "left")
+             .select("user_id", F.col("code").alias("_user"),
+                     F.ceil(F.log2((F.coalesce("h", F.lit(0)) + k) / F.lit(float(k)))).cast("int").alias("tier")))
+    known = materialize(known)
+    n_items = model.items.count()
     parts = []
-    for cond, depth_expr in ((F.col("h") <= cut, cut), (F.col("h") > cut, None)):
-        tier = tagged.where(cond)
-        depth = depth_expr if depth_expr is not None else (tier.agg(F.max("h")).first()[0] or 0)
-        if tier.limit(1).count() == 0:
-            continue
-        recs = model.recommendForUserSubset(tier.select(F.col("user_id").cast("int").alias("user_id")), k + int(depth))
-        parts.append(recs.select(F.col("user_id").cast("long").alias("user_id"),
-                                 F.explode("recommendations").alias("r"))
-                         .select("user_id", F.col("r.item_id").cast("long").alias("item_id"),
-                                 F.col("r.rating").cast("double").alias("score")))
-    cands = reduce(DataFrame.unionByName, parts).join(hist, ["user_id", "item_id"], "left_anti")
-    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").desc())
-    return (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-                 .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", "score"))
+    for r in known.select("tier").distinct().orderBy("tier").collect():  # doublings of a history: at most 31
+        depth = min(n_items, k * 2 ** r["tier"])
+        recs = model.als.recommendForUserSubset(known.where(F.col("tier") == r["tier"]).select("_user"), depth)
+        parts.append(recs.select("_user", F.explode("recommendations").alias("r"))
+                     .select("_user", F.col("r._item").alias("_item"), F.col("r.rating").cast("double").alias("score")))
+    out = None
+    if parts:
+        items = model.items.select(F.col("value").alias("item_id"), F.col("code").alias("_ic"))
+        cands = (reduce(DataFrame.unionByName, parts).join(known.select("user_id", F.col("_user").alias("_uc")), F.col("_user") == F.col("_uc"))
+                 .join(items, F.col("_item") == F.col("_ic")).select("user_id", "item_id", "score"))
+        seen = hist.select(F.col("user_id").alias("_hu"), F.col("item_id").alias("_hi"))
+        cands = cands.join(seen, (F.col("user_id") == F.col("_hu")) & (F.col("item_id") == F.col("_hi")), "left_anti")
+        w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").desc())
+        out = (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+               .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", "score"))
+    if fallback is not None:
+        cold = materialize(asked.join(known.select("user_id"), "user_id", "left_anti"))
+        plain = cold.withColumn("preferred_genres", F.lit(None).cast("string"))
+        lists = top_k_unseen(plain, fallback, fallback, history, cold, k)
+        out = lists if out is None else out.unionByName(lists)
+    return out
 
 
 def ranking_matrix(interactions: DataFrame, users: DataFrame | None, items: DataFrame | None,
                    validation_fraction: float = 0.2, seed: int = SEED):
     """P17 + W4: scaled feature vector per interaction, with a stable validation flag.
 
-    Returns (matrix, inputs, fitted): ``fitted`` holds the encoders and scaler."""
+    Returns (matrix, inputs, fitted): ``fitted`` holds the encoders and scaler.  The matrix is stored, since scaling, fitting,
+    validation and evaluation read it.  Encoders know every value of the user and item tables."""
     feats = FE.ranking_features(interactions, users, items)
-    matrix, inputs, fitted = FE.model_matrix(feats)
+    matrix, inputs, fitted = FE.model_matrix(feats, also=[t for t in (users, items) if t is not None])
     bucket = F.pmod(F.xxhash64("user_id", "item_id", "session_id", "timestamp", F.lit(seed)), F.lit(10000))
     matrix = matrix.withColumn("is_validation", bucket >= int((1 - validation_fraction) * 10000))
     assembled = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(matrix)
-    return assembled, inputs, fitted
+    return materialize(assembled), inputs, fitted
 
 
 def train_gbt(matrix: DataFrame, trees: int = GBT_TREES, depth: int = GBT_DEPTH, tol: float = 0.01,
@@ -134,20 +176,32 @@ def feature_importance(model, inputs: list[str]) -> DataFrame:
 def save_model(model, path: str, metadata: dict) -> None:
     """M7: model plus a JSON metadata record next to it."""
     from pyspark.sql import SparkSession
+    if isinstance(model, FactorModel):
+        for name, table in (("users", model.users), ("items", model.items)):
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+        metadata = {**metadata, "mean_rating": model.mean}
+        model = model.als
     model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "metadata string") \
          .write.mode("overwrite").json(f"{path}/metadata")
 
 
-def hybrid_top_k(als: ALSModel, gbt, fitted: dict, history: DataFrame, interactions: DataFrame,
+def load_factors(spark, path: str) -> FactorModel:
+    """M7: factors saved by ``save_model``."""
+    meta = json.loads(spark.read.json(f"{path}/metadata").first()["metadata"])
+    return FactorModel(ALSModel.load(f"{path}/model"), spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items"),
+                       meta["mean_rating"])
+
+
+def hybrid_top_k(als: FactorModel, gbt, fitted: dict, history: DataFrame, interactions: DataFrame,
                  users: DataFrame | None, items: DataFrame | None, inputs: list[str], k: int = 10,
-                 candidates: int = 50) -> DataFrame:
-    """Retrieve ``candidates`` unseen items per user with the factors, then re-rank
+                 candidates: int = 50, targets: DataFrame | None = None, fallback: DataFrame | None = None) -> DataFrame:
+    """Retrieve ``candidates`` unseen items per user (of ``targets``) with the factors, then re-rank
     them with the boosted regressor.  Candidate pairs are featurized by the training
     feature function (statistics from ``interactions``) and transformed with the
-    training encoders and scaler (``fitted``)."""
-    cands = top_k_unseen_factors(als, history, candidates).select("user_id", "item_id")
+    training encoders and scaler (``fitted``).  Users without factors get their candidates from ``fallback``."""
+    cands = top_k_unseen_factors(als, history, candidates, targets, fallback).select("user_id", "item_id")
     rows = cands
     for f in interactions.schema.fields:
         if f.name not in rows.columns:
@@ -164,7 +218,8 @@ def hybrid_top_k(als: ALSModel, gbt, fitted: dict, history: DataFrame, interacti
 
 def assign_variants(users: DataFrame, salt: str = "ab-1", treatment_percent: int = 50) -> DataFrame:
     """Stable A/B assignment from a salted hash bucket of the user id."""
-    bucket = F.pmod(F.xxhash64(F.col("user_id").cast("string"), F.lit(salt)), F.lit(100))
+    digest = F.md5(F.concat_ws(":", F.lit(salt), F.col("user_id").cast("string")).cast("binary"))
+    bucket = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100)
     return users.select("user_id", F.when(bucket < treatment_percent, "treatment").otherwise("control")
                         .alias("variant"), bucket.alias("bucket"))
 

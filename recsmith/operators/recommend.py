@@ -141,7 +141,7 @@ def sample_users(candidates: DataFrame, n: int, seed: int = 42) -> DataFrame:
     The limit is the feature here (the reference scores a sample of users).
     """
     return (candidates.select("user_id").distinct()
-                      .orderBy(F.xxhash64("user_id", F.lit(seed)), "user_id").limit(n))
+                      .orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col("user_id").cast("string")).cast("binary")), "user_id").limit(n))
 
 
 def recommendations_as_lists(recs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TOKEN_PATTERN = r"\b\w\w+\b"
+TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"  # runs of two or more word characters of any script
 
 
 def default_stop_words() -> list[str]:
@@ -45,35 +45,29 @@ def tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 100,
     w = counts.join(F.broadcast(vocab.select("term", "col", idf.alias("idf"))), "term") \
               .withColumn("raw", F.col("tf") * F.col("idf"))
     norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))
-    return (w.join(norm, id_col)
-             .select(id_col, "term", F.col("col").cast("long").alias("col"),
+    rows = (w.join(norm, id_col)
+             .select(F.col(id_col).alias("_id"), "term", F.col("col").cast("long").alias("col"),
                      (F.col("raw") / F.col("_norm")).alias("weight")))
-
-
-def tfidf_vectors(long: DataFrame, id_col: str, size: int) -> DataFrame:
-    """Long TF-IDF to one dense ML vector per document (``size`` = vocabulary size, small).
-
-    Built with JVM expressions: the (col, weight) pairs become a map, the map a
-    fixed-length array, the array a vector."""
-    from pyspark.ml.functions import array_to_vector
-    grouped = long.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("col", "weight"))).alias("_m"))
-    dense = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long")),
-                        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    return grouped.select(id_col, array_to_vector(dense).alias("features"))
+    # a document without any vocabulary term keeps a row: term and col NULL, weight 0
+    return (df.select(id_col).join(rows, F.col(id_col) == F.col("_id"), "left")
+            .select(id_col, "term", "col", F.coalesce("weight", F.lit(0.0)).alias("weight")))
 
 
 def truncated_svd(long: DataFrame, id_col: str, size: int, k: int = 20) -> tuple[DataFrame, list[float]]:
     """Rank-k SVD of the (uncentred) TF-IDF matrix; returns (id, svd_0..svd_{k-1}) = U·S
-    and the singular values.  One distributed pass builds the Gramian AᵀA
-    (size x size, bounded by the vocabulary); its eigenvectors are the right
-    factor V; the projection A·V is a join with V and a grouped sum."""
+    and the singular values.  The Gramian AᵀA (size x size, bounded by the vocabulary) is a grouped sum over
+    the sparse long table; its eigenvectors are the right factor V; the projection A·V is a join with V and a
+    grouped sum.  Documents without terms have all components 0."""
     import numpy as np
-    from pyspark.mllib.linalg import Vectors as MLlibVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
 
-    vecs = tfidf_vectors(long, id_col, size)
-    rows = vecs.select("features").rdd.map(lambda r: MLlibVectors.fromML(r[0]))
-    gram = RowMatrix(rows).computeGramianMatrix().toArray()
+    cells = long.where(F.col("col").isNotNull())
+    a = cells.select(F.col(id_col).alias("_a"), F.col("col").alias("i"), F.col("weight").alias("wi"))
+    b = cells.select(F.col(id_col).alias("_b"), F.col("col").alias("j"), F.col("weight").alias("wj"))
+    sums = (a.join(b, (F.col("_a") == F.col("_b")) & (F.col("i") <= F.col("j")))
+            .groupBy("i", "j").agg(F.sum(F.col("wi") * F.col("wj")).alias("s")))
+    gram = np.zeros((size, size))
+    for r in sums.collect():  # at most size * (size + 1) / 2 numbers
+        gram[r["i"], r["j"]] = gram[r["j"], r["i"]] = r["s"]
     evals, evecs = np.linalg.eigh(gram)
     top = np.argsort(evals)[::-1][:min(k, size)]
     v = evecs[:, top]  # size x k
@@ -81,7 +75,7 @@ def truncated_svd(long: DataFrame, id_col: str, size: int, k: int = 20) -> tuple
     spark = long.sparkSession
     v_long = spark.createDataFrame([(int(i), int(j), float(v[i, j])) for i in range(v.shape[0])
                                     for j in range(v.shape[1])], "col long, comp int, v double")
-    proj = (long.join(F.broadcast(v_long), "col")
+    proj = (long.join(F.broadcast(v_long), "col", "left")
                 .groupBy(id_col).pivot("comp", list(range(v.shape[1])))
                 .agg(F.sum(F.col("weight") * F.col("v"))))
     out = proj.select(id_col, *[F.coalesce(F.col(str(j)), F.lit(0.0)).alias(f"svd_{j}") for j in range(v.shape[1])])

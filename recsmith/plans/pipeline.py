@@ -36,7 +36,7 @@ def run_pipeline(spark: SparkSession, users: DataFrame, items: DataFrame, intera
             V.require_valid(result)
 
     feats = {"user_features": FE.user_features(users, interactions, items, genres),
-             "item_features": FE.item_features(items, interactions),
+             "item_features": FE.item_features(items, interactions, text="title" in items.columns),
              "interaction_features": FE.interaction_features(interactions, users, items)}
     io.save_features(feats, f"{out_dir}/features")
     written = {n: spark.read.parquet(f"{out_dir}/features/{n}") for n in feats}

@@ -377,7 +377,9 @@ def q_table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table_summary(fixtures.tables(spark, sf_dir))
 
 
-@register("sampled_users_top_k")
+@register("sampled_users_top_k", oracle("""
+SELECT user_id, rank, item_id, score FROM recs WHERE user_id IN (
+  SELECT user_id FROM (SELECT DISTINCT user_id FROM test) ORDER BY md5('42:' || user_id), user_id LIMIT 100)""", osql.chain(10)))
 def q_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7 + W6: the reference's inference run: 100 sampled test users (seeded hash order), top-10 each.
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith.operators import metrics as ME
 from recsmith.operators import models as MO
 from recsmith.operators import text as TX
 from recsmith.plans import local_chain
+from recsmith.plans import oracle_sql as osql
 from recsmith.plans.catalog import register
 from recsmith.plans.queries_batch import DAYS, rnd
 from recsmith.sources import fixtures
+from recsmith.session import materialize
 from recsmith.sources.fixtures import oracle
 
 AS_OF = "1996-01-01 00:00:00"
@@ -30,18 +32,19 @@ def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MO.user_stats_as_of(fixtures.interactions(spark, sf_dir), AS_OF)
 
 
-@register("title_tfidf", oracle(r"""
-SELECT item_id, term, col, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY item_id)), 9) AS weight FROM (
-  SELECT c.item_id, c.term, v.col, c.tf * (ln((1 + (SELECT count(*) FROM items)) / (1 + v.df)) + 1) AS raw
-  FROM (SELECT item_id, term, count(*) AS tf FROM (
-          SELECT item_id, unnest(regexp_extract_all(lower(coalesce(title, '')), '\b\w\w+\b')) AS term FROM items)
-        GROUP BY item_id, term) c
-  JOIN (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS col FROM (
-          SELECT term, sum(tf) AS total, count(*) AS df FROM (
-            SELECT item_id, term, count(*) AS tf FROM (
-              SELECT item_id, unnest(regexp_extract_all(lower(coalesce(title, '')), '\b\w\w+\b')) AS term FROM items)
-            GROUP BY item_id, term)
-          GROUP BY term ORDER BY total DESC, term LIMIT 100)) v USING (term))"""))
+def _tfidf_sql(table: str, key: str, text: str) -> str:
+    terms = f"""SELECT {key}, term, count(*) AS tf FROM (
+      SELECT {key}, unnest(regexp_extract_all(lower(coalesce({text}, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM {table}) GROUP BY {key}, term"""
+    return f"""
+WITH tf AS ({terms}),
+v AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS col FROM (
+        SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term ORDER BY total DESC, term LIMIT 100)),
+w AS (SELECT {key}, term, col, raw / sqrt(sum(raw * raw) OVER (PARTITION BY {key})) AS weight FROM (
+        SELECT {key}, tf.term, col, tf * (ln((1 + (SELECT count(*) FROM {table})) / (1 + df)) + 1) AS raw FROM tf JOIN v ON tf.term = v.term))
+SELECT d.{key}, term, col, round(coalesce(weight, 0.0), 9) AS weight FROM {table} d LEFT JOIN w ON d.{key} = w.{key}"""
+
+
+@register("title_tfidf", oracle("SELECT * FROM (" + _tfidf_sql("items", "item_id", "title") + ")"))
 def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TF-IDF of item titles over the 100 most frequent terms (sparse, long form).
 
@@ -51,6 +54,13 @@ def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("weight", F.round("weight", 9))
 
 
+@register("document_tfidf", _tfidf_sql("documents", "doc_id", "text"))
+def q_document_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P15 over texts in four languages: the 100 most frequent words of a large vocabulary, no stop words."""
+    out = TX.tfidf(fixtures.read_table(spark, sf_dir, "documents"), "doc_id", "text", 100, stop_words=[])
+    return out.withColumn("weight", F.round("weight", 9))
+
+
 @register("title_svd")
 def q_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20-dimensional truncated SVD (U·S) of the title TF-IDF matrix."""
@@ -59,20 +69,66 @@ def q_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register("title_svd_energy", oracle("""
+SELECT item_id, CASE WHEN len(regexp_extract_all(lower(coalesce(title, '')), '[\\p{L}\\p{N}_]{2,}')) > 0 THEN 1.0 ELSE 0.0 END AS energy FROM items"""))
+def q_svd_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The components keep a row's length where the vocabulary has no more terms than components (16 here)."""
+    long = TX.tfidf(fixtures.items(spark, sf_dir), "item_id", "title", 100)
+    out, _ = TX.truncated_svd(long, "item_id", 100, 20)
+    squares = sum((F.col(c) * F.col(c) for c in out.columns if c.startswith("svd_")), F.lit(0.0))
+    return out.select("item_id", F.round(squares, 6).alias("energy"))
+
+
 @register("als_rating_error")
 def q_als_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1 + M3: explicit ALS (rank 64) fit on the train rows, error on the test rows."""
+    """M1 + M3: explicit ALS (rank 64) fit on the train rows, error on all test rows."""
     c = local_chain.prepare_fixture(spark, sf_dir)
     model = MO.train_als(c.train, rank=MO.EMBEDDING_DIM, max_iter=10)
     return MO.rmse(model, c.test)
 
 
+@register("als_scored_rows", oracle("""
+SELECT count(*) AS n, count(*) FILTER (WHERE user_id NOT IN (SELECT user_id FROM train WHERE rating IS NOT NULL)
+                                       OR item_id NOT IN (SELECT item_id FROM train WHERE rating IS NOT NULL)) AS n_cold
+FROM test WHERE rating IS NOT NULL""", osql.split_ctes()))
+def q_als_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: every rated test row is scored; those with an unknown user or item are counted."""
+    c = local_chain.prepare_fixture(spark, sf_dir)
+    return MO.rmse(MO.train_als(c.train, rank=8, max_iter=2), c.test).select("n", "n_cold")
+
+
+def list_checks(recs: DataFrame, history: DataFrame, k: int) -> DataFrame:
+    """What any list must satisfy, whatever the scores: one row of counts."""
+    per = recs.groupBy("user_id").agg(F.count("*").alias("n"), F.max("rank").alias("last"), F.count_distinct("item_id").alias("items"))
+    w = Window.partitionBy("user_id").orderBy("rank")
+    drops = recs.withColumn("d", F.col("score") - F.lag("score").over(w)).agg(F.count(F.when(F.col("d") > 0, 1)).alias("score_rises"))
+    seen = recs.join(history.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_semi").agg(F.count("*").alias("seen_items"))
+    return (per.agg(F.count("*").alias("users_served"), F.count(F.when(F.col("n") == k, 1)).alias("full_lists"),
+                    F.count(F.when((F.col("last") != F.col("n")) | (F.col("items") != F.col("n")), 1)).alias("rank_gaps"))
+            .crossJoin(seen).crossJoin(drops))  # one row each
+
+
+_CHECKS = oracle("""
+SELECT count(DISTINCT user_id) AS users_served, count(DISTINCT user_id) AS full_lists, 0 AS rank_gaps, 0 AS seen_items, 0 AS score_rises
+FROM test""", osql.split_ctes())
+
+
+def _als_lists(c) -> DataFrame:
+    model = MO.train_als(c.train, rank=MO.EMBEDDING_DIM, max_iter=10)
+    return MO.top_k_unseen_factors(model, c.history, 10, users=c.targets, fallback=c.scores)
+
+
 @register("als_top_k_unseen")
 def q_als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 + M2 + J6: exact top-10 unseen items by factor inner product for every test user."""
+    return _als_lists(local_chain.prepare_fixture(spark, sf_dir))
+
+
+@register("als_top_k_checks", _CHECKS)
+def q_als_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: every test user has ten unseen items in falling score, users without factors included."""
     c = local_chain.prepare_fixture(spark, sf_dir)
-    model = MO.train_als(c.train, rank=MO.EMBEDDING_DIM, max_iter=10)
-    return MO.top_k_unseen_factors(model, c.history, 10, users=c.targets)
+    return list_checks(materialize(_als_lists(c)), c.history, 10)
 
 
 @register("gbt_rating_error")
@@ -143,13 +199,31 @@ def q_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MO.compare_versions({"genre_popularity": ours, "other_users": other})
 
 
+def _hybrid_lists(c) -> DataFrame:
+    als = MO.train_als(c.train, rank=MO.EMBEDDING_DIM, max_iter=10)
+    matrix, inputs, fitted = MO.ranking_matrix(c.train, c.users, c.items)
+    gbt = MO.train_gbt(matrix)
+    return MO.hybrid_top_k(als, gbt, fitted, c.history, c.train, c.users, c.items, inputs, k=10, candidates=50,
+                           targets=c.targets, fallback=c.scores)
+
+
 @register("hybrid_top_k")
 def q_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ALS retrieval of 50 unseen candidates per test user, re-ranked by the boosted
     regressor trained on the train rows; top 10 per user."""
+    return _hybrid_lists(local_chain.prepare_fixture(spark, sf_dir))
+
+
+@register("hybrid_top_k_checks", _CHECKS)
+def q_hybrid_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test user has ten unseen items in falling score."""
     c = local_chain.prepare_fixture(spark, sf_dir)
-    als = MO.train_als(c.train, rank=MO.EMBEDDING_DIM, max_iter=10)
-    matrix, inputs, fitted = MO.ranking_matrix(c.train, c.users, c.items)
-    gbt = MO.train_gbt(matrix)
-    out = MO.hybrid_top_k(als, gbt, fitted, c.history, c.train, c.users, c.items, inputs, k=10, candidates=50)
-    return out.join(c.targets, "user_id", "left_semi")
+    return list_checks(materialize(_hybrid_lists(c)), c.history, 10)
+
+
+@register("ab_assignment", oracle("""
+SELECT user_id, CASE WHEN bucket < 50 THEN 'treatment' ELSE 'control' END AS variant, bucket FROM (
+  SELECT DISTINCT user_id, ('0x' || substr(md5('ab-1:' || user_id), 1, 8))::BIGINT % 100 AS bucket FROM test)""", osql.split_ctes()))
+def q_ab_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variant of every test user."""
+    return MO.assign_variants(local_chain.prepare_fixture(spark, sf_dir).targets)

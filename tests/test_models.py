@@ -23,8 +23,9 @@ def test_als_top_k_unseen_is_exact(spark):
     r = _ratings(spark)
     model = MO.train_als(r, rank=4, max_iter=5)
     got = {(x.user_id, x.rank): x.item_id for x in MO.top_k_unseen_factors(model, r, 3).collect()}
-    U = {x.id: np.array(x.features) for x in model.userFactors.collect()}
-    V = {x.id: np.array(x.features) for x in model.itemFactors.collect()}
+    uid, iid = ({x.code: x.value for x in t.collect()} for t in (model.users, model.items))
+    U = {uid[x.id]: np.array(x.features) for x in model.als.userFactors.collect()}
+    V = {iid[x.id]: np.array(x.features) for x in model.als.itemFactors.collect()}
     seen = {}
     for x in r.collect():
         seen.setdefault(x.user_id, set()).add(x.item_id)
@@ -35,6 +36,25 @@ def test_als_top_k_unseen_is_exact(spark):
             assert got[(u, rank)] == i or abs(float(uf @ V[got[(u, rank)]]) - scores[rank - 1][0]) < 1e-5
 
 
+def test_text_ids_and_cold_users(spark):
+    """Ids as the declared schema has them; users without factors get base-score lists, cold rows are scored and counted."""
+    r = _ratings(spark).select(F.format_string("user_%06d", "user_id").alias("user_id"),
+                               F.format_string("item_%06d", "item_id").alias("item_id"), "rating")
+    model = MO.train_als(r, rank=4, max_iter=3)
+    cold = spark.createDataFrame([("user_new", "item_000001", 3.0), ("user_000001", "item_new", 2.0), ("user_000999", "item_000001", 4.0),
+                                  (None, "item_000001", 1.0)], "user_id string, item_id string, rating double")
+    err = MO.rmse(model, cold).first()
+    assert (err.n, err.n_cold) == (4, 3)
+    scores = r.select("item_id").distinct().select("item_id", F.lit("g").alias("genre"), F.length("item_id").cast("double").alias("base_score"))
+    asked = spark.createDataFrame([("user_new",), ("user_000999",), ("user_000003",)], "user_id string")
+    got = MO.top_k_unseen_factors(model, r, 5, users=asked, fallback=scores).groupBy("user_id").count().collect()
+    assert {x["user_id"]: x["count"] for x in got} == {"user_new": 5, "user_000999": 5, "user_000003": 5}
+    root = tempfile.mkdtemp(prefix="recsmith-als-")
+    MO.save_model(model, root, {"rank": 4})
+    again = MO.load_factors(spark, root)
+    assert MO.rmse(again, r).first() == MO.rmse(model, r).first()
+
+
 def test_als_error_below_mean_predictor(spark):
     r = _ratings(spark, n=2000, seed=2)
     train, test = r.randomSplit([0.8, 0.2], seed=3)
@@ -66,7 +86,12 @@ def test_tfidf_matches_formula(spark):
     assert got[(1, "red")] == pytest.approx(raw1["red"] / n1)
     assert got[(1, "apple")] == pytest.approx(raw1["apple"] / n1)
     out, s = TX.truncated_svd(TX.tfidf(docs, "id", "t", 10, stop_words=[]), "id", 3, 2)
-    assert out.count() == 2 and s[0] >= s[1]
+    assert out.count() == 3 and s[0] >= s[1]
+    zero = out.where("id = 3").first()
+    assert zero.svd_0 == zero.svd_1 == 0.0
+    words = spark.createDataFrame([(1, "Am\u00e9lie \u00e0 Montr\u00e9al"), (2, "\u00e9t\u00e9"), (3, "1")], "id long, t string")
+    got = sorted((r.id, r.term) for r in TX.tfidf(words, "id", "t", 10, stop_words=[]).collect() if r.term)
+    assert got == [(1, "am\u00e9lie"), (1, "montr\u00e9al"), (2, "\u00e9t\u00e9")]
 
 
 def test_hybrid_reranks_retrieved_candidates(spark):

@@ -27,3 +27,19 @@ def test_pipeline_gate_stops_on_bad_data(spark):
     bad = t["interactions"].withColumn("rating", t["interactions"]["rating"] + 10)
     with pytest.raises(V.ValidationError):
         run_pipeline(spark, t["users"], t["items"], bad, tempfile.mkdtemp(prefix="recsmith-gate-"))
+
+
+def test_pipeline_trains_models_on_text_ids(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from recsmith.operators import models as MO
+    monkeypatch.setattr(MO.train_gbt, "__defaults__", (5, 3, 0.01, 42))
+    t = fixtures.tables(spark, SF_SMALL)
+    user, item = F.format_string("user_%06d", "user_id"), F.format_string("item_%06d", "item_id")
+    out = run_pipeline(spark, t["users"].withColumn("user_id", user), t["items"].withColumn("item_id", item),
+                       t["interactions"].withColumn("user_id", user).withColumn("item_id", item),
+                       tempfile.mkdtemp(prefix="recsmith-pipe-"), train_models=True)
+    factors = MO.load_factors(spark, os.path.join(out["models"], "als"))
+    assert factors.users.first()["value"].startswith("user_0")
+    items = spark.read.parquet(out["item_features"])
+    assert "svd_0" in items.columns and items.count() == t["items"].count()
