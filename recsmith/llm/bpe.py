@@ -27,7 +27,6 @@ result; further columns of the input are ignored.  A tokenizer file of another k
 from __future__ import annotations
 
 import hashlib
-import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -37,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import read_table
+from recsmith.llm.common import in_slices, read_table
 
 # The byte-level pre-splitting pattern, and Unicode white space.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -46,7 +45,7 @@ _WS = "\t-\r \x85\xa0  -     　"
 RUNS = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
 #: Below this character the regex module and the tokenizers library classify letters and numbers alike.
 _AGREED = "ɐ"
-CACHE_RUNS = 600_000  # runs a worker keeps: a full table becomes the old one, whose entries return when met again
+CACHE_RUNS = 300_000  # runs a worker keeps: a full table becomes the old one, whose entries return when met again
 _TOKEN = -1
 
 
@@ -186,8 +185,8 @@ class Codec:
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(PATTERN)
         self.spec, self.library = spec, None
-        self.runs: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.runs: dict[str, tuple[str, bytes]] = {}
+        self.older: dict[str, tuple[str, bytes]] = {}
 
     def split(self, run: str) -> list[str]:
         """The words of one run."""
@@ -203,21 +202,21 @@ class Codec:
             self.library = Tokenizer.from_str(self.spec).pre_tokenizer
         return [run[a:b] for _, (a, b) in self.library.pre_tokenize_str(run)]
 
-    def _run(self, run: str) -> tuple[tuple[int, ...], str, bytes]:
-        """Of one run: its ids, the ids in decimal, and the labels its arcs emit."""
+    def _run(self, run: str) -> tuple[str, bytes]:
+        """Of one run: its ids in decimal, joined by commas, and the labels its arcs emit."""
         known = self.older.get(run)
         if known is None:
             encode = self.automaton.encode
             ids = tuple([i for w in self.split(run) for i in encode(w.encode("utf-8"))])
-            known = ids, ",".join(map(str, ids)), self.automaton.decode(ids)
+            known = ",".join(map(str, ids)), self.automaton.decode(ids)
         if len(run) <= 64:  # a longer run is rare and would only fill the table
             if len(self.runs) >= CACHE_RUNS // 2:
                 self.older, self.runs = self.runs, {}
             self.runs[run] = known
         return known
 
-    def parts(self, text: str) -> list[tuple[tuple[int, ...], str, bytes]]:
-        """The runs and special strings of a text in order, each as its ids, the ids in decimal and its labels."""
+    def parts(self, text: str) -> list[tuple[str, bytes]]:
+        """The runs and special strings of a text in order, each as its ids in decimal and its labels."""
         known, run = self.runs.get, self._run
         if self.cut_special is None or not any(s in text for s in self.special):
             out = []
@@ -232,13 +231,13 @@ class Codec:
         for part in self.cut_special.split(text):
             if part in self.special:
                 i = self.special[part]
-                out.append(((i,), str(i), self.automaton.label[i]))
+                out.append((str(i), self.automaton.label[i]))
             elif part:
                 out.extend(self.parts(part))
         return out
 
     def encode(self, text: str) -> list[int]:
-        return list(itertools.chain.from_iterable([p[0] for p in self.parts(text)]))
+        return [int(i) for p in self.parts(text) for i in p[0].split(",")]
 
     def decode(self, ids) -> str:
         return self.automaton.decode(ids).decode("utf-8", errors="replace")
@@ -267,14 +266,15 @@ def encode_documents(docs: DataFrame, path: str | None = None, with_ids: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(spec)
-        for b in batches:
+        for b in in_slices(batches):
             rows: list[tuple] = []
             for text in b.column(1).to_pylist():
                 parts = c.parts(text or "")
-                labels = b"".join([p[2] for p in parts])  # labels cut inside a character decode as the whole does
-                rows.append((sum([len(p[0]) for p in parts]), _sha256(",".join([p[1] for p in parts]).encode()),
+                ids = ",".join([p[0] for p in parts])
+                labels = b"".join([p[1] for p in parts])  # labels cut inside a character decode as the whole does
+                rows.append((ids.count(",") + 1 if ids else 0, _sha256(ids.encode()),
                              _sha256(labels.decode("utf-8", errors="replace").encode("utf-8")),
-                             *[[i for p in parts for i in p[0]]] * with_ids))
+                             *[[int(i) for i in ids.split(",") if i]] * with_ids))
             cols = list(zip(*rows)) or [()] * (len(schema) - 1)
             yield pa.RecordBatch.from_arrays([b.column(0), *map(lambda v, f: pa.array(v, f.type), cols, list(schema)[1:])],
                                              schema=schema)

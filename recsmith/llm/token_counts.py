@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith.llm.bpe import CACHE_RUNS, RUNS, read_tokenizer
-from recsmith.llm.common import read_table, text_or_empty
+from recsmith.llm.common import in_slices, read_table, text_or_empty
 from recsmith.session import materialize, shuffle_partitions
 
 CHUNK_CHARS, OVERLAP_CHARS, WIDEN = 32768, 512, 4
@@ -98,7 +98,7 @@ def _short_counts(texts: DataFrame, spec: str) -> DataFrame:
     """texts (row, text) -> row, n_tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(spec)
-        for b in batches:
+        for b in in_slices(batches):
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(c.count(b.column(b.num_columns - 1).to_pylist()), pa.int64())],
                                              names=[*b.schema.names[:-1], "n_tokens"])
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import read_table, training_row
+from recsmith.llm.common import in_slices, read_table, training_row
 from recsmith.llm.quality import decided
 from recsmith.session import materialize
 
@@ -261,7 +261,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 def scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """docs (doc_id, text, ..) -> doc_id, score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lexicon.score(b.column(1).to_pylist()), pa.float64())],
                                              names=["doc_id", "score"])
 
