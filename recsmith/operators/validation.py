@@ -17,8 +17,6 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-# Largest number of distinct values kept as a categorical domain when inferring a schema.
-MAX_DOMAIN_SIZE = 50
 
 # Fixed rule presets of the reference validator (column, kind, parameter).
 INTERACTION_RULES = [
@@ -51,30 +49,67 @@ def _is_numeric(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, NUMERIC)
 
 
-def column_statistics(df: DataFrame) -> DataFrame:
-    """V1: one row per column: type, rows, nulls, distinct values, numeric min/max/mean/std,
-    string length min/max.  One aggregate over the table."""
+def column_statistics(df: DataFrame, exact_distinct: list[str] = ()) -> DataFrame:
+    """V1: one row per column: type, rows, nulls, distinct values, numeric min/max/mean/std and zeros,
+    string length min/max.  One aggregate over the table.
+
+    Distinct counts are sketches (as the reference's are); columns in ``exact_distinct`` are counted exactly by
+    a second, two-level aggregation.
+    """
     aggs, entries = [F.count(F.lit(1)).alias("n_rows")], []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         num = isinstance(f.dataType, NUMERIC)
         s = f"s{i}"
-        aggs += [F.count(c).alias(f"{s}_nn"), F.count_distinct(c).alias(f"{s}_nd")]
+        aggs += [F.count(c).alias(f"{s}_nn"), F.approx_count_distinct(c).alias(f"{s}_nd")]
         if num:
             aggs += [F.min(c).cast("double").alias(f"{s}_min"), F.max(c).cast("double").alias(f"{s}_max"),
-                     F.avg(c).alias(f"{s}_mean"), F.stddev_pop(c).alias(f"{s}_std")]
+                     F.avg(c).alias(f"{s}_mean"), F.stddev_pop(c).alias(f"{s}_std"), F.count(F.when(c == 0, 1)).alias(f"{s}_z")]
         else:
-            aggs += [F.lit(None).cast("double").alias(f"{s}_min"), F.lit(None).cast("double").alias(f"{s}_max"),
-                     F.lit(None).cast("double").alias(f"{s}_mean"), F.lit(None).cast("double").alias(f"{s}_std")]
+            aggs += [F.lit(None).cast("double").alias(f"{s}_{m}") for m in ("min", "max", "mean", "std")]
+            aggs += [F.lit(None).cast("long").alias(f"{s}_z")]
         if isinstance(f.dataType, T.StringType):
             aggs += [F.min(F.length(c)).cast("long").alias(f"{s}_lmin"), F.max(F.length(c)).cast("long").alias(f"{s}_lmax")]
         else:
             aggs += [F.lit(None).cast("long").alias(f"{s}_lmin"), F.lit(None).cast("long").alias(f"{s}_lmax")]
         entries.append(f"'{f.name}', '{f.dataType.simpleString()}', n_rows - {s}_nn, {s}_nd, "
-                       f"{s}_min, {s}_max, {s}_mean, {s}_std, {s}_lmin, {s}_lmax")
-    one = df.agg(*aggs)
-    return one.selectExpr("n_rows", f"stack({len(entries)}, {', '.join(entries)}) AS "
-                          "(column, dtype, n_null, n_distinct, min, max, mean, std, min_length, max_length)")
+                       f"{s}_min, {s}_max, {s}_mean, {s}_std, {s}_z, {s}_lmin, {s}_lmax")
+    out = df.agg(*aggs).selectExpr("n_rows", f"stack({len(entries)}, {', '.join(entries)}) AS "
+                                   "(column, dtype, n_null, n_distinct, min, max, mean, std, n_zero, min_length, max_length)")
+    if not exact_distinct:
+        return out
+    exact = (column_values(df, list(exact_distinct)).groupBy(F.col("column").alias("_c"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    return (out.join(exact, F.col("column") == F.col("_c"), "left")
+            .withColumn("n_distinct", F.when(F.col("column").isin(list(exact_distinct)), F.coalesce("_n", F.lit(0)))
+                        .otherwise(F.col("n_distinct"))).drop("_c", "_n"))
+
+
+def column_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The distinct non-null values of several columns as text, long form (column, value), any number of them."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols]))
+    return df.select(pairs.alias("p")).select("p.column", "p.value").where(F.col("value").isNotNull()).distinct()
+
+
+def numeric_histogram(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
+    """V1: equal-width histogram of numeric columns between their minimum and maximum: (column, bin from 0, n), occupied bins only."""
+    ends = df.agg(*[F.min(c).cast("double").alias(f"lo{i}") for i, c in enumerate(cols)],
+                  *[F.max(c).cast("double").alias(f"hi{i}") for i, c in enumerate(cols)])
+    cells = []
+    for i, c in enumerate(cols):
+        x, lo, hi = F.col(c).cast("double"), F.col(f"lo{i}"), F.col(f"hi{i}")
+        place = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
+        cells.append(F.struct(F.lit(c).alias("column"), place.cast("int").alias("bin")))
+    rows = df.select(*cols).crossJoin(F.broadcast(ends)).select(F.explode(F.array(*cells)).alias("c"))  # one row of ends
+    return rows.select("c.column", "c.bin").where(F.col("bin").isNotNull()).groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quantile_sketch(df: DataFrame, cols: list[str], probs=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
+    """V1: approximate quantiles (values of the column, rank error at most n/accuracy): (column, q, value)."""
+    one = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"q{i}") for i, c in enumerate(cols)])
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("q"), F.col(f"q{i}")[k].alias("value"))
+             for i, c in enumerate(cols) for k, p in enumerate(probs)]
+    return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
 def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
@@ -85,39 +120,48 @@ def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
                  .select(F.lit(col).alias("column"), "value", "count")
 
 
-def infer_schema(df: DataFrame, max_domain: int = MAX_DOMAIN_SIZE) -> DataFrame:
-    """V2: (column, dtype, required, min, max, domain) from statistics.
-
-    A string column with at most ``max_domain`` distinct values gets its value set
-    as domain; the set is built only for those columns, so it stays small.
-    """
+def infer_schema(df: DataFrame) -> DataFrame:
+    """V2: (column, dtype, required, min, max) from statistics; ``infer_domains`` has the value sets."""
     stats = column_statistics(df)
-    small = [r["column"] for r in stats.where((F.col("dtype") == "string") & (F.col("n_distinct") <= max_domain))
-                                       .select("column").collect()]
-    schema = stats.select("column", "dtype", (F.col("n_null") == 0).alias("required"), "min", "max")
-    if not small:
-        return schema.withColumn("domain", F.lit(None).cast("array<string>"))
-    domains = df.agg(*[F.array_sort(F.collect_set(F.col(f"`{c}`"))).alias(c) for c in small])
-    entries = ", ".join(f"'{c}', `{c}`" for c in small)
-    dom = domains.selectExpr(f"stack({len(small)}, {entries}) AS (column, domain)")
-    return schema.join(dom, "column", "left")
+    return stats.select("column", "dtype", (F.col("n_null") == 0).alias("required"), "min", "max")
+
+
+def infer_domains(df: DataFrame) -> DataFrame:
+    """V2: the value sets of the string columns in long form (column, value), whatever their size."""
+    return column_values(df, [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
 
 
 def update_schema(schema: DataFrame, df: DataFrame) -> DataFrame:
-    """V4: widen a schema with new data: union of domains, outer bounds, presence kept
-    only if required in both."""
-    new = infer_schema(df)
-    o, n = schema.alias("o"), new.alias("n")
-    return (o.join(n, "column", "full_outer").select(
+    """V4: widen a schema with new data: outer bounds, presence kept only if required in both."""
+    o, n = schema.alias("o"), infer_schema(df).alias("n")
+    return o.join(n, "column", "full_outer").select(
         "column", F.coalesce("o.dtype", "n.dtype").alias("dtype"),
         (F.coalesce("o.required", F.lit(True)) & F.coalesce("n.required", F.lit(True))).alias("required"),
-        F.least("o.min", "n.min").alias("min"), F.greatest("o.max", "n.max").alias("max"),
-        F.when(F.col("o.domain").isNull() | F.col("n.domain").isNull(), F.lit(None).cast("array<string>"))
-         .otherwise(F.array_sort(F.array_union("o.domain", "n.domain"))).alias("domain")))
+        F.least("o.min", "n.min").alias("min"), F.greatest("o.max", "n.max").alias("max"))
+
+
+def update_domains(domains: DataFrame, df: DataFrame) -> DataFrame:
+    """V4: the union of value sets."""
+    return domains.unionByName(infer_domains(df)).distinct()
+
+
+def domain_violations(df: DataFrame, domains: DataFrame) -> DataFrame:
+    """V3 for inferred value sets of any size: (column, rule, n_bad, n_rows, fraction), one row per column with a domain.
+
+    Values are counted first (combined on the map side), so only distinct values meet the domain table."""
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in cols]))
+    counts = df.select(pairs.alias("p")).select("p.*").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = domains.select(F.col("column").alias("_c"), F.col("value").alias("_v"), F.lit(True).alias("_known"))
+    has = domains.select("column").distinct()
+    met = counts.join(known, (F.col("column") == F.col("_c")) & (F.col("value") == F.col("_v")), "left").join(has, "column", "left_semi")
+    bad = F.col("value").isNotNull() & F.col("_known").isNull()
+    out = met.groupBy("column").agg(F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("n_bad"), F.sum("n").alias("n_rows"))
+    return out.select("column", F.lit("domain").alias("rule"), "n_bad", "n_rows", (F.col("n_bad") / F.col("n_rows")).alias("fraction"))
 
 
 def schema_rules(schema: DataFrame) -> list[tuple]:
-    """Rules implied by an inferred schema (presence, numeric bounds, domains)."""
+    """Rules implied by an inferred schema (presence, numeric bounds); value sets are checked by ``domain_violations``."""
     rules = []
     for r in schema.collect():  # one row per column: bounded by the table's width
         if r["required"]:
@@ -126,8 +170,6 @@ def schema_rules(schema: DataFrame) -> list[tuple]:
             rules.append((r["column"], "min_value", r["min"]))
         if r["max"] is not None:
             rules.append((r["column"], "max_value", r["max"]))
-        if r["domain"] is not None:
-            rules.append((r["column"], "allowed_values", list(r["domain"])))
     return rules
 
 
@@ -143,6 +185,14 @@ def _bad(df: DataFrame, col: str, kind: str, param):
         return c.isNull() if param in (None, True, 1.0) else F.lit(False)
     if kind == "allowed_values":
         return c.isNotNull() & ~c.cast("string").isin(list(param))
+    if kind == "domain":  # a list of values, or the bounds (min, max) of a number with None for an open end
+        if isinstance(param, tuple):
+            low, high = ((F.lit(False) if p is None else None) for p in param)
+            x = c.cast("double")
+            low = (x < F.lit(float(param[0]))) if low is None else low
+            high = (x > F.lit(float(param[1]))) if high is None else high
+            return c.isNotNull() & (low | high)
+        return c.isNotNull() & ~c.cast("string").isin(list(param))
     if kind == "min_value":
         return c.isNotNull() & (c.cast("double") < F.lit(float(param)))
     if kind == "max_value":

@@ -41,7 +41,7 @@ def oracles() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from recsmith.plans import (queries_batch, queries_models, queries_monitoring,  # noqa: F401
+    from recsmith.plans import (queries_batch, queries_models, queries_monitoring, queries_streams,  # noqa: F401
                                 queries_validation)
 
 

@@ -52,7 +52,7 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> D
     """One of the three tables with its declared schema; ISO timestamps parsed."""
     schema = SCHEMAS[name]
     if fmt == "csv":
-        df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+        df = _read_csv(spark, path, schema).drop(CORRUPT)
     else:
         df = spark.read.parquet(path)
     if name == "interactions" and isinstance(df.schema["timestamp"].dataType, T.StringType):
@@ -60,6 +60,22 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> D
     return df
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).option("header", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+
+
+def corrupt_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Rows read and rows with values that do not parse (their unparsable values are read as NULL)."""
+    df = _read_csv(spark, path, SCHEMAS[name])
+    # every column is read, else its values are not parsed and cannot be found corrupt
+    read = F.xxhash64(*[f.name for f in SCHEMAS[name].fields]) != F.lit(0)
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col(CORRUPT).isNotNull() & read, 1)).alias("n_corrupt"))
+
+
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
     """A missing optional table is an empty DataFrame of the declared schema."""
     return spark.createDataFrame([], SCHEMAS[name])
@@ -110,6 +126,11 @@ def save_metrics(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/csv")
 
 
-def append_request_log(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    """Append request-log rows (key, k, processing_time_ms, timestamp)."""
-    spark.createDataFrame(rows, REQUEST_LOG).write.mode("append").parquet(path)
+def append_request_log(spark: SparkSession, path: str, rows: DataFrame | list[tuple]) -> None:
+    """Append request-log rows (key, k, processing_time_ms, timestamp): a table of any size, or a few tuples."""
+    df = rows if isinstance(rows, DataFrame) else spark.createDataFrame(rows, REQUEST_LOG)
+    df.select(*[F.col(f.name).cast(f.dataType) for f in REQUEST_LOG.fields]).write.mode("append").parquet(path)
+
+
+def read_request_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REQUEST_LOG).parquet(path)

@@ -41,6 +41,8 @@ RETENTION_DAYS = 365
 
 
 def _with_event_time(events: DataFrame, ts: str = "ts") -> DataFrame:
+    if isinstance(events.schema[ts].dataType, T.TimestampType):
+        return events  # a watermark stays with the column it was set on
     return events.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
@@ -298,7 +300,14 @@ def stream_request_metrics(stream: DataFrame, window: str = "60 seconds", waterm
         F.percentile_approx("value", 0.95, p95_accuracy).alias("p95_latency_ms")))
     return agg.select(*_window_cols(), "n_requests", (F.col("n_requests") / seconds).alias("request_rate"),
                       "error_rate", "mean_latency_ms", "p95_latency_ms",
-                      (F.col("error_rate") > ERROR_RATE_MAX).alias("error_alert"))
+                      (F.col("error_rate") > ERROR_RATE_MAX).alias("error_alert"),
+                      (F.col("mean_latency_ms") > LATENCY_MEAN_MAX_MS).alias("latency_alert"),
+                      (F.col("p95_latency_ms") > LATENCY_P95_MAX_MS).alias("p95_alert"))
+
+
+def stream_click_through(stream: DataFrame, window: str = "3600 seconds", watermark: str = "1 hour") -> DataFrame:
+    """T6 on a stream: clicks / views per window, emitted once the watermark passes the window."""
+    return click_through(stream.withWatermark("ts", watermark), window)
 
 
 def stream_active_users(stream: DataFrame, window: str = "86400 seconds", watermark: str = "1 hour") -> DataFrame:
@@ -308,73 +317,94 @@ def stream_active_users(stream: DataFrame, window: str = "86400 seconds", waterm
                       .groupBy(F.window("ts", window).alias("w"), "user_id").count())
     per_window = per_user.groupBy(F.window(F.window_time("w"), window).alias("window")).agg(
         F.count(F.lit(1)).alias("active_users"))
-    return per_window.select(*_window_cols(), "active_users")
+    return per_window.select(*_window_cols(), "active_users", (F.col("active_users") < ACTIVE_USERS_MIN).alias("alert"))
+
 
+ALERT_STATE = "run long, last_wno long, run_start timestamp, open_start timestamp, open_end timestamp, n_alerts long"
+ALERT_OUT = "metric string, kind string, alert_start timestamp, alert_end timestamp, n long"
 
-ALERT_STATE = "run long, last_wno long, run_start timestamp"
-ALERT_OUT = "metric string, alert_start timestamp, alert_end timestamp, n_windows long"
 
+def _alert_fn(window_seconds: int, need: int, close_after: int):
+    """State of one metric: the running condition (length, last window number, start) and the open incident."""
+    width = pd.Timedelta(seconds=window_seconds)
 
-def _alert_fn(window_seconds: int, need: int):
     def step(key, pdfs, state: GroupState):
-        run, last, start = (state.get if state.exists else (0, None, None))
+        run, last, start, first, end, alerts = state.get if state.exists else (0, None, None, None, None, 0)
         out = []
-        for pdf in pdfs:
-            for row in pdf.sort_values("window_start").itertuples(index=False):
-                wno = int(pd.Timestamp(row.window_start).value // (window_seconds * 10 ** 9))
-                if row.firing:
-                    if last is not None and wno == last + 1 and run > 0:
-                        run += 1
-                    else:
-                        run, start = 1, row.window_start
-                    if run == need:
-                        out.append((key[0], start, None, run))
-                else:
-                    run = 0
-                last = wno
-        state.update((run, last, start))
-        if out:
-            yield pd.DataFrame(out, columns=["metric", "alert_start", "alert_end", "n_windows"])
+        for row in pd.concat(list(pdfs)).sort_values("window_start").itertuples(index=False):
+            at = pd.Timestamp(row.window_start)
+            wno = int(at.value // (window_seconds * 10 ** 9))
+            if run >= need and (not row.firing or wno != last + 1):
+                out.append((key[0], "alert", start, end, run))
+            if first is not None and at - pd.Timestamp(end) >= pd.Timedelta(seconds=close_after):
+                out.append((key[0], "incident", first, end, alerts))
+                first, end, alerts = None, None, 0
+            if row.firing:
+                run, start = (run + 1, start) if run and wno == last + 1 else (1, at)
+                if run >= need:
+                    alerts += run == need
+                    first, end = (start if first is None else first), at + width
+            else:
+                run = 0
+            last = wno
+        state.update((run, last, start, first, end, alerts))
+        yield pd.DataFrame(out, columns=["metric", "kind", "alert_start", "alert_end", "n"])
     return step
 
 
 def stream_sustained_alerts(window_metrics: DataFrame, flag_col: str = "error_alert", metric: str = "error_rate",
-                            window_seconds: int = 60, hold_seconds: int = CONDITION_SECONDS) -> DataFrame:
-    """T8 on a stream: fire once a condition has held for ``hold_seconds`` of consecutive
-    windows.  Keyed state per metric via ``applyInPandasWithState``; the state is three
-    numbers, whatever the stream's length."""
+                            window_seconds: int = 60, hold_seconds: int = CONDITION_SECONDS,
+                            auto_close_seconds: int = AUTO_CLOSE_SECONDS) -> DataFrame:
+    """T8 on a stream: rows of kind "alert" for each ended run of windows in which a condition has held for
+    ``hold_seconds`` (n = windows), and of kind "incident" once ``auto_close_seconds`` have passed without an alert
+    (n = alerts).  Keyed state per metric; it is six values, whatever the stream's length."""
     need = max(1, hold_seconds // window_seconds)
     keyed = window_metrics.select(F.lit(metric).alias("metric"),
                                   F.col("window_start").cast("timestamp").alias("window_start"),
                                   F.col(flag_col).alias("firing"))
     return keyed.groupBy("metric").applyInPandasWithState(
-        _alert_fn(window_seconds, need), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
+        _alert_fn(window_seconds, need, auto_close_seconds), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def running_user_stats(stream: DataFrame, out_dir: str, checkpoint: str, trigger_once: bool = True):
-    """Per-user running counts and rating sums from a stream, upserted per micro-batch.
+RUNNING_BUCKETS = 16
 
-    Each micro-batch's changed rows are merged into the previous snapshot and
-    written as a new numbered snapshot directory (never overwriting the one being read).
-    """
-    agg = stream.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("value_sum"))
-
-    def upsert(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        prev_path = f"{out_dir}/snapshot={batch_id - 1}"
-        try:
-            prev = spark.read.parquet(prev_path)
-            merged = prev.join(batch.select("user_id"), "user_id", "left_anti").unionByName(batch)
-        except Exception:  # first batch: no earlier snapshot
-            merged = batch
-        merged.write.mode("overwrite").parquet(f"{out_dir}/snapshot={batch_id}")
-
-    writer = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+
+def running_stats(stream: DataFrame, key: str, value: str, ts: str, other: str, out_dir: str, checkpoint: str,
+                  trigger_once: bool = True):
+    """Running statistics per ``key`` (A1 / A2 columns; distinct partners as a sketch, which a stream can keep).
+
+    Each micro-batch writes only the keys it changed, into a folder of its own number (written again, not added to, when
+    the batch is retried), partitioned by a bucket of the key.  Nothing earlier is read or rewritten.
+    ``read_running_stats`` gives the newest row per key, ``compact_running_stats`` folds old batches together."""
+    agg = stream.groupBy(key).agg(
+        F.count(value).alias("rating_count"), F.avg(value).alias("rating_mean"), F.stddev_samp(value).alias("rating_std"),
+        F.min(value).alias("rating_min"), F.max(value).alias("rating_max"), F.min(ts).alias("timestamp_min"),
+        F.max(ts).alias("timestamp_max"), F.approx_count_distinct(other).alias("partners"))
+
+    def write(batch: DataFrame, batch_id: int):
+        (batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(RUNNING_BUCKETS)).cast("int"))
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{out_dir}/batch={batch_id}"))
+
+    writer = agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
+def read_running_stats(spark: SparkSession, out_dir: str, key: str) -> DataFrame:
+    """The newest row of every key."""
+    rows = spark.read.option("basePath", out_dir).parquet(f"{out_dir}/batch=*")
+    values = [c for c in rows.columns if c not in (key, "batch", "bucket")]
+    return (rows.groupBy(key).agg(F.max_by(F.struct(*values), F.col("batch").cast("long")).alias("r"))
+            .select(key, *[F.col(f"r.{c}").alias(c) for c in values]))
+
+
+def compact_running_stats(spark: SparkSession, out_dir: str, key: str, target_dir: str) -> None:
+    """The newest row of every key as one batch under another folder, from which a reader can go on."""
+    (read_running_stats(spark, out_dir, key).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(RUNNING_BUCKETS)).cast("int"))
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{target_dir}/batch=-1"))
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger_once: bool = False):
     """S8 / T1-T7 sink: append finished windows (or log rows) to files; exactly-once through
     the checkpoint.  Windowed aggregates must carry a watermark (append mode)."""

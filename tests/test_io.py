@@ -40,3 +40,11 @@ def test_log_append_and_metrics(spark):
     m = spark.createDataFrame([("recall", 10, 0.5)], "metric string, k long, value double")
     io.save_metrics(m, os.path.join(root, "m"))
     assert spark.read.json(os.path.join(root, "m", "json")).count() == 1
+
+
+def test_corrupt_rows_are_counted(spark, tmp_path):
+    (tmp_path / "i.csv").write_text("user_id,item_id,interaction_type,rating,timestamp,session_id,device_type,duration_seconds\n"
+                                    "u1,i1,view,4.0,2024-01-01T00:00:00,s,,\nu1,i2,view,bad,2024-01-01T00:00:00,s,,\n")
+    row = io.corrupt_rows(spark, str(tmp_path / "i.csv"), "interactions").first()
+    assert (row.n_rows, row.n_corrupt) == (2, 1)
+    assert io.read_table(spark, str(tmp_path / "i.csv"), "interactions").where("rating IS NULL").count() == 1

@@ -108,24 +108,25 @@ def test_hybrid_reranks_retrieved_candidates(spark):
     assert out.groupBy("user_id").count().where("count > 3").count() == 0
 
 
-def test_running_user_stats_upserts(spark):
+def test_running_stats_keep_every_key(spark):
     from recsmith.streaming import monitoring as M
     import datetime as dt
     root = tempfile.mkdtemp(prefix="recsmith-t13-")
     t0 = dt.datetime(2024, 1, 1)
-    spark.createDataFrame([(1, t0, 1, "view", 2.0, "{}"), (2, t0, 2, "view", 3.0, "{}")], M.EVENT_SCHEMA) \
-         .write.parquet(os.path.join(root, "in", "b0"))
-    stream = M.read_event_stream(spark, os.path.join(root, "in", "*"))
-    q = M.running_user_stats(stream, os.path.join(root, "out"), os.path.join(root, "ck"))
-    q.awaitTermination()
-    spark.createDataFrame([(3, t0, 1, "click", 5.0, "{}")], M.EVENT_SCHEMA).write.parquet(os.path.join(root, "in", "b1"))
-    q = M.running_user_stats(M.read_event_stream(spark, os.path.join(root, "in", "*")),
-                             os.path.join(root, "out"), os.path.join(root, "ck"))
-    q.awaitTermination()
-    snaps = sorted(d for d in os.listdir(os.path.join(root, "out")) if d.startswith("snapshot="))
-    last = spark.read.parquet(os.path.join(root, "out", snaps[-1]))
-    got = {r.user_id: (r.n_events, r.value_sum) for r in last.collect()}
-    assert got == {1: (2, 7.0), 2: (1, 3.0)}
+
+    def feed(name, rows):
+        spark.createDataFrame(rows, M.EVENT_SCHEMA).write.parquet(os.path.join(root, "in", name))
+        M.running_stats(M.read_event_stream(spark, os.path.join(root, "in", "*")), "user_id", "value", "ts", "event_type",
+                        os.path.join(root, "out"), os.path.join(root, "ck")).awaitTermination()
+        return {r.user_id: (r.rating_count, r.rating_mean, r.rating_min, r.rating_max, r.timestamp_max, r.partners)
+                for r in M.read_running_stats(spark, os.path.join(root, "out"), "user_id").collect()}
+
+    feed("b0", [(1, t0, 1, "view", 2.0, "{}"), (2, t0, 2, "view", 3.0, "{}")])
+    later = t0 + dt.timedelta(hours=1)
+    want = {1: (2, 3.5, 2.0, 5.0, later, 2), 2: (1, 3.0, 3.0, 3.0, t0, 1)}
+    assert feed("b1", [(3, later, 1, "click", 5.0, "{}")]) == want
+    M.compact_running_stats(spark, os.path.join(root, "out"), "user_id", os.path.join(root, "small"))
+    assert M.read_running_stats(spark, os.path.join(root, "small"), "user_id").count() == 2
 
 
 def test_importance_and_save(spark):

@@ -2,6 +2,8 @@ import datetime as dt
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from recsmith.streaming import monitoring as M
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -60,7 +62,27 @@ def test_stream_alert_state(spark):
     q.processAllAvailable()
     q.stop()
     got = spark.sql("SELECT * FROM alerts_out").collect()
-    assert [(r.alert_start, r.n_windows) for r in got] == [(T0, 5)]
+    assert [(r.kind, r.alert_start, r.alert_end, r.n) for r in got] == [("alert", T0, T0 + dt.timedelta(minutes=5), 5)]
+
+
+def test_stream_incidents_equal_batch(spark):
+    """Alerts with their ends and incidents with auto-close, over several micro-batches."""
+    root = tempfile.mkdtemp(prefix="recsmith-incident-")
+    schema = "window_start timestamp, error_alert boolean"
+    firing = {0, 1, 2, 3, 4, 20, 21, 22, 23, 24, 25, 26, 70, 71, 72, 73, 74}
+    rows = [(T0 + dt.timedelta(minutes=m), m in firing) for m in range(120)]
+    for k in range(3):
+        spark.createDataFrame(rows[40 * k:40 * k + 40], schema).coalesce(1).write.parquet(os.path.join(root, "in", f"p{k}"))
+        q = (M.stream_sustained_alerts(spark.readStream.schema(schema).parquet(os.path.join(root, "in", "*"))).writeStream
+             .outputMode("append").format("parquet").option("path", os.path.join(root, "out"))
+             .option("checkpointLocation", os.path.join(root, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = spark.read.parquet(os.path.join(root, "out")).collect()
+    flags = spark.createDataFrame(rows, schema).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    alerts = [(a.alert_start, a.alert_end, a.n_windows) for a in M.sustained_alerts(flags, "error_alert").collect()]
+    incidents = [(a.incident_start, a.incident_end, a.n_alerts) for a in M.incidents(flags, "error_alert").collect()]
+    assert sorted((r.alert_start, r.alert_end, r.n) for r in got if r.kind == "alert") == sorted(alerts)
+    assert sorted((r.alert_start, r.alert_end, r.n) for r in got if r.kind == "incident") == sorted(incidents)
 
 
 def test_stream_active_users(spark):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from recsmith.operators import validation as V
 
@@ -39,9 +40,14 @@ def test_infer_and_update_schema(spark):
     b = spark.createDataFrame([("z", 5.0), (None, 0.5)], "c string, v double")
     s = V.infer_schema(a)
     rows = {r.column: r for r in s.collect()}
-    assert rows["c"].domain == ["x", "y"] and rows["v"].min == 1.0 and rows["c"].required
+    assert rows["v"].min == 1.0 and rows["c"].required
     u = {r.column: r for r in V.update_schema(s, b).collect()}
-    assert u["c"].domain == ["x", "y", "z"] and not u["c"].required
+    assert not u["c"].required
+    domains = V.infer_domains(a)
+    assert sorted(r.value for r in domains.collect()) == ["x", "y"]
+    assert sorted(r.value for r in V.update_domains(domains, b).collect()) == ["x", "y", "z"]
+    bad = V.domain_violations(b, domains).first()
+    assert (bad.column, bad.n_bad, bad.n_rows) == ("c", 1, 2)
     assert (u["v"].min, u["v"].max) == (0.5, 5.0)
     rules = V.baseline_rules(s, [("v", "max_value", 10.0)])
     assert ("v", "max_value", 10.0) in rules and ("v", "max_value", 2.0) not in rules
@@ -53,3 +59,15 @@ def test_drift(spark):
     assert V.categorical_drift(a, b, "c").first().linf_distance == pytest.approx(0.5)
     n = spark.createDataFrame([(float(i),) for i in range(10)], "v double")
     assert V.numeric_drift(n, n, "v").first().js_divergence == pytest.approx(0.0)
+
+
+def test_wide_domains_and_domain_rules(spark):
+    df = spark.range(200).select(F.concat(F.lit("v"), "id").alias("c"), (F.col("id") / 10.0).alias("x"))
+    assert V.infer_domains(df).count() == 200  # no cap
+    got = {(r.column, r.rule): r.n_bad for r in V.validate(df, [("c", "domain", ["v1", "v2"])]).collect()}
+    got |= {("x", "domain"): V.validate(df, [("x", "domain", (1.0, None))]).first().n_bad}
+    assert got == {("c", "domain"): 198, ("x", "domain"): 10}
+    stats = {r.column: r for r in V.column_statistics(df, ["c"]).collect()}
+    assert stats["c"].n_distinct == 200 and stats["x"].n_zero == 1
+    q = {r.q: r.value for r in V.quantile_sketch(df, ["x"]).collect()}
+    assert (q[0.0], q[1.0]) == (0.0, 19.9) and abs(q[0.5] - 9.95) < 0.1
