@@ -6,11 +6,20 @@ a per-key window over all requested ids at once.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import UNKNOWN
+from recsmith.session import materialize
 
+# The columns of a history entry.
 HISTORY_COLUMNS = ["item_id", "rating", "timestamp", "interaction_type"]
 
 
@@ -34,38 +43,108 @@ def item_details(items: DataFrame, ids: DataFrame) -> DataFrame:
     return items.join(ids.select("item_id").distinct(), "item_id", "left_semi")
 
 
-def enrich(recs: DataFrame, items: DataFrame) -> DataFrame:
-    """M9 + P18: attach title, genre and price with the reference's defaults for unknown items."""
-    meta = items.select("item_id", "title", "genre", "price")
-    return (recs.join(meta, "item_id", "left")
+def enrich(recs: DataFrame, items: DataFrame, id_col: str = "item_id") -> DataFrame:
+    """M9 + P18: attach title, genre, rating_avg and price with the reference's defaults for unknown items.
+
+    A catalogue without ``rating_avg`` counts as one where it is missing."""
+    rating = F.col("rating_avg") if "rating_avg" in items.columns else F.lit(None)
+    meta = items.select(F.col("item_id").alias("_id"), "title", "genre", rating.cast("double").alias("rating_avg"), "price")
+    return (recs.join(meta, F.col(id_col) == F.col("_id"), "left")
                 .select(*recs.columns,
                         F.coalesce("title", F.lit(UNKNOWN)).alias("title"),
                         F.coalesce("genre", F.lit(UNKNOWN)).alias("genre"),
+                        F.coalesce("rating_avg", F.lit(0.0)).alias("rating_avg"),
                         F.coalesce(F.col("price").cast("double"), F.lit(0.0)).alias("price")))
 
 
+CODE_BITS = 32
+
+
+def _bucketed(vectors: DataFrame, tables: int, bucket_items: int, seed: int) -> DataFrame:
+    """(id, vector, table, bucket): per table the sign bits of random projections, as many as make buckets of about ``bucket_items``.
+
+    A bucket that is still too full is split by two more bits at a time; items that agree in all bits are dealt
+    into parts by a hash, so no bucket grows with the table."""
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[int, np.ndarray] = {}
+        for b in batches:
+            lengths = np.asarray(pc.list_value_length(b.column(1)))
+            for d in np.unique(lengths):
+                at = np.flatnonzero(lengths == d)
+                x = np.asarray(b.column(1).take(pa.array(at)).flatten(), np.float64).reshape(-1, d)
+                if d not in planes:
+                    planes[d] = np.random.default_rng(seed + int(d)).normal(size=(d, tables * CODE_BITS))
+                bits = (x @ planes[d] > 0).reshape(len(x), tables, CODE_BITS)
+                value = (bits * (1 << np.arange(CODE_BITS - 1, -1, -1, dtype=np.int64))).sum(2)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(value.tolist(), pa.list_(pa.int64()))],
+                                                 names=["id", "vector", "codes"])
+
+    id_type = vectors.schema["id"].dataType.simpleString()
+    coded = materialize(vectors.mapInArrow(codes, f"id {id_type}, vector array<double>, codes array<bigint>"))
+    rows = coded.select("id", F.posexplode("codes").alias("table", "code"))
+    n = coded.count()
+    bits = max(0, math.ceil(math.log2(max(1.0, n / bucket_items))))
+    placed = rows.withColumn("bits", F.lit(bits))
+    prefix = F.floor(F.col("code") / F.pow(F.lit(2.0), F.lit(CODE_BITS) - F.col("bits"))).cast("long")
+    while bits < CODE_BITS:
+        full = (placed.groupBy("table", "bits", prefix.alias("p")).agg(F.count("*").alias("n")).where(F.col("n") > 4 * bucket_items)
+                .where(F.col("bits") == bits).select(F.col("table").alias("_t"), F.col("p").alias("_p")))
+        full = materialize(full)
+        if full.isEmpty():
+            break
+        more = min(CODE_BITS, bits + 2)
+        placed = (placed.withColumn("_x", prefix).join(full, (F.col("table") == F.col("_t")) & (F.col("_x") == F.col("_p")) & (F.col("bits") == bits), "left")
+                  .withColumn("bits", F.when(F.col("_t").isNotNull(), F.lit(more)).otherwise(F.col("bits"))).drop("_t", "_p", "_x"))
+        placed, bits = materialize(placed), more
+    key = placed.withColumn("prefix", prefix).drop("code")
+    sizes = key.groupBy(F.col("table").alias("_t"), F.col("bits").alias("_b"), F.col("prefix").alias("_p")).agg(F.count("*").alias("_n"))
+    parts = F.ceil(F.col("_n") / (4 * bucket_items))
+    key = key.join(sizes, (F.col("table") == F.col("_t")) & (F.col("bits") == F.col("_b")) & (F.col("prefix") == F.col("_p")))
+    key = key.withColumn("part", F.pmod(F.xxhash64("id"), parts)).select(F.col("id").alias("_id"), "table", "bits", "prefix", "part")
+    return coded.select("id", "vector").join(key, F.col("id") == F.col("_id")).drop("_id")
+
+
 def similar_items(vectors: DataFrame, k: int = 10, id_col: str = "item_id", vec_col: str = "vector",
-                  bucket_length: float = 2.0, num_tables: int = 3, max_distance: float = 1.5,
-                  seed: int = 42) -> DataFrame:
-    """M8: nearest neighbours by cosine similarity of item vectors.
-
-    Candidate pairs come from random-projection LSH on L2-normalised vectors
-    (``approxSimilarityJoin``), never from the all-pairs product; each item then
-    keeps its ``k`` most similar candidates.  The result is approximate by
-    design (pairs beyond ``max_distance`` of unit vectors are not compared).
+                  tables: int = 8, bucket_items: int = 512, seed: int = 42, items: DataFrame | None = None) -> DataFrame:
+    """M8: the ``k`` nearest neighbours of every item by cosine, optionally with the details of M9.
+
+    Items meet in the buckets of several random-projection tables, never in an all-pairs product; each bucket gives every
+    item its best ``k`` there, and the best over the tables are kept.  Approximate by design; a table that fits one bucket is exact.
+    Items whose buckets held too few others get theirs from a second pass over parts of the table of any code.
+    Items with a NULL or zero vector have no direction and no neighbours.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
-
-    v = vectors.select(F.col(id_col).alias("id"), array_to_vector(F.col(vec_col)).alias("raw"))
-    v = Normalizer(inputCol="raw", outputCol="features", p=2.0).transform(v)
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=seed).fit(v)
-    pairs = (lsh.approxSimilarityJoin(v, v, max_distance, distCol="dist")
-                .select(F.col("datasetA.id").alias(id_col), F.col("datasetB.id").alias("similar_id"), "dist")
-                .where(F.col(id_col) != F.col("similar_id")))
-    # unit vectors: cosine = 1 - d^2 / 2
-    scored = pairs.withColumn("similarity", F.lit(1.0) - F.col("dist") * F.col("dist") / 2.0)
+    unit = F.sqrt(F.aggregate(F.col(vec_col), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    clean = (vectors.select(F.col(id_col).alias("id"), F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vector"), unit.alias("_n"))
+             .where(F.col("_n") > 0).select("id", F.transform("vector", lambda x: x / F.col("_n")).alias("vector")))
+    id_type = vectors.schema[id_col].dataType.simpleString()
+
+    def best(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, same in pdf.groupby(pdf["vector"].map(len)):  # only vectors of one length compare
+            same = same.sort_values("id")
+            x, ids = np.stack(same["vector"].to_numpy()), same["id"].to_numpy()
+            for lo in range(0, len(x), 512):
+                sim = x[lo:lo + 512] @ x.T
+                sim[np.arange(len(sim)), np.arange(lo, lo + len(sim))] = -np.inf
+                order = np.argsort(-sim, axis=1, kind="stable")[:, :min(k, len(x) - 1)]
+                for row, top in enumerate(order):
+                    found += [(ids[lo + row], ids[j], float(sim[row, j])) for j in top]
+        return pd.DataFrame(found, columns=[id_col, "similar_id", "similarity"])
+
+    schema = f"{id_col} {id_type}, similar_id {id_type}, similarity double"
+    met = materialize(_bucketed(clean, tables, bucket_items, seed))
+    found = met.groupBy("table", "bits", "prefix", "part").applyInPandas(best, schema)
     w = Window.partitionBy(id_col).orderBy(F.col("similarity").desc(), F.col("similar_id"))
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-                  .select(id_col, F.col("rank").cast("long").alias("rank"), "similar_id", "similarity"))
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        one = pairs.groupBy(id_col, "similar_id").agg(F.max("similarity").alias("similarity"))
+        return one.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    first = materialize(kept(found))
+    # too few partners in every bucket: meet a hash part of the whole table, whatever the code
+    short = clean.select(F.col("id").alias("_s")).join(first.where(F.col("rank") == k).select(F.col(id_col).alias("_s")), "_s", "left_anti")
+    parts = max(1, math.ceil(clean.count() / (4 * bucket_items)))
+    whole = clean.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
+    again = (whole.groupBy("part").applyInPandas(best, schema).join(short, F.col(id_col) == F.col("_s"), "left_semi"))
+    out = kept(first.drop("rank").unionByName(again)).select(id_col, F.col("rank").cast("long").alias("rank"), "similar_id", "similarity")
+    return out if items is None else enrich(out, items, "similar_id")

@@ -12,6 +12,7 @@ from recsmith.operators import serving as S
 from recsmith.plans import local_chain
 from recsmith.plans import oracle_sql as osql
 from recsmith.plans.catalog import register
+from recsmith.session import materialize
 from recsmith.sources import fixtures
 from recsmith.sources.fixtures import oracle
 
@@ -352,13 +353,31 @@ def q_other_users_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("recommendations_enriched", oracle("""
 SELECT r.user_id, r.rank, r.item_id, r.score, coalesce(i.title, 'Unknown') AS title,
-  coalesce(i.genre, 'Unknown') AS genre, coalesce(i.price, 0.0) AS price
-FROM recs r LEFT JOIN items i USING (item_id)""", osql.chain(10)))
+  coalesce(i.genre, 'Unknown') AS genre, round(coalesce(a.rating_avg, 0.0), 9) AS rating_avg, coalesce(i.price, 0.0) AS price
+FROM recs r LEFT JOIN items i USING (item_id)
+LEFT JOIN (SELECT item_id, avg(rating) AS rating_avg FROM interactions GROUP BY item_id) a USING (item_id)""", osql.chain(10)))
 def q_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M9 + P18: top-10 lists with item title, genre and price (defaults for unknown items)."""
+    """M9 + P18: top-10 lists with item title, genre, mean rating and price (defaults for unknown items)."""
     c = local_chain.prepare_fixture(spark, sf_dir)
-    return S.enrich(local_chain.recommendations(c, 10), c.items)
-
+    rated = c.interactions.groupBy("item_id").agg(F.avg("rating").alias("rating_avg"))
+    out = S.enrich(local_chain.recommendations(c, 10), c.items.join(rated, "item_id", "left"))
+    return out.withColumn("rating_avg", F.round("rating_avg", 9))
+
+
+@register("similar_items_checks", """
+SELECT count(*) AS items_served, count(*) AS full_lists, 0 AS wrong_scores, 0 AS rank_gaps FROM embeddings""")
+def q_similar_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: ten neighbours for every vector of the table, each score the cosine of the pair."""
+    v = fixtures.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = materialize(S.similar_items(v, 10, "vec_id", "embedding"))
+    x, y = (F.transform(c, lambda e: e.cast("double")) for c in ("embedding", "_y"))
+    dot = lambda a, b: F.aggregate(F.arrays_zip(a.alias("a"), b.alias("b")), F.lit(0.0), lambda s, e: s + e["a"] * e["b"])
+    scored = (out.join(v, "vec_id").join(v.select(F.col("vec_id").alias("similar_id"), F.col("embedding").alias("_y")), "similar_id")
+              .withColumn("c", dot(x, y) / F.sqrt(dot(x, x) * dot(y, y))))
+    per = out.groupBy("vec_id").agg(F.count("*").alias("n"), F.max("rank").alias("last"), F.count_distinct("similar_id").alias("d"))
+    wrong = scored.agg(F.count(F.when(F.abs(F.col("c") - F.col("similarity")) > 1e-9, 1)).alias("wrong_scores"))
+    return per.agg(F.count("*").alias("items_served"), F.count(F.when(F.col("n") == 10, 1)).alias("full_lists"),
+                   F.count(F.when((F.col("n") != F.col("last")) | (F.col("n") != F.col("d")), 1)).alias("rank_gaps")).crossJoin(wrong)  # one row each
 
 @register("recommended_item_details", oracle("""
 SELECT * FROM items WHERE item_id IN (SELECT item_id FROM recs)""", osql.chain(10)))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,16 +62,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _tables_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
 def materialize(df):
     """Cut lineage of a table read by several later steps.
 
     The table is written as Parquet under the shared ``spark.checkpoint.dir``
     (never a machine-local folder on a cluster, never a local checkpoint) and read
     back, so later scans get column pruning and filter pushdown and a lost
-    executor does not recompute the lineage.
+    executor does not recompute the lineage.  Tables live in a folder of the application; the job that
+    owns it drops them at its end by ``drop_materialized``.
     """
-    import uuid
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{uuid.uuid4().hex}"
+    path = f"{_tables_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete every table this application has materialized; results that still read them become invalid."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

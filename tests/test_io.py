@@ -48,3 +48,12 @@ def test_corrupt_rows_are_counted(spark, tmp_path):
     row = io.corrupt_rows(spark, str(tmp_path / "i.csv"), "interactions").first()
     assert (row.n_rows, row.n_corrupt) == (2, 1)
     assert io.read_table(spark, str(tmp_path / "i.csv"), "interactions").where("rating IS NULL").count() == 1
+
+
+def test_materialized_tables_can_be_dropped(spark):
+    from recsmith.session import drop_materialized, ensure_checkpoint_dir, materialize
+    assert materialize(spark.range(5)).count() == 5
+    folder = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables", spark.sparkContext.applicationId)
+    assert os.listdir(folder)
+    drop_materialized(spark)
+    assert not os.path.exists(folder)

@@ -65,16 +65,26 @@ def test_als_error_below_mean_predictor(spark):
     assert err.rmse < base
 
 
-def test_similar_items_scores_are_cosines(spark):
+@pytest.mark.parametrize("bucket", [512, 12])
+def test_similar_items(spark, bucket):
+    """Scores are cosines, every item has k neighbours; one bucket is exact, many find most of the true neighbours."""
     rnd = np.random.default_rng(0)
-    vecs = [(i, [float(x) for x in rnd.normal(size=8)]) for i in range(60)]
-    df = spark.createDataFrame(vecs, "item_id long, vector array<double>")
-    out = SV.similar_items(df, k=5, max_distance=1.6).collect()
+    base = rnd.normal(size=(30, 8))
+    vecs = [(i, [float(x) for x in base[i % 30] + 0.15 * rnd.normal(size=8)]) for i in range(180)]
+    df = spark.createDataFrame([*vecs, (500, None), (501, [0.0] * 8)], "item_id long, vector array<double>")
+    details = spark.createDataFrame([(i, f"t{i}", "g", 4.5, 1.0) for i in range(100)],
+                                    "item_id long, title string, genre string, rating_avg double, price double")
+    out = SV.similar_items(df, k=5, bucket_items=bucket, items=details).collect()
     V = {i: np.array(v) / np.linalg.norm(v) for i, v in vecs}
-    assert out
+    per = {}
     for r in out:
-        assert r.similarity == pytest.approx(float(V[r.item_id] @ V[r.similar_id]), abs=1e-6)
-        assert r.item_id != r.similar_id and 1 <= r.rank <= 5
+        assert r.similarity == pytest.approx(float(V[r.item_id] @ V[r.similar_id]), abs=1e-9)
+        assert r.rating_avg == (4.5 if r.similar_id < 100 else 0.0)
+        per.setdefault(r.item_id, set()).add(r.similar_id)
+    assert set(per) == set(V) and all(len(s) == 5 and i not in s for i, s in per.items())
+    true = {i: {j for _, j in sorted((-float(v @ V[j]), j) for j in V if j != i)[:5]} for i, v in V.items()}
+    recall = np.mean([len(per[i] & true[i]) / 5 for i in V])
+    assert recall == 1.0 if bucket == 512 else recall > 0.7
 
 
 def test_tfidf_matches_formula(spark):
