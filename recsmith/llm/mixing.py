@@ -26,6 +26,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_COPIES = 2
 BUCKET_BITS, LEVELS = 12, 5
+BROADCAST_SOURCES, SALTS = 100_000, 32
 
 
 def id_hash(doc_id: Column) -> Column:
@@ -104,8 +105,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = MAX_C
     plan = targets.join(edge, "key", "left")
     more = (F.col("h") < F.col("cut")) | ((F.col("h") == F.col("cut")) & F.col("edge_in"))
     copies = F.least(F.col("whole") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(cap).cast("long"))
-    out = ((sized if keep else base).withColumn("key", _key(F.col("source"))).join(plan, "key")
-           .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0).cast("long"))))
+    docs_keyed = (sized if keep else base).withColumn("key", _key(F.col("source")))
+    plan = materialize(plan)
+    if plan.count() <= BROADCAST_SOURCES:  # one short row per source: the documents stay where they are
+        met = docs_keyed.join(F.broadcast(plan), "key")
+    else:  # a hot source meets its row in SALTS places
+        salted = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = docs_keyed.withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"])
+    out = (met.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0).cast("long"))))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
                       "copies", *[F.col(f"_keep_{c}").alias(c) for c in keep])
 

@@ -22,6 +22,12 @@ def test_equals_one_ordered_pass(spark, small):
     assert got == want
 
 
+def test_many_sources_by_shuffle(spark, odd_docs, monkeypatch):
+    want = rows(mixing.mix(odd_docs))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert rows(mixing.mix(odd_docs)) == want
+
+
 def test_odd_rows(spark, odd_docs):
     got = rows(mixing.mix(odd_docs))
     want = oracle(duckdb.connect(), odd_docs.select("doc_id", "text", "source").toArrow())
