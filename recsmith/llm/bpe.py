@@ -45,7 +45,7 @@ _WS = "\t-\r \x85\xa0  -     　"
 RUNS = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
 #: Below this character the regex module and the tokenizers library classify letters and numbers alike.
 _AGREED = "ɐ"
-CACHE_RUNS = 300_000  # runs a worker keeps: a full table becomes the old one, whose entries return when met again
+CACHE_RUNS = 200_000  # runs a worker keeps: a full table becomes the old one, whose entries return when met again
 _TOKEN = -1
 
 
