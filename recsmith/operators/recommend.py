@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from recsmith.functions.columns import parse_genres
 from recsmith.operators.split import with_global_index
-from recsmith.session import shuffle_partitions
+from recsmith.session import materialize, shuffle_partitions
 
 # Fixed values of the local scorer: weights of the base score and the bonus.
 BASE_WEIGHT_INTERACTIONS = 0.5
@@ -108,7 +108,8 @@ def top_k_unseen(users: DataFrame, items: DataFrame, scores: DataFrame, history:
     nparts = num_partitions or shuffle_partitions(scores.sparkSession)
     scored = scores.select("item_id", "genre", "base_score")
     asked = targets.select("user_id").distinct()
-    hist = history.select("user_id", "item_id").distinct().join(asked, "user_id", "left_semi")
+    # read by several steps below: without copies their plans would run again for each
+    hist = materialize(history.select("user_id", "item_id").distinct().join(asked, "user_id", "left_semi"))
 
     prefs = (asked.join(users.select("user_id", parse_genres("preferred_genres").alias("pref")), "user_id", "left")
              .select("user_id", F.array_distinct(F.coalesce("pref", F.array().cast("array<string>"))).alias("pref")))
@@ -123,7 +124,8 @@ def top_k_unseen(users: DataFrame, items: DataFrame, scores: DataFrame, history:
     preferred = (prefs.select("user_id", "pref", F.explode("pref").alias("genre")).where(F.col("genre").isNotNull())
                  .join(in_genre, (F.col("user_id") == F.col("_u")) & (F.col("genre") == F.col("_g")), "left")
                  .select("user_id", "pref", F.concat(F.lit("="), F.col("genre")).alias("list"), need.alias("need")))
-    found = take_from_lists(everywhere.unionByName(preferred), _ranked_lists(scored, nparts), nparts)
+    wants = materialize(everywhere.unionByName(preferred))
+    found = take_from_lists(wants, _ranked_lists(scored, nparts), nparts)
     other = F.coalesce(~F.array_contains("pref", F.col("genre")), F.lit(True))
     cands = (found.where((F.col("list") != GLOBAL_LIST) | other)
              .select("user_id", "item_id", "score")
