@@ -79,16 +79,6 @@ def round_half_even(col: str | Column, places: int = 3) -> Column:
     return F.bround(_c(col).cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
-def standard_scaled(col: str | Column, mean: Column, std_pop: Column) -> Column:
-    """(x - mean) / population std; a constant column gives 0."""
-    return F.when(std_pop == 0, F.lit(0.0)).otherwise((_c(col) - mean) / std_pop)
-
-
-def min_max_scaled(col: str | Column, lo: Column, hi: Column) -> Column:
-    """(x - min) / (max - min); a constant column gives 0."""
-    return F.coalesce(F.try_divide((_c(col) - lo).cast("double"), (hi - lo).cast("double")), F.lit(0.0))
-
-
 def user_segment(total: str | Column = "total_interactions", avg: str | Column = "avg_rating") -> Column:
     """P10: five activity x sentiment labels."""
     t, a = _c(total), _c(avg)
@@ -107,8 +97,3 @@ def item_segment(popularity: str | Column = "interaction_popularity",
                    F.when(hq, "popular_high_quality").otherwise("popular_mixed_quality"))
              .when(hq, "niche_high_quality")
              .otherwise("niche_mixed_quality"))
-
-
-def fill_unknown(col: str | Column) -> Column:
-    """Missing category as 'Unknown'."""
-    return F.coalesce(_c(col), F.lit(UNKNOWN))

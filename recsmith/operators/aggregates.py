@@ -190,9 +190,11 @@ def user_item_matrix(interactions: DataFrame, rating_threshold: float | None = N
 def sparsity(interactions: DataFrame) -> DataFrame:
     """Share of zero cells of the dense matrix, without building it."""
     m = user_item_matrix(interactions)
-    return m.agg(F.count_distinct("user_id").alias("n_users"), F.count_distinct("item_id").alias("n_items"),
-                 F.count(F.when(F.col("rating") != 0, 1)).alias("nonzero")) \
-            .withColumn("sparsity", F.lit(1.0) - F.col("nonzero") / (F.col("n_users") * F.col("n_items")))
+    # one distinct count per aggregate: two in one would copy every row before the shuffle
+    users, items = (interactions.select(F.count_distinct(c)).scalar() for c in ("user_id", "item_id"))
+    return (m.agg(F.count(F.when(F.col("rating") != 0, 1)).alias("nonzero"))
+            .select(users.alias("n_users"), items.alias("n_items"), "nonzero")
+            .withColumn("sparsity", F.lit(1.0) - F.col("nonzero") / (F.col("n_users") * F.col("n_items"))))
 
 
 def latency_summary(df: DataFrame, col: str = "latency_ms") -> DataFrame:
@@ -222,12 +224,11 @@ def histories_as_sets(interactions: DataFrame) -> DataFrame:
 
 def dataset_summary(interactions: DataFrame) -> DataFrame:
     """Rows, distinct users and items, mean rating (2 places), first and last time."""
-    return interactions.agg(
-        F.count(F.lit(1)).alias("total_interactions"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("item_id").alias("unique_items"),
-        round_half_even(F.avg("rating"), 2).alias("avg_rating"),
+    users, items = (interactions.select(F.count_distinct(c)).scalar() for c in ("user_id", "item_id"))
+    one = interactions.agg(
+        F.count(F.lit(1)).alias("total_interactions"), round_half_even(F.avg("rating"), 2).alias("avg_rating"),
         F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
+    return one.select("total_interactions", users.alias("unique_users"), items.alias("unique_items"), "avg_rating", "first_ts", "last_ts")
 
 
 def table_summary(tables: dict[str, DataFrame]) -> DataFrame:

@@ -229,8 +229,9 @@ def retention(events: DataFrame, days=(1, 7)) -> DataFrame:
     e = _with_event_time(events).select("user_id", F.to_date("ts").alias("day")).distinct()
     first = e.groupBy("user_id").agg(F.min("day").alias("cohort_day"))
     j = e.join(first, "user_id").withColumn("offset", F.datediff("day", "cohort_day"))
-    aggs = [F.count_distinct(F.when(F.col("offset") == 0, F.col("user_id"))).alias("cohort_size")]
-    aggs += [F.count_distinct(F.when(F.col("offset") == d, F.col("user_id"))).alias(f"active_day_{d}") for d in days]
+    # the rows are distinct per (user, day): plain counts
+    aggs = [F.count(F.when(F.col("offset") == 0, F.col("user_id"))).alias("cohort_size")]
+    aggs += [F.count(F.when(F.col("offset") == d, F.col("user_id"))).alias(f"active_day_{d}") for d in days]
     out = j.groupBy("cohort_day").agg(*aggs)
     for d in days:
         out = out.withColumn(f"retention_day_{d}", F.col(f"active_day_{d}") / F.col("cohort_size"))
