@@ -58,24 +58,27 @@ def enrich(recs: DataFrame, items: DataFrame, id_col: str = "item_id") -> DataFr
 
 
 CODE_BITS = 32
+#: Rows of a block where vectors meet all others; rows a product covers at a time.
+MEET, STRIP = 4096, 512
 
 
-def _bucketed(vectors: DataFrame, tables: int, bucket_items: int, seed: int) -> DataFrame:
-    """(id, vector, table, bucket): per table the sign bits of random projections, as many as make buckets of about ``bucket_items``.
+def _bucketed(vectors: DataFrame, first: int, last: int, bucket_items: int, seed: int) -> DataFrame:
+    """(id, vector, table, bucket) of the tables from ``first`` to before ``last``: per table the sign bits of random projections,
+    as many as make buckets of about ``bucket_items``.
 
     A bucket that is still too full is split by two more bits at a time; items that agree in all bits are dealt
-    into parts by a hash, so no bucket grows with the table."""
+    into parts by a hash, another in each table, so no bucket grows with the table."""
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[int, list[np.ndarray]] = {}
+        weight = 1 << np.arange(CODE_BITS - 1, -1, -1, dtype=np.int64)
         for b in batches:
             lengths = np.asarray(pc.list_value_length(b.column(1)))
             for d in np.unique(lengths):
                 at = np.flatnonzero(lengths == d)
                 x = np.asarray(b.column(1).take(pa.array(at)).flatten(), np.float64).reshape(-1, d)
                 if d not in planes:
-                    planes[d] = np.random.default_rng(seed + int(d)).normal(size=(d, tables * CODE_BITS))
-                bits = (x @ planes[d] > 0).reshape(len(x), tables, CODE_BITS)
-                value = (bits * (1 << np.arange(CODE_BITS - 1, -1, -1, dtype=np.int64))).sum(2)
+                    planes[d] = [np.random.default_rng([seed, int(d), t]).normal(size=(d, CODE_BITS)) for t in range(first, last)]
+                value = np.stack([(x @ p > 0) @ weight for p in planes[d]], axis=1)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(value.tolist(), pa.list_(pa.int64()))],
                                                  names=["id", "vector", "codes"])
 
@@ -100,51 +103,114 @@ def _bucketed(vectors: DataFrame, tables: int, bucket_items: int, seed: int) ->
     sizes = key.groupBy(F.col("table").alias("_t"), F.col("bits").alias("_b"), F.col("prefix").alias("_p")).agg(F.count("*").alias("_n"))
     parts = F.ceil(F.col("_n") / (4 * bucket_items))
     key = key.join(sizes, (F.col("table") == F.col("_t")) & (F.col("bits") == F.col("_b")) & (F.col("prefix") == F.col("_p")))
-    key = key.withColumn("part", F.pmod(F.xxhash64("id"), parts)).select(F.col("id").alias("_id"), "table", "bits", "prefix", "part")
+    key = key.withColumn("part", F.pmod(F.xxhash64("id", "table"), parts)).select(F.col("id").alias("_id"), "table", "bits", "prefix", "part")
     return coded.select("id", "vector").join(key, F.col("id") == F.col("_id")).drop("_id")
 
 
+def _nearest(x: np.ndarray, ids: np.ndarray, y: np.ndarray, others: np.ndarray, k: int) -> list[tuple]:
+    """(ids, others, cosines) of the best ``k`` rows of y with another id for every row of x; equal cosines go by the order of y."""
+    out = []
+    for lo in range(0, len(x), STRIP):
+        sim = x[lo:lo + STRIP] @ y.T
+        sim[ids[lo:lo + STRIP, None] == others[None, :]] = -np.inf
+        top = min(k, len(y))
+        least = np.partition(sim, len(y) - top, axis=1)[:, len(y) - top] if top else np.zeros(0)
+        for row, (r, v) in enumerate(zip(sim, least)):
+            at = np.flatnonzero(r >= v)
+            at = at[np.argsort(-r[at], kind="stable")[:top]]
+            at = at[r[at] > -np.inf]
+            out.append((np.repeat(ids[lo + row:lo + row + 1], len(at)), others[at], r[at]))
+    return out
+
+
+def _as_frame(found: list[tuple], names: list[str]) -> pd.DataFrame:
+    if not found:
+        return pd.DataFrame({n: [] for n in names})
+    return pd.DataFrame({n: np.concatenate(c) for n, c in zip(names, zip(*found))})
+
+
+def _against_all(asked: DataFrame, clean: DataFrame, k: int, names: list[str], schema: str) -> DataFrame:
+    """Exact: for every row of asked (id, vector) its best ``k`` of each block of clean; blocks meet in pairs."""
+    few, many = (max(1, math.ceil(d.count() / MEET)) for d in (asked, clean))
+
+    def dealt(d: DataFrame, own: str, n: int, other: str, m: int, asks: bool) -> DataFrame:
+        return (d.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias(own), F.lit(asks).alias("asks"))
+                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).select("i", "j", "asks", "id", "vector"))
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, same in pdf.groupby(pdf["vector"].map(len)):  # only vectors of one length compare
+            left, right = same[same["asks"]], same[~same["asks"]].sort_values("id")
+            if len(left) and len(right):
+                found += _nearest(np.stack(left["vector"].to_numpy()), left["id"].to_numpy(),
+                                  np.stack(right["vector"].to_numpy()), right["id"].to_numpy(), k)
+        return _as_frame(found, names)
+
+    both = dealt(asked, "i", few, "j", many, True).unionByName(dealt(clean, "j", many, "i", few, False))
+    return both.groupBy("i", "j").applyInPandas(meet, schema)
+
+
 def similar_items(vectors: DataFrame, k: int = 10, id_col: str = "item_id", vec_col: str = "vector",
-                  tables: int = 8, bucket_items: int = 512, seed: int = 42, items: DataFrame | None = None) -> DataFrame:
+                  tables: int = 8, bucket_items: int = 512, seed: int = 42, items: DataFrame | None = None,
+                  recall: float = 0.95, probes: int = 512) -> DataFrame:
     """M8: the ``k`` nearest neighbours of every item by cosine, optionally with the details of M9.
 
-    Items meet in the buckets of several random-projection tables, never in an all-pairs product; each bucket gives every
-    item its best ``k`` there, and the best over the tables are kept.  Approximate by design; a table that fits one bucket is exact.
-    Items whose buckets held too few others get theirs from a second pass over parts of the table of any code.
-    Items with a NULL or zero vector have no direction and no neighbours.
+    Items meet in the buckets of several random-projection tables; each bucket gives every item its best ``k`` there, and the
+    best over the tables are kept.  The lists of ``probes`` items, chosen by a hash, are also found exactly: as long as the
+    tables hold less than ``recall`` of them, as many tables again are added, and once the tables would
+    compare an item with as many others as the table has rows, all blocks meet all blocks instead, which is exact.
+    Items whose buckets held too few others get theirs from the whole table, exactly.
+    Items with a NULL or zero vector have no direction and no neighbours; neither have rows without an id.
     """
     unit = F.sqrt(F.aggregate(F.col(vec_col), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     clean = (vectors.select(F.col(id_col).alias("id"), F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vector"), unit.alias("_n"))
-             .where(F.col("_n") > 0).select("id", F.transform("vector", lambda x: x / F.col("_n")).alias("vector")))
+             .where((F.col("_n") > 0) & F.col("id").isNotNull()).select("id", F.transform("vector", lambda x: x / F.col("_n")).alias("vector")))
+    clean = materialize(clean)
+    n = clean.count()
     id_type = vectors.schema[id_col].dataType.simpleString()
+    names = [id_col, "similar_id", "similarity"]
+    schema = f"{id_col} {id_type}, similar_id {id_type}, similarity double"
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
         for _, same in pdf.groupby(pdf["vector"].map(len)):  # only vectors of one length compare
             same = same.sort_values("id")
             x, ids = np.stack(same["vector"].to_numpy()), same["id"].to_numpy()
-            for lo in range(0, len(x), 512):
-                sim = x[lo:lo + 512] @ x.T
-                sim[np.arange(len(sim)), np.arange(lo, lo + len(sim))] = -np.inf
-                order = np.argsort(-sim, axis=1, kind="stable")[:, :min(k, len(x) - 1)]
-                for row, top in enumerate(order):
-                    found += [(ids[lo + row], ids[j], float(sim[row, j])) for j in top]
-        return pd.DataFrame(found, columns=[id_col, "similar_id", "similarity"])
+            found += _nearest(x, ids, x, ids, k)
+        return _as_frame(found, names)
 
-    schema = f"{id_col} {id_type}, similar_id {id_type}, similarity double"
-    met = materialize(_bucketed(clean, tables, bucket_items, seed))
-    found = met.groupBy("table", "bits", "prefix", "part").applyInPandas(best, schema)
     w = Window.partitionBy(id_col).orderBy(F.col("similarity").desc(), F.col("similar_id"))
 
     def kept(pairs: DataFrame) -> DataFrame:
         one = pairs.groupBy(id_col, "similar_id").agg(F.max("similarity").alias("similarity"))
         return one.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
-    first = materialize(kept(found))
-    # too few partners in every bucket: meet a hash part of the whole table, whatever the code
-    short = clean.select(F.col("id").alias("_s")).join(first.where(F.col("rank") == k).select(F.col(id_col).alias("_s")), "_s", "left_anti")
-    parts = max(1, math.ceil(clean.count() / (4 * bucket_items)))
-    whole = clean.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
-    again = (whole.groupBy("part").applyInPandas(best, schema).join(short, F.col(id_col) == F.col("_s"), "left_semi"))
-    out = kept(first.drop("rank").unionByName(again)).select(id_col, F.col("rank").cast("long").alias("rank"), "similar_id", "similarity")
-    return out if items is None else enrich(out, items, "similar_id")
+    def finished(lists: DataFrame) -> DataFrame:
+        out = lists.select(id_col, F.col("rank").cast("long").alias("rank"), "similar_id", "similarity")
+        return out if items is None else enrich(out, items, "similar_id")
+
+    if tables * bucket_items >= n:
+        return finished(kept(_against_all(clean, clean, k, names, schema)))
+    probe = materialize(clean.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(probes))
+    truth = kept(_against_all(probe, clean, k, names, schema)).groupBy(id_col).agg(F.min("similarity").alias("_least"), F.count("*").alias("_all"))
+    truth = materialize(truth.withColumnRenamed(id_col, "_probe"))
+    wanted = truth.agg(F.sum("_all")).first()[0] or 0
+    first, done, more = None, 0, tables
+    while True:
+        if (done + more) * bucket_items >= n:
+            return finished(kept(_against_all(clean, clean, k, names, schema)))
+        met = materialize(_bucketed(clean, done, done + more, bucket_items, seed))
+        found = met.groupBy("table", "bits", "prefix", "part").applyInPandas(best, schema)
+        first = materialize(kept(found if first is None else first.drop("rank").unionByName(found)))
+        done, more = done + more, done + more
+        hits = (first.join(F.broadcast(truth), F.col(id_col) == F.col("_probe"))  # at most ``probes`` rows
+                .where(F.col("similarity") >= F.col("_least") - 1e-9).count())
+        if hits >= recall * wanted:
+            break
+    # too few partners in every bucket: meet the whole table; a length with few vectors has no more to give
+    lengths = clean.groupBy(F.size("vector").alias("_d")).agg((F.count("*") - 1).alias("_others"))
+    have = first.groupBy(F.col(id_col).alias("_s")).agg(F.max("rank").alias("_have"))
+    short = (clean.join(have, F.col("id") == F.col("_s"), "left").join(lengths, F.size("vector") == F.col("_d"))
+             .where(F.coalesce("_have", F.lit(0)) < F.least(F.lit(k), F.col("_others"))).select("id", "vector"))
+    again = _against_all(materialize(short), clean, k, names, schema)
+    return finished(kept(first.drop("rank").unionByName(again)))

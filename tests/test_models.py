@@ -87,6 +87,28 @@ def test_similar_items(spark, bucket):
     assert recall == 1.0 if bucket == 512 else recall > 0.7
 
 
+@pytest.mark.parametrize("n", [2000, 12000])
+def test_similar_items_hold_recall_as_the_table_grows(spark, n):
+    """Groups of 20 at cosines of about 0.76: as many bits as small buckets need lose a third of the lists in 8 tables."""
+    rnd = np.random.default_rng(5)
+    base = rnd.normal(size=(n // 20, 64))
+    x = np.repeat(base, 20, axis=0) + 0.56 * rnd.normal(size=(n, 64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "item_id long, vector array<double>")
+    out = SV.similar_items(df, k=10, bucket_items=64).select("item_id", "similar_id", "rank").collect()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = [set() for _ in x]
+    for r in out:
+        got[r.item_id].add(r.similar_id)
+    assert len(out) == 10 * n and all(len(g) == 10 for g in got)
+    seen = range(0, n, 7)
+    sim = x[::7] @ x.T
+    sim[np.arange(len(sim)), np.arange(0, n, 7)] = -np.inf
+    true = np.argsort(-sim, axis=1)[:, :10]
+    recall = np.mean([len(got[i] & set(t.tolist())) / 10 for i, t in zip(seen, true)])
+    print(f"recall of similar items, {n} vectors: {recall:.3f}")
+    assert recall >= 0.9
+
+
 def test_tfidf_matches_formula(spark):
     docs = spark.createDataFrame([(1, "red apple red"), (2, "green apple"), (3, None)], "id long, t string")
     got = {(r.id, r.term): r.weight for r in TX.tfidf(docs, "id", "t", 10, stop_words=[]).collect()}
