@@ -68,6 +68,25 @@ def test_recall_against_all_pairs(spark):
     assert found[:1200].sum() >= 0.9 * want[:1200].sum()
 
 
+@pytest.mark.parametrize("cosine", [0.951, 0.96, 0.98])
+def test_recall_with_as_many_pivots_as_a_large_table_has(spark, monkeypatch, cosine):
+    rng = np.random.default_rng(7)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    pivots = unit(rng.normal(size=(embedding_dedup.MAX_PIVOTS, 64)))
+    monkeypatch.setattr(embedding_dedup, "draw_pivots", lambda classes, n: {64: pivots})
+    a, o = unit(rng.normal(size=(1500, 64))), rng.normal(size=(1500, 64))
+    o = unit(o - (o * a).sum(1, keepdims=True) * a)
+    x = np.vstack([a, cosine * a + np.sqrt(1 - cosine ** 2) * o]).astype("f4")
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "cid long, embedding array<float>")
+    got = {tuple(sorted(r)) for r in embedding_dedup.links(df).collect()}
+    recall = len(got & {(i, i + 1500) for i in range(1500)}) / 1500
+    print(f"recall of links at cosine {cosine}, {embedding_dedup.MAX_PIVOTS} pivots: {recall:.4f}")
+    assert recall >= 0.97
+
+
 def test_copies_are_counted_not_paired(spark):
     df = spark.range(900).select(F.col("id").alias("vec_id"), F.when(F.col("id") % 3 == 0, F.array(F.lit(1.0), F.lit(2.0)))
                                  .otherwise(F.array(F.sin(F.col("id") * 1.0), F.cos(F.col("id") * 1.0))).cast("array<float>").alias("embedding"))
