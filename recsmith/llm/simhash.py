@@ -132,21 +132,29 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group, all columns: the one whose id names the component (one row of it if the id repeats).
+    """One document of each group, all columns: a row whose id names the component and whose text is of the group.
 
+    Groups that share their smallest id, as an id repeats with other texts, keep one row each.
     Rows without an id stay only where no row of their group has one, one row for each such group.
     """
     cols = docs.columns
     marked = materialize(fingerprints(docs, shingle))
     named = materialize(fingerprint_groups(marked, max_bits))
     chosen = (marked.join(named, "fp").where(F.col("doc_id") == F.col("component_id"))
-              .select(F.col("doc_id").alias("_chosen")).distinct())
-    order = F.xxhash64(*cols)
-    first = Window.partitionBy("_chosen").orderBy(order)
-    kept = (docs.join(chosen, F.col("doc_id").cast("long") == F.col("_chosen"))
-            .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*cols))
+              .groupBy("root").agg(F.min("fp").alias("_fp"), F.min("doc_id").alias("_chosen")))
+    often = marked.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1")
+    chosen = materialize(chosen.join(often.select(F.col("doc_id").alias("_chosen"), "_rows"), "_chosen", "left"))
+    same_id = F.col("doc_id").cast("long") == F.col("_chosen")
+    kept = docs.join(chosen.where("_rows is null").select("_chosen"), same_id).select(*cols)
+    # an id of several rows: the text decides which of them is of the group
+    again = (docs.join(chosen.where("_rows is not null").select("_chosen").distinct(), same_id, "left_semi")
+             .select("doc_id", "text", F.struct(*cols).alias("_whole")))
+    of_group = chosen.where("_rows is not null").select(F.col("_chosen").alias("doc_id"), F.col("_fp").alias("fp"), "root")
+    first = Window.partitionBy("root").orderBy(F.xxhash64("_whole"))
+    again = (fingerprints(again, shingle, keep=("_whole",)).join(of_group, ["doc_id", "fp"])
+             .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("_whole.*"))
     whole = docs.where(F.col("doc_id").isNull()).select("doc_id", "text", F.struct(*cols).alias("_whole"))
     blank = fingerprints(whole, shingle, keep=("_whole",)).join(named.where(F.col("component_id").isNull()), "fp")
     lone = Window.partitionBy("root").orderBy("fp", F.xxhash64("_whole"))
     blank = blank.withColumn("_nth", F.row_number().over(lone)).where("_nth = 1").select("_whole.*")
-    return kept.unionByName(blank)
+    return kept.unionByName(again).unionByName(blank)

@@ -95,3 +95,11 @@ def test_odd_rows(spark, odd_docs, no_docs):
     ids = [r["doc_id"] for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 4, 6, 7] and ids.count(None) == 1
     assert simhash.drop_near_copies(no_docs).count() == 0
+
+
+def test_one_row_of_each_group_where_ids_repeat(spark):
+    texts = {n: " ".join(f"{n}{i}" for i in range(12)) for n in "abcd"}
+    docs = spark.createDataFrame([(3, texts["a"]), (5, texts["a"]), (5, texts["b"]), (6, texts["c"]), (6, texts["d"]), (7, texts["d"]), (6, texts["d"])],
+                                 "doc_id long, text string")
+    kept = sorted(tuple(r) for r in simhash.drop_near_copies(docs).collect())
+    assert kept == [(3, texts["a"]), (5, texts["b"]), (6, texts["c"]), (6, texts["d"])]
