@@ -93,7 +93,7 @@ def test_odd_rows(spark, odd_docs, no_docs):
     kept = simhash.drop_near_copies(odd_docs)
     assert kept.columns == odd_docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 4, 6, 7] and ids.count(None) == 1
+    assert sorted(i for i in ids if i is not None) == [1, 4, 6, 6, 7] and ids.count(None) == 1  # id 6 has two unrelated texts
     assert simhash.drop_near_copies(no_docs).count() == 0
 
 
