@@ -45,8 +45,9 @@ _WS = "\t-\r \x85\xa0  -     　"
 RUNS = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
 #: Below this character the regex module and the tokenizers library classify letters and numbers alike.
 _AGREED = "ɐ"
-CACHE_RUNS = 200_000  # runs a worker keeps: a full table becomes the old one, whose entries return when met again
-_TOKEN = -1
+#: Bytes a worker's table of runs may take; a generation that is full becomes the old one, whose entries return when met again.
+CACHE_BYTES = 256 << 20
+ENTRY_BYTES = 300  # of a run beside its characters: the dictionary's slot, a pair and three strings
 
 
 def default_tokenizer_path() -> str:
@@ -85,12 +86,14 @@ class Automaton:
             a, b = m.split(" ") if isinstance(m, str) else m
             self._gadget(vocab[a], vocab[b], vocab[a + b], rank)
         self.arcs: dict[int, dict[int, bool]] = {i: {} for i in self.born}
-        self.trie: dict = {}  # byte -> next node; at _TOKEN the label's token
+        self.trie: dict = {}  # byte -> [the label's token or None, next node]
         for i in self.born:
             node = self.trie
             for byte in self.label[i]:
-                node = node.setdefault(byte, {})
-            node[_TOKEN] = i
+                step = node.setdefault(byte, [None, {}])
+                node = step[1]
+            step[0] = i
+        self.longest = max(map(len, self.label.values()))
 
     def _gadget(self, a: int, b: int, c: int, rank: int) -> None:
         if c in self.born or a not in self.born or b not in self.born:
@@ -118,7 +121,7 @@ class Automaton:
                 now, u = born[u], self.right[u]  # the arcs out of u were copied before it
 
     def encode(self, word: bytes) -> list[int]:
-        trie, arcs, n = self.trie, self.arcs, len(word)
+        trie, arcs, n, longest = self.trie, self.arcs, len(word), self.longest
         out: list[int] = []
         ends = [0]
         untried: list[list[tuple[int, int]]] = []  # by position of the path: (label, its end) not tried yet, longest last
@@ -127,12 +130,12 @@ class Automaton:
         while pos < n:
             if fresh:
                 node, at, options = trie, pos, []
-                while at < n:
-                    node = node.get(word[at])
-                    if node is None:
+                for byte in word[pos:pos + longest]:
+                    step = node.get(byte)
+                    if step is None:
                         break
                     at += 1
-                    token = node.get(_TOKEN)
+                    token, node = step
                     if token is not None:
                         options.append((token, at))
                 untried.append(options)
@@ -187,6 +190,7 @@ class Codec:
         self.spec, self.library = spec, None
         self.runs: dict[str, tuple[str, bytes]] = {}
         self.older: dict[str, tuple[str, bytes]] = {}
+        self.taken = 0  # bytes of ``runs``
 
     def split(self, run: str) -> list[str]:
         """The words of one run."""
@@ -206,13 +210,19 @@ class Codec:
         """Of one run: its ids in decimal, joined by commas, and the labels its arcs emit."""
         known = self.older.get(run)
         if known is None:
-            encode = self.automaton.encode
-            ids = tuple([i for w in self.split(run) for i in encode(w.encode("utf-8"))])
-            known = ",".join(map(str, ids)), self.automaton.decode(ids)
+            words = self.split(run)
+            if len(words) == 1:
+                ids = self.automaton.encode(run.encode("utf-8"))
+                known = ",".join(map(str, ids)), self.automaton.decode(ids)
+            else:  # most runs of several words are a known word and its punctuation: a word alone is a run of one word
+                parts = [self.runs.get(w) or self._run(w) for w in words]
+                known = ",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
         if len(run) <= 64:  # a longer run is rare and would only fill the table
-            if len(self.runs) >= CACHE_RUNS // 2:
-                self.older, self.runs = self.runs, {}
+            size = ENTRY_BYTES + 4 * len(known[1])
+            if self.taken + size > CACHE_BYTES // 2:
+                self.older, self.runs, self.taken = self.runs, {}, 0
             self.runs[run] = known
+            self.taken += size
         return known
 
     def parts(self, text: str) -> list[tuple[str, bytes]]:

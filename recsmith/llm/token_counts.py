@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm.bpe import CACHE_RUNS, RUNS, read_tokenizer
+from recsmith.llm.bpe import RUNS, read_tokenizer
 from recsmith.llm.common import in_slices, read_table, text_or_empty
 from recsmith.session import materialize, shuffle_partitions
 
 CHUNK_CHARS, OVERLAP_CHARS, WIDEN = 32768, 512, 4
 LIMIT_TOKENS = 512
+CACHE_RUNS = 400_000  # runs whose counts a worker keeps, in two generations
 
 
 class Counter:
@@ -50,6 +51,7 @@ class Counter:
         self.margin = max(map(len, self.special), default=0) + 2
         self.by_run = self.tok.normalizer is None and '"ByteLevel"' in spec  # only then runs are independent
         self.runs: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def count(self, texts: list[str]) -> list[int]:
         if not self.by_run:
@@ -60,14 +62,15 @@ class Counter:
                 out.append(len(self.tok.encode(text, add_special_tokens=False).ids))
                 continue
             found = RUNS.findall(text)
-            new = list(set(found).difference(self.runs))
-            if new:
-                sizes = [len(e.ids) for e in self.tok.encode_batch(new, add_special_tokens=False)]
-                if len(self.runs) + len(new) > CACHE_RUNS:
-                    self.runs = {}
-                    new = list(set(found))
-                    sizes = [len(e.ids) for e in self.tok.encode_batch(new, add_special_tokens=False)]
-                self.runs.update(zip(new, sizes))
+            missing = set(found).difference(self.runs)
+            if missing:
+                known = {r: self.older[r] for r in missing if r in self.older}
+                new = list(missing.difference(known))
+                known.update(zip(new, [len(e.ids) for e in self.tok.encode_batch(new, add_special_tokens=False)] if new else []))
+                if len(self.runs) + len(known) > CACHE_RUNS // 2:  # a full table becomes the old one
+                    known.update((r, self.runs[r]) for r in set(found) if r in self.runs)
+                    self.older, self.runs = self.runs, {}
+                self.runs.update(known)
             out.append(sum(map(self.runs.__getitem__, found)))
         return out
 

@@ -88,9 +88,13 @@ def test_other_files_are_refused():
 
 
 def test_small_table_of_runs(monkeypatch, codec, library):
-    monkeypatch.setattr(bpe, "CACHE_RUNS", 6)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 6 * bpe.ENTRY_BYTES)
+    monkeypatch.setattr(codec, "runs", {})
+    monkeypatch.setattr(codec, "older", {})
+    monkeypatch.setattr(codec, "taken", 0)
     text = "the cat, the dog and the bird; the cat again and again."
     assert codec.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(codec.runs) <= 3 and len(codec.older) <= 3
 
 
 # ---- token counts ----------------------------------------------------------
@@ -115,6 +119,13 @@ def test_resynchronisation_and_widening(spark, library):
     assert got == {i: (len(library.encode(t or "", add_special_tokens=False).ids), len((t or "").encode())) for i, t in enumerate(texts)}
 
 
+def test_small_table_of_counts(monkeypatch, library):
+    monkeypatch.setattr(token_counts, "CACHE_RUNS", 8)
+    c = token_counts.Counter(bpe.read_tokenizer())
+    texts = ["the cat, the dog and the bird; the cat again and again.", "a bird", "the cat and a bird and one more dog", ""] * 3
+    assert c.count(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_counts_of_odd_rows(spark, odd_docs, no_docs):
     got = token_counts.count_tokens(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r["n_tokens"] is not None for r in got)
