@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from recsmith.llm import bpe, embedding_dedup, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
+from recsmith.llm import (bpe, byte_bpe, embedding_dedup, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity,
+                          warc, whitening)
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -16,6 +17,8 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": bpe.op8_bpe,
     "op9_topk": topk.op9_topk,
     "op10_secrets": secret_scan.op10_secrets,
+    "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 ORACLES: dict[str, str] = {
