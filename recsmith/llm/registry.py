@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from recsmith.llm import (bpe, byte_bpe, embedding_dedup, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity,
-                          warc, whitening)
+from recsmith.llm import (bpe, byte_bpe, embedding_dedup, hard_negatives, mixing, quality, secret_scan, simhash, token_counts, topk,
+                          toxicity, warc, whitening)
 from recsmith.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -19,10 +19,12 @@ QUERIES: dict[str, Query] = {
     "op10_secrets": secret_scan.op10_secrets,
     "op11_byte_bpe": byte_bpe.op11_byte_bpe,
     "op12_whitening": whitening.op12_whitening,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.ORACLE,
     "op4_mixing": mixing.oracle(),
     "op9_topk": topk.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
