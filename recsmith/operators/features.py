@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions import columns as C
 from recsmith.operators import aggregates as A
 from recsmith.operators import encoders as E
 from recsmith.operators import text as TX
-from recsmith.operators.sequence import epoch_micros, previous_value
+from recsmith.operators.sequence import epoch_micros, prefix_states, previous_value
 from recsmith.session import materialize
 
 # Affinity weights and its value for unknown users or items.
@@ -152,13 +152,66 @@ def interaction_features(interactions: DataFrame, users: DataFrame, items: DataF
                             state=state)
 
 
+def _rating_states(prefix: str) -> dict:
+    r = F.col("rating").cast("double")
+    return {f"_{prefix}_n": ("count", r), f"_{prefix}_s": ("sum", r), f"_{prefix}_q": ("sum", r * r),
+            f"{prefix}_rating_min": ("min", r), f"{prefix}_rating_max": ("max", r)}
+
+
+def _from_states(df: DataFrame, prefix: str, total: str, avg: str, std: str) -> DataFrame:
+    """Count, mean and sample deviation (3 places; NULL where there is too little) of the states of one prefix."""
+    n, s, q = (F.col(f"_{prefix}_{x}") for x in "nsq")
+    spread = F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
+    return (df.withColumns({total: n, avg: C.round_half_even(C.safe_ratio(s, n)), std: C.round_half_even(F.when(n > 1, spread))})
+            .drop(f"_{prefix}_n", f"_{prefix}_s", f"_{prefix}_q"))
+
+
+def statistics_as_of(interactions: DataFrame, time_col: str = "timestamp", num_partitions: int | None = None) -> DataFrame:
+    """Every interaction with the statistics that were known strictly before it: of its user, its item and the pair (A1, A2,
+    A6-A8: rated rows, mean, deviation, least and greatest rating, distinct partners), and the busiest user's and item's count so far.
+
+    A row never sees its own rating, nor one of the same instant.  Each statistic is a prefix aggregate of one range
+    shuffle (``prefix_states``), so an online store that folds ratings in one by one holds the same numbers.  The first rows
+    of a user and item are markers, whose count before a time is the number of distinct partners.
+    Counts without history are 0, the other statistics NULL.  Rows without a time, or without the id concerned, have no history.
+    """
+    cols = [*interactions.columns]
+    pairs = (interactions.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col(time_col).isNotNull())
+             .groupBy("user_id", "item_id").agg(F.min(time_col).alias(time_col)).withColumn("_first", F.lit(1)))
+    marker = F.col("_first")
+
+    def states(df: DataFrame, keys: list[str], found: dict) -> DataFrame:
+        return prefix_states(df, keys, time_col, found, num_partitions)
+
+    out = _from_states(states(interactions, ["user_id", "item_id"], _rating_states("user_item")), "user_item",
+                       "user_item_interactions", "user_item_avg_rating", "user_item_rating_std")
+    out = out.withColumn("_first", F.lit(None).cast("int")).unionByName(pairs, allowMissingColumns=True)
+    for side, other, key in (("user", "items", "user_id"), ("item", "users", "item_id")):
+        out = states(out, [key], {**_rating_states(side), f"{side}_unique_{other}": ("count", marker)})
+        out = _from_states(out, side, f"{side}_total_interactions", f"{side}_avg_rating", f"{side}_rating_std")
+    out = out.where(marker.isNull()).drop("_first")
+    rated = F.when(F.col("rating").isNotNull(), 1).otherwise(0)
+    out = states(out, [], {f"_max_{s}": ("max", F.col(f"{s}_total_interactions") + rated) for s in ("user", "item")})
+    out = out.withColumnsRenamed({"_max_user": "user_interactions_max", "_max_item": "item_interactions_max"})
+    return out.select(*cols, *[c for c in out.columns if c not in cols])
+
+
 def ranking_features(interactions: DataFrame, users: DataFrame | None = None,
-                     items: DataFrame | None = None, history: DataFrame | None = None) -> DataFrame:
+                     items: DataFrame | None = None, history: DataFrame | None = None, point_in_time: bool = False) -> DataFrame:
     """Features of the rating regressor: J2 joins, time parts, A6-A8 with J8, P12 ratios, zero fill.
 
     Statistics come from ``history`` (default: the rows themselves, as the
     reference computes them), so candidate pairs can be featurized the same way.
+    ``point_in_time`` takes each row's statistics strictly before its time instead (M14), so no row sees its own rating.
     """
+    if point_in_time:
+        own = statistics_as_of(interactions).drop(*[f"{p}_rating_{x}" for p in ("user", "item", "user_item") for x in ("min", "max")])
+        if users is not None:
+            own = own.join(users, "user_id", "left")
+        if items is not None:
+            own = own.join(items, "item_id", "left")
+        return _with_ratios(own.withColumns(C.time_parts("timestamp")), F.col("user_interactions_max"),
+                            F.col("item_interactions_max")).drop("user_interactions_max", "item_interactions_max")
     history = interactions if history is None else history
     out = interactions
     if users is not None:
@@ -174,8 +227,13 @@ def ranking_features(interactions: DataFrame, users: DataFrame | None = None,
     # every interaction row carries its user's and item's statistics: maxima over the stats tables
     max_u = us.select(F.max("user_total_interactions")).scalar()
     max_i = its.select(F.max("item_total_interactions")).scalar()
-    out = (out.withColumn("user_popularity", F.col("user_total_interactions") / max_u)
-              .withColumn("item_popularity", F.col("item_total_interactions") / max_i)
+    return _with_ratios(out, max_u, max_i)
+
+
+def _with_ratios(out: DataFrame, max_u: Column, max_i: Column) -> DataFrame:
+    """P12 ratios from the joined statistics, and the zero fill."""
+    out = (out.withColumn("user_popularity", C.safe_ratio("user_total_interactions", max_u))
+              .withColumn("item_popularity", C.safe_ratio("item_total_interactions", max_i))
               .withColumn("user_quality", F.col("user_avg_rating") / 5.0)
               .withColumn("item_quality", F.col("item_avg_rating") / 5.0)
               .withColumn("user_diversity", C.safe_ratio("user_unique_items", "user_total_interactions"))

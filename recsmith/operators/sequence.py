@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 from recsmith.session import materialize, shuffle_partitions
 
 
-def _staged(df: DataFrame, key: str, order: list[Column], num_partitions: int | None) -> DataFrame:
+def _staged(df: DataFrame, key: str | list[str], order: list[Column], num_partitions: int | None) -> DataFrame:
     n = num_partitions or shuffle_partitions(df.sparkSession)
+    keys = [F.col(k).asc_nulls_first() for k in ([key] if isinstance(key, str) else key)]
     # the partition id is frozen into the data: range bounds come from sampling,
     # which Spark may redo differently if the plan were evaluated again
-    return materialize(df.repartitionByRange(n, F.col(key).asc_nulls_first(), *order)
+    return materialize(df.repartitionByRange(n, *keys, *order)
                          .withColumn("_pid", F.spark_partition_id()))
 
 
@@ -114,3 +115,48 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, num_partitions:
     start = F.when(cont, F.col("_fix")).otherwise(F.col("_prov"))
     return (out.withColumn("session_start", micros_time(df, ts, start))
                .drop("_pid", "_t", "_open", "_start", "_prov", "_fk", "_ft", "_fix"))
+
+
+#: How the states of two adjacent stretches of rows become one; a stretch without rows has NULL.
+_MERGE = {
+    "count": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
+    "sum": lambda a, b: F.coalesce(a + b, a, b),
+    "min": lambda a, b: F.least(a, b),
+    "max": lambda a, b: F.greatest(a, b),
+}
+_OF_ROWS = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+_OF_STATES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def prefix_states(df: DataFrame, keys: list[str], ts: str, states: dict[str, tuple[str, Column]],
+                  num_partitions: int | None = None) -> DataFrame:
+    """``df`` + one column for each of ``states`` (name -> (count, sum, min or max, of what)), aggregated over the rows of the same
+    ``keys`` whose time is strictly before the row's.  Rows of one time see the same state; no keys mean the whole table.
+
+    Rows are range-partitioned on (keys, time), so equal times of a key lie in one partition and a key with a third of all
+    rows spans many.  A partition aggregates its own rows in order; what earlier partitions hold of its first
+    key is carried in: one row per partition, the state of its last key there, accumulated in partition order.
+    A count without rows is 0, the other states are NULL.  Rows whose key or time is NULL have no rows before them and are before none.
+    """
+    known = F.lit(True)
+    for c in [*keys, ts]:
+        known = known & F.col(c).isNotNull()
+    empty = df.where(~known).select("*", *[(F.lit(0).cast("long") if kind == "count" else F.lit(None)).alias(n) for n, (kind, _) in states.items()])
+    staged = _staged(df.where(known).withColumn("_t", epoch_micros(df, ts)), keys, [F.col("_t").asc()], num_partitions)
+    before = Window.partitionBy("_pid", *keys).orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    rows = staged.withColumns({f"_own_{n}": _OF_ROWS[kind](c).over(before) for n, (kind, c) in states.items()})
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    ends = staged.groupBy("_pid").agg(F.min(key).alias("_begin"), F.max(key).alias("_end"))  # one row per partition
+    last = (staged.join(F.broadcast(ends), "_pid").where(key == F.col("_end")).groupBy("_pid", "_begin", "_end")
+            .agg(*[_OF_ROWS[kind](c).alias(n) for n, (kind, c) in states.items()]))
+    last = materialize(last)
+    so_far = Window.partitionBy("_end").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    total = last.withColumns({n: _OF_STATES[kind](n).over(so_far) for n, (kind, _) in states.items()})
+    previous = Window.orderBy("_pid")  # at most one row per partition
+    carried = total.select("_pid", (F.lag("_end").over(previous) == F.col("_begin")).alias("_goes_on"), F.col("_begin").alias("_carried_key"),
+                           *[F.lag(n).over(previous).alias(f"_in_{n}") for n in states]).where("_goes_on").drop("_goes_on")
+    joined = rows.join(F.broadcast(carried), "_pid", "left")
+    inside = F.coalesce(key == F.col("_carried_key"), F.lit(False))
+    out = joined.withColumns({n: F.when(inside, _MERGE[kind](F.col(f"_own_{n}"), F.col(f"_in_{n}"))).otherwise(F.col(f"_own_{n}"))
+                              for n, (kind, _) in states.items()})
+    return out.select(*df.columns, *states).unionByName(empty)

@@ -208,6 +208,60 @@ def q_ranking_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.ranking_features(t["interactions"], t["users"], t["items"])
 
 
+# ---- M14: the same statistics as of each row --------------------------------
+
+def _as_of_sql() -> str:
+    """Interactions with what their user, item and pair had strictly before them."""
+    w = lambda k: f'(PARTITION BY {k} ORDER BY "timestamp" RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)'
+
+    def stats(key: str, prefix: str, total: str) -> str:
+        of = f"OVER {w(key)}"
+        return f"""count(rating) {of} AS {total}, {rnd(f'avg(rating) {of}')} AS {prefix}_avg_rating,
+  {rnd(f'stddev_samp(rating) {of}')} AS {prefix}_rating_std, min(rating) {of} AS {prefix}_rating_min, max(rating) {of} AS {prefix}_rating_max"""
+
+    return f"""
+SELECT *, max(user_total_interactions + 1) OVER (ORDER BY "timestamp" RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS user_interactions_max,
+  max(item_total_interactions + 1) OVER (ORDER BY "timestamp" RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS item_interactions_max
+FROM (SELECT * EXCLUDE first,
+  {stats('user_id, item_id', 'user_item', 'user_item_interactions')},
+  {stats('user_id', 'user', 'user_total_interactions')}, count(*) FILTER (WHERE first) OVER {w('user_id')} AS user_unique_items,
+  {stats('item_id', 'item', 'item_total_interactions')}, count(*) FILTER (WHERE first) OVER {w('item_id')} AS item_unique_users
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY "timestamp") = 1 AS first FROM interactions))"""
+
+
+@register("interaction_features_as_of", oracle(_as_of_sql()))
+def q_features_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + A1, A2, A6-A8: each interaction's user, item and pair statistics strictly before it."""
+    return FE.statistics_as_of(_t(spark, sf_dir)["interactions"])
+
+
+def _ranking_as_of_sql() -> str:
+    zero = ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in ("user_item_avg_rating", "user_item_rating_std", "user_avg_rating",
+                                                             "user_rating_std", "item_avg_rating", "item_rating_std"))
+    ratio = lambda a, b: f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0.0)"
+    return oracle(f"""
+SELECT i.* EXCLUDE (user_item_avg_rating, user_item_rating_std, user_avg_rating, user_rating_std, item_avg_rating, item_rating_std,
+    user_item_rating_min, user_item_rating_max, user_rating_min, user_rating_max, item_rating_min, item_rating_max,
+    user_interactions_max, item_interactions_max),
+  {zero}, u.age_group, u.gender, u.location, u.preferred_genres, u.activity_level, u.subscription_type,
+  it.title, it.genre, it.popularity_score, it.quality_score, it.price, it.language,
+  CAST(hour(i."timestamp") AS INTEGER) AS hour, CAST(isodow(i."timestamp") - 1 AS INTEGER) AS day_of_week,
+  CAST(month(i."timestamp") AS INTEGER) AS month, CAST(isodow(i."timestamp") IN (6, 7) AS INTEGER) AS is_weekend,
+  CAST(hour(i."timestamp") BETWEEN 18 AND 23 AS INTEGER) AS is_evening,
+  {ratio('user_total_interactions', 'user_interactions_max')} AS user_popularity,
+  {ratio('item_total_interactions', 'item_interactions_max')} AS item_popularity,
+  coalesce(user_avg_rating, 0.0) / 5.0 AS user_quality, coalesce(item_avg_rating, 0.0) / 5.0 AS item_quality,
+  {ratio('user_unique_items', 'user_total_interactions')} AS user_diversity, {ratio('item_unique_users', 'item_total_interactions')} AS item_diversity
+FROM ({_as_of_sql()}) i LEFT JOIN users u USING (user_id) LEFT JOIN items it USING (item_id)""")
+
+
+@register("ranking_features_as_of", _ranking_as_of_sql())
+def q_ranking_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + J2 + P2/P3 + P12 + P4: leak-free features of the rating regressor."""
+    t = _t(spark, sf_dir)
+    return FE.ranking_features(t["interactions"], t["users"], t["items"], point_in_time=True)
+
+
 # ---- A4, A9-A17, S9 ---------------------------------------------------------
 
 @register("genre_preferences", oracle(f"""

@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recsmith.functions import columns as C
 from recsmith.operators import aggregates as A
@@ -122,3 +123,42 @@ def test_interaction_features_of_unknown_users_and_items(spark):
     assert (rows[1, 10].gender_encoded, rows[2, 10].gender_encoded) == (0, 1)
     assert (rows[1, 10].genre_encoded, rows[1, 99].genre_encoded, rows[None, None].genre_encoded) == (0, 1, 1)
     assert rows[2, 10].user_item_affinity == rows[1, 99].user_item_affinity == 0.5 and rows[1, 10].user_item_affinity == 0.75
+
+
+def test_statistics_as_of_see_only_the_past(spark):
+    """Hand-worked: a user's rows at 1, 2, 2, 3; the two at 2 do not see each other; distinct partners count once."""
+    import datetime as dt
+    t = [dt.datetime(2024, 1, 1, h) for h in range(5)]
+    rows = [("u", "a", 4.0, t[1]), ("u", "b", 2.0, t[2]), ("u", "a", 3.0, t[2]), ("u", "a", None, t[3]), ("w", "a", 5.0, t[4]),
+            ("u", "c", 1.0, None), (None, "a", 1.0, t[3])]
+    df = spark.createDataFrame(rows, "user_id string, item_id string, rating double, timestamp timestamp_ntz")
+    got = {(r.user_id, r.item_id, r.timestamp): r for r in FE.statistics_as_of(df, num_partitions=5).collect()}
+    assert len(got) == len(rows)
+    first, b, a2, a3, w = (got[k] for k in (("u", "a", t[1]), ("u", "b", t[2]), ("u", "a", t[2]), ("u", "a", t[3]), ("w", "a", t[4])))
+    assert first.user_total_interactions == 0 and first.user_avg_rating is None and first.user_interactions_max is None
+    assert (b.user_total_interactions, b.user_avg_rating, b.user_rating_std, b.user_unique_items) == (1, 4.0, None, 1)
+    assert (a2.user_total_interactions, a2.user_item_interactions, a2.item_total_interactions, a2.item_unique_users) == (1, 1, 1, 1)
+    assert (a3.user_total_interactions, a3.user_avg_rating, a3.user_rating_std, a3.user_unique_items) == (3, 3.0, 1.0, 2)
+    assert (a3.user_item_interactions, a3.user_item_avg_rating, a3.user_rating_min, a3.user_rating_max) == (2, 3.5, 2.0, 4.0)
+    # item a at 4: ratings 4, 3 of u and 1 of the row without user; its partners are u alone, since the other has no id
+    assert (w.user_total_interactions, w.item_total_interactions, w.item_unique_users, w.item_interactions_max) == (0, 3, 1, 3)
+    assert got["u", "c", None].user_total_interactions == 0 and got[None, "a", t[3]].item_total_interactions == 2
+
+
+def test_point_in_time_features_do_not_leak(spark):
+    """Other ratings of the row itself change nothing in its own features."""
+    from recsmith.sources import fixtures
+    t = fixtures.tables(spark, "/root/testdata/sf0.001")
+    changed = t["interactions"].withColumn("rating", F.when(F.col("session_id") % 97 == 1, 5.0 - F.col("rating")).otherwise(F.col("rating")))
+    latest = t["interactions"].groupBy("user_id").agg(F.max("timestamp").alias("timestamp"))
+    keys = ["user_id", "item_id", "session_id", "line_number"]
+    plain = FE.ranking_features(t["interactions"], t["users"], t["items"])
+    lean = FE.ranking_features(t["interactions"], t["users"], t["items"], point_in_time=True)
+    assert sorted(plain.columns) == sorted(lean.columns)
+    first = t["interactions"].groupBy("user_id").agg(F.min("timestamp").alias("timestamp"))
+    assert lean.join(first, ["user_id", "timestamp"]).where("user_total_interactions <> 0 OR user_avg_rating <> 0").count() == 0
+    # ratings of a user's last instant are in no user statistic
+    last = changed.join(latest, ["user_id", "timestamp"], "left_semi").unionByName(t["interactions"].join(latest, ["user_id", "timestamp"], "left_anti"))
+    again = FE.ranking_features(last, t["users"], t["items"], point_in_time=True)
+    cols = [*keys, "user_avg_rating", "user_rating_std"]
+    assert lean.select(*cols).exceptAll(again.select(*cols)).count() == 0

@@ -83,3 +83,46 @@ def test_split_filters_reach_the_scan(spark, tmp_path):
     assert (train.count(), test.count()) == (4000, 1000)
     plan = test._jdf.queryExecution().toString()
     assert "GreaterThan(timestamp" in plan
+
+
+def _prefix_brute(rows, key, states):
+    """rows of dicts -> their states over the rows of the same key strictly before, by scanning."""
+    out = []
+    for r in rows:
+        past = [p for p in rows if r["t"] is not None and None not in key(r) and p["t"] is not None and key(p) == key(r) and p["t"] < r["t"]]
+        vals = [p["v"] for p in past if p["v"] is not None]
+        out.append((r["i"], len(vals), sum(vals) if vals else None, min(vals, default=None), max(vals, default=None))[:1 + states])
+    return sorted(out, key=repr)
+
+
+def _facts(n, seed):
+    """A third of all rows under user 0, many equal times, NULLs in key, time and value."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        user = None if rnd.random() < 0.02 else 0 if rnd.random() < 0.33 else rnd.randrange(1, 9)
+        rows.append({"i": i, "u": user, "it": rnd.randrange(5), "t": None if rnd.random() < 0.02 else T0 + dt.timedelta(minutes=rnd.randrange(60)),
+                     "v": None if rnd.random() < 0.1 else float(rnd.randrange(1, 6))})
+    return rows
+
+
+def test_prefix_states_match_a_scan(spark):
+    rows = _facts(400, 3)
+    df = spark.createDataFrame([(r["i"], r["u"], r["it"], r["t"], r["v"]) for r in rows], "i long, u long, it long, t timestamp, v double")
+    v = F.col("v")
+    states = {"n": ("count", v), "s": ("sum", v), "lo": ("min", v), "hi": ("max", v)}
+    for keys in (["u"], ["u", "it"], []):
+        want = _prefix_brute(rows, lambda r: tuple(r[k] for k in keys), 4)
+        for parts in (1, 3, 16):
+            got = S.prefix_states(df, keys, "t", states, parts)
+            assert got.columns == [*df.columns, *states]
+            assert sorted((tuple(r) for r in got.select("i", *states).collect()), key=repr) == want
+
+
+def test_prefix_states_of_one_key_span_partitions(spark):
+    """All rows under one key and three instants: equal times stay together and empty partitions carry the state on."""
+    rows = [{"i": i, "u": 1, "it": 0, "t": T0 + dt.timedelta(minutes=i % 3), "v": 1.0} for i in range(90)]
+    df = spark.createDataFrame([(r["i"], r["u"], r["t"], r["v"]) for r in rows], "i long, u long, t timestamp_ntz, v double")
+    got = S.prefix_states(df, ["u"], "t", {"n": ("count", F.col("v"))}, 12).select("i", "n").collect()
+    assert {(r.i % 3, r.n) for r in got} == {(0, 0), (1, 30), (2, 60)} and len(got) == 90
+    assert S.prefix_states(df.where("i < 0"), ["u"], "t", {"n": ("count", F.col("v"))}).count() == 0
