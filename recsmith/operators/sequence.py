@@ -141,8 +141,8 @@ def prefix_states(df: DataFrame, keys: list[str], ts: str, states: dict[str, tup
     known = F.lit(True)
     for c in [*keys, ts]:
         known = known & F.col(c).isNotNull()
-    empty = df.where(~known).select("*", *[(F.lit(0).cast("long") if kind == "count" else F.lit(None)).alias(n) for n, (kind, _) in states.items()])
-    staged = _staged(df.where(known).withColumn("_t", epoch_micros(df, ts)), keys, [F.col("_t").asc()], num_partitions)
+    staged = _staged(df.withColumn("_t", epoch_micros(df, ts)), keys, [F.col("_t").asc_nulls_first()], num_partitions)
+    states = {n: (kind, F.when(known, c)) for n, (kind, c) in states.items()}
     before = Window.partitionBy("_pid", *keys).orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
     rows = staged.withColumns({f"_own_{n}": _OF_ROWS[kind](c).over(before) for n, (kind, c) in states.items()})
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
@@ -157,6 +157,7 @@ def prefix_states(df: DataFrame, keys: list[str], ts: str, states: dict[str, tup
                            *[F.lag(n).over(previous).alias(f"_in_{n}") for n in states]).where("_goes_on").drop("_goes_on")
     joined = rows.join(F.broadcast(carried), "_pid", "left")
     inside = F.coalesce(key == F.col("_carried_key"), F.lit(False))
-    out = joined.withColumns({n: F.when(inside, _MERGE[kind](F.col(f"_own_{n}"), F.col(f"_in_{n}"))).otherwise(F.col(f"_own_{n}"))
-                              for n, (kind, _) in states.items()})
-    return out.select(*df.columns, *states).unionByName(empty)
+    nothing = {"count": F.lit(0).cast("long")}
+    return joined.select(*df.columns, *[
+        F.when(known, F.when(inside, _MERGE[kind](F.col(f"_own_{n}"), F.col(f"_in_{n}"))).otherwise(F.col(f"_own_{n}")))
+        .otherwise(nothing.get(kind, F.lit(None))).alias(n) for n, (kind, _) in states.items()])
