@@ -22,6 +22,7 @@ from recsmith.operators import aggregates as A
 from recsmith.operators import encoders as E
 from recsmith.operators import features as FE
 from recsmith.operators.recommend import top_k_unseen
+from recsmith.operators.retrieval import top_k_inner
 from recsmith.session import materialize
 
 # Fixed settings of the reference trainers.
@@ -98,44 +99,28 @@ def rmse_evaluator(model: FactorModel, test: DataFrame) -> float:
     return RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction").evaluate(predict(model, test))
 
 
+def factor_tables(model: FactorModel) -> tuple[DataFrame, DataFrame]:
+    """The factors under the tables' own ids: (user_id, vector), (item_id, vector)."""
+    def own(factors: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+        return factors.join(ids, F.col("id") == F.col("code")).select(F.col("value").alias(name), F.col("features").alias("vector"))
+
+    return own(model.als.userFactors, model.users, "user_id"), own(model.als.itemFactors, model.items, "item_id")
+
+
 def top_k_unseen_factors(model: FactorModel, history: DataFrame, k: int = 10, users: DataFrame | None = None,
                          fallback: DataFrame | None = None) -> DataFrame:
-    """M2 + J6: exact top-k by inner product among items a user has not seen.
+    """M2 + J6: exact top-k by inner product among items a user has not seen (``retrieval.top_k_inner``).
 
-    A user needs k + |history| candidates to be sure of k unseen ones.  Users are served in tiers by doubling
-    depth, so nobody is fetched more than twice as deep as needed and light users do not pay for heavy ones.
     ``users`` without factors get the lists of ``fallback`` (base scores item_id, genre, base_score: W5 in the order of W6).
     """
-    asked = (model.users.select(F.col("value").alias("user_id")) if users is None else users.select("user_id")).distinct()
-    hist = history.select("user_id", "item_id").distinct().join(asked, "user_id", "left_semi")
-    sizes = hist.groupBy(F.col("user_id").alias("_u")).agg(F.count(F.lit(1)).alias("h"))
-    known = (asked.join(model.users, F.col("user_id") == F.col("value"))
-             .join(sizes, F.col("user_id") == F.col("_u"), "left")
-             .select("user_id", F.col("code").alias("_user"),
-                     F.ceil(F.log2((F.coalesce("h", F.lit(0)) + k) / F.lit(float(k)))).cast("int").alias("tier")))
-    known = materialize(known)
-    n_items = model.items.count()
-    parts = []
-    for r in known.select("tier").distinct().orderBy("tier").collect():  # doublings of a history: at most 31
-        depth = min(n_items, k * 2 ** r["tier"])
-        recs = model.als.recommendForUserSubset(known.where(F.col("tier") == r["tier"]).select("_user"), depth)
-        parts.append(recs.select("_user", F.explode("recommendations").alias("r"))
-                     .select("_user", F.col("r._item").alias("_item"), F.col("r.rating").cast("double").alias("score")))
-    out = None
-    if parts:
-        items = model.items.select(F.col("value").alias("item_id"), F.col("code").alias("_ic"))
-        cands = (reduce(DataFrame.unionByName, parts).join(known.select("user_id", F.col("_user").alias("_uc")), F.col("_user") == F.col("_uc"))
-                 .join(items, F.col("_item") == F.col("_ic")).select("user_id", "item_id", "score"))
-        seen = hist.select(F.col("user_id").alias("_hu"), F.col("item_id").alias("_hi"))
-        cands = cands.join(seen, (F.col("user_id") == F.col("_hu")) & (F.col("item_id") == F.col("_hi")), "left_anti")
-        w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").desc())
-        out = (cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-               .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", "score"))
-    if fallback is not None:
-        cold = materialize(asked.join(known.select("user_id"), "user_id", "left_anti"))
+    vectors, items = factor_tables(model)
+    if users is not None:
+        vectors = vectors.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    out, _ = top_k_inner(vectors, items, history, k)
+    if fallback is not None and users is not None:
+        cold = materialize(users.select("user_id").distinct().join(model.users, F.col("user_id") == F.col("value"), "left_anti"))
         plain = cold.withColumn("preferred_genres", F.lit(None).cast("string"))
-        lists = top_k_unseen(plain, fallback, fallback, history, cold, k)
-        out = lists if out is None else out.unionByName(lists)
+        out = out.unionByName(top_k_unseen(plain, fallback, fallback, history, cold, k))
     return out
 
 

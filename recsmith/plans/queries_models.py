@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recsmith.operators import metrics as ME
 from recsmith.operators import models as MO
 from recsmith.operators import text as TX
+from recsmith.operators.retrieval import top_k_inner
 from recsmith.plans import local_chain
 from recsmith.plans import oracle_sql as osql
 from recsmith.plans.catalog import register
@@ -131,6 +132,29 @@ def q_als_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_checks(materialize(_als_lists(c)), c.history, 10)
 
 
+@register("als_retrieval_work")
+def q_als_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: how many user-item pairs the exact search scores for the test users, of all there are."""
+    c = local_chain.prepare_fixture(spark, sf_dir)
+    users, items = MO.factor_tables(MO.train_als(c.train, rank=MO.EMBEDDING_DIM, max_iter=10))
+    work = top_k_inner(users.join(c.targets.select("user_id"), "user_id", "left_semi"), items, c.history, 10)[1]
+    return work.withColumn("share", F.col("pairs_scored") / F.col("pairs"))
+
+
+@register("inner_product_top_k", """
+WITH e AS (SELECT vec_id, [floor(256::DOUBLE * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS user_id, b.vec_id AS item_id, list_sum([p[1] * p[2] FOR p IN [[a.v[i], b.v[i]] FOR i IN range(1, len(a.v) + 1)]]) AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id DESC) AS rank, item_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id DESC) <= 10""")
+def q_inner_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2's search on the embeddings: every vector's ten best others by inner product of whole components."""
+    v = fixtures.read_table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull()).select(
+        "vec_id", F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("double")).alias("vector"))
+    own = v.select(F.col("vec_id").alias("user_id"), F.col("vec_id").alias("item_id"))
+    return top_k_inner(v.withColumnRenamed("vec_id", "user_id"), v.withColumnRenamed("vec_id", "item_id"), own, 10)[0]
+
+
 @register("gbt_rating_error")
 def q_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 + M5 + M6 + P17: boosted rating regressor (100 trees, depth 6, early stop on the
