@@ -135,10 +135,17 @@ class Lexicon:
                 spans.append((end - n, end))
             elif n > len(best.get(end - n, "")):
                 best[end - n] = entry
-        for lo, hi in spans:
-            for start in [x for x in best if lo <= x <= hi]:
-                del best[start]
-        return list(best.values())
+        if not spans or not best:
+            return list(best.values())
+        spans.sort()
+        out, at, open_end = [], 0, -1  # open_end: the furthest end of the exceptions that began so far
+        for start in sorted(best):
+            while at < len(spans) and spans[at][0] <= start:
+                open_end = max(open_end, spans[at][1])
+                at += 1
+            if start > open_end:
+                out.append(best[start])
+        return out
 
     def weigh(self, text: str | None) -> tuple[float, int]:
         """Sum of the weights of the entries, and the words of the text."""
@@ -158,11 +165,19 @@ class Lexicon:
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Ridge logistic regression by Newton's method; classes weigh as they occur."""
     b = np.zeros(x.shape[1])
-    for _ in range(40):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+
+    def loss(c: np.ndarray) -> float:
+        z = x @ c
+        return float((np.logaddexp(0, z) - y * z).sum() + ridge / 2 * (c * c).sum())
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -500, 500)))
         grad = x.T @ (p - y) + ridge * b
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(b)), grad)
-        b -= step
+        now = loss(b)
+        while loss(b - step) > now and np.abs(step).max() > 1e-12:  # a full step may overshoot
+            step = step / 2
+        b = b - step
         if np.abs(step).max() < 1e-8:
             break
     return b
@@ -188,7 +203,7 @@ def _text_beginnings(text: str) -> set[str]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Lexicon:
-    """docs (doc_id, text), labels (doc_id, label) -> lexicon, from at most about ``sample`` training rows."""
+    """docs (doc_id, text), labels (doc_id, label) -> lexicon, from at most about ``sample`` labelled ids, one row each."""
     seeds = {fold(s).strip(): s for s in SEEDS}
     given = [" ".join(fold(p).split()) for p in EXCEPTIONS]
     known = (labels.where(F.col(label).isNotNull() & training_row(F.col("doc_id")))
@@ -196,8 +211,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     n = known.count()
     slots = 1 << 20
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(slots)) < math.ceil(slots * min(1.0, sample / max(1, n))))
-    # at most about ``sample`` rows of an id and a flag
+    # at most about ``sample`` ids and a flag; of an id's rows one stays (by a hash of its text), so an id on many rows counts once
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+                       .groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
                        .select("text", "y").repartition(16))
     size = rows.agg(F.count(F.when(F.col("y"), 1)), F.count(F.when(~F.col("y"), 1))).first()
     n_tox, n_clean = float(size[0]), float(size[1])
