@@ -69,6 +69,27 @@ def q_stream_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, M.stream_active_users(_event_stream(spark, sf_dir)))
 
 
+_HOURLY = _closed("3600 SECOND", "1 HOUR", "avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) > 0.05 AS firing")
+
+
+@register("stream_error_incidents", f"""
+WITH w AS ({_HOURLY}), m AS (SELECT max(window_start) AS newest FROM w),
+f AS (SELECT window_start, epoch(window_start) // 3600 - row_number() OVER (ORDER BY window_start) AS run FROM w WHERE firing),
+r AS (SELECT min(window_start) AS s, max(window_start) + INTERVAL 1 HOUR AS e, count(*) AS n FROM f GROUP BY run HAVING count(*) >= 2),
+i AS (SELECT *, sum(opens) OVER (ORDER BY s) AS inc FROM (SELECT *, CASE WHEN s - lag(e) OVER (ORDER BY s) < INTERVAL 3 HOUR THEN 0 ELSE 1 END AS opens FROM r))
+SELECT 'error_rate' AS metric, 'alert' AS kind, s AS alert_start, e AS alert_end, n FROM r, m WHERE e <= newest
+UNION ALL SELECT 'error_rate', 'incident', min(s), max(e), count(*) FROM i, m GROUP BY inc, newest HAVING max(e) + INTERVAL 3 HOUR <= newest""")
+def q_stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 on a stream: alerts (error rate over 5 % for 2 hourly windows) and incidents (closed after 3 quiet hours), from the files
+    of the hourly metrics' own stream; event-time timers end what no later window ends."""
+    folder = _folder(spark)
+    hourly = M.stream_request_metrics(_event_stream(spark, sf_dir), "3600 seconds", "1 hour")
+    M.write_stream(hourly, f"{folder}/hourly", f"{folder}/hourly_checkpoint", trigger_once=True).awaitTermination()
+    windows = spark.readStream.schema(hourly.schema).parquet(f"{folder}/hourly")
+    out = _run(spark, M.stream_sustained_alerts(windows, "error_alert", "error_rate", 3600, 2 * 3600, 3 * 3600))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("alert_start", "alert_end")})
+
+
 @register("stream_user_stats", """
 SELECT user_id, count(value) AS rating_count, round(avg(value), 6) AS rating_mean, round(stddev_samp(value), 6) AS rating_std,
   min(value) AS rating_min, max(value) AS rating_max, min(ts) AS timestamp_min, max(ts) AS timestamp_max,

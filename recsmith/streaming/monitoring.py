@@ -10,7 +10,7 @@ latency in ms and ``event_type = 'error'`` marks a failed request.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -326,45 +326,78 @@ ALERT_OUT = "metric string, kind string, alert_start timestamp, alert_end timest
 
 
 def _alert_fn(window_seconds: int, need: int, close_after: int):
-    """State of one metric: the running condition (length, last window number, start) and the open incident."""
-    width = pd.Timedelta(seconds=window_seconds)
+    """State of one metric: the running condition (length, last window number, start) and the open incident.
+
+    An event-time timer stands at what silence would decide next: the end of the running condition's last window (no
+    window follows it) or, with no condition running, the incident's end plus ``close_after``."""
+    width, quiet = pd.Timedelta(seconds=window_seconds), pd.Timedelta(seconds=close_after)
+
+    def millis(at) -> int:
+        return int(pd.Timestamp(at).value // 10 ** 6)
 
     def step(key, pdfs, state: GroupState):
         run, last, start, first, end, alerts = state.get if state.exists else (0, None, None, None, None, 0)
         out = []
-        for row in pd.concat(list(pdfs)).sort_values("window_start").itertuples(index=False):
-            at = pd.Timestamp(row.window_start)
-            wno = int(at.value // (window_seconds * 10 ** 9))
-            if run >= need and (not row.firing or wno != last + 1):
+
+        def run_ends() -> None:
+            if run >= need:
                 out.append((key[0], "alert", start, end, run))
-            if first is not None and at - pd.Timestamp(end) >= pd.Timedelta(seconds=close_after):
+
+        def last_end() -> pd.Timestamp:
+            return pd.Timestamp((last + 1) * window_seconds * 10 ** 9)
+
+        if state.hasTimedOut:
+            watermark = state.getCurrentWatermarkMs()
+            if run and watermark > millis(last_end()):
+                run_ends()
+                run = 0
+            if first is not None and not run and watermark > millis(pd.Timestamp(end) + quiet):
                 out.append((key[0], "incident", first, end, alerts))
                 first, end, alerts = None, None, 0
-            if row.firing:
-                run, start = (run + 1, start) if run and wno == last + 1 else (1, at)
-                if run >= need:
-                    alerts += run == need
-                    first, end = (start if first is None else first), at + width
-            else:
-                run = 0
-            last = wno
-        state.update((run, last, start, first, end, alerts))
+        else:
+            for row in pd.concat(list(pdfs)).sort_values("window_start").itertuples(index=False):
+                at = pd.Timestamp(row.window_start)
+                wno = int(at.value // (window_seconds * 10 ** 9))
+                goes_on = bool(row.firing) and run > 0 and wno == last + 1
+                if not goes_on:
+                    run_ends()
+                # a condition counts from its first window on, also while it has not been held for long
+                if first is not None and (pd.Timestamp(start) if goes_on else at) - pd.Timestamp(end) >= quiet:
+                    out.append((key[0], "incident", first, end, alerts))
+                    first, end, alerts = None, None, 0
+                if row.firing:
+                    run, start = (run + 1, start) if goes_on else (1, at)
+                    if run >= need:
+                        alerts += run == need
+                        first, end = (start if first is None else first), at + width
+                else:
+                    run = 0
+                last = wno
+        if run or first is not None:
+            state.update((run, last, start, first, end, alerts))
+            due = millis(last_end()) if run else millis(pd.Timestamp(end) + quiet)
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()  # neither a condition nor an incident is open: the next window begins anew
         yield pd.DataFrame(out, columns=["metric", "kind", "alert_start", "alert_end", "n"])
     return step
 
 
-def stream_sustained_alerts(window_metrics: DataFrame, flag_col: str = "error_alert", metric: str = "error_rate",
+def stream_sustained_alerts(window_metrics: DataFrame, flag_col: str = "error_alert", metric: str | Column = "error_rate",
                             window_seconds: int = 60, hold_seconds: int = CONDITION_SECONDS,
-                            auto_close_seconds: int = AUTO_CLOSE_SECONDS) -> DataFrame:
+                            auto_close_seconds: int = AUTO_CLOSE_SECONDS, watermark: str = "0 seconds") -> DataFrame:
     """T8 on a stream: rows of kind "alert" for each ended run of windows in which a condition has held for
     ``hold_seconds`` (n = windows), and of kind "incident" once ``auto_close_seconds`` have passed without an alert
-    (n = alerts).  Keyed state per metric; it is six values, whatever the stream's length."""
+    (n = alerts).  ``metric`` is a name for the whole stream or a column; the keyed state is six values per metric.
+
+    Both also end without further rows of the metric, by event-time timers, as soon as the watermark on window_start
+    (windows arrive in order but for ``watermark``) shows that the next window is missing or the quiet time over."""
     need = max(1, hold_seconds // window_seconds)
-    keyed = window_metrics.select(F.lit(metric).alias("metric"),
+    keyed = window_metrics.select((F.lit(metric) if isinstance(metric, str) else metric).alias("metric"),
                                   F.col("window_start").cast("timestamp").alias("window_start"),
-                                  F.col(flag_col).alias("firing"))
+                                  F.col(flag_col).alias("firing")).withWatermark("window_start", watermark)
     return keyed.groupBy("metric").applyInPandasWithState(
-        _alert_fn(window_seconds, need, auto_close_seconds), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
+        _alert_fn(window_seconds, need, auto_close_seconds), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 RUNNING_BUCKETS = 16

@@ -85,6 +85,50 @@ def test_stream_incidents_equal_batch(spark):
     assert sorted((r.alert_start, r.alert_end, r.n) for r in got if r.kind == "incident") == sorted(incidents)
 
 
+def _run_alerts(spark, root, **how):
+    schema = "metric string, window_start timestamp, firing boolean"
+    stream = spark.readStream.schema(schema).parquet(os.path.join(root, "in", "*"))
+    q = (M.stream_sustained_alerts(stream, "firing", F.col("metric"), **how).writeStream.outputMode("append").format("parquet")
+         .option("path", os.path.join(root, "out")).option("checkpointLocation", os.path.join(root, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sorted((r.metric, r.kind, r.alert_start, r.alert_end, r.n) for r in spark.read.parquet(os.path.join(root, "out")).collect())
+
+
+def test_alerts_close_without_further_rows(spark):
+    """Metric a falls silent while it fires; metric b goes on.  Timers end a's alert and, 1800 s later, its incident, also when
+    the stream is stopped in between and goes on from its checkpoint."""
+    root = tempfile.mkdtemp(prefix="recsmith-silent-")
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+
+    def feed(part, rows):
+        spark.createDataFrame(rows, "metric string, window_start timestamp, firing boolean").coalesce(1).write.parquet(os.path.join(root, "in", part))
+
+    feed("p0", [("a", m(x), True) for x in range(5)] + [("b", m(x), False) for x in range(4)])
+    assert _run_alerts(spark, root) == []  # a's fifth window is the newest: its next may still come
+    feed("p1", [("b", m(x), False) for x in range(4, 20)])
+    alert = ("a", "alert", m(0), m(5), 5)
+    assert _run_alerts(spark, root) == [alert]
+    feed("p2", [("b", m(x), False) for x in range(20, 35)])
+    assert _run_alerts(spark, root) == [alert]  # 1799 s are not yet over at minute 34
+    feed("p3", [("b", m(x), False) for x in range(35, 40)])
+    assert _run_alerts(spark, root) == [alert, ("a", "incident", m(0), m(5), 1)]
+    feed("p4", [("a", m(x), True) for x in range(40, 46)] + [("b", m(x), False) for x in range(40, 90)])
+    assert _run_alerts(spark, root) == sorted([alert, ("a", "incident", m(0), m(5), 1), ("a", "alert", m(40), m(46), 6), ("a", "incident", m(40), m(46), 1)])
+
+
+def test_stream_incident_counts_a_condition_from_its_first_window(spark):
+    """The next condition begins within the quiet time but has been held for long only behind it: one incident, as in the batch form."""
+    root = tempfile.mkdtemp(prefix="recsmith-slow-")
+    firing = {0, 1, 2, 3, 4, 33, 34, 35, 36, 37}
+    rows = [("a", T0 + dt.timedelta(minutes=x), x in firing) for x in range(100)]
+    for k in range(5):
+        spark.createDataFrame(rows[20 * k:20 * k + 20], "metric string, window_start timestamp, firing boolean").coalesce(1).write.parquet(os.path.join(root, "in", f"p{k}"))
+        got = _run_alerts(spark, root)
+    flags = spark.createDataFrame(rows, "metric string, window_start timestamp, firing boolean").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    want = [("a", "incident", i.incident_start, i.incident_end, i.n_alerts) for i in M.incidents(flags, "firing").collect()]
+    assert [r for r in got if r[1] == "incident"] == want and len(want) == 1
+
+
 def test_stream_active_users(spark):
     root = tempfile.mkdtemp(prefix="recsmith-active-")
     day = 86400
