@@ -60,6 +60,8 @@ def enrich(recs: DataFrame, items: DataFrame, id_col: str = "item_id") -> DataFr
 CODE_BITS = 32
 #: Rows of a block where vectors meet all others; rows a product covers at a time.
 MEET, STRIP = 4096, 512
+#: Neighbourhoods that one task takes at a time.
+NODES = 1024
 
 
 def _bucketed(vectors: DataFrame, first: int, last: int, bucket_items: int, seed: int) -> DataFrame:
@@ -150,16 +152,44 @@ def _against_all(asked: DataFrame, clean: DataFrame, k: int, names: list[str], s
     return both.groupBy("i", "j").applyInPandas(meet, schema)
 
 
+def _neighbourhoods(lists: DataFrame, clean: DataFrame, k: int, names: list[str], schema: str) -> DataFrame:
+    """The best ``k`` of every item among those that share a list with it: each item's list and the lists it stands in (at most
+    ``k`` of them, the nearest), with the vectors, compared with each other.
+
+    A neighbourhood holds at most 2 k + 1 items, so the work per item does not grow with the table."""
+    id_col, other, sim = names
+    near = Window.partitionBy(other).orderBy(F.col(sim).desc(), F.col(id_col))
+    stands_in = lists.withColumn("_r", F.row_number().over(near)).where(F.col("_r") <= k).select(F.col(other).alias("node"), F.col(id_col).alias("member"))
+    members = (lists.select(F.col(id_col).alias("node"), F.col(other).alias("member")).unionByName(stands_in)
+               .unionByName(clean.select(F.col("id").alias("node"), F.col("id").alias("member"))).distinct())
+    rows = members.join(clean, F.col("member") == F.col("id")).select("node", "member", "vector")
+    batches = F.pmod(F.xxhash64("node"), F.lit(max(1, math.ceil(clean.count() / NODES)))).cast("int")
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, same in pdf.groupby(pdf["vector"].map(len)):  # only vectors of one length compare
+            same = same.sort_values(["node", "member"], kind="stable")
+            x, ids, node = np.stack(same["vector"].to_numpy()), same["member"].to_numpy(), same["node"].to_numpy()
+            cuts = [0, *(np.flatnonzero(node[1:] != node[:-1]) + 1).tolist(), len(node)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                found += _nearest(x[lo:hi], ids[lo:hi], x[lo:hi], ids[lo:hi], k)
+        return _as_frame(found, names)
+
+    return rows.groupBy(batches.alias("_batch")).applyInPandas(meet, schema)
+
+
 def similar_items(vectors: DataFrame, k: int = 10, id_col: str = "item_id", vec_col: str = "vector",
                   tables: int = 8, bucket_items: int = 512, seed: int = 42, items: DataFrame | None = None,
-                  recall: float = 0.95, probes: int = 512) -> DataFrame:
+                  recall: float = 0.95, probes: int = 512, exact: bool = False) -> DataFrame:
     """M8: the ``k`` nearest neighbours of every item by cosine, optionally with the details of M9.
 
-    Items meet in the buckets of several random-projection tables; each bucket gives every item its best ``k`` there, and the
-    best over the tables are kept.  The lists of ``probes`` items, chosen by a hash, are also found exactly: as long as the
-    tables hold less than ``recall`` of them, as many tables again are added, and once the tables would
-    compare an item with as many others as the table has rows, all blocks meet all blocks instead, which is exact.
-    Items whose buckets held too few others get theirs from the whole table, exactly.
+    A neighbour graph, begun in buckets and refined among neighbours of neighbours: items meet in the buckets of several
+    random-projection tables, and each keeps its best 2 k there; then all that share a list meet, round after round, since a
+    neighbour's neighbours are likely one's own.  Buckets and neighbourhoods have a fixed size, so the work per item does not grow
+    with the table.  The lists of ``probes`` items, chosen by a hash, are also found exactly, and decide when to stop: at
+    ``recall`` of them.  A round that gains less than a hundredth is followed by as many tables again.  Tables that would compare an
+    item with as many others as there are, or ``exact``, let all blocks meet all blocks instead.
+    Items whose lists stay short get theirs from the whole table, exactly.
     Items with a NULL or zero vector have no direction and no neighbours; neither have rows without an id.
     """
     unit = F.sqrt(F.aggregate(F.col(vec_col), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
@@ -170,47 +200,57 @@ def similar_items(vectors: DataFrame, k: int = 10, id_col: str = "item_id", vec_
     id_type = vectors.schema[id_col].dataType.simpleString()
     names = [id_col, "similar_id", "similarity"]
     schema = f"{id_col} {id_type}, similar_id {id_type}, similarity double"
+    wide = 2 * k
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
         for _, same in pdf.groupby(pdf["vector"].map(len)):  # only vectors of one length compare
             same = same.sort_values("id")
             x, ids = np.stack(same["vector"].to_numpy()), same["id"].to_numpy()
-            found += _nearest(x, ids, x, ids, k)
+            found += _nearest(x, ids, x, ids, wide)
         return _as_frame(found, names)
 
     w = Window.partitionBy(id_col).orderBy(F.col("similarity").desc(), F.col("similar_id"))
 
-    def kept(pairs: DataFrame) -> DataFrame:
+    def kept(pairs: DataFrame, depth: int) -> DataFrame:
         one = pairs.groupBy(id_col, "similar_id").agg(F.max("similarity").alias("similarity"))
-        return one.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        return one.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= depth)
 
     def finished(lists: DataFrame) -> DataFrame:
         out = lists.select(id_col, F.col("rank").cast("long").alias("rank"), "similar_id", "similarity")
         return out if items is None else enrich(out, items, "similar_id")
 
-    if tables * bucket_items >= n:
-        return finished(kept(_against_all(clean, clean, k, names, schema)))
+    if exact or tables * bucket_items >= n:
+        return finished(kept(_against_all(clean, clean, k, names, schema), k))
     probe = materialize(clean.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(probes))
-    truth = kept(_against_all(probe, clean, k, names, schema)).groupBy(id_col).agg(F.min("similarity").alias("_least"), F.count("*").alias("_all"))
+    truth = kept(_against_all(probe, clean, k, names, schema), k).groupBy(id_col).agg(F.min("similarity").alias("_least"), F.count("*").alias("_all"))
     truth = materialize(truth.withColumnRenamed(id_col, "_probe"))
     wanted = truth.agg(F.sum("_all")).first()[0] or 0
-    first, done, more = None, 0, tables
-    while True:
+
+    def share(lists: DataFrame) -> float:
+        hits = (lists.where(F.col("rank") <= k).join(F.broadcast(truth), F.col(id_col) == F.col("_probe"))  # at most ``probes`` rows
+                .where(F.col("similarity") >= F.col("_least") - 1e-9).count())
+        return hits / max(1, wanted)
+
+    first, done, more, held = None, 0, tables, 0.0
+    while first is None or held < recall:
         if (done + more) * bucket_items >= n:
-            return finished(kept(_against_all(clean, clean, k, names, schema)))
+            return finished(kept(_against_all(clean, clean, k, names, schema), k))
         met = materialize(_bucketed(clean, done, done + more, bucket_items, seed))
         found = met.groupBy("table", "bits", "prefix", "part").applyInPandas(best, schema)
-        first = materialize(kept(found if first is None else first.drop("rank").unionByName(found)))
+        first = materialize(kept(found if first is None else first.drop("rank").unionByName(found), wide))
         done, more = done + more, done + more
-        hits = (first.join(F.broadcast(truth), F.col(id_col) == F.col("_probe"))  # at most ``probes`` rows
-                .where(F.col("similarity") >= F.col("_least") - 1e-9).count())
-        if hits >= recall * wanted:
-            break
+        held, before = share(first), -1.0
+        while held < recall and held > before + 0.01:
+            before = held
+            closer = _neighbourhoods(first.drop("rank"), clean, wide, names, schema)
+            first = materialize(kept(first.drop("rank").unionByName(closer), wide))
+            held = share(first)
+    first = first.where(F.col("rank") <= k)
     # too few partners in every bucket: meet the whole table; a length with few vectors has no more to give
     lengths = clean.groupBy(F.size("vector").alias("_d")).agg((F.count("*") - 1).alias("_others"))
     have = first.groupBy(F.col(id_col).alias("_s")).agg(F.max("rank").alias("_have"))
     short = (clean.join(have, F.col("id") == F.col("_s"), "left").join(lengths, F.size("vector") == F.col("_d"))
              .where(F.coalesce("_have", F.lit(0)) < F.least(F.lit(k), F.col("_others"))).select("id", "vector"))
     again = _against_all(materialize(short), clean, k, names, schema)
-    return finished(kept(first.drop("rank").unionByName(again)))
+    return finished(kept(first.drop("rank").unionByName(again), k))

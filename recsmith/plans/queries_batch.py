@@ -418,6 +418,25 @@ def q_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("rating_avg", F.round("rating_avg", 9))
 
 
+@register("similar_items")
+def q_similar_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: the ten neighbours of every vector of the table, from small buckets refined among neighbours of neighbours."""
+    return S.similar_items(fixtures.read_table(spark, sf_dir, "embeddings"), 10, "vec_id", "embedding", tables=4, bucket_items=64)
+
+
+@register("similar_items_recall", """
+SELECT count(*) AS items, 10 * count(*) AS true_neighbours, true AS recall_of_nine_tenths FROM embeddings""")
+def q_similar_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: the lists against those of all pairs; equal cosines count as found."""
+    v = fixtures.read_table(spark, sf_dir, "embeddings")
+    true = materialize(S.similar_items(v, 10, "vec_id", "embedding", exact=True))
+    least = true.groupBy("vec_id").agg(F.min("similarity").alias("least"), F.count("*").alias("n"))
+    found = q_similar_lists(spark, sf_dir).groupBy("vec_id").agg(F.collect_list("similarity").alias("got"))  # ten numbers a row
+    hits = F.size(F.filter("got", lambda x: x >= F.col("least") - 1e-9))
+    return least.join(found, "vec_id", "left").agg(F.count("*").alias("items"), F.sum("n").alias("true_neighbours"),
+                                                   (F.sum(F.coalesce(hits, F.lit(0))) >= 0.9 * F.sum("n")).alias("recall_of_nine_tenths"))
+
+
 @register("similar_items_checks", """
 SELECT count(*) AS items_served, count(*) AS full_lists, 0 AS wrong_scores, 0 AS rank_gaps FROM embeddings""")
 def q_similar_items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,6 +109,38 @@ def test_similar_items_hold_recall_as_the_table_grows(spark, n):
     assert recall >= 0.9
 
 
+@pytest.mark.parametrize("n", [2000, 12000])
+def test_neighbours_of_neighbours_settle_without_more_tables(spark, monkeypatch, n):
+    """Few tables and small buckets: rounds of neighbourhoods of fixed size reach the recall, whatever the table's size."""
+    rnd = np.random.default_rng(8)
+    base = rnd.normal(size=(n // 20, 32))
+    x = np.repeat(base, 20, axis=0) + 0.5 * rnd.normal(size=(n, 32))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "item_id long, vector array<double>")
+    made = []
+    bucketed = SV._bucketed
+    monkeypatch.setattr(SV, "_bucketed", lambda clean, first, last, *rest: made.append(last) or bucketed(clean, first, last, *rest))
+    out = SV.similar_items(df, k=10, tables=4, bucket_items=64).collect()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = {}
+    for r in out:
+        got.setdefault(r.item_id, set()).add(r.similar_id)
+    sim = x[::11] @ x.T
+    sim[np.arange(len(sim)), np.arange(0, n, 11)] = -np.inf
+    true = np.argsort(-sim, axis=1)[:, :10]
+    assert np.mean([len(got[i] & set(t.tolist())) / 10 for i, t in zip(range(0, n, 11), true)]) >= 0.9
+    assert len(out) == 10 * n and made[-1] * 64 <= 768  # an item met at most so many others in buckets, at both sizes
+
+
+def test_exact_lists_on_request(spark):
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(600, 8))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "item_id long, vector array<double>")
+    got = {(r.item_id, r.rank): r.similar_id for r in SV.similar_items(df, k=3, tables=1, bucket_items=8, exact=True).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sim = x @ x.T - 3 * np.eye(600)
+    assert got == {(i, r + 1): int(j) for i in range(600) for r, j in enumerate(np.argsort(-sim[i])[:3])}
+
+
 def test_tfidf_matches_formula(spark):
     docs = spark.createDataFrame([(1, "red apple red"), (2, "green apple"), (3, None)], "id long, t string")
     got = {(r.id, r.term): r.weight for r in TX.tfidf(docs, "id", "t", 10, stop_words=[]).collect()}
