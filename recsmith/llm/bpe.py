@@ -46,7 +46,7 @@ RUNS = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
 #: Below this character the regex module and the tokenizers library classify letters and numbers alike.
 _AGREED = "ɐ"
 #: Bytes a worker's table of runs may take; a generation that is full becomes the old one, whose entries return when met again.
-CACHE_BYTES = 256 << 20
+CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 300  # of a run beside its characters: the dictionary's slot, a pair and three strings
 
 

@@ -37,7 +37,7 @@ from recsmith.llm.common import in_slices, read_table
 
 WINDOW = 1 << 18  # characters read at a time
 #: Bytes a worker's table of words may take; a generation that is full becomes the old one, whose entries return when met again.
-CACHE_BYTES = 256 << 20
+CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 300  # of a word beside its characters and tokens
 LONGEST_CACHED, LONGEST_SIMPLE = 64, 64
 
