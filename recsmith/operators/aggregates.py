@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import round_half_even, safe_ratio, whole_days
-from recsmith.operators.split import with_global_index
+from recsmith.operators.quantiles import values_at
 
 
 def entity_stats(interactions: DataFrame, key: str, other: str, prefix: str, decimals: int = 3) -> DataFrame:
@@ -105,40 +105,26 @@ def item_analysis(items: DataFrame, interactions: DataFrame) -> DataFrame:
     return out.fillna(0, subset=["total_interactions", "avg_rating", "rating_std", "unique_users"])
 
 
-def _indexed_values(df: DataFrame, col: str) -> DataFrame:
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    return with_global_index(vals, [F.col("v").asc()], "pos", "n")
-
-
-def at_positions(position: str, value: str, lo: Column) -> tuple[Column, Column]:
-    """Aggregates: the value at position ``lo`` and the one behind it."""
-    p = F.col(position)
-    return F.max(F.when(p == lo, F.col(value))), F.max(F.when(p == lo + 1, F.col(value)))
-
-
 def between(low: Column, high: Column, frac: Column) -> Column:
     """Linear interpolation; the last value has none behind it."""
     return F.when(high.isNull() | (frac == 0), low).otherwise(low + frac * (high - low))
 
 
+def linear_quantile(i: int, q: float) -> Column:
+    """The ``q`` quantile from columns n, low<i>, high<i> of ``values_at``."""
+    h = (F.col("n") - 1) * F.lit(float(q))
+    return between(F.col(f"low{i}"), F.col(f"high{i}"), h - F.floor(h).cast("long"))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
-    """Exact linear-interpolation quantiles ((n-1)·q, as pandas ``describe``).
+    """Exact linear-interpolation quantiles ((n-1)·q, as pandas ``describe``), by refinement (``quantiles.values_at``).
 
-    Values are range-sorted and given global positions; no task holds the whole
-    column.  One pass over the positions keeps two values per probability.
-    Returns one row per probability: (q, value).
+    Returns one row per probability: (q, value); value is NULL where the column has none.
     """
-    idx = _indexed_values(df, col)
-    aggs = [F.max("n").alias("n")]
-    for k, q in enumerate(probs):
-        low, high = at_positions("pos", "v", F.floor((F.col("n") - 1) * F.lit(float(q))).cast("long"))
-        aggs += [low.alias(f"low{k}"), high.alias(f"high{k}")]
-    rows = []
-    for k, q in enumerate(probs):
-        h = (F.col("n") - 1) * F.lit(float(q))
-        rows.append(F.struct(F.lit(float(q)).alias("q"),
-                             between(F.col(f"low{k}"), F.col(f"high{k}"), h - F.floor(h).cast("long")).alias("value")))
-    return idx.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.q", "r.value")
+    found = values_at(df, [], col, probs)
+    one = found.agg(*[F.max(c).alias(c) for c in found.columns])
+    rows = [F.struct(F.lit(float(q)).alias("q"), linear_quantile(k, q).alias("value")) for k, q in enumerate(probs)]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.q", "r.value")
 
 
 def exclusive_quantile(df: DataFrame, col: str, i: int, cuts: int) -> DataFrame:
@@ -147,30 +133,37 @@ def exclusive_quantile(df: DataFrame, col: str, i: int, cuts: int) -> DataFrame:
     j = i(m+1) // cuts clamped to 1..m-1, delta = i(m+1) - j·cuts,
     value = (x[j-1]·(cuts-delta) + x[j]·delta) / cuts  (1-based x, m values).
     """
-    m, whole = F.col("n"), F.lit(int(i)).cast("long")
-    j = F.least(F.greatest(F.floor(whole * (m + 1) / cuts), F.lit(1)), m - 1).cast("long")
-    low, high = at_positions("pos", "v", j - 1)
-    one = _indexed_values(df, col).agg(F.max("n").alias("n"), low.alias("low"), high.alias("high"), F.min("v").alias("least"))
-    delta = whole * (m + 1) - j * cuts
-    val = F.when(m == 1, F.col("least")).otherwise(
-        (F.col("low") * (F.lit(cuts) - delta) + F.col("high") * delta) / F.lit(cuts))
+    whole = F.lit(int(i)).cast("long")
+
+    def cut(m: Column) -> Column:
+        return F.least(F.greatest(F.floor(whole * (m + 1) / cuts), F.lit(1)), m - 1).cast("long")
+
+    found = values_at(df, [], col, [i / cuts], lambda m, _: F.greatest(cut(m) - 1, F.lit(0)).cast("long"))
+    one = found.agg(*[F.max(c).alias(c) for c in found.columns])
+    m = F.col("n")
+    delta = whole * (m + 1) - cut(m) * cuts
+    val = F.when(m == 1, F.col("low0")).otherwise(
+        (F.col("low0") * (F.lit(cuts) - delta) + F.col("high0") * delta) / F.lit(cuts))
     return one.select(val.alias("value"))
 
 
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (linear), max per column, long form."""
-    out = None
-    for c in cols:
-        base = df.agg(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"),
-                      F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                      F.max(c).cast("double").alias("max"))
-        long = base.selectExpr("stack(5, 'count', count, 'mean', mean, 'std', std, 'min', min, 'max', max) "
-                               "AS (statistic, value)")
-        qs = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(
-            F.concat((F.col("q") * 100).cast("int").cast("string"), F.lit("%")).alias("statistic"), "value")
-        part = long.unionByName(qs).select(F.lit(c).alias("column"), "statistic", "value")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Count, mean, sample std, min, 25/50/75 % (linear), max per column, long form.
+
+    One aggregate over all columns and one refinement over (column, value)."""
+    probs = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
+    stats = df.agg(*[F.array(F.count(c).cast("double"), F.avg(c), F.stddev_samp(c), F.min(c).cast("double"),
+                             F.max(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)])
+    stats = stats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("s"))
+                                             for i, c in enumerate(cols)])).alias("r")).select("r.column", "r.s")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                         for c in cols])).alias("r")).select("r.column", "r.v")
+    found = values_at(long, ["column"], "v", list(probs))
+    names = ["count", "mean", "std", "min", "max"]
+    out = [F.struct(F.lit(name).alias("statistic"), F.col("s")[i].alias("value")) for i, name in enumerate(names)]
+    out += [F.struct(F.lit(name).alias("statistic"), linear_quantile(k, q).alias("value")) for k, (q, name) in enumerate(probs.items())]
+    return (stats.join(found, "column", "left").select("column", F.explode(F.array(*out)).alias("r"))
+            .select("column", "r.statistic", "r.value"))
 
 
 def date_range(interactions: DataFrame, time_col: str = "timestamp") -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from recsmith.operators import sequence
-from recsmith.operators.aggregates import at_positions, between
+from recsmith.operators.aggregates import linear_quantile
+from recsmith.operators.quantiles import values_at
 from recsmith.operators.split import with_global_index
 
 EVENT_SCHEMA = T.StructType([
@@ -54,31 +55,10 @@ def _window_cols(w: str = "window"):
 
 def grouped_exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                             probs: list[float]) -> DataFrame:
-    """Exact linear quantiles per group without holding a group in one task.
-
-    Rows are range-sorted by (group, value) and globally indexed; each group's
-    first index and size, joined once, give the positions to keep.  Returns
-    ``group_cols + [q, value]``.
-    """
-    v = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    idx = with_global_index(v, [F.col(c).asc() for c in group_cols] + [F.col("v").asc()], "_i")
-    bounds = idx.groupBy(*[F.col(c).alias(f"_g_{c}") for c in group_cols]).agg(
-        F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_cols]
-    rel = (idx.join(bounds, same).withColumn("_p", F.col("_i") - F.col("_start")))
-    lows = [F.floor((F.col("_n") - 1) * F.lit(float(p))).cast("long") for p in probs]
-    # only the two rows per group and probability go on
-    rel = rel.where(F.array_contains(F.array(*lows, *[x + 1 for x in lows]), F.col("_p")))
-    aggs = [F.max("_n").alias("_n")]
-    for k, low in enumerate(lows):
-        a, b = at_positions("_p", "v", low)
-        aggs += [a.alias(f"_low{k}"), b.alias(f"_high{k}")]
-    rows = []
-    for k, p in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        rows.append(F.struct(F.lit(float(p)).alias("q"), between(F.col(f"_low{k}"), F.col(f"_high{k}"), h - F.floor(h)).alias("value")))
-    return (rel.groupBy(*group_cols).agg(*aggs).select(*group_cols, F.explode(F.array(*rows)).alias("_r"))
-            .select(*group_cols, "_r.q", "_r.value"))
+    """Exact linear quantiles per group by refinement (``quantiles.values_at``): ``group_cols + [q, value]``."""
+    found = values_at(df, group_cols, value_col, probs)
+    rows = [F.struct(F.lit(float(p)).alias("q"), linear_quantile(k, p).alias("value")) for k, p in enumerate(probs)]
+    return found.select(*group_cols, F.explode(F.array(*rows)).alias("_r")).select(*group_cols, "_r.q", "_r.value")
 
 
 # ---- batch forms ------------------------------------------------------------
