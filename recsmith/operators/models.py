@@ -11,11 +11,12 @@ import json
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.operators import aggregates as A
@@ -23,6 +24,7 @@ from recsmith.operators import encoders as E
 from recsmith.operators import features as FE
 from recsmith.operators.recommend import top_k_unseen
 from recsmith.operators.retrieval import top_k_inner
+from recsmith.operators.split import with_global_index
 from recsmith.session import materialize
 
 # Fixed settings of the reference trainers.
@@ -32,6 +34,7 @@ GBT_DEPTH = 6
 GBT_LEARNING_RATE = 0.1
 GBT_SUBSAMPLE = 0.8
 GBT_COLSAMPLE = "0.8"
+GBT_PATIENCE = 10
 SEED = 42
 INT_MAX = 2 ** 31 - 1
 
@@ -149,6 +152,72 @@ def train_gbt(matrix: DataFrame, trees: int = GBT_TREES, depth: int = GBT_DEPTH,
     return gbt.fit(matrix)
 
 
+def best_round(errors: list[float], patience: int) -> tuple[int, int]:
+    """(best, last): the round of least error (0-based, the first of equals) when boosting ends after ``patience`` rounds without
+    a lower one, and the last round looked at."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best, i
+    return best, len(errors) - 1
+
+
+def train_gbt_with_patience(matrix: DataFrame, trees: int = GBT_TREES, depth: int = GBT_DEPTH, patience: int = GBT_PATIENCE,
+                            seed: int = SEED):
+    """M4 + M5: boosted rating regressor cut at the round of least validation error; (model, history).
+
+    ``history`` has a row per round up to the one that ends the boosting: iteration (0-based), validation_rmse, is_best.  Spark's own
+    tolerance ends at the first small gain and knows no patience, so the ensemble is fitted whole on the training rows; one pass over
+    the validation rows gives the error of every round (``evaluateEachIteration``).  Without validation rows the whole ensemble is
+    kept and the history is empty."""
+    spark = matrix.sparkSession
+    gbt = GBTRegressor(featuresCol="features", labelCol="rating", maxIter=trees, maxDepth=depth, stepSize=GBT_LEARNING_RATE,
+                       subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=GBT_COLSAMPLE, seed=seed)
+    whole = gbt.fit(matrix.where(~F.col("is_validation") & F.col("rating").isNotNull()))
+    held = matrix.where(F.col("is_validation") & F.col("rating").isNotNull())
+    schema = "iteration int, validation_rmse double, is_best boolean"
+    if held.isEmpty():
+        return whole, spark.createDataFrame([], schema)
+    errors = [e ** 0.5 for e in whole.evaluateEachIteration(held, "squared")]
+    best, last = best_round(errors, patience)
+    history = spark.createDataFrame([(i, errors[i], i == best) for i in range(last + 1)], schema)
+    return first_trees(whole, best + 1), history
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The ensemble as it was after ``n`` rounds."""
+    sc = SparkContext._active_spark_context
+    kinds = sc._jvm.org.apache.spark.ml.regression
+    own = model._java_obj
+    trees = sc._gateway.new_array(kinds.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = own.trees()[i], float(model.treeWeights[i])
+    cut = GBTRegressionModel(kinds.GBTRegressionModel(own.uid(), trees, weights, model.numFeatures))
+    return model._copyValues(cut)
+
+
+def prediction_ndcg(pred: DataFrame, label: str = "rating", prediction: str = "prediction") -> DataFrame:
+    """M6: NDCG of the predictions over all rows as one list (gain = label, discount log2(position + 2), tied predictions share
+    the mean of their discounts); NULL with fewer than two different labels.
+
+    Positions come from the global index, so no task holds the list; ties are summed before the shuffle."""
+    rows = pred.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).select(
+        F.col(label).cast("double").alias("gain"), F.col(prediction).cast("double").alias("key"))
+    rows = materialize(rows)
+
+    def dcg(by: str) -> Column:
+        placed = with_global_index(rows.select("gain", F.col(by).alias("by")), [F.col("by").desc(), F.col("gain").desc()], "pos")
+        ties = placed.groupBy("by").agg(F.sum("gain").alias("g"), F.count(F.lit(1)).alias("n"),
+                                        F.sum(1.0 / F.log2(F.col("pos") + 2)).alias("d"))
+        return ties.select(F.sum(F.col("g") * F.col("d") / F.col("n"))).scalar()
+
+    one = rows.agg(F.count(F.lit(1)).alias("n"), F.min("gain").alias("least"), F.max("gain").alias("most"))
+    return one.select("n", F.when(F.col("least") < F.col("most"), dcg("key") / dcg("gain")).alias("ndcg"))
+
+
 def feature_importance(model, inputs: list[str]) -> DataFrame:
     """Importances, descending (one row per input column)."""
     from pyspark.sql import SparkSession

@@ -12,7 +12,7 @@ from recsmith.operators import features as FE
 from recsmith.operators import metrics as ME
 from recsmith.operators import models as MO
 from recsmith.operators import validation as V
-from recsmith.operators.aggregates import table_summary
+from recsmith.operators.aggregates import genre_preferences, table_summary
 from recsmith.plans import local_chain
 from recsmith.sources import io
 
@@ -22,7 +22,8 @@ def run_pipeline(spark: SparkSession, users: DataFrame, items: DataFrame, intera
                  train_models: bool = False, genres: list[str] | None = None) -> dict[str, str]:
     """Run every step and write its output under ``out_dir``; returns the paths.
 
-    ``genres`` are the genres whose preference becomes a column of the user features.
+    ``genres`` are the genres whose preference becomes a column of the user features; the table
+    ``genre_preferences`` holds those of all genres in long form.
     ``gate=True`` stops before any feature work when a validation rule fails (V11).
     """
     out = {}
@@ -35,7 +36,8 @@ def run_pipeline(spark: SparkSession, users: DataFrame, items: DataFrame, intera
         for result in checks.values():
             V.require_valid(result)
 
-    feats = {"user_features": FE.user_features(users, interactions, items, genres),
+    feats = {"genre_preferences": genre_preferences(interactions, items),
+             "user_features": FE.user_features(users, interactions, items, genres),
              "item_features": FE.item_features(items, interactions, text="title" in items.columns),
              "interaction_features": FE.interaction_features(interactions, users, items)}
     io.save_features(feats, f"{out_dir}/features")
@@ -54,7 +56,11 @@ def run_pipeline(spark: SparkSession, users: DataFrame, items: DataFrame, intera
         als = MO.train_als(chain.train)
         MO.save_model(als, f"{out_dir}/models/als", {"rank": MO.EMBEDDING_DIM})
         matrix, inputs, _ = MO.ranking_matrix(chain.train, users, items)
-        gbt = MO.train_gbt(matrix)
+        gbt, history = MO.train_gbt_with_patience(matrix)
+        history.write.mode("overwrite").json(f"{out_dir}/models/gbt_history")
+        errors = MO.rmse(gbt, matrix.where("is_validation"))
+        ndcg = MO.prediction_ndcg(MO.predict(gbt, matrix.where("is_validation"))).select("ndcg")
+        errors.crossJoin(ndcg).write.mode("overwrite").json(f"{out_dir}/models/gbt_evaluation")  # one row each
         MO.save_model(gbt, f"{out_dir}/models/gbt", {"inputs": inputs, "trees": gbt.getNumTrees})
         MO.feature_importance(gbt, inputs).write.mode("overwrite").json(f"{out_dir}/models/gbt_importance")
         out["models"] = f"{out_dir}/models"

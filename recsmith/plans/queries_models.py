@@ -165,13 +165,44 @@ def q_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MO.rmse(model, matrix.where(F.col("is_validation")))
 
 
-@register("ab_variant_metrics")
+@register("gbt_training_history")
+def q_gbt_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: validation error of every boosting round until ten rounds bring no gain, and which round is kept."""
+    t = fixtures.tables(spark, sf_dir)
+    return MO.train_gbt_with_patience(MO.ranking_matrix(t["interactions"], t["users"], t["items"])[0])[1]
+
+
+@register("predicted_rating_ndcg", oracle("""
+WITH r AS (SELECT i.rating AS gain, s.m AS key FROM interactions i
+           JOIN (SELECT item_id, round(avg(rating), 6) AS m FROM interactions GROUP BY item_id) s USING (item_id)
+           WHERE i.rating IS NOT NULL),
+a AS (SELECT key, sum(gain) AS g, count(*) AS n, sum(1.0::DOUBLE / log2(pos + 1)) AS d FROM (
+        SELECT *, row_number() OVER (ORDER BY key DESC) AS pos FROM r) GROUP BY key),
+b AS (SELECT gain, sum(gain) AS g, count(*) AS n, sum(1.0::DOUBLE / log2(pos + 1)) AS d FROM (
+        SELECT *, row_number() OVER (ORDER BY gain DESC) AS pos FROM r) GROUP BY gain)
+SELECT (SELECT count(*) FROM r) AS n, round((SELECT sum(g * d / n) FROM a) / (SELECT sum(g * d / n) FROM b), 9) AS ndcg"""))
+def q_ndcg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: NDCG over all rated rows of the item mean as prediction (many ties)."""
+    rows = fixtures.interactions(spark, sf_dir)
+    means = rows.groupBy("item_id").agg(F.round(F.avg("rating"), 6).alias("prediction"))
+    out = MO.prediction_ndcg(rows.join(means, "item_id"))
+    return out.withColumn("ndcg", F.round("ndcg", 9))
+
+
+@register("ab_variant_metrics", oracle("""
+SELECT variant, count(*) AS users, round(avg(CASE WHEN n_actual > 0 THEN hits_10 / n_actual END), 9) AS recall_10,
+  round(avg(CASE WHEN n_rec_10 > 0 THEN hits_10 / n_rec_10 END), 9) AS precision_10,
+  round(avg(CASE WHEN n_actual > 0 THEN ndcg END), 9) AS ndcg_10,
+  round(avg(CASE WHEN n_actual > 0 THEN coalesce(1.0::DOUBLE / first_hit, 0.0) END), 9) AS mrr
+FROM (SELECT *, CASE WHEN ('0x' || substr(md5('ab-1:' || user_id), 1, 8))::BIGINT % 100 < 50 THEN 'treatment' ELSE 'control' END AS variant FROM per)
+LEFT JOIN ndcg_10 USING (user_id) GROUP BY variant""", osql.chain(10, osql.metric_ctes((10,)))))
 def q_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stable A/B assignment of the test users and metrics of the top-10 lists per variant."""
     c = local_chain.prepare_fixture(spark, sf_dir)
     recs = local_chain.recommendations(c, 10)
     per = ME.per_user_table(recs, c.test, c.items, (10,))
-    return MO.variant_metrics(per, MO.assign_variants(c.targets))
+    out = MO.variant_metrics(per, MO.assign_variants(c.targets))
+    return out.select("variant", "users", *[F.round(m, 9).alias(m) for m in out.columns if m not in ("variant", "users")])
 
 
 _W10_RECS = """
