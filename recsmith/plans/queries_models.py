@@ -173,14 +173,14 @@ def q_gbt_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("predicted_rating_ndcg", oracle("""
-WITH r AS (SELECT i.rating AS gain, s.m AS key FROM interactions i
-           JOIN (SELECT item_id, round(avg(rating), 6) AS m FROM interactions GROUP BY item_id) s USING (item_id)
-           WHERE i.rating IS NOT NULL),
+SELECT (SELECT count(*) FROM r) AS n, round((SELECT sum(g * d / n) FROM a) / (SELECT sum(g * d / n) FROM b), 9) AS ndcg""", """
+r AS (SELECT i.rating AS gain, s.m AS key FROM interactions i
+      JOIN (SELECT item_id, round(avg(rating), 6) AS m FROM interactions GROUP BY item_id) s USING (item_id)
+      WHERE i.rating IS NOT NULL),
 a AS (SELECT key, sum(gain) AS g, count(*) AS n, sum(1.0::DOUBLE / log2(pos + 1)) AS d FROM (
         SELECT *, row_number() OVER (ORDER BY key DESC) AS pos FROM r) GROUP BY key),
 b AS (SELECT gain, sum(gain) AS g, count(*) AS n, sum(1.0::DOUBLE / log2(pos + 1)) AS d FROM (
-        SELECT *, row_number() OVER (ORDER BY gain DESC) AS pos FROM r) GROUP BY gain)
-SELECT (SELECT count(*) FROM r) AS n, round((SELECT sum(g * d / n) FROM a) / (SELECT sum(g * d / n) FROM b), 9) AS ndcg"""))
+        SELECT *, row_number() OVER (ORDER BY gain DESC) AS pos FROM r) GROUP BY gain)"""))
 def q_ndcg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: NDCG over all rated rows of the item mean as prediction (many ties)."""
     rows = fixtures.interactions(spark, sf_dir)
