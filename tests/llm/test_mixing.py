@@ -49,6 +49,29 @@ def test_targets_and_nesting(spark):
     assert rows(high) == rows(mixing.mix(docs.repartition(7)))
 
 
+@pytest.mark.parametrize("doc_id", ["0", "NULL"])
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_a_third_under_one_id(spark, monkeypatch, doc_id, few):
+    """A third of all rows are one repeated row, and another third different texts of that id: the targets are still met."""
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", few)
+    docs = spark.range(600).select(
+        F.expr(f"CASE WHEN id % 3 < 2 THEN {doc_id} ELSE id END").cast("long").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.repeat(F.lit("w "), 33)).otherwise(
+            F.concat(F.repeat(F.lit("w "), (F.col("id") % 20 + 1).cast("int")), F.col("id").cast("string"))).alias("text"),
+        F.lit("s").alias("source"))
+    for share in (0.3, 0.77, 1.5, 1.9):
+        got = mixing.mix(docs, share=share).agg(F.sum("taken").alias("t"), F.max("target").alias("g"), F.count("*").alias("n")).first()
+        assert got["n"] == 600 and abs(got["t"] - got["g"]) <= 17
+    got = rows(mixing.mix(docs, keep=("text",)))
+    assert got == oracle(duckdb.connect(), docs.toArrow())
+
+
+def test_only_equal_rows(spark):
+    docs = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    got = mixing.mix(docs, share=0.5).groupBy("copies").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 500), (1, 500)]
+
+
 def test_water_filling(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 50), (None, 40)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
