@@ -62,7 +62,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _tables_folder(spark: SparkSession) -> str:
+def tables_folder(spark: SparkSession) -> str:
+    """The folder of this application's stored tables and files; ``drop_materialized`` deletes it."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
 
 
@@ -75,12 +76,12 @@ def materialize(df):
     executor does not recompute the lineage.  Tables live in a folder of the application; the job that
     owns it drops them at its end by ``drop_materialized``.
     """
-    path = f"{_tables_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{tables_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def drop_materialized(spark: SparkSession) -> None:
     """Delete every table this application has materialized; results that still read them become invalid."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_tables_folder(spark))
+    path = spark._jvm.org.apache.hadoop.fs.Path(tables_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
