@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith.llm.common import read_table
-from recsmith.session import ensure_checkpoint_dir, materialize
+from recsmith.session import materialize, tables_folder
 
 MIN_REVISIT_BYTES = 1000
 FILE_BYTES, FILE_RECORDS = 64 << 20, 20_000  # an archive is closed at about this size
@@ -48,7 +48,8 @@ def _open_folder(folder: str):
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    """A new folder for archives; it goes when the application's stored tables do (``drop_materialized``)."""
+    return f"{tables_folder(spark)}/warc/{uuid.uuid4().hex}"
 
 
 class _Out:
@@ -180,14 +181,21 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
 def revisits(written: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Rows of write_archives -> one row per file: file, turn = the records that become revisits (nth, page, file and nth of the response).
 
-    A list holds at most a file's records, which the writer bounds."""
+    Payloads below ``least`` bytes never meet in the digest join.  A digest with a third of all records rests on Spark's skew split of
+    that join (spark.sql.adaptive.skewJoin.enabled).  A list holds at most a file's records, which the writer bounds."""
     me = F.struct("page_id", "file", "nth")  # NULL ids are smallest
     top = (written.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes")
            .agg(F.max(me).alias("top"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    joined = written.join(top, ["payload_digest", "payload_bytes"], "left")
+    joined = written.where(F.col("payload_bytes") >= least).join(top, ["payload_digest", "payload_bytes"])
     other = F.col("top").isNotNull() & ~((F.col("top.file") == F.col("file")) & (F.col("top.nth") == F.col("nth")))
     turn = F.when(other, F.struct("nth", F.col("top.page_id").alias("page"), F.col("top.file").alias("at"), F.col("top.nth").alias("at_nth")))
-    return joined.groupBy("file").agg(F.collect_list(turn).alias("turn"))
+    turned = joined.select("file", turn.alias("turn")).where(F.col("turn").isNotNull())
+    files = written.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    return files.join(turned.groupBy("file").agg(F.collect_list("turn").alias("turn")), "file", "left").select("file", "turn")
+
+
+def _one_a_task(files: DataFrame) -> DataFrame:
+    return files.repartitionByRange(max(1, files.count()), "file")
 
 
 def _as_revisit(headers: dict[str, str], block: bytes, page: int | None, at: str, at_nth: int) -> tuple[list[tuple[str, str]], bytes]:
@@ -269,14 +277,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
     written = materialize(write_archives(read_table(spark, sf_dir, "pages"), f"{folder}/whole"))
     files = materialize(revisits(written))
-    done = materialize(normalise(files.repartition(max(1, files.count())), f"{folder}/whole", f"{folder}/members"))
-    return read_archives(done.repartition(max(1, done.count())), f"{folder}/members")
+    done = materialize(normalise(_one_a_task(files), f"{folder}/whole", f"{folder}/members"))
+    return read_archives(_one_a_task(done), f"{folder}/members")
 
 
 ORACLE = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
-t AS (SELECT payload_digest AS d, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN top <> page_id THEN top END AS refers_to
-FROM p LEFT JOIN t ON payload_digest = d
+t AS (SELECT *, payload_bytes >= 1000 AND row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST) > 1 AS again,
+      max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN top END AS refers_to
+FROM t
 """

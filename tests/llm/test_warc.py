@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recsmith.llm import warc
+from recsmith.session import tables_folder
 
 
 def pages(spark):
@@ -40,6 +41,9 @@ def test_odd_pages(spark, tmp_path, limits):
         (1, "revisit", 2, 1500), (2, "response", None, 1500), (2, "revisit", 2, 1500), (None, "revisit", 2, 1500), (3, "response", None, 0), (4, "response", None, 0),
         (5, "response", None, 5), (6, "response", None, 5), (7, "revisit", 8, 1200), (8, "response", None, 1200), (9, "response", None, 14), (None, "response", None, 0),
         (10, "revisit", 11, 1000), (11, "response", None, 1000), (12, "response", None, 999), (13, "response", None, 999)], key=str)
+    con = duckdb.connect()
+    con.register("pages", pages(spark).toArrow())
+    assert sorted(map(tuple, got), key=str) == sorted(con.sql(warc.ORACLE).fetchall(), key=str)
     for name in os.listdir(tmp_path / "members"):
         if name.endswith(".warc.gz"):
             data = (tmp_path / "members" / name).read_bytes()
@@ -52,6 +56,10 @@ def test_odd_pages(spark, tmp_path, limits):
             assert whole.count(b"WARC/1.1\r\n") >= len(index)
 
 
+def test_scratch_goes_with_the_stored_tables(spark):
+    assert warc.scratch_folder(spark).startswith(tables_folder(spark))
+
+
 def test_empty(spark, tmp_path):
     assert through(spark, pages(spark).where("false"), f"file://{tmp_path}").count() == 0
 
