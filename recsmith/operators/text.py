@@ -8,8 +8,14 @@ matrix is kept sparse and long: (doc, term, col, weight).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from recsmith.session import materialize
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"  # runs of two or more word characters of any script
 
@@ -53,30 +59,117 @@ def tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 100,
             .select(id_col, "term", "col", F.coalesce("weight", F.lit(0.0)).alias("weight")))
 
 
+#: The first block of the subspace: a vocabulary of no more terms is spanned by it, and one pass is exact.
+FIRST_BLOCK = 128
+#: Cells multiplied at a time in a task: cells x width of the block are held.
+CELLS = 32_768
+
+
+def sparse_rows(long: DataFrame, id_col: str) -> DataFrame:
+    """The long table as one row a document, ``(id, cols, weights)``; a row holds at most one cell a term.  Written once, since
+    every pass reads it."""
+    cells = F.collect_list(F.when(F.col("col").isNotNull(), F.struct("col", "weight")))
+    rows = long.groupBy(id_col).agg(cells.alias("_cells"))
+    return materialize(rows.select(id_col, F.col("_cells.col").alias("cols"), F.col("_cells.weight").alias("weights")))
+
+
+def _cells(batch):
+    """A batch in stretches of whole documents of about ``CELLS`` cells: (documents with cells, their first cells, cols, weights)."""
+    lengths = pc.fill_null(pc.list_value_length(batch.column("cols")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cols = batch.column("cols").flatten().to_numpy(zero_copy_only=False)
+    weights = batch.column("weights").flatten().to_numpy(zero_copy_only=False)
+    docs = np.flatnonzero(lengths)
+    begins = np.cumsum(lengths)[docs] - lengths[docs]
+    stretch = begins // CELLS
+    for s in np.unique(stretch):
+        inside = stretch == s
+        first = begins[inside][0]
+        end = begins[inside][-1] + lengths[docs[inside][-1]]
+        yield docs[inside], begins[inside] - first, cols[first:end], weights[first:end]
+
+
+def _gram_product(rows: DataFrame, size: int, block: np.ndarray) -> np.ndarray:
+    """AᵀA·block in one pass over the rows: a task adds up its documents' products, and the tasks' sums are added by term.
+    The block and the result have ``size`` x width numbers, whatever the number of documents; there are as many sums as cores."""
+    spark, width = rows.sparkSession, block.shape[1]
+    shared = spark.sparkContext.broadcast(block)
+
+    def products(batches):
+        v, total, met = shared.value, np.zeros((size, width)), np.zeros(size, dtype=bool)
+        for batch in batches:
+            for _, begins, cols, weights in _cells(batch):
+                along = np.add.reduceat(weights[:, None] * v[cols], begins, axis=0)  # a row of A·block for each document
+                doc = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(cols))))
+                order = np.argsort(cols, kind="stable")
+                terms, at = np.unique(cols[order], return_index=True)
+                total[terms] += np.add.reduceat(weights[order, None] * along[doc[order]], at, axis=0)
+                met[terms] = True
+        terms = np.flatnonzero(met)
+        for i in range(0, len(terms), 4096):
+            part = terms[i:i + 4096]
+            yield pa.RecordBatch.from_arrays([pa.array(part), *[pa.array(total[part, j]) for j in range(width)]],
+                                             names=["col", *[f"y{j}" for j in range(width)]])
+
+    names = [f"y{j}" for j in range(width)]
+    sums = (rows.select("cols", "weights").coalesce(spark.sparkContext.defaultParallelism)
+            .mapInArrow(products, "col long, " + ", ".join(f"{n} double" for n in names))
+            .groupBy("col").agg(*[F.sum(n).alias(n) for n in names])).toPandas()  # at most size x width numbers
+    shared.unpersist()
+    out = np.zeros((size, width))
+    out[sums["col"].to_numpy(dtype=np.int64)] = sums[names].to_numpy()
+    return out
+
+
+def right_factors(rows: DataFrame, size: int, k: int, tolerance: float = 1e-10, max_passes: int = 200) -> tuple[np.ndarray, np.ndarray, int]:
+    """The ``k`` leading eigenpairs of AᵀA by block subspace iteration: ``(values, vectors, passes)``.
+
+    The subspace grows by the residuals of the pairs that are still open, one pass over the rows each time, and is cut back
+    to its leading pairs when it is wide.  It ends when every residual is within ``tolerance`` of the largest value, and raises if
+    ``max_passes`` do not suffice.  The driver holds ``size`` x width numbers.  Each vector's largest entry is positive."""
+    k = min(k, size)
+    width = min(size, max(FIRST_BLOCK, 2 * k))
+    widest, kept = width + 8 * k, width // 2 + k
+    new = np.linalg.qr(np.random.default_rng(0).standard_normal((size, width)))[0]
+    basis, image = np.zeros((size, 0)), np.zeros((size, 0))
+    for passes in range(1, max_passes + 1):
+        image = np.hstack([image, _gram_product(rows, size, new)])
+        basis = np.hstack([basis, new])
+        small = basis.T @ image
+        values, mix = np.linalg.eigh((small + small.T) / 2)
+        values, mix = values[::-1], mix[:, ::-1]
+        vectors = basis @ mix[:, :k]
+        rest = image @ mix[:, :k] - vectors * values[:k]
+        missing = np.linalg.norm(rest, axis=0)
+        still = missing > tolerance * max(values[0], 0.0)
+        if not still.any() or basis.shape[1] == size:
+            top = np.abs(vectors).argmax(axis=0)
+            return np.clip(values[:k], 0.0, None), vectors * np.where(vectors[top, range(k)] < 0, -1.0, 1.0), passes
+        if basis.shape[1] + k > widest:
+            basis, image = basis @ mix[:, :kept], image @ mix[:, :kept]
+        new = rest[:, still] / missing[still]
+        for _ in range(2):
+            new = new - basis @ (basis.T @ new)
+            left, s, _ = np.linalg.svd(new, full_matrices=False)
+            new = left[:, s > 1e-8 * s[0]][:, :size - basis.shape[1]]
+    raise RuntimeError(f"the subspace has not settled within {max_passes} passes")
+
+
 def truncated_svd(long: DataFrame, id_col: str, size: int, k: int = 20) -> tuple[DataFrame, list[float]]:
-    """Rank-k SVD of the (uncentred) TF-IDF matrix; returns (id, svd_0..svd_{k-1}) = U·S
-    and the singular values.  The Gramian AᵀA (size x size, bounded by the vocabulary) is a grouped sum over
-    the sparse long table; its eigenvectors are the right factor V; the projection A·V is a join with V and a
-    grouped sum.  Documents without terms have all components 0."""
-    import numpy as np
-
-    cells = long.where(F.col("col").isNotNull())
-    a = cells.select(F.col(id_col).alias("_a"), F.col("col").alias("i"), F.col("weight").alias("wi"))
-    b = cells.select(F.col(id_col).alias("_b"), F.col("col").alias("j"), F.col("weight").alias("wj"))
-    sums = (a.join(b, (F.col("_a") == F.col("_b")) & (F.col("i") <= F.col("j")))
-            .groupBy("i", "j").agg(F.sum(F.col("wi") * F.col("wj")).alias("s")))
-    gram = np.zeros((size, size))
-    for r in sums.collect():  # at most size * (size + 1) / 2 numbers
-        gram[r["i"], r["j"]] = gram[r["j"], r["i"]] = r["s"]
-    evals, evecs = np.linalg.eigh(gram)
-    top = np.argsort(evals)[::-1][:min(k, size)]
-    v = evecs[:, top]  # size x k
-    sing = np.sqrt(np.clip(evals[top], 0.0, None))
-    spark = long.sparkSession
-    v_long = spark.createDataFrame([(int(i), int(j), float(v[i, j])) for i in range(v.shape[0])
-                                    for j in range(v.shape[1])], "col long, comp int, v double")
-    proj = (long.join(F.broadcast(v_long), "col", "left")
-                .groupBy(id_col).pivot("comp", list(range(v.shape[1])))
-                .agg(F.sum(F.col("weight") * F.col("v"))))
-    out = proj.select(id_col, *[F.coalesce(F.col(str(j)), F.lit(0.0)).alias(f"svd_{j}") for j in range(v.shape[1])])
-    return out, [float(x) for x in sing]
+    """Rank-k SVD of the (uncentred) TF-IDF matrix; returns (id, svd_0..svd_{k-1}) = U·S and the singular values.
+
+    The right factor comes from ``right_factors``, and the projection A·V is one more pass, a document at a time.  No document meets
+    itself in a join, so a row costs its cells, not their square.  Documents without terms have all components 0."""
+    rows = sparse_rows(long, id_col)
+    values, vectors, _ = right_factors(rows, size, k)
+    shared, width = rows.sparkSession.sparkContext.broadcast(vectors), vectors.shape[1]
+    names = [f"svd_{j}" for j in range(width)]
+
+    def project(batches):
+        for batch in batches:
+            out = np.zeros((batch.num_rows, width))
+            for docs, begins, cols, weights in _cells(batch):
+                out[docs] = np.add.reduceat(weights[:, None] * shared.value[cols], begins, axis=0)
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), *[pa.array(out[:, j]) for j in range(width)]], names=[id_col, *names])
+
+    schema = T.StructType([long.schema[id_col], *[T.StructField(n, T.DoubleType()) for n in names]])
+    return rows.mapInArrow(project, schema), [float(x) for x in np.sqrt(values)]

@@ -80,6 +80,32 @@ def q_svd_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("item_id", F.round(squares, 6).alias("energy"))
 
 
+@register("document_svd_checks", """
+WITH tf AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents),
+v AS (SELECT term FROM tf GROUP BY term ORDER BY count(*) DESC, term LIMIT 10000)
+SELECT count(*) AS documents, CAST(20 AS BIGINT) AS components, true AS orthogonal, true AS lengths_agree, true AS settled,
+  count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM tf JOIN v USING (term))) AS without_terms FROM documents""")
+def q_document_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P16 with a wide vocabulary: 20 components of the 10,000 most frequent words of the documents.  The columns of U·S are orthogonal and
+    have the singular values' lengths, and AᵀU·S, by a join, has their squares': so each is an eigenvector's."""
+    docs = fixtures.read_table(spark, sf_dir, "documents")
+    long = materialize(TX.tfidf(docs, "doc_id", "text", 10_000, stop_words=[]))
+    out, values = TX.truncated_svd(long, "doc_id", 10_000, 20)
+    out = materialize(out)
+    names = out.columns[1:]
+    back = (long.where(F.col("col").isNotNull()).join(out, "doc_id").groupBy("col")
+            .agg(*[F.sum(F.col("weight") * F.col(n)).alias(n) for n in names]))
+    images = back.agg(*[F.sqrt(F.sum(F.col(n) * F.col(n))).alias(n) for n in names])
+    settled = F.greatest(*[F.abs(F.col(n) - F.lit(v * v)) for n, v in zip(names, values)]) < 1e-8 * values[0] ** 2
+    lengths = [F.abs(F.sqrt(F.sum(F.col(n) * F.col(n))) - F.lit(v)) for n, v in zip(names, values)]
+    crossed = [F.abs(F.sum(F.col(a) * F.col(b))) for i, a in enumerate(names) for b in names[:i]]
+    flat = sum((F.abs(F.col(n)) for n in names), F.lit(0.0)) == 0
+    return out.agg(
+        F.count(F.lit(1)).alias("documents"), F.lit(len(names)).cast("long").alias("components"),
+        (F.greatest(*crossed) < 1e-8 * values[0] ** 2).alias("orthogonal"), (F.greatest(*lengths) < 1e-8 * values[0]).alias("lengths_agree"),
+        images.select(settled).scalar().alias("settled"), F.count(F.when(flat, 1)).alias("without_terms"))
+
+
 @register("als_rating_error")
 def q_als_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 + M3: explicit ALS (rank 64) fit on the train rows, error on all test rows."""

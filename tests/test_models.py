@@ -225,6 +225,39 @@ def test_svd_matches_numpy_up_to_sign(spark):
         assert min(np.abs(col - us[:, j]).max(), np.abs(col + us[:, j]).max()) < 1e-9
 
 
+def test_svd_of_a_wide_vocabulary_matches_numpy(spark, monkeypatch):
+    """More terms than the first block: several passes, a cut-back subspace, long documents cut into stretches."""
+    rng = np.random.default_rng(5)
+    n, size, k = 900, 400, 6
+    A = np.where(rng.random((n, size)) < 0.03, rng.random((n, size)), 0.0)
+    A[0] = rng.random(size)  # one document with every term
+    A[:300, :9] += rng.random((300, 1))  # a third of all documents are alike in a few terms
+    A[1] = 0.0
+    cells = [(int(i), int(j), float(A[i, j])) for i, j in zip(*np.nonzero(A))] + [(1, None, 0.0), (5000, None, 0.0)]
+    long = spark.createDataFrame(cells, "id long, col long, weight double").repartition(5)
+    monkeypatch.setattr(TX, "FIRST_BLOCK", 24)
+    monkeypatch.setattr(TX, "CELLS", 500)
+    u, s, vt = np.linalg.svd(A, full_matrices=False)
+    rows = TX.sparse_rows(long, "id")
+    values, vectors, passes = TX.right_factors(rows, size, k)
+    assert passes > 5 and np.abs(np.sqrt(values) - s[:k]).max() < 1e-9
+    out, sing = TX.truncated_svd(long, "id", size, k)
+    got = {r.id: list(r)[1:] for r in out.collect()}
+    assert sorted(got) == [*range(n), 5000] and got[1] == got[5000] == [0.0] * k
+    signs = np.sign(np.einsum("ij,ji->i", vt[:k], vectors))
+    assert np.abs(np.array([got[i] for i in range(n)]) - u[:, :k] * s[:k] * signs).max() < 1e-6
+    plan = out._jdf.queryExecution().toString()
+    assert "Join" not in plan
+    with pytest.raises(RuntimeError):
+        TX.right_factors(rows, size, k, max_passes=2)
+
+
+def test_svd_of_nothing(spark):
+    none = spark.createDataFrame([], "id string, col long, weight double")
+    out, sing = TX.truncated_svd(none, "id", 4, 2)
+    assert out.count() == 0 and sing == [0.0, 0.0] and out.columns == ["id", "svd_0", "svd_1"]
+
+
 def test_fitted_transform_round_trip(spark):
     from recsmith.operators import encoders as E
     from recsmith.operators import features as FE
