@@ -301,6 +301,32 @@ def stream_active_users(stream: DataFrame, window: str = "86400 seconds", waterm
     return per_window.select(*_window_cols(), "active_users", (F.col("active_users") < ACTIVE_USERS_MIN).alias("alert"))
 
 
+def stream_sessions(stream: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
+    """T10 on a stream: a user's sessions, each emitted once the watermark has passed its end (last event + gap).
+
+    An event that comes late but before that merges the sessions it lies between; one that is behind the watermark is dropped.  State is
+    the users' open sessions.  A job with a very active user sets ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``, so that
+    each task hands on sessions and not events.  Rows without a user or time belong to no session, as in the batch form."""
+    known = stream.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+    agg = known.withWatermark("ts", watermark).groupBy(F.session_window("ts", gap), "user_id").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count(F.when(F.col("event_type") == "purchase", 1)).alias("n_purchases"))
+    bound = lambda side: F.col(f"session_window.{side}").cast("timestamp_ntz").alias(f"session_{side}")
+    return agg.select("user_id", bound("start"), bound("end"), "n_events", "n_purchases")
+
+
+def stream_engagement(stream: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour", window: str = "1 day") -> DataFrame:
+    """T10 on a stream: engagement of the sessions by the window in which they end, emitted once the watermark has passed it:
+    sessions into windows as two chained aggregations, so no session is kept longer than its window."""
+    known = stream.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+    per = known.withWatermark("ts", watermark).groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count(F.when(F.col("event_type") == "purchase", 1)).alias("n_purchases"))
+    length = (F.unix_micros("s.end") - F.unix_micros("s.start")) / 1e6
+    out = per.groupBy(F.window(F.window_time("s"), window).alias("window")).agg(
+        F.count(F.lit(1)).alias("n_sessions"), F.avg(length).alias("mean_session_seconds"), F.avg("n_events").alias("events_per_session"),
+        F.avg((F.col("n_purchases") > 0).cast("double")).alias("session_conversion"))
+    return out.select(*_window_cols(), "n_sessions", "mean_session_seconds", "events_per_session", "session_conversion")
+
+
 ALERT_STATE = "run long, last_wno long, run_start timestamp, open_start timestamp, open_end timestamp, n_alerts long"
 ALERT_OUT = "metric string, kind string, alert_start timestamp, alert_end timestamp, n long"
 

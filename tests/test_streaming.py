@@ -129,6 +129,36 @@ def test_stream_incident_counts_a_condition_from_its_first_window(spark):
     assert [r for r in got if r[1] == "incident"] == want and len(want) == 1
 
 
+def test_stream_sessions_equal_batch_out_of_order(spark):
+    """Late events before the watermark merge two open sessions, also over a restart; a row behind it is dropped; the sessions that
+    have ended equal the batch operator's."""
+    root = tempfile.mkdtemp(prefix="recsmith-sessions-")
+    m = 60
+    batches = [
+        [_ev(1, 0), _ev(2, 50 * m), _ev(3, 0, user=2), _ev(4, 30 * m, user=2)],      # 30 minutes apart: one session of user 2
+        [_ev(5, 25 * m, "purchase"), _ev(6, 70 * m, user=2), (7, T0, None, "view", 1.0, "{}")],  # 25 min joins user 1's two sessions
+        [_ev(8, 300 * m), _ev(9, 330 * m + 1, user=1), _ev(10, 310 * m, user=2)],
+        [_ev(11, 5, user=3), _ev(12, 600 * m, user=4)],                              # user 3's row is behind the watermark
+        [_ev(13, 900 * m, user=4)],
+    ]
+    for name, form in (("sessions", M.stream_sessions), ("engagement", M.stream_engagement)):
+        for i, b in enumerate(batches):
+            _batch(spark, b, os.path.join(root, name), f"b{i}")
+            stream = M.read_event_stream(spark, os.path.join(root, name, "in", "*"))
+            out = form(stream) if name == "sessions" else form(stream, window="1 hour")
+            M.write_stream(out, os.path.join(root, name, "out"), os.path.join(root, name, "ck"), trigger_once=True).awaitTermination()
+    on_time = spark.createDataFrame([e for b in batches for e in b if e[0] != 11], M.EVENT_SCHEMA)
+    end = T0 + dt.timedelta(minutes=900 - 60)
+    want = sorted(tuple(r) for r in M.sessions(on_time).collect() if r.session_end <= end)
+    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(root, "sessions", "out")).collect())
+    assert got == want
+    assert (1, T0, T0 + dt.timedelta(minutes=80), 3, 1) in got and len(got) == 7
+    hours = spark.read.parquet(os.path.join(root, "engagement", "out")).collect()
+    assert sum(r.n_sessions for r in hours) == len(want)
+    first = min(hours, key=lambda r: r.window_start)
+    assert (first.n_sessions, first.mean_session_seconds, first.events_per_session, first.session_conversion) == (1, 3600.0, 2.0, 0.0)
+
+
 def test_stream_active_users(spark):
     root = tempfile.mkdtemp(prefix="recsmith-active-")
     day = 86400
