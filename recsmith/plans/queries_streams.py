@@ -1,4 +1,4 @@
-"""Registered stream forms (T1-T4, T6, T7, T8, T13) and source / sink round trips.
+"""Registered stream forms (T1-T4, T6, T7, T8, T10, T13), deletion by age (T14) and source / sink round trips.
 
 Streams run with ``availableNow`` over the events table into files, and the files are the result.  A window is final once the
 watermark has passed its end, so the oracles hold the batch result of the closed windows.
@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 
 from recsmith.operators import aggregates as A
 from recsmith.operators import encoders as E
+from recsmith.operators import retention
 from recsmith.plans import local_chain
 from recsmith.plans import oracle_sql as osql
 from recsmith.plans.catalog import register
+from recsmith.plans.queries_monitoring import _SESSIONS_CTE
 from recsmith.session import ensure_checkpoint_dir
 from recsmith.sources import fixtures, io
 from recsmith.sources.fixtures import oracle
 from recsmith.streaming import monitoring as M
+from recsmith.streaming import running
 
 
 def _folder(spark: SparkSession) -> str:
@@ -104,6 +107,79 @@ def q_stream_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("timestamp_max", F.col("timestamp_max").cast("timestamp_ntz")))
 
 
+def _running_sql(key: str, other: str) -> str:
+    return oracle(f"""
+SELECT {key}, count(rating) AS rating_count, round(avg(rating), 6) AS rating_mean, round(stddev_samp(rating), 6) AS rating_std,
+  CAST(min(rating) AS DOUBLE) AS rating_min, CAST(max(rating) AS DOUBLE) AS rating_max, min("timestamp") AS timestamp_min,
+  max("timestamp") AS timestamp_max, count(DISTINCT {other}) AS partners FROM interactions GROUP BY {key}""")
+
+
+def _running(spark: SparkSession, sf_dir: str, key: str, other: str) -> DataFrame:
+    schema = fixtures.read_table(spark, sf_dir, "lineitem").schema
+    lines = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet*")
+    stream = fixtures.interactions_of(lines, fixtures.read_table(spark, sf_dir, "orders"))
+    folder = _folder(spark)
+    running.keep_running(stream, f"{folder}/out", f"{folder}/checkpoint", key, "rating", "timestamp", other).awaitTermination()
+    return running.read(spark, f"{folder}/out", key).withColumns({c: F.round(c, 6) for c in ("rating_mean", "rating_std")})
+
+
+@register("running_user_stats", _running_sql("user_id", "item_id"))
+def q_running_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 from mergeable states of a stream of interactions (at the test sizes the distinct sketch holds a user's items exactly)."""
+    return _running(spark, sf_dir, "user_id", "item_id")
+
+
+@register("running_item_stats", _running_sql("item_id", "user_id"))
+def q_running_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T13, item side: A2 from mergeable states of a stream of interactions."""
+    return _running(spark, sf_dir, "item_id", "user_id")
+
+
+@register("stream_sessions", f"""WITH {_SESSIONS_CTE}
+SELECT * FROM sess WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def q_stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10 on a stream: the sessions that have ended."""
+    return _run(spark, M.stream_sessions(_event_stream(spark, sf_dir)))
+
+
+@register("stream_engagement", f"""WITH {_SESSIONS_CTE}
+SELECT * FROM (SELECT time_bucket(INTERVAL 1 DAY, session_end - INTERVAL 1 MICROSECOND) AS window_start,
+  time_bucket(INTERVAL 1 DAY, session_end - INTERVAL 1 MICROSECOND) + INTERVAL 1 DAY AS window_end, count(*) AS n_sessions,
+  round(avg((epoch_us(session_end) - epoch_us(session_start)) / 1e6), 6) AS mean_session_seconds, round(avg(n_events), 6) AS events_per_session,
+  round(avg(CASE WHEN n_purchases > 0 THEN 1.0 ELSE 0.0 END), 6) AS session_conversion FROM sess GROUP BY 1)
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def q_stream_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10 on a stream: engagement by the day in which sessions end."""
+    out = _run(spark, M.stream_engagement(_event_stream(spark, sf_dir)))
+    return out.withColumns({c: F.round(c, 6) for c in ("mean_session_seconds", "events_per_session", "session_conversion")})
+
+
+# ---- deletion by age -----------------------------------------------------------
+
+def _retained(spark: SparkSession, sf_dir: str) -> str:
+    """The events as a table by day, cut twice; the second run is repeated and changes nothing."""
+    root, events = _folder(spark), fixtures.read_table(spark, sf_dir, "events")
+    retention.create(spark, root, events.schema, "ts")
+    retention.write_days(events, root)
+    for as_of in ("2025-01-08 00:00:00", "2025-01-15 09:30:00", "2025-01-15 09:30:00"):
+        retention.retain(spark, root, as_of, M.RETENTION_DAYS)
+    return root
+
+
+@register("retained_events", "SELECT * FROM events WHERE ts >= TIMESTAMP '2025-01-15 09:30:00' - INTERVAL 365 DAY")
+def q_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the table holds after its old rows were deleted."""
+    return retention.read(spark, _retained(spark, sf_dir))
+
+
+@register("retained_days", """
+SELECT CAST(ts AS DATE) AS kept_day, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2025-01-15 09:30:00' - INTERVAL 365 DAY GROUP BY 1""")
+def q_retained_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that lies in the table's folders, by day, whatever its state says: no file of an older day is left."""
+    stored = spark.read.parquet(f"{_retained(spark, sf_dir)}/rows")
+    return stored.groupBy("kept_day").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- round trips ---------------------------------------------------------------
 
 def _written_interactions(spark: SparkSession, sf_dir: str, folder: str) -> None:

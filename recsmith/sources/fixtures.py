@@ -60,9 +60,13 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return interactions_of(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
+
+
+def interactions_of(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """The mapping alone: ``lineitem`` may be a stream."""
+    li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     hr = ((F.col("l_partkey") * 7 + F.col("l_linenumber")) % 24).cast("int")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .select(F.col("o_custkey").alias("user_id"),
