@@ -37,23 +37,25 @@ def tokens(df: DataFrame, text_col: str, stop_words: list[str] | None = None) ->
 def tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 100,
           stop_words: list[str] | None = None) -> DataFrame:
     """Long sparse TF-IDF ``(id, term, col, weight)``; ``col`` is the term's
-    position in the alphabetically sorted vocabulary."""
+    position in the alphabetically sorted vocabulary.
+
+    The vocabulary depends on the terms' totals alone, so it is found first, and only its cells are shuffled by document: one row a
+    document and vocabulary term, whatever else the texts hold.  They are written once; document frequencies and row lengths read them."""
     stop = default_stop_words() if stop_words is None else stop_words
     docs = tokens(df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), "_text", stop)
     n_docs = df.select(F.count(F.lit(1))).scalar()
-    counts = (docs.select(id_col, F.explode("_tokens").alias("term"))
-                  .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
-    per_term = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    words = docs.select(id_col, F.explode("_tokens").alias("term"))
     # vocabulary: the most frequent terms, ties by term; a top-k report (limit is the feature)
-    vocab = per_term.orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features)
-    vocab = vocab.withColumn("col", F.row_number().over(Window.orderBy("term")) - 1)  # <= max_features rows
+    vocab = (words.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+             .orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features))
+    vocab = materialize(vocab.select("term", (F.row_number().over(Window.orderBy("term")) - 1).cast("long").alias("col")))  # <= max_features rows
+    cells = materialize(words.join(F.broadcast(vocab), "term").groupBy(id_col, "col").agg(F.count(F.lit(1)).alias("tf")))
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    w = counts.join(F.broadcast(vocab.select("term", "col", idf.alias("idf"))), "term") \
-              .withColumn("raw", F.col("tf") * F.col("idf"))
+    known = vocab.join(cells.groupBy("col").agg(F.count(F.lit(1)).alias("df")), "col").select("col", "term", idf.alias("idf"))
+    w = cells.join(F.broadcast(known), "col").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))
     rows = (w.join(norm, id_col)
-             .select(F.col(id_col).alias("_id"), "term", F.col("col").cast("long").alias("col"),
-                     (F.col("raw") / F.col("_norm")).alias("weight")))
+             .select(F.col(id_col).alias("_id"), "term", "col", (F.col("raw") / F.col("_norm")).alias("weight")))
     # a document without any vocabulary term keeps a row: term and col NULL, weight 0
     return (df.select(id_col).join(rows, F.col(id_col) == F.col("_id"), "left")
             .select(id_col, "term", "col", F.coalesce("weight", F.lit(0.0)).alias("weight")))
