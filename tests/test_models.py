@@ -268,3 +268,23 @@ def test_fitted_transform_round_trip(spark):
     m2, inputs2, _ = FE.model_matrix(df, fitted=E.load_fitted(spark, root))
     assert inputs == inputs2 == ["g", "x"]
     assert sorted(m1.select(*inputs).collect()) == sorted(m2.select(*inputs).collect())
+
+
+def test_als_keeps_one_iteration_of_shuffle_files(spark):
+    import time
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffled():
+        files = env.blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    r = spark.range(400).select((F.col("id") % 20).alias("user_id"), (F.col("id") % 37).alias("item_id"), (F.col("id") % 5 + 1.0).alias("rating"))
+    before = shuffled()
+    MO.train_als(r, rank=2, max_iter=12)
+    for _ in range(40):  # files are deleted in the background
+        left = shuffled() - before
+        if left < 120:
+            break
+        time.sleep(0.25)
+    assert left < 120  # 24 half-iterations of 10 maps, two files each, come to 480
+
