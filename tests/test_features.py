@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import numpy as np
 import pytest
@@ -162,3 +163,22 @@ def test_point_in_time_features_do_not_leak(spark):
     again = FE.ranking_features(last, t["users"], t["items"], point_in_time=True)
     cols = [*keys, "user_avg_rating", "user_rating_std"]
     assert lean.select(*cols).exceptAll(again.select(*cols)).count() == 0
+
+
+def _shuffled_columns(df):
+    """The columns of every exchange of a plan."""
+    text = df.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+
+
+def test_ranking_features_shuffle_no_row_with_the_item_columns(spark):
+    r = spark.createDataFrame([(1, 2, 3.0, 5, T0)], "user_id long, item_id long, rating double, session_id long, timestamp timestamp")
+    users = spark.createDataFrame([(1, "x")], "user_id long, gender string")
+    items = spark.createDataFrame([(2, "t")], "item_id long, title string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = _shuffled_columns(FE.ranking_features(r, users, items))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert any("session_id" in c for c in met)
+    assert not [c for c in met if "session_id" in c and "title" in c]

@@ -288,3 +288,22 @@ def test_als_keeps_one_iteration_of_shuffle_files(spark):
         time.sleep(0.25)
     assert left < 120  # 24 half-iterations of 10 maps, two files each, come to 480
 
+
+def test_coded_features_are_those_of_the_encoders(spark):
+    from recsmith.operators import features as FE
+    r = spark.createDataFrame([(u, i, float(1 + (u * i) % 5), f"2024-01-{1 + u:02d} 0{i}:00:00", 10 * u + i) for u in range(1, 7) for i in range(1, 8)]
+                              + [(None, 1, 2.0, None, 98), (77, None, 3.0, "2024-02-01 00:00:00", 99), (1, 1, None, "2024-02-01 00:00:00", 97)],
+                              "user_id long, item_id long, rating double, timestamp string, session_id long").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    users = spark.createDataFrame([(u, ["a", "b", None][u % 3]) for u in range(1, 6)] + [(None, "z"), (50, "only here")], "user_id long, age_group string")
+    items = spark.createDataFrame([(i, f"title {i}", 0.1 * i) for i in range(2, 9)], "item_id long, title string, price double")
+    plain, inputs, _ = FE.model_matrix(FE.ranking_features(r, users, items), also=[users, items])
+    matrix, own, fitted = MO.ranking_matrix(r, users, items)
+    assert own == inputs
+
+    def rows(m):
+        return sorted([tuple(None if v is None else round(v, 9) for v in x) for x in m.select("session_id", "rating", *inputs).collect()], key=repr)
+
+    assert rows(matrix) == rows(plain)
+    stranger = spark.createDataFrame([(1, "never seen")], "user_id long, age_group string")
+    with pytest.raises(Exception, match="unseen label in age_group"):
+        FE.coded_ranking_features(r, stranger, items, fitted["cat"], fitted["lookup"]).collect()
