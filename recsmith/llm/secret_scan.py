@@ -5,8 +5,10 @@ runs).  Candidates are all runs of 16 or more key characters; of a run that touc
 them are candidates too.  The network slides over the candidate in overlapping windows and reads each with the
 characters around the run: character embeddings, one convolution, maxima over the part before, the window and the part
 behind, the mean over the window, a logistic output; a candidate has the highest output of its windows.  It is trained with numpy on candidates labelled by the base findings
-(half of them with their surroundings blanked, so that it learns what a secret itself looks like), from a bounded sample of
-at most about ``SAMPLE`` of each label, chosen by a hash, and on as many random keys of alphabets that no base pattern names.
+(half of them with their surroundings blanked, so that it learns what a secret itself looks like) and on random keys of alphabets
+that no base pattern names.  Every distinct candidate window teaches: up to ``SAMPLE`` of each label in one list, more
+in parts of about ``PART_ROWS`` that tasks train on at the same time, all from the same weights, which are averaged after every
+round over the whole; calibration and threshold are sums and exact order statistics over all of them.
 Networks of one half score the other; these scores calibrate the output to probabilities and
 set the threshold: the highest that still finds ``RECALL`` of the secrets, raised where it takes more than ``TAKE`` of the rest.  Candidates that reach it and touch
 no base finding are added as findings of kind "cnn"; base findings always stay.
@@ -19,23 +21,28 @@ columns are ignored.  Very long texts and candidates are scanned whole.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith.llm.common import in_slices, read_table
+from recsmith.operators.split import with_global_index
 from recsmith.session import materialize
 
 KINDS = ("assign", "access", "hex", "cnn")
 BEFORE, BODY, BEHIND = 24, 40, 8
 STEP = 8  # from one window of a long candidate to the next
 SAMPLE, RECALL, SEED = 2048, 0.99, 5
+#: Windows a task trains on, rounds over all of them, and batches that small parts repeat their windows for.
+PART_ROWS, ROUNDS, STEPS, BATCH = 16_384, 4, 1024, 64
 TAKE, LEAST_RECALL = 0.01, 0.9  # of the candidates without a label at most this share is taken; below this recall nothing is added
 
 # The base patterns.
@@ -137,9 +144,23 @@ class Network:
         self.rng = rng
         self.p = {"e": rng.normal(0, 0.3, (_SIGNS, _EMBED)), "w": rng.normal(0, 0.2, (_WIDTH * _EMBED, _FILTERS)),
                   "b": np.zeros(_FILTERS), "v": rng.normal(0, 0.1, 4 * _FILTERS), "c": np.zeros(1)}
+        self.m, self.s, self.step = {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}, 0
         edge = _WIDTH // 2
         self.parts = [slice(0, BEFORE - edge), slice(BEFORE - edge, BEFORE + BODY - edge), slice(BEFORE + BODY - edge, None)]
 
+    def state(self) -> np.ndarray:
+        """Weights, Adam's sums and the number of steps in one row of numbers."""
+        return np.concatenate([v.ravel() for d in (self.p, self.m, self.s) for v in d.values()] + [[float(self.step)]])
+
+    def load(self, state: np.ndarray) -> Network:
+        at = 0
+        for d in (self.p, self.m, self.s):
+            for k, v in d.items():
+                d[k] = state[at:at + v.size].reshape(v.shape).copy()
+                at += v.size
+        self.step = int(state[at])
+        return self
+
     def forward(self, x: np.ndarray):
         p, n = self.p, x.shape[1] - _WIDTH + 1
         emb = p["e"][x] * (x > 0)[:, :, None]
@@ -177,11 +198,9 @@ class Network:
         g["e"] = np.stack([np.bincount(x.ravel(), demb[:, :, j].ravel(), minlength=_SIGNS) for j in range(_EMBED)], axis=1)
         return g
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 3e-3) -> None:
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        s = {k: np.zeros_like(v) for k, v in self.p.items()}
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = BATCH, rate: float = 3e-3) -> None:
+        m, s = self.m, self.s
         weight = np.where(y > 0, 0.5 / max(1e-9, y.mean()), 0.5 / max(1e-9, 1 - y.mean()))
-        step = 0
         for _ in range(epochs):
             order = self.rng.permutation(len(y))
             for i in range(0, len(order), batch):
@@ -190,11 +209,11 @@ class Network:
                 blank = self.rng.random(len(at)) < 0.5
                 xs[blank, :BEFORE] = 0
                 xs[blank, BEFORE + BODY:] = 0
-                step += 1
+                self.step += 1
                 for k, g in self.gradient(xs, y[at], weight[at]).items():
                     m[k] = 0.9 * m[k] + 0.1 * g
                     s[k] = 0.999 * s[k] + 0.001 * g * g
-                    self.p[k] -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-8)
+                    self.p[k] -= rate * (m[k] / (1 - 0.9 ** self.step)) / (np.sqrt(s[k] / (1 - 0.999 ** self.step)) + 1e-8)
 
 
 class Detector:
@@ -316,19 +335,119 @@ def scans(docs: DataFrame) -> DataFrame:
              "cands array<struct<start:long,end:long,base:boolean,window:string>>")
 
 
-def train(found: DataFrame, sample: int = SAMPLE) -> Detector:
-    """Rows of scans() -> detector, from at most about ``sample`` distinct candidate windows of each label."""
+def train(found: DataFrame, whole: int = SAMPLE, part_rows: int = PART_ROWS) -> Detector:
+    """Rows of scans() -> detector, from every distinct candidate window."""
     # the same text in many copies teaches once
     each = found.select(F.explode("cands").alias("c")).select("c.base", "c.window").distinct()
     each = materialize(each.withColumn("h", F.xxhash64("window")))
-    rows = []
-    for label in (True, False):
-        own = each.where(F.col("base") == label)
-        slots = 1 << 20
-        share = min(slots, -(-slots * sample // max(1, own.count())))
-        rows += [(r[0], r[1], label) for r in own.where(F.pmod("h", F.lit(slots)) < share).select("h", "window").toLocalIterator()]
-    rows.sort()
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    n = {r[0]: r[1] for r in each.groupBy("base").count().collect()}
+    known, others = n.get(True, 0), n.get(False, 0)
+    if not known or not others:
+        return Detector()
+    if max(known, others) <= whole:
+        rows = sorted((r["h"], r["window"], r["base"]) for r in each.collect())  # at most ``whole`` of each label
+        return fit([r[1] for r in rows], [r[2] for r in rows])
+    return fit_in_parts(each, known, others, part_rows)
+
+
+def _part(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signs, labels, folds) of a part's windows and of the keys redrawn in their surroundings, as many as ``fit`` takes."""
+    pdf = pdf.sort_values(["h", "base", "window"])
+    windows, base, h = pdf["window"].tolist(), pdf["base"].to_numpy(bool), pdf["h"].to_numpy()
+    known, others = [w for w, t in zip(windows, base) if t], [w for w, t in zip(windows, base) if not t]
+    rng = np.random.default_rng([SEED, int(pdf["part"].iloc[0])])
+    made = redrawn(known or others, others or known, max(len(known), len(others) // 2), rng)
+    return (signs(windows + made), np.concatenate([base.astype(float), np.ones(len(made))]),
+            np.concatenate([(h >> 40) & 1, np.arange(len(made)) % 2]))
+
+
+def fit_in_parts(each: DataFrame, known: int, others: int, part_rows: int = PART_ROWS, recall: float = RECALL, take: float = TAKE) -> Detector:
+    """``fit`` for windows (base, window, h) of any number: three networks (without either half, and on all) train on hashed parts
+    side by side; after every round their weights and Adam's sums are averaged by rows.  Only these numbers reach the driver."""
+    parts = max(1, -(-(known + others) // part_rows))
+    rows = (known + others + max(known, others // 2)) / parts
+    epochs = max(1, math.ceil(STEPS * BATCH / rows / ROUNDS))
+    dealt = materialize(each.withColumn("part", F.pmod("h", F.lit(parts)).cast("int")).repartition(parts, "part"))
+    nets = [Network().state() for _ in range(3)]
+
+    def learned(state: list, round_: int):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            x, y, fold = _part(pdf)
+            out, rows = [], []
+            for i, start in enumerate(state):
+                mine = fold != i  # the third network has no fold left out
+                net = Network(SEED + 7 * round_ + 1000 * int(pdf["part"].iloc[0]))
+                if 0 < y[mine].sum() < mine.sum():
+                    net.load(start)
+                    net.train(x[mine], y[mine], epochs)
+                    out.append(net.state().tolist())
+                    rows.append(int(mine.sum()))
+                else:
+                    out.append([])
+                    rows.append(0)
+            return pd.DataFrame({"part": [pdf["part"].iloc[0]], "rows": [rows], "state": [out]})
+
+        got = dealt.groupBy("part").applyInPandas(run, "part int, rows array<long>, state array<array<double>>")
+        return sorted(got.collect(), key=lambda r: r["part"])  # a few thousand numbers a part
+
+    for round_ in range(ROUNDS):
+        got = learned(nets, round_)
+        for i in range(3):
+            weights = [r["rows"][i] for r in got]
+            if sum(weights):
+                nets[i] = sum(w / sum(weights) * np.asarray(r["state"][i]) for w, r in zip(weights, got) if w)
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y, fold = _part(pdf)
+        z = np.zeros(len(y))
+        for i in (0, 1):
+            z[fold == i] = Network().load(nets[i]).logits(x[fold == i])
+        return pd.DataFrame({"z": z, "y": y})
+
+    scored = materialize(dealt.groupBy("part").applyInPandas(score, "z double, y double"))
+    a, b = platt_of(scored)
+    if not a > 0:
+        return Detector()
+    detector = Detector(Network().load(nets[2]), a, b)
+
+    def at(rows: DataFrame, order, place: int) -> float:
+        return with_global_index(rows, [order], "_n").where(F.col("_n") == place).first()["z"]
+
+    secrets, rest = scored.where("y > 0").select("z"), scored.where("y = 0").select("z")
+    count = secrets.count()
+    least, most = at(secrets, F.col("z").asc(), int(np.floor((1 - recall) * count))), at(rest, F.col("z").desc(), int(take * rest.count()))
+    p_least, p_most = (float(1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))) for z in (least, most))
+    detector.threshold = max(1e-9, p_least, float(np.nextafter(p_most, 2)))
+    reached = secrets.where(F.col("z") > most if p_most >= p_least else F.col("z") >= least).count()
+    return detector if reached / count >= LEAST_RECALL else Detector()
+
+
+def platt_of(scored: DataFrame) -> tuple[float, float]:
+    """``platt`` of a table (z, y): each Newton step is one row of sums."""
+    first = scored.agg(F.max(F.abs("z")).alias("scale"), F.sum("y").alias("t"), F.count("*").alias("n")).first()
+    scale, t, n = max(1e-9, float(first["scale"])), float(first["t"]), int(first["n"])
+    goal = F.when(F.col("y") > 0, F.lit((t + 1) / (t + 2))).otherwise(F.lit(1 / (n - t + 2)))
+    x = F.col("z") / F.lit(scale)
+
+    def sums(ab: np.ndarray):
+        m = x * F.lit(float(ab[0])) + F.lit(float(ab[1]))
+        p = 1 / (1 + F.exp(-m))
+        loss = F.greatest(m, F.lit(0.0)) + F.log1p(F.exp(-F.abs(m))) - goal * m
+        r = scored.agg(F.sum(loss), F.sum((p - goal) * x), F.sum(p - goal), F.sum(p * (1 - p) * x * x), F.sum(p * (1 - p) * x), F.sum(p * (1 - p))).first()
+        return r[0] + 5e-4 * float(ab @ ab), np.array([r[1], r[2]]) + 1e-3 * ab, np.array([[r[3], r[4]], [r[4], r[5]]]) + 1e-3 * np.eye(2)
+
+    ab = np.zeros(2)
+    now = sums(ab)
+    for _ in range(100):
+        step = np.linalg.solve(now[2], now[1])
+        new = sums(ab - step)
+        while new[0] > now[0] and np.abs(step).max() > 1e-12:
+            step = step / 2
+            new = sums(ab - step)
+        ab, now = ab - step, new
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(ab[0] / scale), float(ab[1])
 
 
 def named(spans: list[Span]) -> str:
