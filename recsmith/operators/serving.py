@@ -58,10 +58,13 @@ def enrich(recs: DataFrame, items: DataFrame, id_col: str = "item_id") -> DataFr
 
 
 CODE_BITS = 32
-#: Rows of a block where vectors meet all others; rows a product covers at a time.
-MEET, STRIP = 4096, 512
+#: Rows of a block where vectors meet all others; cosines held at a time; columns from which a row takes its bar.
+MEET, HELD, BAR = 32768, 1 << 22, 2048
 #: Neighbourhoods that one task takes at a time.
 NODES = 1024
+#: What a round of neighbourhoods costs an item, in cosines of the search among all pairs (measured, README): its rows are joined,
+#: shuffled with their vectors and ranked again, where a cosine of a block is a few nanoseconds.
+ROUND_COSINES = 400_000
 
 
 def _bucketed(vectors: DataFrame, first: int, last: int, bucket_items: int, seed: int) -> DataFrame:
@@ -110,18 +113,28 @@ def _bucketed(vectors: DataFrame, first: int, last: int, bucket_items: int, seed
 
 
 def _nearest(x: np.ndarray, ids: np.ndarray, y: np.ndarray, others: np.ndarray, k: int) -> list[tuple]:
-    """(ids, others, cosines) of the best ``k`` rows of y with another id for every row of x; equal cosines go by the order of y."""
+    """(ids, others, cosines) of the best ``k`` rows of y with another id for every row of x; equal cosines go by the order of y.
+    ``others`` are sorted.
+
+    A row's bar is its ``k``-th best among the first columns, so only what reaches it is sorted."""
     out = []
-    for lo in range(0, len(x), STRIP):
-        sim = x[lo:lo + STRIP] @ y.T
-        sim[ids[lo:lo + STRIP, None] == others[None, :]] = -np.inf
-        top = min(k, len(y))
-        least = np.partition(sim, len(y) - top, axis=1)[:, len(y) - top] if top else np.zeros(0)
-        for row, (r, v) in enumerate(zip(sim, least)):
-            at = np.flatnonzero(r >= v)
-            at = at[np.argsort(-r[at], kind="stable")[:top]]
-            at = at[r[at] > -np.inf]
-            out.append((np.repeat(ids[lo + row:lo + row + 1], len(at)), others[at], r[at]))
+    strip = max(1, HELD // max(1, len(y)))
+    for lo in range(0, len(x), strip):
+        sim, own = x[lo:lo + strip] @ y.T, ids[lo:lo + strip]
+        first, last = np.searchsorted(others, own, "left"), np.searchsorted(others, own, "right")
+        for row in np.flatnonzero(last > first):
+            sim[row, first[row]:last[row]] = -np.inf
+        some = sim[:, :max(BAR, k)]
+        bar = np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k] if some.shape[1] > k else np.full(len(sim), -np.inf)
+        row, at = np.divmod(np.flatnonzero(sim >= bar[:, None]), len(y))
+        value = sim[row, at]
+        real = value > -np.inf
+        row, at, value = row[real], at[real], value[real]
+        order = np.lexsort((at, -value, row))
+        row, at, value = row[order], at[order], value[order]
+        begin = np.searchsorted(row, np.arange(len(sim)))
+        best = np.arange(len(row)) - begin[row] < k
+        out.append((own[row[best]], others[at[best]], value[best]))
     return out
 
 
@@ -188,7 +201,8 @@ def similar_items(vectors: DataFrame, k: int = 10, id_col: str = "item_id", vec_
     neighbour's neighbours are likely one's own.  Buckets and neighbourhoods have a fixed size, so the work per item does not grow
     with the table.  The lists of ``probes`` items, chosen by a hash, are also found exactly, and decide when to stop: at
     ``recall`` of them.  A round that gains less than a hundredth is followed by as many tables again.  Tables that would compare an
-    item with as many others as there are, or ``exact``, let all blocks meet all blocks instead.
+    item with as many others as there are, rounds that would cost in all what all pairs cost (``ROUND_COSINES`` an item each), or
+    ``exact``, let all blocks meet all blocks instead, so no search costs more than about twice that of all pairs.
     Items whose lists stay short get theirs from the whole table, exactly.
     Items with a NULL or zero vector have no direction and no neighbours; neither have rows without an id.
     """
@@ -232,9 +246,13 @@ def similar_items(vectors: DataFrame, k: int = 10, id_col: str = "item_id", vec_
                 .where(F.col("similarity") >= F.col("_least") - 1e-9).count())
         return hits / max(1, wanted)
 
-    first, done, more, held = None, 0, tables, 0.0
+    first, done, more, held, rounds = None, 0, tables, 0.0, 0
+
+    def spent(more_tables: int) -> int:
+        return (done + more_tables) * bucket_items + rounds * ROUND_COSINES
+
     while first is None or held < recall:
-        if (done + more) * bucket_items >= n:
+        if spent(more) >= n:
             return finished(kept(_against_all(clean, clean, k, names, schema), k))
         met = materialize(_bucketed(clean, done, done + more, bucket_items, seed))
         found = met.groupBy("table", "bits", "prefix", "part").applyInPandas(best, schema)
@@ -242,6 +260,9 @@ def similar_items(vectors: DataFrame, k: int = 10, id_col: str = "item_id", vec_
         done, more = done + more, done + more
         held, before = share(first), -1.0
         while held < recall and held > before + 0.01:
+            rounds += 1
+            if spent(0) >= n:
+                return finished(kept(_against_all(clean, clean, k, names, schema), k))
             before = held
             closer = _neighbourhoods(first.drop("rank"), clean, wide, names, schema)
             first = materialize(kept(first.drop("rank").unionByName(closer), wide))

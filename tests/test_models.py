@@ -131,6 +131,51 @@ def test_neighbours_of_neighbours_settle_without_more_tables(spark, monkeypatch,
     assert len(out) == 10 * n and made[-1] * 64 <= 768  # an item met at most so many others in buckets, at both sizes
 
 
+def test_vectors_without_groups_meet_all_others_once_that_is_cheaper(spark, monkeypatch):
+    """Neighbours of evenly spread vectors share few buckets; tables were doubled until they had cost far more than all pairs."""
+    x = np.random.default_rng(11).normal(size=(1500, 48))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "item_id long, vector array<double>")
+    made = []
+    bucketed = SV._bucketed
+    monkeypatch.setattr(SV, "_bucketed", lambda clean, first, last, *rest: made.append(last) or bucketed(clean, first, last, *rest))
+    got = {(r.item_id, r.rank): r.similar_id for r in SV.similar_items(df, k=3, tables=2, bucket_items=16).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sim = x @ x.T - 3 * np.eye(1500)
+    assert got == {(i, r + 1): int(j) for i in range(1500) for r, j in enumerate(np.argsort(-sim[i])[:3])}
+    assert made == [2]
+
+
+def test_rounds_of_neighbourhoods_are_tried_where_they_are_cheaper(spark, monkeypatch):
+    rnd = np.random.default_rng(8)
+    x = np.repeat(rnd.normal(size=(75, 32)), 20, axis=0) + 0.5 * rnd.normal(size=(1500, 32))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "item_id long, vector array<double>")
+    rounds, against = [], []
+    near, every = SV._neighbourhoods, SV._against_all
+    monkeypatch.setattr(SV, "ROUND_COSINES", 0)
+    monkeypatch.setattr(SV, "_neighbourhoods", lambda *a: rounds.append(1) or near(*a))
+    monkeypatch.setattr(SV, "_against_all", lambda asked, *a: against.append(asked.count()) or every(asked, *a))
+    out = SV.similar_items(df, k=10, tables=4, bucket_items=64, probes=100).collect()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sim = x @ x.T - 3 * np.eye(1500)
+    least = np.sort(sim, axis=1)[:, -10]
+    assert len(out) == 15000 and rounds and max(against) <= 100
+    assert np.mean([r.similarity >= least[r.item_id] - 1e-9 for r in out]) >= 0.9
+
+
+def test_nearest_breaks_ties_and_leaves_own_ids_out():
+    """More columns than the bar's, whole vectors repeated and an id repeated: the best others, ties by the order of y."""
+    rnd = np.random.default_rng(2)
+    y = rnd.integers(-2, 3, size=(SV.BAR + 700, 3)).astype(float)
+    others = np.sort(rnd.integers(0, len(y) - 50, size=len(y)))
+    x, ids = y[::97], others[::97]
+    a, b, c = (np.concatenate(z) for z in zip(*SV._nearest(x, ids, y, others, 4)))
+    want = []
+    for i, v in zip(ids, x):
+        order = sorted((-float(v @ w), at) for at, w in enumerate(y) if others[at] != i)[:4]
+        want += [(i, others[at], -s) for s, at in order]
+    assert list(zip(a, b, c)) == want
+
+
 def test_exact_lists_on_request(spark):
     rnd = np.random.default_rng(1)
     x = rnd.normal(size=(600, 8))
