@@ -128,26 +128,29 @@ def interaction_features(interactions: DataFrame, users: DataFrame, items: DataF
 
     A category's code depends on the user or item alone, so the dimension tables are encoded (on the values that occur
     in interactions) before J1, and the interactions are joined once to each."""
-    out = interactions
-    for name, expr in C.time_parts("timestamp").items():
-        out = out.withColumn(name, expr)
-    out = time_since_last(out)
-    used_users, user_values = _encoded_dimension(interactions, users.select(
+    out = time_since_last(interactions)  # a written table: the keys and ratings below are read from it
+    used_users, user_values = _encoded_dimension(out, users.select(
         "user_id", *USER_JOIN_COLS, C.parse_genres("preferred_genres").alias("_pref"), F.lit(True).alias("_u_known")),
         "user_id", USER_JOIN_COLS)
-    used_items, item_values = _encoded_dimension(interactions, items.select(
+    used_items, item_values = _encoded_dimension(out, items.select(
         "item_id", *ITEM_JOIN_COLS, F.lit(True).alias("_i_known")), "item_id", ["genre"])
     lookup = E.number_labels(user_values.unionByName(item_values))
-    out = (out.join(E.apply_label_encoders(used_users, USER_JOIN_COLS, lookup), "user_id", "left")
-              .join(E.apply_label_encoders(used_items, ["genre"], lookup), "item_id", "left"))
+    of_user = E.apply_label_encoders(used_users, USER_JOIN_COLS, lookup)
+    of_item = E.apply_label_encoders(used_items, ["genre"], lookup)
+    # the user's texts are the widest: they come last, the time parts after them, so neither is shuffled again
+    ratings = out.select(F.col("rating").alias("rating_normalized"))
+    parts = C.time_parts("timestamp")
+    out = out.join(of_item, "item_id", "left").join(of_user, "user_id", "left").withColumns(parts)
+    ids = ("item_id", "user_id")
+    out = out.select(*ids, *[c for t in (interactions.columns, parts, ["time_since_last"], of_user.columns, of_item.columns)
+                             for c in t if c not in ids])
     for c in [*USER_JOIN_COLS, "genre"]:  # rows without a user or item
         out = out.withColumn(f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), E.code_of(lookup, c, C.UNKNOWN)))
     known = F.col("_u_known").isNotNull() & F.col("_i_known").isNotNull()
     out = (out.withColumn("user_item_affinity", affinity("_pref", "genre", "quality_score", "popularity_score", known))
               .drop("_pref", "_u_known", "_i_known"))
     # the scaler is fit on the ratings themselves (left joins keep one row per interaction)
-    state = E.fit_standard_scaler(interactions.select(F.col("rating").alias("rating_normalized")),
-                                  ["rating_normalized"])
+    state = E.fit_standard_scaler(ratings, ["rating_normalized"])
     return E.standard_scale(out.withColumn("rating_normalized", F.col("rating")), ["rating_normalized"],
                             state=state)
 
@@ -171,28 +174,26 @@ def statistics_as_of(interactions: DataFrame, time_col: str = "timestamp", num_p
     A6-A8: rated rows, mean, deviation, least and greatest rating, distinct partners), and the busiest user's and item's count so far.
 
     A row never sees its own rating, nor one of the same instant.  Each statistic is a prefix aggregate of one range
-    shuffle (``prefix_states``), so an online store that folds ratings in one by one holds the same numbers.  The first rows
-    of a user and item are markers, whose count before a time is the number of distinct partners.
+    shuffle (``prefix_states``), so an online store that folds ratings in one by one holds the same numbers.  One first row
+    of each user and item is marked; the marks before a time are the number of distinct partners.
     Counts without history are 0, the other statistics NULL.  Rows without a time, or without the id concerned, have no history.
     """
     cols = [*interactions.columns]
-    pairs = (interactions.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col(time_col).isNotNull())
-             .groupBy("user_id", "item_id").agg(F.min(time_col).alias(time_col)).withColumn("_first", F.lit(1)))
-    marker = F.col("_first")
-
-    def states(df: DataFrame, keys: list[str], found: dict) -> DataFrame:
-        return prefix_states(df, keys, time_col, found, num_partitions)
-
-    out = _from_states(states(interactions, ["user_id", "item_id"], _rating_states("user_item")), "user_item",
-                       "user_item_interactions", "user_item_avg_rating", "user_item_rating_std")
-    out = out.withColumn("_first", F.lit(None).cast("int")).unionByName(pairs, allowMissingColumns=True)
+    out = prefix_states(interactions, ["user_id", "item_id"], time_col, _rating_states("user_item"), num_partitions, first="_first")
+    out = _from_states(out, "user_item", "user_item_interactions", "user_item_avg_rating", "user_item_rating_std")
+    opens = F.when(F.col("_first"), 1)
     for side, other, key in (("user", "items", "user_id"), ("item", "users", "item_id")):
-        out = states(out, [key], {**_rating_states(side), f"{side}_unique_{other}": ("count", marker)})
-        out = _from_states(out, side, f"{side}_total_interactions", f"{side}_avg_rating", f"{side}_rating_std")
-    out = out.where(marker.isNull()).drop("_first")
+        found = {**_rating_states(side), f"{side}_unique_{other}": ("count", opens)}
+        out = _from_states(prefix_states(out, [key], time_col, found, num_partitions), side,
+                           f"{side}_total_interactions", f"{side}_avg_rating", f"{side}_rating_std")
+    out = out.drop("_first")
+    # the busiest user's and item's count so far: one row a time is enough
     rated = F.when(F.col("rating").isNotNull(), 1).otherwise(0)
-    out = states(out, [], {f"_max_{s}": ("max", F.col(f"{s}_total_interactions") + rated) for s in ("user", "item")})
-    out = out.withColumnsRenamed({"_max_user": "user_interactions_max", "_max_item": "item_interactions_max"})
+    busiest = (out.where(F.col(time_col).isNotNull()).groupBy(F.col(time_col).alias("_time"))
+               .agg(*[F.max(F.col(f"{s}_total_interactions") + rated).alias(f"_{s}") for s in ("user", "item")]))
+    busiest = prefix_states(busiest, [], "_time", {f"{s}_interactions_max": ("max", F.col(f"_{s}")) for s in ("user", "item")}, num_partitions)
+    busiest = materialize(busiest.drop("_user", "_item"))  # so that its size is known: a small one is broadcast
+    out = out.join(busiest, F.col(time_col) == F.col("_time"), "left").drop("_time")
     return out.select(*cols, *[c for c in out.columns if c not in cols])
 
 

@@ -126,3 +126,48 @@ def test_prefix_states_of_one_key_span_partitions(spark):
     got = S.prefix_states(df, ["u"], "t", {"n": ("count", F.col("v"))}, 12).select("i", "n").collect()
     assert {(r.i % 3, r.n) for r in got} == {(0, 0), (1, 30), (2, 60)} and len(got) == 90
     assert S.prefix_states(df.where("i < 0"), ["u"], "t", {"n": ("count", F.col("v"))}).count() == 0
+
+
+def test_ordered_passes_carry_over_batches_and_shuffle_once(spark):
+    """States, first rows and previous values over batches of a few rows; the plan behind the written pass has no hash shuffle of rows."""
+    rows = _facts(300, 5)
+    df = spark.createDataFrame([(r["i"], r["u"], r["it"], r["t"], r["v"]) for r in rows], "i long, u long, it long, t timestamp, v double")
+    v = F.col("v")
+    states = {"n": ("count", v), "s": ("sum", v), "lo": ("min", v), "hi": ("max", v)}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for keys in (["u"], ["u", "it"], []):
+            want = _prefix_brute(rows, lambda r: tuple(r[k] for k in keys), 4)
+            for parts in (1, 5):
+                got = S.prefix_states(df, keys, "t", states, parts, first="first")
+                plan = got._jdf.queryExecution().executedPlan().toString()
+                assert "hashpartitioning" not in plan.split("BroadcastExchange")[0]
+                found = got.collect()
+                assert sorted(((r.i, r.n, r.s, r.lo, r.hi) for r in found), key=repr) == want
+                firsts = [r for r in found if r["first"]]
+                groups = {}
+                for r in rows:
+                    if r["t"] is not None and all(r[k] is not None for k in keys):
+                        groups.setdefault(tuple(r[k] for k in keys), []).append(r["t"])
+                assert sorted((tuple(r[k] for k in keys), r.t) for r in firsts) == sorted((k, min(t)) for k, t in groups.items())
+        for parts in (1, 5):
+            out = S.previous_value(df, "u", [F.col("t").asc_nulls_last(), F.col("i").asc()], "i", "p", parts)
+            assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+            prev, last = {}, {}
+            for r in sorted(rows, key=lambda r: (r["t"] is None, r["t"] or T0, r["i"])):
+                prev[r["i"]] = last.get(r["u"]) if r["u"] is not None else None
+                last[r["u"]] = r["i"]
+            assert {r.i: r.p for r in out.collect()} == prev
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_prefix_states_of_nan_and_whole_numbers(spark):
+    """NaN is the greatest number, as in Spark's own aggregates; whole numbers stay whole; text keys, a NaN key is one key."""
+    nan = float("nan")
+    rows = [("a", 1.0, 1, nan, 5), ("a", 1.0, 2, 2.0, 7), ("a", 1.0, 3, nan, None), ("a", 1.0, 4, 1.0, 2), ("b", nan, 1, 4.0, 9), ("b", nan, 2, None, 1), ("b", nan, 3, 3.0, 1)]
+    df = spark.createDataFrame([(k, g, T0 + dt.timedelta(minutes=m), d, x) for k, g, m, d, x in rows], "k string, g double, t timestamp, d double, x int")
+    got = S.prefix_states(df, ["k", "g"], "t", {"lo": ("min", F.col("d")), "hi": ("max", F.col("d")), "least": ("min", F.col("x"))}, 2)
+    assert [repr((r.lo, r.hi, r.least)) for r in got.orderBy("k", "t").collect()] == [
+        repr(x) for x in [(None, None, None), (nan, nan, 5), (2.0, nan, 5), (2.0, nan, 5), (None, None, None), (4.0, 4.0, 9), (4.0, 4.0, 1)]]
