@@ -48,6 +48,8 @@ _AGREED = "ɐ"
 #: Bytes a worker's table of runs may take; a generation that is full becomes the old one, whose entries return when met again.
 CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 300  # of a run beside its characters: the dictionary's slot, a pair and three strings
+#: Hash marks of runs met once: a run enters the table when it is met again, so the many that come once do not push others out.
+MARKS = 1 << 22
 
 
 def default_tokenizer_path() -> str:
@@ -94,6 +96,7 @@ class Automaton:
                 node = step[1]
             step[0] = i
         self.longest = max(map(len, self.label.values()))
+        self.size = {i: len(b) for i, b in self.label.items()}
 
     def _gadget(self, a: int, b: int, c: int, rank: int) -> None:
         if c in self.born or a not in self.born or b not in self.born:
@@ -121,29 +124,28 @@ class Automaton:
                 now, u = born[u], self.right[u]  # the arcs out of u were copied before it
 
     def encode(self, word: bytes) -> list[int]:
-        trie, arcs, n, longest = self.trie, self.arcs, len(word), self.longest
+        trie, arcs, n, longest, size = self.trie, self.arcs, len(word), self.longest, self.size
         out: list[int] = []
         ends = [0]
-        untried: list[list[tuple[int, int]]] = []  # by position of the path: (label, its end) not tried yet, longest last
+        untried: list[list[int]] = []  # by position of the path: labels not tried yet, longest last
         dead: set[int] = set()
         pos, fresh = 0, True
         while pos < n:
             if fresh:
-                node, at, options = trie, pos, []
+                node, options = trie, []
                 for byte in word[pos:pos + longest]:
-                    step = node.get(byte)
-                    if step is None:
+                    if byte not in node:
                         break
-                    at += 1
-                    token, node = step
+                    token, node = node[byte]
                     if token is not None:
-                        options.append((token, at))
+                        options.append(token)
                 untried.append(options)
             else:
                 options = untried[-1]
             state = arcs[out[-1]] if out else None
             while options:
-                token, end = options.pop()
+                token = options.pop()
+                end = pos + size[token]
                 if end in dead:
                     continue
                 if state is not None:
@@ -188,9 +190,11 @@ class Codec:
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(PATTERN)
         self.spec, self.library = spec, None
+        self.decimal = {i: str(i) for i in self.automaton.label}
         self.runs: dict[str, tuple[str, bytes]] = {}
         self.older: dict[str, tuple[str, bytes]] = {}
         self.taken = 0  # bytes of ``runs``
+        self.met = bytearray(MARKS)
 
     def split(self, run: str) -> list[str]:
         """The words of one run."""
@@ -209,18 +213,22 @@ class Codec:
     def _run(self, run: str) -> tuple[str, bytes]:
         """Of one run: its ids in decimal, joined by commas, and the labels its arcs emit."""
         known = self.older.get(run)
+        enters = known is not None
         if known is None:
             words = self.split(run)
             if len(words) == 1:
                 ids = self.automaton.encode(run.encode("utf-8"))
-                known = ",".join(map(str, ids)), self.automaton.decode(ids)
+                known = ",".join(map(self.decimal.__getitem__, ids)), self.automaton.decode(ids)
             else:  # most runs of several words are a known word and its punctuation: a word alone is a run of one word
                 parts = [self.runs.get(w) or self._run(w) for w in words]
                 known = ",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-        if len(run) <= 64:  # a longer run is rare and would only fill the table
+            mark = hash(run) & (MARKS - 1)
+            enters = self.met[mark]
+            self.met[mark] = 1
+        if enters and len(run) <= 64:  # a longer run is rare and would only fill the table
             size = ENTRY_BYTES + 4 * len(known[1])
             if self.taken + size > CACHE_BYTES // 2:
-                self.older, self.runs, self.taken = self.runs, {}, 0
+                self.older, self.runs, self.taken, self.met = self.runs, {}, 0, bytearray(MARKS)
             self.runs[run] = known
             self.taken += size
         return known

@@ -26,7 +26,7 @@ import functools
 import hashlib
 import heapq
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,8 @@ WINDOW = 1 << 18  # characters read at a time
 #: Bytes a worker's table of words may take; a generation that is full becomes the old one, whose entries return when met again.
 CACHE_BYTES = 128 << 20
 ENTRY_BYTES = 300  # of a word beside its characters and tokens
+#: Hash marks of words met once: a word enters the table when another window has it too, so the many that come once do not push others out.
+MARKS = 1 << 22
 LONGEST_CACHED, LONGEST_SIMPLE = 64, 64
 
 # What the pre-splitting pattern takes from an apostrophe as a word of its own.
@@ -204,6 +206,7 @@ class Codec:
         self.words: dict[bytes, tuple[str, bytes]] = {}
         self.older: dict[bytes, tuple[str, bytes]] = {}
         self.taken = 0
+        self.met = bytearray(MARKS)
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * len(self.length) + right
@@ -288,22 +291,27 @@ class Codec:
     def _found(self, words: list[bytes]) -> list[tuple[str, bytes]]:
         """The ids of each word, in decimal and packed."""
         found = list(map(self.words.get, words))
-        missing = list({w for w, f in zip(words, found) if f is None})
-        if missing:
+        gaps = [i for i, f in enumerate(found) if f is None]
+        if gaps:
+            missing = list({words[i] for i in gaps})
             known = {w: self.older[w] for w in missing if w in self.older}
             new = [w for w in missing if w not in known]
             known.update((w, (",".join(map(str, ids)), array("i", ids).tobytes())) for w, ids in zip(new, self.merge(new)))
-            found = [known[w] if f is None else f for w, f in zip(words, found)]
+            for i in gaps:
+                found[i] = known[words[i]]
             for w, f in known.items():
-                if len(w) <= LONGEST_CACHED:
+                mark = hash(w) & (MARKS - 1)
+                if len(w) <= LONGEST_CACHED and (self.met[mark] or w in self.older):
                     size = ENTRY_BYTES + 2 * len(w) + 2 * len(f[1])
                     if self.taken + size > CACHE_BYTES // 2:
-                        self.older, self.words, self.taken = self.words, {}, 0
+                        self.older, self.words, self.taken, self.met = self.words, {}, 0, bytearray(MARKS)
                     self.words[w] = f
                     self.taken += size
+                else:
+                    self.met[mark] = 1
         return found
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[int, bool, list[str], np.ndarray, np.ndarray, int]]:
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[int, bool, Sequence[str], np.ndarray, np.ndarray, int]]:
         """(text, is its last part, ids in decimal by word, ids, byte position of each in the part, bytes of the part)."""
         state, pending = FRESH, b""
         for window in _windows(texts):
@@ -333,8 +341,9 @@ class Codec:
             ends = [*cuts[1:].tolist(), int(parts[-1])]
             words = [stream[a:b] for a, b in zip(cuts.tolist(), ends)]
             found = self._found(words)
-            ids = np.frombuffer(b"".join([f[1] for f in found]), np.int32)
-            tokens = np.array([len(f[1]) for f in found], np.int64) >> 2
+            decimal, packed = zip(*found) if found else ((), ())
+            ids = np.frombuffer(b"".join(packed), np.int32)
+            tokens = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
             before = np.concatenate([[0], np.cumsum(tokens)])  # tokens before each word
             length = self.length[ids]
             run = np.cumsum(length) - length
@@ -344,7 +353,7 @@ class Codec:
             for k, (d, _, b) in enumerate(window):
                 lo, hi = of[k], of[k + 1]
                 t0, t1 = before[lo], before[hi]
-                yield (d, b == len(texts[d] or ""), [f[0] for f in found[lo:hi]], ids[t0:t1], position[t0:t1] - parts[k],
+                yield (d, b == len(texts[d] or ""), decimal[lo:hi], ids[t0:t1], position[t0:t1] - parts[k],
                        int(parts[k + 1] - parts[k]))
 
     def decode(self, ids: np.ndarray, position: np.ndarray | None = None, size: int | None = None) -> bytes:

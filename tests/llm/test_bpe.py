@@ -130,3 +130,12 @@ def test_counts_of_odd_rows(spark, odd_docs, no_docs):
     got = token_counts.count_tokens(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r["n_tokens"] is not None for r in got)
     assert token_counts.count_tokens(no_docs).count() == 0
+
+
+def test_runs_met_once_leave_the_table_to_the_others():
+    c = bpe.Codec(bpe.read_tokenizer())
+    once = [f"q{i}x" for i in range(500)]
+    first = c.parts(" ".join(once))
+    assert len(c.runs) < 25  # hash marks may meet
+    assert c.parts(" ".join(once)) == first and len(c.runs) > 400
+    assert [i for p in first for i in p[0].split(",")] == list(map(str, c.encode(" ".join(once))))

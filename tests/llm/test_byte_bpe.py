@@ -146,3 +146,11 @@ def test_what_is_refused(codec):
         byte_bpe.Codec("YQ== 0\n")
     with pytest.raises(KeyError):
         codec.decode(np.array([10 ** 6]))
+
+
+def test_words_met_once_leave_the_table_to_the_others():
+    c = byte_bpe.Codec(byte_bpe.read_ranks())
+    once = [f"q{i}x".encode() for i in range(500)]
+    first = c._found(once)
+    assert len(c.words) < 25  # hash marks may meet
+    assert c._found(once) == first and len(c.words) > 400
