@@ -113,20 +113,24 @@ def _bucketed(vectors: DataFrame, first: int, last: int, bucket_items: int, seed
 
 
 def _nearest(x: np.ndarray, ids: np.ndarray, y: np.ndarray, others: np.ndarray, k: int) -> list[tuple]:
-    """(ids, others, cosines) of the best ``k`` rows of y with another id for every row of x; equal cosines go by the order of y.
-    ``others`` are sorted.
+    """(ids, others, cosines) of the best ``k`` other ids of y for every row of x; equal cosines go by the order of y.
+    ``others`` are sorted; an id of several rows counts once, with its best.
 
     A row's bar is its ``k``-th best among the first columns, so only what reaches it is sorted."""
     out = []
     strip = max(1, HELD // max(1, len(y)))
+    begins = np.flatnonzero(np.concatenate([[True], others[1:] != others[:-1]]))
+    repeated, others = len(begins) < len(others), others[begins]
     for lo in range(0, len(x), strip):
         sim, own = x[lo:lo + strip] @ y.T, ids[lo:lo + strip]
+        if repeated:
+            sim = np.maximum.reduceat(sim, begins, axis=1)
         first, last = np.searchsorted(others, own, "left"), np.searchsorted(others, own, "right")
         for row in np.flatnonzero(last > first):
             sim[row, first[row]:last[row]] = -np.inf
         some = sim[:, :max(BAR, k)]
         bar = np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k] if some.shape[1] > k else np.full(len(sim), -np.inf)
-        row, at = np.divmod(np.flatnonzero(sim >= bar[:, None]), len(y))
+        row, at = np.divmod(np.flatnonzero(sim >= bar[:, None]), len(others))
         value = sim[row, at]
         real = value > -np.inf
         row, at, value = row[real], at[real], value[real]

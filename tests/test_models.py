@@ -162,20 +162,35 @@ def test_rounds_of_neighbourhoods_are_tried_where_they_are_cheaper(spark, monkey
     assert np.mean([r.similarity >= least[r.item_id] - 1e-9 for r in out]) >= 0.9
 
 
-def test_nearest_breaks_ties_and_leaves_own_ids_out():
-    """More columns than the bar's, whole vectors repeated and an id repeated: the best others, ties by the order of y."""
+def test_nearest_breaks_ties_and_takes_an_id_once():
+    """More columns than the bar's, whole vectors repeated and ids of several rows: the best other ids, ties by the order of y."""
     rnd = np.random.default_rng(2)
-    y = rnd.integers(-2, 3, size=(SV.BAR + 700, 3)).astype(float)
+    y = rnd.integers(-2, 3, size=(SV.BAR + 2500, 3)).astype(float)
     others = np.sort(rnd.integers(0, len(y) - 50, size=len(y)))
+    assert len(set(others.tolist())) > SV.BAR
     x, ids = y[::97], others[::97]
     a, b, c = (np.concatenate(z) for z in zip(*SV._nearest(x, ids, y, others, 4)))
     want = []
     for i, v in zip(ids, x):
-        order = sorted((-float(v @ w), at) for at, w in enumerate(y) if others[at] != i)[:4]
-        want += [(i, others[at], -s) for s, at in order]
+        best = {}
+        for o, w in zip(others, y):
+            if o != i:
+                best[o] = max(best.get(o, -np.inf), float(v @ w))
+        want += [(i, o, s) for o, s in sorted(best.items(), key=lambda z: (-z[1], z[0]))[:4]]
     assert list(zip(a, b, c)) == want
 
 
+def test_lists_stay_full_where_ids_repeat(spark):
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(400, 16))
+    rows = [(i, v) for i, v in enumerate(x.tolist())] * 3 + [(7, v) for v in rnd.normal(size=(30, 16)).tolist()]
+    df = spark.createDataFrame(rows, "item_id long, vector array<double>")
+    for exact in (True, False):
+        out = SV.similar_items(df, k=5, tables=2, bucket_items=16, exact=exact).groupBy("item_id").agg(
+            F.count("*").alias("n"), F.count_distinct("similar_id").alias("d")).collect()
+        assert len(out) == 400 and all(r.n == r.d == 5 for r in out)
+
+
 def test_exact_lists_on_request(spark):
     rnd = np.random.default_rng(1)
     x = rnd.normal(size=(600, 8))
