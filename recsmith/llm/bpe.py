@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import in_slices, read_table
+from recsmith.llm.common import in_slices, read_table, worker_tables
 
 # The byte-level pre-splitting pattern, and Unicode white space.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -261,15 +261,14 @@ class Codec:
         return self.automaton.decode(ids).decode("utf-8", errors="replace")
 
 
-_codecs: dict[str, Codec] = {}  # of this worker process; one tokenizer file at a time
-
-
 def codec(spec: str) -> Codec:
+    """The codec that this worker process keeps; one tokenizer file at a time."""
+    kept = worker_tables("bpe")
     key = hashlib.sha1(spec.encode("utf-8")).hexdigest()
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(spec)
-    return _codecs[key]
+    if key not in kept:
+        kept.clear()
+        kept[key] = Codec(spec)
+    return kept[key]
 
 
 def _sha256(data: bytes) -> str:

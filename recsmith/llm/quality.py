@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import held_out, in_slices, read_table, training_row
+from recsmith.llm.common import held_out, in_slices, read_table, training_row, worker_tables
 from recsmith.session import materialize
 
 FEATURES, GAMMA, RIDGE, SEED = 256, 0.02, 1e-3, 7
@@ -70,6 +70,7 @@ def text_statistics(text: str | None) -> np.ndarray:
 def statistics(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ..) -> doc_id, stats array<float> of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("quality")
         for b in in_slices(batches):
             rows = [text_statistics(t).astype(np.float32) for t in b.column(1).to_pylist()]
             flat = np.concatenate(rows) if rows else np.zeros(0, np.float32)
@@ -225,6 +226,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     cols = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("quality")
         for b in in_slices(batches):
             x = np.array([text_statistics(t) for t in b.column("text").to_pylist()]).reshape(len(b), N_STATS)
             good = model.score(x.astype(np.float32).astype(np.float64)) >= threshold

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import in_slices, read_table
+from recsmith.llm.common import in_slices, read_table, worker_tables
 from recsmith.operators.split import with_global_index
 from recsmith.session import materialize
 
@@ -324,6 +324,7 @@ _CAND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("base",
 def scans(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ..) -> doc_id, base, cands of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("secrets")
         for b in in_slices(batches):
             found = [scan(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
@@ -372,6 +373,7 @@ def fit_in_parts(each: DataFrame, known: int, others: int, part_rows: int = PART
 
     def learned(state: list, round_: int):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            worker_tables("secrets")
             x, y, fold = _part(pdf)
             out, rows = [], []
             for i, start in enumerate(state):
@@ -495,6 +497,7 @@ def redact(docs: DataFrame) -> DataFrame:
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("secrets")
         for b in in_slices(batches):
             texts = b.column("text").to_pylist()
             seen = [scan(t) for t in texts]

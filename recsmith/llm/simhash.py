@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recsmith.llm.common import connected_components, in_slices, read_table
+from recsmith.llm.common import connected_components, in_slices, read_table, worker_tables
 from recsmith.session import materialize
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...]
                        *[F.col(c).alias(f"_keep_{c}") for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables("simhash")
         for b in in_slices(batches):
             fp = np.array([simhash(t, shingle) for t in b.column(1).to_pylist()], dtype="<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]],

@@ -1,4 +1,7 @@
 import hashlib
+import weakref
+
+import pytest
 
 import corpus_pipeline
 from recsmith.llm import bpe, mixing, quality, secret_scan, simhash
@@ -56,3 +59,27 @@ def test_odd_and_empty_documents(spark, odd_docs, no_docs, small):
             if name != "bpe":
                 assert out.columns == docs.columns, name
             docs = out
+
+
+class _Captured:
+    """Stands for documents: keeps the function that a stage runs in the workers."""
+
+    columns, schema = ["doc_id", "text"], {}
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, f, _):
+        self.run = f
+        return self
+
+
+@pytest.mark.parametrize("stage", [quality.statistics, simhash.fingerprints, secret_scan.scans])
+def test_a_worker_of_another_stage_lets_the_bpe_tables_go(spark, stage):
+    spec = bpe.read_tokenizer()
+    kept = weakref.ref(bpe.codec(spec))
+    assert bpe.codec(spec) is kept()
+    docs = _Captured()
+    stage(docs)
+    assert not list(docs.run(iter([])))
+    assert kept() is None
