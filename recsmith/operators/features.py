@@ -155,10 +155,10 @@ def interaction_features(interactions: DataFrame, users: DataFrame, items: DataF
                             state=state)
 
 
-def _rating_states(prefix: str) -> dict:
+def _rating_states(prefix: str, bounds: bool = True) -> dict:
     r = F.col("rating").cast("double")
-    return {f"_{prefix}_n": ("count", r), f"_{prefix}_s": ("sum", r), f"_{prefix}_q": ("sum", r * r),
-            f"{prefix}_rating_min": ("min", r), f"{prefix}_rating_max": ("max", r)}
+    least_and_greatest = {f"{prefix}_rating_min": ("min", r), f"{prefix}_rating_max": ("max", r)} if bounds else {}
+    return {f"_{prefix}_n": ("count", r), f"_{prefix}_s": ("sum", r), f"_{prefix}_q": ("sum", r * r), **least_and_greatest}
 
 
 def _from_states(df: DataFrame, prefix: str, total: str, avg: str, std: str) -> DataFrame:
@@ -169,7 +169,8 @@ def _from_states(df: DataFrame, prefix: str, total: str, avg: str, std: str) ->
             .drop(f"_{prefix}_n", f"_{prefix}_s", f"_{prefix}_q"))
 
 
-def statistics_as_of(interactions: DataFrame, time_col: str = "timestamp", num_partitions: int | None = None) -> DataFrame:
+def statistics_as_of(interactions: DataFrame, time_col: str = "timestamp", num_partitions: int | None = None,
+                     bounds: bool = True) -> DataFrame:
     """Every interaction with the statistics that were known strictly before it: of its user, its item and the pair (A1, A2,
     A6-A8: rated rows, mean, deviation, least and greatest rating, distinct partners), and the busiest user's and item's count so far.
 
@@ -177,13 +178,14 @@ def statistics_as_of(interactions: DataFrame, time_col: str = "timestamp", num_p
     shuffle (``prefix_states``), so an online store that folds ratings in one by one holds the same numbers.  One first row
     of each user and item is marked; the marks before a time are the number of distinct partners.
     Counts without history are 0, the other statistics NULL.  Rows without a time, or without the id concerned, have no history.
+    Without ``bounds`` the least and greatest ratings are left out: no later pass carries them.
     """
     cols = [*interactions.columns]
-    out = prefix_states(interactions, ["user_id", "item_id"], time_col, _rating_states("user_item"), num_partitions, first="_first")
+    out = prefix_states(interactions, ["user_id", "item_id"], time_col, _rating_states("user_item", bounds), num_partitions, first="_first")
     out = _from_states(out, "user_item", "user_item_interactions", "user_item_avg_rating", "user_item_rating_std")
     opens = F.when(F.col("_first"), 1)
     for side, other, key in (("user", "items", "user_id"), ("item", "users", "item_id")):
-        found = {**_rating_states(side), f"{side}_unique_{other}": ("count", opens)}
+        found = {**_rating_states(side, bounds), f"{side}_unique_{other}": ("count", opens)}
         out = _from_states(prefix_states(out, [key], time_col, found, num_partitions), side,
                            f"{side}_total_interactions", f"{side}_avg_rating", f"{side}_rating_std")
     out = out.drop("_first")
@@ -211,7 +213,7 @@ def ranking_features(interactions: DataFrame, users: DataFrame | None = None,
     ``point_in_time`` takes each row's statistics strictly before its time instead (M14), so no row sees its own rating.
     """
     if point_in_time:
-        own = statistics_as_of(interactions).drop(*[f"{p}_rating_{x}" for p in ("user", "item", "user_item") for x in ("min", "max")])
+        own = statistics_as_of(interactions, bounds=False)
         if users is not None:
             own = own.join(users, "user_id", "left")
         if items is not None:

@@ -82,6 +82,14 @@ def epoch_micros(df: DataFrame, ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def time_order(df: DataFrame, ts: str) -> Column:
+    """What rows are sorted by for their time: a time column itself has the order of its microseconds, and a sort evaluates
+    its keys again in every comparison."""
+    if isinstance(df.schema[ts].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.col(ts)
+    return epoch_micros(df, ts)
+
+
 def micros_time(df: DataFrame, ts: str, micros: Column) -> Column:
     """The inverse of ``epoch_micros``, in the column's type."""
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
@@ -279,7 +287,7 @@ def prefix_states(df: DataFrame, keys: list[str], ts: str, states: dict[str, tup
     types = {n: wide[df.select(c.alias("_v")).schema["_v"].dataType.typeName()] if kind != "count" else "long" for n, (kind, c) in asked.items()}
     asked = {n: (kind, F.when(known, c if kind == "count" else c.cast(types[n]))) for n, (kind, c) in asked.items()}
     # a count needs to know only whether there is a value
-    time, read = epoch_micros(df, ts), [F.when(c.isNotNull(), True) if kind == "count" else c for kind, c in asked.values()]
+    time, read = time_order(df, ts), [F.when(c.isNotNull(), True) if kind == "count" else c for kind, c in asked.values()]
     read = [c.alias(f"_read_{i}") for i, c in enumerate([*map(F.col, keys), time, *read])]
     fields = [T.StructField(f"_own_{n}", T.DoubleType() if types[n] == "double" else T.LongType()) for n in asked]
     kinds, place, n_keys = [kind for kind, _ in asked.values()], len(states) if first is not None else -1, len(keys)

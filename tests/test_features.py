@@ -182,3 +182,16 @@ def test_ranking_features_shuffle_no_row_with_the_item_columns(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert any("session_id" in c for c in met)
     assert not [c for c in met if "session_id" in c and "title" in c]
+
+
+def test_as_of_passes_sort_by_the_time_column_and_leave_out_bounds(spark):
+    """A sort evaluates its keys in every comparison, so the key is the column; what no output shows is not carried."""
+    from recsmith.operators import sequence as S
+    from recsmith.sources import fixtures
+    rows = fixtures.interactions(spark, "/root/testdata/sf0.001")
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = rows.withColumn("timestamp", F.col("timestamp").cast(kind))
+        assert str(S.time_order(df, "timestamp")) == str(F.col("timestamp"))
+    bare, whole = FE.statistics_as_of(rows, bounds=False), FE.statistics_as_of(rows)
+    assert set(whole.columns) - set(bare.columns) == {f"{p}_rating_{x}" for p in ("user", "item", "user_item") for x in ("min", "max")}
+    assert bare.exceptAll(whole.select(*bare.columns)).count() == 0
