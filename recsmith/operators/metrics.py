@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.columns import UNKNOWN
+from recsmith.session import materialize
 
 DEFAULT_KS = (5, 10, 20)
 RESULT_DECIMALS = 10
@@ -119,31 +120,41 @@ def novelty(recs: DataFrame, test: DataFrame) -> DataFrame:
 def per_user_table(recs: DataFrame, test: DataFrame, items: DataFrame, ks=DEFAULT_KS) -> DataFrame:
     """One row per recommended user with every per-user quantity the suite needs.
 
-    Lists are bounded by K per user, so the windows here never hold more than a
-    list's rows; everything else is joins and grouped aggregates.
+    Nearly all lists hold the same few items, so what is known of an item is looked up once for each distinct recommended one, in
+    a table that is broadcast where it is small, and no join key holds all users.  The lists then meet their users in one
+    shuffle: they are bounded by K per user, so no window there holds more than a list's rows.
     """
-    counts = test.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n_item"))
+    counts = materialize(test.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n_item")))
     max_n = counts.select(F.max("_n_item")).scalar()
-    rows = (recs.join(last_ratings(test), ["user_id", "item_id"], "left")
-                .join(items.select("item_id", "genre"), "item_id", "left")
-                .join(counts, "item_id", "left")
+    used = materialize(recs.select("item_id").where(F.col("item_id").isNotNull()).distinct())
+    about = materialize(used.join(items.select("item_id", "genre"), "item_id", "left").join(counts, "item_id", "left"))
+    # a hit and a gain are of recommended items
+    rel = last_ratings(test.join(used, "item_id", "left_semi")).withColumn("_met", F.lit(True))
+    first = Window.partitionBy("user_id", "item_id").orderBy(F.col("rank").asc_nulls_last())
+    rows = (recs.join(rel, ["user_id", "item_id"], "left").join(about, "item_id", "left").repartition("user_id")
                 .withColumn("g", F.coalesce("rel", F.lit(0.0)))
-                .withColumn("nov", F.lit(1.0) - F.coalesce(F.col("_n_item"), F.lit(0)) / max_n))
+                .withColumn("nov", F.lit(1.0) - F.coalesce(F.col("_n_item"), F.lit(0)) / max_n)
+                .withColumn("_once", F.row_number().over(first) == 1)
+                .withColumn("_opens", F.row_number().over(Window.partitionBy("user_id", "genre").orderBy("rank")) == 1))
     for k in ks:
         w = Window.partitionBy("user_id", F.col("rank") <= k).orderBy(F.col("g").desc())
         rows = rows.withColumn(f"_ip_{k}", F.row_number().over(w))
     aggs = []
     for k in ks:
         in_k = F.col("rank") <= k
-        aggs.append(F.sum(F.when(in_k, F.col("g") / F.log2(F.col("rank") + 1))).alias(f"dcg_{k}"))
-        aggs.append(F.sum(F.when(in_k, F.col("g") / F.log2(F.col(f"_ip_{k}") + 1))).alias(f"idcg_{k}"))
-    known = F.when(F.col("genre") != "", F.col("genre"))
-    per_list = rows.groupBy("user_id").agg(
-        *aggs, F.count(F.lit(1)).alias("n_list"),
-        F.count_distinct(F.coalesce("genre", F.lit(UNKNOWN))).alias("n_genres_unknown"),
-        F.count_distinct(known).alias("n_genres_known"),
+        aggs += [F.count(F.when(in_k & F.col("_once"), 1)).alias(f"n_rec_{k}"),
+                 F.count(F.when(in_k & F.col("_once") & F.col("_met"), 1)).alias(f"hits_{k}"),
+                 F.sum(F.when(in_k, F.col("g") / F.log2(F.col("rank") + 1))).alias(f"dcg_{k}"),
+                 F.sum(F.when(in_k, F.col("g") / F.log2(F.col(f"_ip_{k}") + 1))).alias(f"idcg_{k}")]
+    # each genre is counted at its first row; a missing one counts as UNKNOWN, also where that is a genre of the list
+    both = F.max(F.col("genre").isNull()) & F.coalesce(F.max(F.col("genre") == UNKNOWN), F.lit(False))
+    per_list = rows.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+        *aggs, F.min(F.when(F.col("_met"), F.col("rank"))).alias("first_hit"), F.count(F.lit(1)).alias("n_list"),
+        (F.count(F.when(F.col("_opens"), 1)) - both.cast("long")).alias("n_genres_unknown"),
+        F.count(F.when(F.col("_opens") & (F.col("genre") != ""), 1)).alias("n_genres_known"),
         F.sum("nov").alias("novelty_sum"))
-    out = per_user_hits(recs, test, ks).join(per_list, "user_id")
+    n_actual = _actual(test).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
+    out = per_list.join(n_actual, "user_id", "left").fillna(0, subset=["n_actual"])
     for k in ks:
         out = out.withColumn(f"ndcg_{k}", F.when(F.col(f"idcg_{k}") > 0, F.col(f"dcg_{k}") / F.col(f"idcg_{k}"))
                                            .otherwise(F.lit(0.0)))

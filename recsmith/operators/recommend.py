@@ -171,6 +171,7 @@ def other_users_items(test: DataFrame, n: int = 10, time_col: str = "timestamp")
                       .groupBy("item_id")
                       .agg(F.min_by("user_id", "s").alias("u1"), F.min("s").alias("s1"),
                            F.max(F.when(F.col("_r") == 2, F.col("s"))).alias("s2")))
+    firsts = materialize(firsts)  # read three times below
     owned = firsts.groupBy(F.col("u1").alias("user_id")).agg(F.count(F.lit(1)).alias("n_owned"))
     ordered = (with_global_index(firsts, [F.col("s1")], "_p")
                .select((F.col("_p") + 1).alias("pos"), F.struct("item_id", "u1", "s1").alias("entry")))

@@ -7,6 +7,7 @@ one DataFrame plan over every user that has test rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,22 +27,26 @@ class ChainInputs:
     interactions: DataFrame
     train: DataFrame
     test: DataFrame
-    scores: DataFrame
     history: DataFrame
     targets: DataFrame
 
+    @cached_property
+    def scores(self) -> DataFrame:
+        """Base scores of the catalogue, written when a recommender first asks for them."""
+        return materialize(recommend.base_scores(self.items, self.train))
+
 
 def prepare(users: DataFrame, items: DataFrame, interactions: DataFrame,
             test_ratio: float = TEST_RATIO, min_test: int = 1) -> ChainInputs:
     # The split is filters on the stored input plus a small ranked band whose positions
-    # are a function of the data: each consumer re-reads it instead of a full rewrite.
+    # are a function of the data: readers of the train rows re-read it instead of a full rewrite.
+    # The few test rows are written once, since every metric reads them again.
     flagged = split.flag_temporal_split(interactions, test_ratio, min_test=min_test)
     train = flagged.where(~F.col("is_test")).drop("is_test")
-    test = flagged.where(F.col("is_test")).drop("is_test")
-    scores = materialize(recommend.base_scores(items, train))
+    test = materialize(flagged.where(F.col("is_test")).drop("is_test"))
     history = recommend.user_history(train)
     targets = test.select("user_id").distinct()
-    return ChainInputs(users, items, interactions, train, test, scores, history, targets)
+    return ChainInputs(users, items, interactions, train, test, history, targets)
 
 
 def prepare_fixture(spark: SparkSession, sf_dir: str, test_ratio: float = TEST_RATIO,

@@ -225,7 +225,7 @@ LEFT JOIN ndcg_10 USING (user_id) GROUP BY variant""", osql.chain(10, osql.metri
 def q_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stable A/B assignment of the test users and metrics of the top-10 lists per variant."""
     c = local_chain.prepare_fixture(spark, sf_dir)
-    recs = local_chain.recommendations(c, 10)
+    recs = local_chain.recommendations(c, 10, keep=True)
     per = ME.per_user_table(recs, c.test, c.items, (10,))
     out = MO.variant_metrics(per, MO.assign_variants(c.targets))
     return out.select("variant", "users", *[F.round(m, 9).alias(m) for m in out.columns if m not in ("variant", "users")])
@@ -275,7 +275,7 @@ def q_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recsmith.session import materialize
     c = local_chain.prepare_fixture(spark, sf_dir)
     ours = ME.evaluation_suite(local_chain.recommendations(c, 20, keep=True), c.test, c.items)
-    c0 = local_chain.prepare_fixture(spark, sf_dir, min_test=0)
+    c0 = local_chain.prepare(c.users, c.items, c.interactions, min_test=0)
     other = ME.evaluation_suite(materialize(R.other_users_items(c0.test, 10)), c0.test, c0.items)
     return MO.compare_versions({"genre_popularity": ours, "other_users": other})
 

@@ -91,3 +91,46 @@ def test_ndcg_is_one_for_ideal_order(spark):
     recs = spark.createDataFrame([(1, 1, 1), (1, 2, 2), (1, 3, 3)], REC_SCHEMA)
     test = spark.createDataFrame([(1, 1, 5.0, 1), (1, 2, 4.0, 2), (1, 3, 1.0, 3)], TEST_SCHEMA)
     assert M.ndcg_at_k(recs, test, 3).first()[0] == pytest.approx(1.0)
+
+
+def test_lists_meet_a_large_catalogue_without_a_shuffle_by_item(spark):
+    """Nearly all lists hold the same items: a join of the lists by item would give one task nearly all rows."""
+    from pyspark.sql import functions as F
+    from recsmith.session import materialize
+    recs = materialize(spark.range(2000).select((F.col("id") % 200).alias("user_id"), F.floor(F.col("id") / 200 + 1).alias("rank"),
+                                                F.floor(F.col("id") / 200).alias("item_id")))
+    test = materialize(spark.range(40_000).select((F.col("id") % 200).alias("user_id"), F.col("id").alias("item_id"),
+                                                  F.lit(4.0).alias("rating"), F.col("id").alias("timestamp")))
+    items = materialize(spark.range(40_000).select(F.col("id").alias("item_id"), F.md5(F.col("id").cast("string").cast("binary")).alias("genre")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        out = M.per_user_table(recs, test, items)
+        assert out.count() == 200
+        rows = {r["user_id"]: r for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(item_id" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [rows[u]["hits_10"] for u in range(11)] == [1] * 10 + [0] and rows[0]["n_genres_known"] == 10 and rows[3]["first_hit"] == 4
+
+
+def test_repeats_and_missing_values_in_lists(spark):
+    """An item twice in a list counts at its first place, a list's item without an id counts as an item, a missing genre
+    and the genre of that name are one."""
+    recs = spark.createDataFrame([(1, 1, 7), (1, 2, 7), (1, 3, None), (1, 4, 8), (1, 5, 9), (None, 1, 7), (2, 1, 7)], REC_SCHEMA)
+    test = spark.createDataFrame([(1, 7, 2.0, 1), (1, 7, 3.0, 2), (1, None, 1.0, 1), (1, 9, None, 1), (None, 7, 5.0, 1)], TEST_SCHEMA)
+    items = spark.createDataFrame([(7, "Unknown"), (8, None), (9, "")], ITEM_SCHEMA)
+    rows = {r["user_id"]: r for r in M.per_user_table(recs, test, items, (3, 5)).collect()}
+    assert set(rows) == {1, 2}
+    one = rows[1]
+    assert (one["n_actual"], one["n_rec_3"], one["n_rec_5"], one["hits_3"], one["hits_5"], one["first_hit"]) == (3, 2, 4, 1, 2, 1)
+    assert (one["n_list"], one["n_genres_unknown"], one["n_genres_known"]) == (5, 2, 1)
+    assert rows[2]["n_actual"] == rows[2]["hits_5"] == 0 and rows[2]["first_hit"] is None
+
+
+def test_the_placeholder_chain_scores_no_catalogue(spark):
+    from recsmith.plans import local_chain
+    c = local_chain.prepare_fixture(spark, "/root/testdata/sf0.001", min_test=0)
+    assert "scores" not in vars(c)
+    assert c.scores.count() == c.items.count() and c.scores is c.scores
