@@ -34,60 +34,152 @@ def tokens(df: DataFrame, text_col: str, stop_words: list[str] | None = None) ->
     return df.withColumn("_tokens", toks)
 
 
-def tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 100,
-          stop_words: list[str] | None = None) -> DataFrame:
-    """Long sparse TF-IDF ``(id, term, col, weight)``; ``col`` is the term's
-    position in the alphabetically sorted vocabulary.
+def _vocabulary(docs: DataFrame, max_features: int) -> DataFrame:
+    """The most frequent terms, ties by term, as ``(term, col)``: a top-k report of at most ``max_features`` rows.  A batch's terms are
+    counted before they become rows."""
+    def count(batches):
+        for batch in batches:
+            met = pc.value_counts(batch.column("_tokens").flatten().cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([met.field("values"), met.field("counts")], names=["term", "n"])
+
+    vocab = (docs.select("_tokens").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("total"))
+             .orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features))
+    return materialize(vocab.select("term", (F.row_number().over(Window.orderBy("term")) - 1).cast("long").alias("col")))
+
+
+def _lists(lengths: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(values))
+
+
+def _counted(docs: DataFrame, id_col: str, terms: list[str]) -> DataFrame:
+    """``(id, cols, tfs)``: a row's vocabulary terms and how often each occurs, counted where the row lies; nothing is shuffled.
+    Written once."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def count(batches):
+        known = pa.array(shared.value, pa.string())
+        for batch in batches:
+            tokens = batch.column("_tokens")
+            col = pc.index_in(tokens.flatten().cast(pa.string()), known)
+            doc = np.repeat(np.arange(batch.num_rows), pc.list_value_length(tokens).to_numpy(zero_copy_only=False))
+            met = pc.is_valid(col).to_numpy(zero_copy_only=False)
+            cell = doc[met] * len(known) + col.drop_null().to_numpy()
+            cell, tf = np.unique(cell, return_counts=True)
+            lengths = np.bincount(cell // max(len(known), 1), minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), _lists(lengths, (cell % max(len(known), 1)).astype(np.int32)),
+                                              _lists(lengths, tf.astype(np.int64))], names=[id_col, "cols", "tfs"])
+
+    schema = T.StructType([docs.schema[id_col], T.StructField("cols", T.ArrayType(T.IntegerType())), T.StructField("tfs", T.ArrayType(T.LongType()))])
+    return materialize(docs.select(id_col, "_tokens").mapInArrow(count, schema))
+
 
-    The vocabulary depends on the terms' totals alone, so it is found first, and only its cells are shuffled by document: one row a
-    document and vocabulary term, whatever else the texts hold.  They are written once; document frequencies and row lengths read them."""
+def _merged(counted: DataFrame, id_col: str) -> DataFrame:
+    """``(id, n, cols, tfs)``, a row an id of ``n`` counted rows.  Only ids of several rows, NULL among them, are shuffled by cell."""
+    repeated = counted.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull())
+    repeated = materialize(repeated.withColumnRenamed(id_col, "_id"))
+    alone = counted.select(id_col, F.lit(1).cast("long").alias("n"), "cols", "tfs")
+    if repeated.isEmpty():
+        return alone
+    same = F.col(id_col).eqNullSafe(F.col("_id"))
+    cells = (counted.join(repeated, same).select("_id", F.explode(F.arrays_zip("cols", "tfs")).alias("_c"))
+             .groupBy("_id", F.col("_c.cols").alias("col")).agg(F.sum("_c.tfs").alias("tf")))
+    lists = cells.groupBy(F.col("_id").alias(id_col)).agg(F.collect_list(F.struct("col", "tf")).alias("_cells"))
+    whole = repeated.join(lists, same, "left").select(
+        F.col("_id").alias(id_col), "n", F.coalesce(F.col("_cells.col"), F.array().cast("array<int>")).alias("cols"),
+        F.coalesce(F.col("_cells.tf"), F.array().cast("array<bigint>")).alias("tfs"))
+    return materialize(alone.join(repeated.select("_id"), same, "left_anti").unionByName(whole))
+
+
+def tfidf_rows(df: DataFrame, id_col: str, text_col: str, max_features: int = 100,
+               stop_words: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """P15 as one row an id, ``(id, n, cols, weights)``, and the vocabulary ``(term, col)``; an id of ``n`` rows has each of its cells once.
+
+    The vocabulary depends on the terms' totals alone, so it is found first, and only its terms are counted.  A document is one row, so its
+    counts and its length need no shuffle; the document frequencies are one aggregate by term."""
     stop = default_stop_words() if stop_words is None else stop_words
     docs = tokens(df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), "_text", stop)
-    n_docs = df.select(F.count(F.lit(1))).scalar()
-    words = docs.select(id_col, F.explode("_tokens").alias("term"))
-    # vocabulary: the most frequent terms, ties by term; a top-k report (limit is the feature)
-    vocab = (words.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-             .orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features))
-    vocab = materialize(vocab.select("term", (F.row_number().over(Window.orderBy("term")) - 1).cast("long").alias("col")))  # <= max_features rows
-    cells = materialize(words.join(F.broadcast(vocab), "term").groupBy(id_col, "col").agg(F.count(F.lit(1)).alias("tf")))
+    n_docs = df.count()
+    vocab = _vocabulary(docs, max_features)
+    terms = [r.term for r in vocab.orderBy("col").collect()]  # at most max_features
+    rows = _merged(_counted(docs, id_col, terms), id_col)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    known = vocab.join(cells.groupBy("col").agg(F.count(F.lit(1)).alias("df")), "col").select("col", "term", idf.alias("idf"))
-    w = cells.join(F.broadcast(known), "col").withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))
-    rows = (w.join(norm, id_col)
-             .select(F.col(id_col).alias("_id"), "term", "col", (F.col("raw") / F.col("_norm")).alias("weight")))
+    known = rows.select(F.explode("cols").alias("col")).groupBy("col").agg(F.count(F.lit(1)).alias("df")).select("col", idf.alias("idf")).toPandas()
+    each = np.zeros(len(terms))  # at most max_features numbers
+    each[known["col"].to_numpy(dtype=np.int64)] = known["idf"].to_numpy()
+    shared = df.sparkSession.sparkContext.broadcast(each)
+
+    def weigh(batches):
+        for batch in batches:
+            unknown = pc.is_null(batch.column(id_col)).to_numpy(zero_copy_only=False)  # NULL is nobody's id: counted above, without cells
+            lengths = pc.list_value_length(batch.column("cols")).to_numpy(zero_copy_only=False).astype(np.int64)
+            cols, tfs = batch.column("cols").flatten().to_numpy(), batch.column("tfs").flatten().to_numpy()
+            doc = np.repeat(np.arange(batch.num_rows), lengths)
+            raw = tfs * shared.value[cols]
+            weights = raw / np.sqrt(np.bincount(doc, weights=raw * raw, minlength=batch.num_rows))[doc]
+            kept = ~unknown[doc]
+            lengths = np.where(unknown, 0, lengths)
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), batch.column("n"), _lists(lengths, cols[kept]), _lists(lengths, weights[kept])],
+                                             names=[id_col, "n", "cols", "weights"])
+
+    schema = T.StructType([df.schema[id_col], T.StructField("n", T.LongType()), T.StructField("cols", T.ArrayType(T.IntegerType())),
+                           T.StructField("weights", T.ArrayType(T.DoubleType()))])
+    return rows.mapInArrow(weigh, schema), vocab
+
+
+def tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 100,
+          stop_words: list[str] | None = None) -> DataFrame:
+    """Long sparse TF-IDF ``(id, term, col, weight)``; ``col`` is the term's
+    position in the alphabetically sorted vocabulary.  The long form of ``tfidf_rows``: a row of ``df`` each of its id's cells."""
+    rows, vocab = tfidf_rows(df, id_col, text_col, max_features, stop_words)
+    rows = rows.select(id_col, "cols", "weights", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_row"))
     # a document without any vocabulary term keeps a row: term and col NULL, weight 0
-    return (df.select(id_col).join(rows, F.col(id_col) == F.col("_id"), "left")
-            .select(id_col, "term", "col", F.coalesce("weight", F.lit(0.0)).alias("weight")))
+    cells = rows.select(id_col, F.explode_outer(F.arrays_zip("cols", "weights")).alias("_c"))
+    cells = cells.select(id_col, F.col("_c.cols").cast("long").alias("col"), F.coalesce("_c.weights", F.lit(0.0)).alias("weight"))
+    return cells.join(F.broadcast(vocab), "col", "left").select(id_col, "term", "col", "weight")
 
 
 #: The first block of the subspace: a vocabulary of no more terms is spanned by it, and one pass is exact.
 FIRST_BLOCK = 128
-#: Cells multiplied at a time in a task: cells x width of the block are held.
-CELLS = 32_768
+#: Documents and their cells multiplied at a time in a task, as a dense block over the terms they hold: at most about 64 x 4,096 numbers,
+#: which stay in a core's cache (a longer document is taken whole).
+DOCUMENTS, CELLS = 64, 4_096
 
 
 def sparse_rows(long: DataFrame, id_col: str) -> DataFrame:
-    """The long table as one row a document, ``(id, cols, weights)``; a row holds at most one cell a term.  Written once, since
-    every pass reads it."""
+    """The long table as one row a document, ``(id, n, cols, weights)``; cells that repeat add up.  Written once, since every pass
+    reads it."""
     cells = F.collect_list(F.when(F.col("col").isNotNull(), F.struct("col", "weight")))
     rows = long.groupBy(id_col).agg(cells.alias("_cells"))
-    return materialize(rows.select(id_col, F.col("_cells.col").alias("cols"), F.col("_cells.weight").alias("weights")))
+    return materialize(rows.select(id_col, F.lit(1).cast("long").alias("n"), F.col("_cells.col").alias("cols"), F.col("_cells.weight").alias("weights")))
 
 
-def _cells(batch):
-    """A batch in stretches of whole documents of about ``CELLS`` cells: (documents with cells, their first cells, cols, weights)."""
+def _blocks(batch, size: int):
+    """A batch in blocks of whole documents, over the terms that these hold: (documents with cells, terms, cells' places in the block, their
+    weights).  A row that counts ``n`` times has n times its weights."""
     lengths = pc.fill_null(pc.list_value_length(batch.column("cols")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     cols = batch.column("cols").flatten().to_numpy(zero_copy_only=False)
     weights = batch.column("weights").flatten().to_numpy(zero_copy_only=False)
+    weights = weights * np.repeat(batch.column("n").to_numpy(zero_copy_only=False), lengths)
     docs = np.flatnonzero(lengths)
-    begins = np.cumsum(lengths)[docs] - lengths[docs]
-    stretch = begins // CELLS
-    for s in np.unique(stretch):
-        inside = stretch == s
-        first = begins[inside][0]
-        end = begins[inside][-1] + lengths[docs[inside][-1]]
-        yield docs[inside], begins[inside] - first, cols[first:end], weights[first:end]
+    ends = np.cumsum(lengths)[docs]
+    begins = ends - lengths[docs]
+    place = np.zeros(size, dtype=np.int64)
+    i = 0
+    while i < len(docs):
+        j = min(i + DOCUMENTS, max(i + 1, int(np.searchsorted(ends, begins[i] + CELLS, side="right"))))
+        inside = cols[begins[i]:ends[j - 1]]
+        place[inside] = 1
+        terms = np.flatnonzero(place)
+        place[terms] = np.arange(len(terms))
+        cells = np.repeat(np.arange(j - i) * len(terms), lengths[docs[i:j]]) + place[inside]
+        place[terms] = 0
+        yield docs[i:j], terms, cells, weights[begins[i]:ends[j - 1]]
+        i = j
+
+
+def _dense(documents: int, terms: np.ndarray, cells: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The block's documents x terms; cells that repeat add up."""
+    return np.bincount(cells, weights=weights, minlength=documents * len(terms)).reshape(documents, len(terms))
 
 
 def _gram_product(rows: DataFrame, size: int, block: np.ndarray) -> np.ndarray:
@@ -99,12 +191,9 @@ def _gram_product(rows: DataFrame, size: int, block: np.ndarray) -> np.ndarray:
     def products(batches):
         v, total, met = shared.value, np.zeros((size, width)), np.zeros(size, dtype=bool)
         for batch in batches:
-            for _, begins, cols, weights in _cells(batch):
-                along = np.add.reduceat(weights[:, None] * v[cols], begins, axis=0)  # a row of A·block for each document
-                doc = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(cols))))
-                order = np.argsort(cols, kind="stable")
-                terms, at = np.unique(cols[order], return_index=True)
-                total[terms] += np.add.reduceat(weights[order, None] * along[doc[order]], at, axis=0)
+            for docs, terms, cells, weights in _blocks(batch, size):
+                part = _dense(len(docs), terms, cells, weights)
+                total[terms] += part.T @ (part @ v[terms])
                 met[terms] = True
         terms = np.flatnonzero(met)
         for i in range(0, len(terms), 4096):
@@ -113,7 +202,7 @@ def _gram_product(rows: DataFrame, size: int, block: np.ndarray) -> np.ndarray:
                                              names=["col", *[f"y{j}" for j in range(width)]])
 
     names = [f"y{j}" for j in range(width)]
-    sums = (rows.select("cols", "weights").coalesce(spark.sparkContext.defaultParallelism)
+    sums = (rows.select("n", "cols", "weights").coalesce(spark.sparkContext.defaultParallelism)
             .mapInArrow(products, "col long, " + ", ".join(f"{n} double" for n in names))
             .groupBy("col").agg(*[F.sum(n).alias(n) for n in names])).toPandas()  # at most size x width numbers
     shared.unpersist()
@@ -156,12 +245,13 @@ def right_factors(rows: DataFrame, size: int, k: int, tolerance: float = 1e-10,
     raise RuntimeError(f"the subspace has not settled within {max_passes} passes")
 
 
-def truncated_svd(long: DataFrame, id_col: str, size: int, k: int = 20) -> tuple[DataFrame, list[float]]:
+def truncated_svd(matrix: DataFrame, id_col: str, size: int, k: int = 20) -> tuple[DataFrame, list[float]]:
     """Rank-k SVD of the (uncentred) TF-IDF matrix; returns (id, svd_0..svd_{k-1}) = U·S and the singular values.
 
+    ``matrix`` is the long table, or the rows of ``tfidf_rows``, which every pass reads: the caller has them written.
     The right factor comes from ``right_factors``, and the projection A·V is one more pass, a document at a time.  No document meets
     itself in a join, so a row costs its cells, not their square.  Documents without terms have all components 0."""
-    rows = sparse_rows(long, id_col)
+    rows = matrix if "cols" in matrix.columns else sparse_rows(matrix, id_col)
     values, vectors, _ = right_factors(rows, size, k)
     shared, width = rows.sparkSession.sparkContext.broadcast(vectors), vectors.shape[1]
     names = [f"svd_{j}" for j in range(width)]
@@ -169,9 +259,9 @@ def truncated_svd(long: DataFrame, id_col: str, size: int, k: int = 20) -> tuple
     def project(batches):
         for batch in batches:
             out = np.zeros((batch.num_rows, width))
-            for docs, begins, cols, weights in _cells(batch):
-                out[docs] = np.add.reduceat(weights[:, None] * shared.value[cols], begins, axis=0)
+            for docs, terms, cells, weights in _blocks(batch, size):
+                out[docs] = _dense(len(docs), terms, cells, weights) @ shared.value[terms]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), *[pa.array(out[:, j]) for j in range(width)]], names=[id_col, *names])
 
-    schema = T.StructType([long.schema[id_col], *[T.StructField(n, T.DoubleType()) for n in names]])
+    schema = T.StructType([matrix.schema[id_col], *[T.StructField(n, T.DoubleType()) for n in names]])
     return rows.mapInArrow(project, schema), [float(x) for x in np.sqrt(values)]

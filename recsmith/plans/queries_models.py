@@ -89,12 +89,12 @@ def q_document_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P16 with a wide vocabulary: 20 components of the 10,000 most frequent words of the documents.  The columns of U·S are orthogonal and
     have the singular values' lengths, and AᵀU·S, by a join, has their squares': so each is an eigenvector's."""
     docs = fixtures.read_table(spark, sf_dir, "documents")
-    long = materialize(TX.tfidf(docs, "doc_id", "text", 10_000, stop_words=[]))
-    out, values = TX.truncated_svd(long, "doc_id", 10_000, 20)
+    rows = materialize(TX.tfidf_rows(docs, "doc_id", "text", 10_000, stop_words=[])[0])
+    out, values = TX.truncated_svd(rows, "doc_id", 10_000, 20)
     out = materialize(out)
     names = out.columns[1:]
-    back = (long.where(F.col("col").isNotNull()).join(out, "doc_id").groupBy("col")
-            .agg(*[F.sum(F.col("weight") * F.col(n)).alias(n) for n in names]))
+    cells = rows.join(out, "doc_id").select("n", *names, F.explode(F.arrays_zip("cols", "weights")).alias("_c"))
+    back = cells.groupBy("_c.cols").agg(*[F.sum(F.col("_c.weights") * F.col("n") * F.col(n)).alias(n) for n in names])
     images = back.agg(*[F.sqrt(F.sum(F.col(n) * F.col(n))).alias(n) for n in names])
     settled = F.greatest(*[F.abs(F.col(n) - F.lit(v * v)) for n, v in zip(names, values)]) < 1e-8 * values[0] ** 2
     lengths = [F.abs(F.sqrt(F.sum(F.col(n) * F.col(n))) - F.lit(v)) for n, v in zip(names, values)]

@@ -312,6 +312,57 @@ def test_svd_of_a_wide_vocabulary_matches_numpy(spark, monkeypatch):
         TX.right_factors(rows, size, k, max_passes=2)
 
 
+def test_tfidf_of_repeated_and_null_ids(spark):
+    """An id of several rows is one document, each of its rows has its cells; NULL is nobody's id, but its terms count as a document's."""
+    rows = [(1, "a1 a1 b1"), (1, "a1 c1"), (None, "b1 d1"), (None, "b1"), (2, "b1 the zz zz"), (3, "x"), (4, None)]
+    docs = spark.createDataFrame(rows, "id long, t string")
+    tf = {1: {"a1": 3, "b1": 1, "c1": 1}, None: {"b1": 2, "d1": 1}, 2: {"b1": 1, "the": 1, "zz": 2}}
+    terms = sorted({t for c in tf.values() for t in c})
+    idf = {t: np.log((1 + 7) / (1 + sum(t in c for c in tf.values()))) + 1 for t in terms}
+    want = []
+    for i, _ in rows:
+        raw = {t: n * idf[t] for t, n in tf.get(i, {}).items()} if i is not None else {}
+        norm = np.sqrt(sum(v * v for v in raw.values()))
+        want += [(i, t, terms.index(t), round(v / norm, 9)) for t, v in raw.items()] or [(i, None, None, 0.0)]
+    long = TX.tfidf(docs, "id", "t", 10, stop_words=[])
+    got = [(r.id, r.term, r.col, round(r.weight, 9)) for r in long.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and long.columns == ["id", "term", "col", "weight"]
+    # the compact rows and the long table are the same matrix
+    a, s = TX.truncated_svd(TX.tfidf_rows(docs, "id", "t", 10, stop_words=[])[0], "id", len(terms), 2)
+    b, z = TX.truncated_svd(long, "id", len(terms), 2)
+    assert s == pytest.approx(z, abs=1e-12)
+    a, b = ({r.id: list(r)[1:] for r in x.collect()} for x in (a, b))
+    assert sorted(a, key=str) == sorted(b, key=str) == [1, 2, 3, 4, None]
+    assert all(a[i] == pytest.approx(b[i], abs=1e-9) for i in a)
+
+
+def test_tfidf_shuffles_no_document(spark):
+    """Where ids do not repeat, no cell and no document is shuffled: the counts, lengths and weights are made where the text lies."""
+    docs = spark.createDataFrame([(i, f"red w{i % 7}") for i in range(40)], "id long, t string")
+    rows, _ = TX.tfidf_rows(docs, "id", "t", 100, stop_words=[])
+    for df in (rows, TX.tfidf(docs, "id", "t", 100, stop_words=[])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_blocks_are_bounded():
+    """Dense blocks hold whole documents, few enough to stay small; a document longer than a block is taken whole."""
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    cols = [sorted(rng.choice(9000, size=n, replace=False).tolist()) for n in (0, 5, 8000, 1, *[2] * 300, *[900] * 20)]
+    weights = [rng.random(len(c)).tolist() for c in cols]
+    batch = pa.RecordBatch.from_arrays([pa.array([1 + i % 2 for i in range(len(cols))]), pa.array(cols, pa.list_(pa.int32())),
+                                        pa.array(weights, pa.list_(pa.float64()))], names=["n", "cols", "weights"])
+    met = []
+    for docs, terms, cells, found in TX._blocks(batch, 9000):
+        block = TX._dense(len(docs), terms, cells, found)
+        assert block.shape == (len(docs), len(terms)) and (len(docs) == 1 or len(docs) <= TX.DOCUMENTS and len(terms) <= TX.CELLS)
+        for d, row in zip(docs, block):
+            assert {int(terms[j]): row[j] for j in np.flatnonzero(row)} == {c: w * (1 + d % 2) for c, w in zip(cols[d], weights[d])}
+        met += docs.tolist()
+    assert met == [i for i, c in enumerate(cols) if c]
+
+
 def test_svd_of_nothing(spark):
     none = spark.createDataFrame([], "id string, col long, weight double")
     out, sing = TX.truncated_svd(none, "id", 4, 2)
