@@ -106,7 +106,8 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     high_b, low_b = embedding(F.col("b"))
     d_high, d_low = F.bit_count(high_a.bitwiseXOR(high_b)), F.bit_count(low_a.bitwiseXOR(low_b))
     once = (~F.col("same") | (F.col("a") < F.col("b"))) & ((F.col("half") == 0) | (d_high > 1))
-    return (probes.join(stored, "key").where(once & (d_high + d_low <= max_bits)
+    # both sides are exploded, which Spark's size of them leaves out: by that size it would broadcast a side many times as large
+    return (probes.join(stored.hint("merge"), "key").where(once & (d_high + d_low <= max_bits)
                                              & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
             .select("a", "b"))
 

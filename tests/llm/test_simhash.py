@@ -63,6 +63,12 @@ def test_near_pairs_at_every_distance(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_pairs_are_joined_without_a_broadcast(spark):
+    near = simhash.near_pairs(spark.createDataFrame([(0,), (1,), (3,), (-1,)], "fp long"))
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(sorted(r)) for r in near.collect()) == [(0, 1), (0, 3), (1, 3)]
+
+
 def test_manhattan_is_a_lower_bound():
     random.seed(0)
 
