@@ -418,3 +418,14 @@ def test_coded_features_are_those_of_the_encoders(spark):
     stranger = spark.createDataFrame([(1, "never seen")], "user_id long, age_group string")
     with pytest.raises(Exception, match="unseen label in age_group"):
         FE.coded_ranking_features(r, stranger, items, fitted["cat"], fitted["lookup"]).collect()
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    """A task holds what one block's ratings meet: more ratings make more blocks, not larger ones."""
+    asked, als = [], MO.ALS
+    monkeypatch.setattr(MO, "ALS", lambda **k: asked.append((k["numUserBlocks"], k["numItemBlocks"])) or als(**k))
+    monkeypatch.setattr(MO, "ALS_BLOCK_BYTES", 20 * (4 * 2 + 24))
+    for n in (100, 300):
+        rows = spark.range(n).select((F.col("id") % 20).alias("user_id"), (F.col("id") % 13).alias("item_id"), (F.col("id") % 5).cast("double").alias("rating"))
+        MO.train_als(rows, rank=2, max_iter=1)
+    assert asked == [(10, 10), (15, 15)]
