@@ -205,7 +205,8 @@ FROM (
 def q_ranking_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + A6-A8 + J8 + P2/P3 + P12 + P4: features of the rating regressor."""
     t = _t(spark, sf_dir)
-    return FE.ranking_features(t["interactions"], t["users"], t["items"])
+    # the mapped interactions stand for a stored table, which the statistics read again: write the mapping (a join) once
+    return FE.ranking_features(materialize(t["interactions"]), t["users"], t["items"])
 
 
 # ---- M14: the same statistics as of each row --------------------------------
